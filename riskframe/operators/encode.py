@@ -172,3 +172,68 @@ def balanced_class_weight(df: DataFrame, label: str, weight_col: str = "weight")
                       .alias(weight_col))
     # one row per class: a proven size bound for the broadcast
     return df.join(F.broadcast(w), label, "left")
+
+
+@dataclass
+class Winsorizer:
+    """Clip to the exact [lower, upper] quantiles of the fitted frame; a
+    column is left unchanged when a bound is missing or lower >= upper."""
+    lower: float = 0.01
+    upper: float = 0.99
+    columns: list[str] | None = None
+    bounds: dict[str, tuple[float, float]] = field(default_factory=dict)
+
+    def fit(self, df: DataFrame, exclude: Sequence[str] = ()) -> "Winsorizer":
+        cols = self.columns or numeric_columns(df, exclude)
+        q = quantile_map(df, cols, [self.lower, self.upper])
+        self.columns = cols
+        self.bounds = {c: (q[(c, self.lower)], q[(c, self.upper)]) for c in cols}
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = {}
+        for c, (lo, hi) in self.bounds.items():
+            if c in df.columns and lo is not None and hi is not None and lo < hi:
+                x = F.col(c).cast("double")
+                out[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(lo)), F.lit(hi)))
+        return df.withColumns(out) if out else df
+
+
+def minmax_scale(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """(s - min) / (max - min + 1e-12), min and max from one aggregate
+    (a one-row result, applied as literals)."""
+    row = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx")).first()
+    mn, mx = row["mn"], row["mx"]
+    if mn is None:
+        return df.withColumn(name or col, F.lit(None).cast("double"))
+    return df.withColumn(name or col, (F.col(col) - F.lit(float(mn))) / F.lit(float(mx) - float(mn) + 1e-12))
+
+
+TRUE_FALSE = ("true", "false")
+
+
+def fit_text_booleans(*frames: DataFrame, columns: Sequence[str] | None = None) -> tuple[list[str], list[str]]:
+    """B16 fit over the union of frames (train and test): text columns whose
+    trimmed lower-case non-null values are all in {true, false} are kept as
+    booleans, the other text columns are reported for dropping.  One
+    distinct job over the text columns."""
+    cols = list(columns) if columns is not None else categorical_columns(frames[0])
+    if not cols:
+        return [], []
+    long = None
+    for f in frames:
+        present = [c for c in cols if c in f.columns]
+        part = f.select(*[F.lower(F.trim(F.col(c).cast("string"))).alias(c) for c in present]) \
+                .unpivot([], present, "variable", "value")
+        long = part if long is None else long.unionByName(part)
+    bad = {r["variable"] for r in long.where(F.col("value").isNotNull() & ~F.col("value").isin(*TRUE_FALSE))
+           .select("variable").distinct().collect()}
+    return [c for c in cols if c not in bad], [c for c in cols if c in bad]
+
+
+def apply_text_booleans(df: DataFrame, keep: Sequence[str], drop: Sequence[str]) -> DataFrame:
+    """B16 transform: 'true' -> 1.0, 'false' -> 0.0, else NULL; drop the rest."""
+    v = {c: F.when(F.lower(F.trim(F.col(c))) == "true", 1.0)
+         .when(F.lower(F.trim(F.col(c))) == "false", 0.0) for c in keep if c in df.columns}
+    out = df.withColumns(v) if v else df
+    return out.drop(*[c for c in drop if c in df.columns])

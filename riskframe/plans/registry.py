@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["features"]
+_MODULES = ["features", "encoding"]
 
 
 def _load():
