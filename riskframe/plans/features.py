@@ -313,3 +313,15 @@ ORACLES = {
     "rowwise_stats": sql_rowwise_stats,
     "dpd_clip": sql_dpd_clip,
 }
+
+
+def mart_columns() -> list[str]:
+    """Output columns of the client feature mart, in oracle order."""
+    _, _, _, _, ord_cols, _ = _ord_parts()
+    _, _, evt_cols, _ = _evt_parts()
+    return (["c_custkey", "TARGET", "c_nationkey", "n_regionkey", "c_mktsegment"] + ord_cols + evt_cols
+            + [n for n, _, _ in M.POST_JOIN_RATIOS])
+
+
+def mart_numeric_columns() -> list[str]:
+    return [c for c in mart_columns() if c not in ("c_custkey", "TARGET", "c_mktsegment")]
