@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["features", "encoding", "profiling"]
+_MODULES = ["features", "encoding", "profiling", "association"]
 
 
 def _load():
