@@ -64,33 +64,35 @@ def hash_rank(df: DataFrame, key: Sequence[str], seed: int, by: Sequence[str] =
     return row_number_by_buckets(d, ["_h", *key], hash_bucket(F.col("_h"), bits), by, name).drop("_h")
 
 
-def running_totals(df: DataFrame, order: str, sums: Sequence[str], ascending: bool = True,
+def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (),
                    n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``sums`` in ``order`` (unique values, e.g.
-    the distinct scores of a curve).  Buckets from approximate quantiles of
-    ``order``; sums inside a bucket via a window over that bucket only."""
+    """Inclusive running sums of ``sums`` in ascending ``order`` within each
+    ``by`` group (order values unique per group, e.g. the distinct scores of
+    a curve).  Buckets come from approximate quantiles of ``order`` (shared by
+    all groups); per (group, bucket) totals give the offsets (a window over at
+    most ``n_buckets`` rows per group) and the running sum itself is a window
+    over one (group, bucket) only."""
+    by = list(by)
     spark = df.sparkSession
     if n_buckets is None:
         n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.col(order) if ascending else -F.col(order)
-    d = df.withColumn("_o", key.cast("double"))
+    d = df.withColumn("_o", F.col(order).cast("double"))
+    bounds = []
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = sorted(set(x for x in (d.approxQuantile("_o", probs, 0.001) or []) if x is not None))
-    else:
-        bounds = []
     if bounds:
         arr = F.array(*[F.lit(float(x)) for x in bounds])
         bucket = F.size(F.filter(arr, lambda t: t < F.col("_o")))
     else:
         bucket = F.lit(0)
     d = d.withColumn("_bucket", bucket)
-    tot = d.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    w_off = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
-    offs = tot.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
-                                   for c in sums])
-    inner = Window.partitionBy("_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    out = d.join(F.broadcast(offs), "_bucket")  # one row per bucket: bounded
+    tot = d.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    w_off = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(*by, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
+                                        for c in sums])
+    inner = Window.partitionBy(*by, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    out = d.join(offs, [*by, "_bucket"])  # groups x buckets rows; AQE broadcasts it when small
     out = out.withColumns({f"{prefix}{c}": F.col(f"_off_{c}") + F.sum(c).over(inner) for c in sums})
     return out.drop("_o", "_bucket", *[f"_off_{c}" for c in sums])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["features", "encoding", "profiling", "association"]
+_MODULES = ["features", "encoding", "profiling", "association", "evaluation"]
 
 
 def _load():
