@@ -38,14 +38,15 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None,
     if not columns:
         return {}
     distinct = _long_text(df, columns).where(F.col("value").isNotNull()).distinct()
-    sizes = {r["variable"]: r["n"] for r in
-             distinct.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = {c: n for c, n in sizes.items() if n > max_categories}
-    if too_big:
-        raise ValueError(f"too many categories to one-hot encode: {too_big}")
+    # one job; the collect is bounded by max_categories per column
+    bound = max_categories * len(columns)
+    rows = distinct.limit(bound + 1).collect()
     vocab: dict[str, list[str]] = {c: [] for c in columns}
-    for r in distinct.collect():
+    for r in rows:
         vocab[r["variable"]].append(r["value"])
+    too_big = {c: len(v) for c, v in vocab.items() if len(v) > max_categories}
+    if too_big or len(rows) > bound:
+        raise ValueError(f"too many categories to one-hot encode: {too_big or 'over ' + str(bound)}")
     return {c: sorted(v) for c, v in vocab.items()}
 
 

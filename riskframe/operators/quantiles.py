@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 MAX_PASSES = 64
 
 
@@ -47,14 +49,21 @@ def exact_quantiles(
     by: Sequence[str] = (),
     bins: int = 2048,
     exact_below: int = 20000,
+    materialize: bool = True,
 ) -> DataFrame:
     """Long table ``(by..., variable, prob, value)``; value is NULL when the
-    column has no non-missing value in the group."""
+    column has no non-missing value in the group.
+
+    With ``materialize`` the narrow long form (by, variable, x) is written
+    once as a reliable checkpoint, so the passes do not recompute the input
+    plan (and survive executor loss)."""
     spark = df.sparkSession
     by = list(by)
     columns = list(columns)
     probs = [float(p) for p in probs]
     long = long_numeric(df, columns, by)
+    if materialize:
+        long = cut_lineage(long)
 
     stats = (long.groupBy(*by, "variable")
              .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))

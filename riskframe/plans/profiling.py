@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import sig_round_doubles
 from ..operators import profile as P
+from ..session import cut_lineage
 from ..sources.files import file_inventory
 from . import features as FE
 from . import sqlgen as S
@@ -21,7 +22,10 @@ _TYPE_SQL = ("CASE min(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' T
 
 
 def _mart(spark, sf):
-    return FE.q_client_feature_mart(spark, sf)
+    """The mart as a hand-over table: written once (reliable checkpoint in
+    spark.checkpoint.dir), so multi-pass reports read it instead of
+    recomputing its joins and aggregates on every pass."""
+    return cut_lineage(FE.q_client_feature_mart(spark, sf))
 
 
 def _mart_cte() -> str:
