@@ -73,8 +73,10 @@ def holdout(df: DataFrame, key: Sequence[str], test_pct: int = 20, seed: int = 4
 
 
 def kfold(df: DataFrame, key: Sequence[str], k: int = 5, seed: int = 42,
-          label: str | None = None, name: str = "fold") -> DataFrame:
+          label: str | Sequence[str] | None = None, name: str = "fold") -> DataFrame:
     """H7 / H8: fold = (rank - 1) mod k in seeded-hash order, within each class
-    when ``label`` is given (fold sizes differ by at most one per class)."""
-    ranked = hash_rank(df, key, seed, by=[label] if label else [], name="_rn")
+    when ``label`` is given (fold sizes differ by at most one per class);
+    several stratification columns may be given."""
+    by = [] if label is None else ([label] if isinstance(label, str) else list(label))
+    ranked = hash_rank(df, key, seed, by=by, name="_rn")
     return ranked.withColumn(name, ((F.col("_rn") - 1) % k).cast("int")).drop("_rn")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["features", "encoding", "profiling", "association", "evaluation", "modeling"]
+_MODULES = ["features", "encoding", "profiling", "association", "evaluation", "modeling", "reports"]
 
 
 def _load():
