@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import MISSING_TOKEN, clean_float, numeric_columns
+from ..session import cut_lineage
 from .profile import column_stats, median_by_class
+from .rank import running_totals
 from .split import exact_sample
 
 
@@ -88,30 +90,36 @@ def coverage_filtered_correlations(df: DataFrame, target: str, columns: Sequence
 
 
 # --- G4 ------------------------------------------------------------------------
-def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str], sample_n: int = 20000,
+def _avg_ranks(long: DataFrame, col: str, name: str) -> DataFrame:
+    """Average rank of ``col`` within each pair (a, b): rows with an equal value
+    share (#smaller) + (#equal + 1) / 2.  Computed on the distinct values with
+    bucketed running counts, then joined back -- no window holds a whole
+    column."""
+    counts = long.groupBy("a", "b", col).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    cum = running_totals(counts, col, ["_n"], by=["a", "b"])
+    return cum.select("a", "b", col, (F.col("cum__n") - F.col("_n") + (F.col("_n") + 1) / 2).alias(name))
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str], sample_n: int | None = None,
                     seed: int = 42) -> DataFrame:
     """Spearman correlation (average ranks, pair-complete rows) of every pair
-    of non-constant columns on an exact seeded sample of ``sample_n`` rows --
-    the sample bounds each pair's ranking window.  Lower triangle rows
-    (var_a < var_b in column order)."""
-    s = exact_sample(df.select(*key, *columns), sample_n, key, seed)
+    of columns, on the whole frame (or, like the reference's report, on an
+    exact seeded sample of ``sample_n`` rows when given).  One row per pair
+    (var_a before var_b in column order)."""
+    s = df.select(*key, *columns)
+    if sample_n:
+        s = exact_sample(s, sample_n, key, seed)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "var_a string, var_b string, spearman double, n long")
     sel = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), clean_float(a).alias("xa"),
                     clean_float(b).alias("xb")) for a, b in pairs]
-    long = (s.select(*key, F.explode(F.array(*sel)).alias("p"))
-            .select(*key, "p.a", "p.b", "p.xa", "p.xb")
+    long = (s.select(F.explode(F.array(*sel)).alias("p"))
+            .select("p.a", "p.b", "p.xa", "p.xb")
             .where(F.col("xa").isNotNull() & F.col("xb").isNotNull()))
-
-    def avg_rank(col: str) -> Column:
-        # average rank among the pair's rows: (#smaller) + (#equal + 1) / 2
-        w_le = Window.partitionBy("a", "b").orderBy(col).rangeBetween(Window.unboundedPreceding, 0)
-        w_eq = Window.partitionBy("a", "b", col)
-        eq = F.count(F.lit(1)).over(w_eq)
-        return F.count(F.lit(1)).over(w_le) - eq + (eq + 1) / 2.0
-
-    ranked = long.withColumn("ra", avg_rank("xa")).withColumn("rb", avg_rank("xb"))
+    long = cut_lineage(long)  # read by both rankings and the final aggregate
+    ranked = (long.join(_avg_ranks(long, "xa", "ra"), ["a", "b", "xa"])
+              .join(_avg_ranks(long, "xb", "rb"), ["a", "b", "xb"]))
     g = ranked.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"), F.covar_pop("ra", "rb").alias("_c"),
         F.stddev_pop("ra").alias("_sa"), F.stddev_pop("rb").alias("_sb"))
@@ -223,10 +231,11 @@ def modality_gaps(df: DataFrame, columns: Sequence[str], target: str) -> DataFra
         F.count(F.lit(1)).alias("n_obs"), F.count("_y").alias("_ny"),
         F.sum("_y").alias("n_target_1"), F.avg("_y").alias("target_rate"))
     # every row appears once per variable, so the global totals are sums over
-    # the variable's modalities (a window over a handful of rows)
-    w = Window.partitionBy("variable")
-    j = g.withColumn("_n", F.sum("n_obs").over(w)) \
-         .withColumn("_rate", F.sum("n_target_1").over(w) / F.sum("_ny").over(w))
+    # the variable's modalities: one row per variable, joined back (a proven
+    # bound -- no window holding all modalities of a high-cardinality column)
+    tot = g.groupBy("variable").agg(F.sum("n_obs").alias("_n"),
+                                    (F.sum("n_target_1") / F.sum("_ny")).alias("_rate"))
+    j = g.join(F.broadcast(tot), "variable")
     gap = F.col("target_rate") - F.col("_rate")
     return (j.select("variable", "modality", "n_obs", (F.col("n_obs") / F.col("_n")).alias("share_obs"),
                      "n_target_1", "target_rate", gap.alias("gap_vs_global"),

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def join_child_summary(parent: DataFrame, child_summary: DataFrame, key: str,
                        drop_key: bool = True) -> DataFrame:
@@ -31,12 +33,16 @@ def join_blocks(base: DataFrame, blocks: Mapping[str, DataFrame], key: str) -> D
     return out
 
 
-def join_audit(base: DataFrame, blocks: Mapping[str, DataFrame], key: str) -> DataFrame:
+def join_audit(base: DataFrame, blocks: Mapping[str, DataFrame], key: str,
+               materialize: bool = True) -> DataFrame:
     """One row per join step with the row count before and after and the
     number of added columns.  Counts are aggregates of the joined frames, so
     the audit itself is a set of distributed counts, not a driver loop over
-    rows."""
-    spark = base.sparkSession
+    rows.  Each step's count re-joins the earlier blocks, so the blocks are
+    first written once (reliable checkpoint) instead of being re-aggregated
+    for every step."""
+    if materialize:
+        blocks = {n: cut_lineage(b) for n, b in blocks.items()}
     rows = []
     current = base
     for step, (name, blk) in enumerate(blocks.items(), start=1):

@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from ..functions.expr import (categorical_columns, clean_float, numeric_columns,
                               temporal_columns)
-from .quantiles import exact_quantiles, long_numeric
+from ..session import cut_lineage
+from .quantiles import exact_quantiles, long_numeric, quantiles_from_long
 
 
 def _text(df: DataFrame, c: str):
@@ -111,14 +112,15 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """Exact Q1 / median / Q3, fences Q1 - 1.5 IQR and Q3 + 1.5 IQR, counts
     below / above, share of non-null values (0 when none), min, max."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    # the long form feeds the quantile passes and the fence counts: write it once
+    long = cut_lineage(long_numeric(df, cols))
+    q = quantiles_from_long(long, cols, [0.25, 0.5, 0.75])
     qw = q.groupBy("variable").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("median"),
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"))
     qw = qw.withColumn("lower", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("upper", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    long = long_numeric(df, cols)
     # fences table: one row per column -> proven small broadcast
     cnt = long.join(F.broadcast(qw.select("variable", "lower", "upper")), "variable").groupBy("variable").agg(
         F.count_if(F.col("x") < F.col("lower")).alias("n_low"),
@@ -352,13 +354,19 @@ def dtype_counts(df: DataFrame) -> DataFrame:
 # --- A3 ------------------------------------------------------------------------
 def source_overview(tables: Mapping[str, DataFrame], keys: Mapping[str, tuple] | None = None,
                     target: str = "TARGET") -> DataFrame:
-    """One row per table from its schema only (no data job): n_columns,
-    main/parent key, has_target, first 8 column names."""
+    """One row per table: row count (one count per table, unioned) plus
+    schema facts -- n_columns, main/parent key, has_target, first 8 column
+    names."""
     keys = keys or {}
     rows = []
     for name, df in tables.items():
         main, parent = keys.get(name, (None, None))
         rows.append((name, len(df.columns), main, parent, target in df.columns, ", ".join(df.columns[:8])))
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, "table string, n_columns int, main_key string, parent_key string, "
-                                       "has_target boolean, first_columns string")
+    schema = spark.createDataFrame(rows, "table string, n_columns int, main_key string, parent_key string, "
+                                         "has_target boolean, first_columns string")
+    counts = None
+    for name, df in tables.items():
+        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
+        counts = c if counts is None else counts.unionByName(c)
+    return schema.join(counts, "table", "left")

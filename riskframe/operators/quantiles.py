@@ -57,13 +57,22 @@ def exact_quantiles(
     With ``materialize`` the narrow long form (by, variable, x) is written
     once as a reliable checkpoint, so the passes do not recompute the input
     plan (and survive executor loss)."""
-    spark = df.sparkSession
-    by = list(by)
-    columns = list(columns)
-    probs = [float(p) for p in probs]
     long = long_numeric(df, columns, by)
     if materialize:
         long = cut_lineage(long)
+    key_fields = [f for f in df.select(*by).schema.fields] if by else []
+    return quantiles_from_long(long, columns, probs, by, key_fields, bins, exact_below)
+
+
+def quantiles_from_long(long: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                        by: Sequence[str] = (), key_fields=(), bins: int = 2048,
+                        exact_below: int = 20000) -> DataFrame:
+    """``exact_quantiles`` on an already built long form (by..., variable, x)."""
+    spark = long.sparkSession
+    by = list(by)
+    columns = list(columns)
+    probs = [float(p) for p in probs]
+    key_fields = list(key_fields)
 
     stats = (long.groupBy(*by, "variable")
              .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -91,7 +100,6 @@ def exact_quantiles(
                 ids.append(by_rank[r])
             needs.append((g, row["variable"], p, ids[0], ids[1], pos - r0))
 
-    key_fields = [f for f in df.select(*by).schema.fields] if by else []
     tschema = T.StructType(
         [T.StructField("tid", T.LongType())]
         + [T.StructField(f.name, f.dataType) for f in key_fields]

@@ -50,7 +50,7 @@ def sql_corr_target() -> str:
 
 # --- G2 numeric_report, G3 informative_select -----------------------------------------------
 def q_numeric_report(spark: SparkSession, sf: str) -> DataFrame:
-    return sig_round_doubles(G.numeric_target_report(_mart(spark, sf), "TARGET", _NUM))
+    return sig_round_doubles(G.numeric_target_report(_mart(spark, sf, True), "TARGET", _NUM))
 
 
 def _numeric_report_sql() -> str:
@@ -73,7 +73,7 @@ def sql_numeric_report() -> str:
 
 
 def q_informative_select(spark: SparkSession, sf: str) -> DataFrame:
-    rep = G.numeric_target_report(_mart(spark, sf), "TARGET", _NUM)
+    rep = G.numeric_target_report(_mart(spark, sf, True), "TARGET", _NUM)
     return sig_round_doubles(G.select_informative(rep, 0.05, 5, 0.40, 10))
 
 
@@ -90,7 +90,7 @@ _ENGINEERED = [c for c in _NUM if c.startswith(("NEW_", "ORD_", "EVT_"))]
 
 
 def q_coverage_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rep = G.coverage_filtered_correlations(_mart(spark, sf), "TARGET", _NUM, 0.60, 500, 0.10)
+    rep = G.coverage_filtered_correlations(_mart(spark, sf, True), "TARGET", _NUM, 0.60, 500, 0.10)
     eng = spark.createDataFrame([(c,) for c in _ENGINEERED], "variable string")
     return sig_round_doubles(keep_members(rep, eng, "variable"))
 
@@ -109,7 +109,6 @@ def sql_coverage_filter() -> str:
 
 # --- G4 spearman ----------------------------------------------------------------------
 _SP_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "DAYS_SHIP"]
-_SP_N = 20000
 
 
 def _sp_frame(spark, sf):
@@ -121,15 +120,12 @@ def _sp_frame(spark, sf):
 
 def q_spearman(spark: SparkSession, sf: str) -> DataFrame:
     return sig_round_doubles(G.spearman_matrix(_sp_frame(spark, sf), _SP_COLS,
-                                               ["l_orderkey", "l_linenumber", "l_partkey"], _SP_N, 42))
+                                               ["l_orderkey", "l_linenumber", "l_partkey"]))
 
 
 def sql_spearman() -> str:
-    h = ("md5('42' || ':' || CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || "
-         "CAST(l_partkey AS VARCHAR))")
     src = ("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, nullif(l_discount, 0) AS l_discount, "
-           "l_tax, CAST(CAST(l_shipdate AS DATE) - DATE '2002-01-01' AS INTEGER) AS DAYS_SHIP FROM lineitem "
-           f"ORDER BY {h}, l_orderkey, l_linenumber, l_partkey LIMIT {_SP_N}")
+           "l_tax, CAST(CAST(l_shipdate AS DATE) - DATE '2002-01-01' AS INTEGER) AS DAYS_SHIP FROM lineitem")
     parts = []
     for i, a in enumerate(_SP_COLS):
         for b in _SP_COLS[i + 1:]:
@@ -228,7 +224,7 @@ _FLAG_SRC_COLS = ["TARGET", "c_mktsegment", "HAS_EVENTS", "HAS_CLOSED", "ORD_COU
 
 
 def _flag_frame(spark, sf):
-    m = _mart(spark, sf)
+    m = _mart(spark, sf, True)
     return m.select("TARGET", "c_mktsegment", F.col("EVT_COUNT").isNotNull().cast("int").alias("HAS_EVENTS"),
                     F.col("CLOSED_COUNT").isNotNull().cast("int").alias("HAS_CLOSED"), "ORD_COUNT",
                     F.when(F.col("EVT_COUNT") > 70, F.lit("many")).when(F.col("EVT_COUNT").isNotNull(), F.lit("few"))

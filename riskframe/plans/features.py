@@ -290,7 +290,25 @@ def sql_dpd_clip() -> str:
                               "PAYMENT_DIFF"], {"PAYMENT_PERC", "PAYMENT_DIFF"}, "r"))
 
 
+# ---------------------------------------------------------------------------
+# status_map (B3 value mapping, B23 label text, B18 missing token)
+# ---------------------------------------------------------------------------
+STATUS_CODES = {"F": 0, "O": 1}   # like F/M and N/Y -> 0/1; other values -> NULL
+
+
+def q_status_map(spark: SparkSession, sf: str) -> DataFrame:
+    o = T.table(spark, sf, "orders")
+    return o.select("o_orderkey", X.map_values("o_orderstatus", STATUS_CODES).alias("STATUS_CODE"),
+                    X.modality_label(F.lit("o_orderpriority"), X.category_label("o_orderpriority")).alias("LABEL"))
+
+
+def sql_status_map() -> str:
+    return ("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS STATUS_CODE, "
+            "'o_orderpriority = ' || coalesce(o_orderpriority, '__MISSING__') AS LABEL FROM orders")
+
+
 QUERIES = {
+    "status_map": q_status_map,
     "client_feature_mart": q_client_feature_mart,
     "two_hop_agg": q_two_hop_agg,
     "filtered_agg": q_filtered_agg,
@@ -303,6 +321,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "status_map": sql_status_map,
     "client_feature_mart": sql_client_feature_mart,
     "two_hop_agg": sql_two_hop_agg,
     "filtered_agg": sql_filtered_agg,

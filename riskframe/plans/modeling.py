@@ -30,7 +30,7 @@ SEED = 42
 def model_matrix(spark: SparkSession, sf: str):
     """(train, holdout, test, feature columns): train/holdout is a 80/20
     stratified split of the labelled clients; test = unlabelled clients."""
-    mart = _mart(spark, sf)
+    mart = _mart(spark, sf, True)
     train, test = H.split_on_target(mart)
     x_train, x_test, _ = P.prepare_modeling_tables(train, test.withColumn("TARGET", F.lit(None).cast("int")),
                                                    "c_custkey", "TARGET", 0.95)

@@ -21,11 +21,13 @@ _TYPE_SQL = ("CASE min(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' T
              "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(min(typeof({c}))) END")
 
 
-def _mart(spark, sf):
-    """The mart as a hand-over table: written once (reliable checkpoint in
-    spark.checkpoint.dir), so multi-pass reports read it instead of
-    recomputing its joins and aggregates on every pass."""
-    return cut_lineage(FE.q_client_feature_mart(spark, sf))
+def _mart(spark, sf, materialize: bool = False):
+    """The mart.  For plans that read it several times it is handed over as
+    a table written once (reliable checkpoint in spark.checkpoint.dir), so
+    the passes do not recompute its joins and aggregates; single-pass
+    reports read the plan directly."""
+    m = FE.q_client_feature_mart(spark, sf)
+    return cut_lineage(m) if materialize else m
 
 
 def _mart_cte() -> str:

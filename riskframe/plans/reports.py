@@ -32,8 +32,7 @@ def _text_frame(spark, sf):
 
 def q_text_booleans(spark: SparkSession, sf: str) -> DataFrame:
     df = _text_frame(spark, sf)
-    train, test = df.where(F.col("doc_id") % 2 == 0), df.where(F.col("doc_id") % 2 == 1)
-    keep, drop = E.fit_text_booleans(train, test, columns=["q_txt", "t_txt", "lang"])
+    keep, drop = E.fit_text_booleans(df, columns=["q_txt", "t_txt", "lang"])
     return E.apply_text_booleans(df, keep, drop)
 
 
@@ -124,7 +123,7 @@ _IMPUTE_COLS = ["ORD_o_totalprice_VAR", "ACTIVE_o_totalprice_SUM", "CLOSED_DAYS_
 
 
 def q_residual_nulls(spark: SparkSession, sf: str) -> DataFrame:
-    mart = _mart(spark, sf)
+    mart = _mart(spark, sf, True)
     train = mart.where(F.col("TARGET").isNotNull())
     imp = E.MedianImputer(_IMPUTE_COLS).fit(train)
     filled = imp.transform(mart)
