@@ -121,11 +121,49 @@ def aggregate_block(
     """One client-level block: ``PREFIX_*`` aggregates, the row count, and for
     each named subset ``NAME_*`` aggregates plus ``NAME_COUNT`` -- all in a
     single hash aggregate keyed on ``key``."""
-    exprs = agg_exprs(spec, prefix)
+    distinct_spec = {c: [a for a in aggs if a == "nunique"] for c, aggs in spec.items()}
+    main_spec = {c: [a for a in aggs if a != "nunique"] for c, aggs in spec.items()}
+    sub_spec = subset_spec or spec
+    sub_distinct = {c: [a for a in aggs if a == "nunique"] for c, aggs in sub_spec.items()}
+    sub_main = {c: [a for a in aggs if a != "nunique"] for c, aggs in sub_spec.items()}
+
+    exprs = agg_exprs(main_spec, prefix)
     if vocabulary:
         exprs += dummy_mean_exprs(vocabulary, prefix, nan_as_category)
     exprs.append(count_expr(count_name or f"{prefix}_COUNT"))
     for name, pred in (subsets or {}).items():
-        exprs += agg_exprs(subset_spec or spec, name, where=pred)
+        exprs += agg_exprs(sub_main, name, where=pred)
         exprs.append(count_expr(f"{name}_COUNT", where=pred))
-    return df.groupBy(key).agg(*exprs)
+    main = df.groupBy(key).agg(*exprs)
+
+    # Distinct counts in their own narrow aggregate: a count(DISTINCT) in the
+    # wide aggregate would make Spark shuffle every aggregation buffer twice
+    # (once by (key, value), once by key).  Both results are hash-partitioned
+    # on the key, so the join adds no exchange.
+    dexprs = agg_exprs({c: a for c, a in distinct_spec.items() if a}, prefix)
+    for name, pred in (subsets or {}).items():
+        dexprs += agg_exprs({c: a for c, a in sub_distinct.items() if a}, name, where=pred)
+    if not dexprs:
+        return main
+    needed = {key} | {c for c, a in distinct_spec.items() if a} | {c for c, a in sub_distinct.items() if a}
+    narrow_cols = [c for c in df.columns if c in needed]
+    # subset predicates may read other columns: keep what they reference
+    narrow = df if subsets else df.select(*narrow_cols)
+    dist = narrow.groupBy(key).agg(*dexprs)
+    out = main.join(dist, key, "left")
+    names = [e for e in _output_names(spec, sub_spec, prefix, subsets, vocabulary, count_name, nan_as_category)]
+    return out.select(key, *names)
+
+
+def _output_names(spec, sub_spec, prefix, subsets, vocabulary, count_name, nan_as_category) -> list[str]:
+    """Column order of ``aggregate_block``'s output (as if one aggregate)."""
+    names = [_name(prefix, f"{c}_{a.upper()}") for c, aggs in spec.items() for a in aggs]
+    for col, values in (vocabulary or {}).items():
+        names += [_name(prefix, f"{col}_{v}_MEAN") for v in values]
+        if nan_as_category:
+            names.append(_name(prefix, f"{col}_nan_MEAN"))
+    names.append(count_name or f"{prefix}_COUNT")
+    for name in (subsets or {}):
+        names += [_name(name, f"{c}_{a.upper()}") for c, aggs in sub_spec.items() for a in aggs]
+        names.append(f"{name}_COUNT")
+    return names

@@ -90,41 +90,64 @@ def coverage_filtered_correlations(df: DataFrame, target: str, columns: Sequence
 
 
 # --- G4 ------------------------------------------------------------------------
-def _avg_ranks(long: DataFrame, col: str, name: str) -> DataFrame:
-    """Average rank of ``col`` within each pair (a, b): rows with an equal value
-    share (#smaller) + (#equal + 1) / 2.  Computed on the distinct values with
-    bucketed running counts, then joined back -- no window holds a whole
-    column."""
-    counts = long.groupBy("a", "b", col).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    cum = running_totals(counts, col, ["_n"], by=["a", "b"])
-    return cum.select("a", "b", col, (F.col("cum__n") - F.col("_n") + (F.col("_n") + 1) / 2).alias(name))
-
-
-def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str], sample_n: int | None = None,
+def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str] = (), sample_n: int | None = None,
                     seed: int = 42) -> DataFrame:
-    """Spearman correlation (average ranks, pair-complete rows) of every pair
-    of columns, on the whole frame (or, like the reference's report, on an
-    exact seeded sample of ``sample_n`` rows when given).  One row per pair
-    (var_a before var_b in column order)."""
-    s = df.select(*key, *columns)
+    """Spearman correlation (average ranks over pair-complete rows, as pandas'
+    pairwise ``corr(method="spearman")``) of every pair of columns, on the
+    whole frame (or on an exact seeded sample of ``sample_n`` rows when given).
+
+    A column's ranks are computed over its non-missing rows; a pair whose
+    partner column has missing values gets its own ranks over the
+    pair-complete rows.  All rank tables come from ONE long-form count of
+    distinct values and one grouped, bucketed running sum (average rank =
+    #smaller + (#equal + 1) / 2); they are joined back by value onto the rows
+    and every pair correlation comes from one aggregate."""
+    s = df.select(*key, *[clean_float(c).alias(c) for c in columns])
     if sample_n:
-        s = exact_sample(s, sample_n, key, seed)
+        s = exact_sample(s, sample_n, list(key), seed)
+    s = cut_lineage(s)  # read by the rank tables and the final aggregate
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "var_a string, var_b string, spearman double, n long")
-    sel = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), clean_float(a).alias("xa"),
-                    clean_float(b).alias("xb")) for a, b in pairs]
-    long = (s.select(F.explode(F.array(*sel)).alias("p"))
-            .select("p.a", "p.b", "p.xa", "p.xb")
-            .where(F.col("xa").isNotNull() & F.col("xb").isNotNull()))
-    long = cut_lineage(long)  # read by both rankings and the final aggregate
-    ranked = (long.join(_avg_ranks(long, "xa", "ra"), ["a", "b", "xa"])
-              .join(_avg_ranks(long, "xb", "rb"), ["a", "b", "xb"]))
-    g = ranked.groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("n"), F.covar_pop("ra", "rb").alias("_c"),
-        F.stddev_pop("ra").alias("_sa"), F.stddev_pop("rb").alias("_sb"))
-    rho = F.when(F.col("n") >= 2, F.col("_c") / F.nullif(F.col("_sa") * F.col("_sb"), F.lit(0.0)))
-    return g.select(F.col("a").alias("var_a"), F.col("b").alias("var_b"), rho.alias("spearman"), "n")
+    nulls = s.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    nullable = {c for c in columns if nulls[c] > 0}
+    # rank id -> (column, partner or None)
+    specs: list[tuple[str, str | None]] = [(c, None) for c in columns]
+    for a, b in pairs:
+        for x, y in ((a, b), (b, a)):
+            if y in nullable:
+                specs.append((x, y))
+    items = []
+    for rid, (x, y) in enumerate(specs):
+        cond = F.col(x).isNotNull() if y is None else F.col(x).isNotNull() & F.col(y).isNotNull()
+        items.append(F.when(cond, F.struct(F.lit(rid).alias("rid"), F.col(x).alias("v"))))
+    long = s.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e")).select("e.rid", "e.v")
+    counts = long.groupBy("rid", "v").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    cum = running_totals(counts, "v", ["_n"], by=["rid"])
+    table = cut_lineage(cum.select("rid", "v", (F.col("cum__n") - F.col("_n") + (F.col("_n") + 1) / 2).alias("r")))
+    ranked = s
+    name = {}
+    for rid, (x, y) in enumerate(specs):
+        name[(x, y)] = f"_r{rid}"
+        t = table.where(F.col("rid") == rid).select(F.col("v").alias("_v"), F.col("r").alias(f"_r{rid}"))
+        ranked = ranked.join(t, F.col(x) == F.col("_v"), "left").drop("_v")
+    aggs = []
+    for k, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        ra = F.when(both, F.col(name.get((a, b), name[(a, None)])))
+        rb = F.when(both, F.col(name.get((b, a), name[(b, None)])))
+        aggs += [F.count_if(both).alias(f"n{k}"), F.covar_pop(ra, rb).alias(f"c{k}"),
+                 F.stddev_pop(ra).alias(f"sa{k}"), F.stddev_pop(rb).alias(f"sb{k}")]
+    g = ranked.agg(*aggs)
+    parts = []
+    for k, (a, b) in enumerate(pairs):
+        rho = F.when(F.col(f"n{k}") >= 2, F.col(f"c{k}") / F.nullif(F.col(f"sa{k}") * F.col(f"sb{k}"), F.lit(0.0)))
+        parts.append(g.select(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), rho.alias("spearman"),
+                              F.col(f"n{k}").alias("n")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # --- G5 / G6 / G7 ----------------------------------------------------------------

@@ -50,6 +50,28 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None,
     return {c: sorted(v) for c, v in vocab.items()}
 
 
+def fit_vocabularies(frames: Sequence[tuple[DataFrame, Sequence[str]]],
+                     max_categories: int = 10000) -> dict[str, list[str]]:
+    """C1 fit for several tables in ONE job: the long forms of all
+    (frame, columns) pairs are unioned before the distinct."""
+    long = None
+    n_cols = 0
+    for df, cols in frames:
+        part = _long_text(df, list(cols))
+        long = part if long is None else long.unionByName(part)
+        n_cols += len(cols)
+    distinct = long.where(F.col("value").isNotNull()).distinct()
+    bound = max_categories * n_cols
+    rows = distinct.limit(bound + 1).collect()
+    vocab: dict[str, list[str]] = {c: [] for _, cols in frames for c in cols}
+    for r in rows:
+        vocab[r["variable"]].append(r["value"])
+    too_big = {c: len(v) for c, v in vocab.items() if len(v) > max_categories}
+    if too_big or len(rows) > bound:
+        raise ValueError(f"too many categories to one-hot encode: {too_big or 'over ' + str(bound)}")
+    return {c: sorted(v) for c, v in vocab.items()}
+
+
 def one_hot_columns(vocabulary: Mapping[str, Sequence[str]], nan_as_category: bool = True,
                     dtype: str = "int") -> dict[str, Column]:
     """``{col}_{value}`` -> 0/1 (NULL input -> 0) and ``{col}_nan``."""

@@ -65,7 +65,7 @@ def hash_rank(df: DataFrame, key: Sequence[str], seed: int, by: Sequence[str] =
 
 
 def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (),
-                   n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
+                   n_buckets: int | None = None, prefix: str = "cum_", materialize: bool = True) -> DataFrame:
     """Inclusive running sums of ``sums`` in ascending ``order`` within each
     ``by`` group (order values unique per group, e.g. the distinct scores of
     a curve).  Buckets come from approximate quantiles of ``order`` (shared by
@@ -77,6 +77,11 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
     if n_buckets is None:
         n_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = df.withColumn("_o", F.col(order).cast("double"))
+    if materialize:
+        # read twice (bucket bounds, then the sums): write the (distinct-value)
+        # input once instead of recomputing its aggregation
+        from ..session import cut_lineage
+        d = cut_lineage(d)
     bounds = []
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]

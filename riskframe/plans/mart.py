@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import safe_divide
 from ..operators.aggspec import aggregate_block, agg_exprs, dummy_mean_exprs
-from ..operators.encode import fit_vocabulary
+from ..operators.encode import fit_vocabularies, fit_vocabulary
 from ..operators.joins import join_blocks
 from . import tables as T
 
@@ -54,12 +54,21 @@ def line_summary(lineitem: DataFrame, vocab: dict) -> DataFrame:
         *agg_exprs(LINE_SPEC, None), *dummy_mean_exprs(vocab, None))
 
 
-def orders_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mart_vocabulary(spark: SparkSession, sf_dir: str) -> dict:
+    """All one-hot vocabularies of the mart, fitted in one job."""
+    return fit_vocabularies([
+        (T.table(spark, sf_dir, "lineitem"), ["l_returnflag"]),
+        (T.table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"]),
+        (T.table(spark, sf_dir, "events"), ["event_type"])])
+
+
+def orders_block(spark: SparkSession, sf_dir: str, vocab: dict | None = None) -> DataFrame:
+    vocab = vocab or mart_vocabulary(spark, sf_dir)
     orders = T.table(spark, sf_dir, "orders")
     lineitem = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
-    line_vocab = fit_vocabulary(lineitem, ["l_returnflag"])
+    line_vocab = {"l_returnflag": vocab["l_returnflag"]}
     lines = line_summary(lineitem, line_vocab)
-    ord_vocab = fit_vocabulary(orders, ["o_orderstatus", "o_orderpriority"])
+    ord_vocab = {c: vocab[c] for c in ("o_orderstatus", "o_orderpriority")}
     o = (orders.withColumn("DAYS_ORDER", T.day_offset("o_orderdate"))
          .join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
          .withColumnRenamed("o_custkey", KEY))
@@ -76,10 +85,10 @@ def orders_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_block(spark: SparkSession, sf_dir: str, vocab: dict | None = None) -> DataFrame:
     """Every non-id column (value + event_type dummies) x min/max/mean/sum/var."""
     ev = T.table(spark, sf_dir, "events").select("user_id", "event_type", "value")
-    vocab = fit_vocabulary(ev, ["event_type"])
+    vocab = vocab or fit_vocabulary(ev, ["event_type"])
     dummies = {f"event_type_{v}": F.when(F.col("event_type") == v, 1.0).otherwise(0.0)
                for v in vocab["event_type"]}
     dummies["event_type_nan"] = F.when(F.col("event_type").isNull(), 1.0).otherwise(0.0)
@@ -96,7 +105,8 @@ def add_post_join_ratios(df: DataFrame, ratios=POST_JOIN_RATIOS) -> DataFrame:
 
 
 def feature_blocks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"ORD": orders_block(spark, sf_dir), "EVT": events_block(spark, sf_dir)}
+    vocab = mart_vocabulary(spark, sf_dir)
+    return {"ORD": orders_block(spark, sf_dir, vocab), "EVT": events_block(spark, sf_dir, vocab)}
 
 
 def client_feature_mart(spark: SparkSession, sf_dir: str) -> DataFrame:

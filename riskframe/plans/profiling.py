@@ -21,11 +21,11 @@ _TYPE_SQL = ("CASE min(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' T
              "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(min(typeof({c}))) END")
 
 
-def _mart(spark, sf, materialize: bool = False):
-    """The mart.  For plans that read it several times it is handed over as
-    a table written once (reliable checkpoint in spark.checkpoint.dir), so
-    the passes do not recompute its joins and aggregates; single-pass
-    reports read the plan directly."""
+def _mart(spark, sf, materialize: bool = True):
+    """The mart handed over as a table written once (reliable checkpoint in
+    spark.checkpoint.dir), as the pipeline hands the enriched table from the
+    preparation stage to the reports: passes read it instead of recomputing
+    its joins and aggregates, and the wide unpivots start from a plain scan."""
     m = FE.q_client_feature_mart(spark, sf)
     return cut_lineage(m) if materialize else m
 
