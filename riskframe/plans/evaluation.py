@@ -210,9 +210,9 @@ def sql_class_report() -> str:
             f"per0 AS ({' UNION ALL '.join(per)}), "
             "per AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM per0), "
             "r AS (SELECT label, precision, recall, f1, support FROM per UNION ALL "
-            "SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per UNION ALL "
+            "SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per UNION ALL "
             "SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), "
-            "sum(f1 * support) / sum(support), sum(support) FROM per) "
+            "sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per) "
             + S.outer_select(["label", "precision", "recall", "f1", "support"], {"precision", "recall", "f1"}, "r"))
 
 
@@ -305,8 +305,8 @@ def sql_leaderboard() -> str:
     return (f"WITH {_MODELS_SQL}, c AS ({_conf_sql('models', 'score >= 0.5', 'model')}), "
             f"m AS (SELECT model, {_metric_sql()}, 0.5 AS threshold FROM c), r0 AS ({_rank_sql('models', 'model')}), "
             "res AS (SELECT m.*, r0.roc_auc, r0.pr_auc, 0.0 AS fit_time_sec FROM m LEFT JOIN r0 ON m.model = r0.model), "
-            "r AS (SELECT *, row_number() OVER (ORDER BY business_cost_per_obs NULLS LAST, business_fbeta DESC NULLS LAST, "
-            "fit_time_sec NULLS LAST, pr_auc DESC NULLS LAST, model) AS rank FROM res) "
+            "r AS (SELECT *, CAST(row_number() OVER (ORDER BY business_cost_per_obs NULLS LAST, business_fbeta DESC NULLS LAST, "
+            "fit_time_sec NULLS LAST, pr_auc DESC NULLS LAST, model) AS INTEGER) AS rank FROM res) "
             + S.outer_select(["model"] + _THR_COLS + ["threshold", "roc_auc", "pr_auc", "fit_time_sec", "rank"],
                              _THR_DBL | {"threshold", "roc_auc", "pr_auc", "fit_time_sec"}, "r"))
 

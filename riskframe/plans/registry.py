@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import importlib
 
+from .sqlgen import bigint_count_if
+
 _MODULES = ["features", "encoding", "profiling", "association", "evaluation", "modeling", "reports"]
 
 
@@ -13,7 +15,7 @@ def _load():
     for m in _MODULES:
         mod = importlib.import_module(f"{__package__}.{m}")
         queries.update(mod.QUERIES)
-        oracles.update({k: v() for k, v in mod.ORACLES.items()})
+        oracles.update({k: bigint_count_if(v()) for k, v in mod.ORACLES.items()})
     return queries, oracles
 
 

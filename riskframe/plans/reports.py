@@ -37,8 +37,9 @@ def q_text_booleans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_text_booleans() -> str:
-    return ("SELECT l.doc_id, CASE WHEN l.quality = 1 THEN 1.0 ELSE 0.0 END AS q_txt, "
-            "CASE WHEN l.toxic = 1 THEN 1.0 ELSE 0.0 END AS t_txt FROM labels l JOIN documents d ON l.doc_id = d.doc_id")
+    return ("SELECT l.doc_id, CAST(CASE WHEN l.quality = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS q_txt, "
+            "CAST(CASE WHEN l.toxic = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS t_txt FROM labels l JOIN documents d "
+            "ON l.doc_id = d.doc_id")
 
 
 # --- B17 sanitized_mart ------------------------------------------------------------------

@@ -74,3 +74,27 @@ def safe_div_sql(num: str, den: str) -> str:
     n = f"CAST({num} AS DOUBLE)"
     d = f"CAST({den} AS DOUBLE)"
     return f"({n} / nullif({d}, 0))"
+
+
+def bigint_count_if(sql: str) -> str:
+    """DuckDB's ``count_if`` returns HUGEINT where Spark's returns BIGINT:
+    wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(" + bigint_count_if(sql[j:k + 1].replace(token, "\x00", 1)).replace("\x00", token)
+                   + " AS BIGINT)")
+        i = k + 1
