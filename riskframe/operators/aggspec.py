@@ -35,12 +35,17 @@ def _value(col: str, where: Column | None) -> Column:
     return x if where is None else F.when(where, x)
 
 
-def agg_column(col: str, agg: str, where: Column | None = None, numeric: bool = True) -> Column:
-    """One aggregate expression with the null rules of the module docstring."""
+def agg_column(col: str, agg: str, where: Column | None = None, numeric: bool = True,
+               is_float: bool = True) -> Column:
+    """One aggregate expression with the null rules of the module docstring.
+    ``is_float`` False skips the NaN/Inf guard (integer columns have none)."""
     x = _value(col, where)
     if numeric and agg in ("mean", "sum", "var", "std", "median"):
-        x = clean_float(x)
-    n_rows = F.count(F.lit(1)) if where is None else F.count(F.when(where, F.lit(1)))
+        x = clean_float(x) if is_float else x.cast("double")
+
+    def n_rows() -> Column:
+        return F.count(F.lit(1)) if where is None else F.count(F.when(where, F.lit(1)))
+
     if agg == "min":
         return F.min(x)
     if agg == "max":
@@ -48,8 +53,8 @@ def agg_column(col: str, agg: str, where: Column | None = None, numeric: bool =
     if agg == "mean":
         return F.avg(x)
     if agg == "sum":
-        s = F.coalesce(F.sum(x), F.lit(0).cast("double"))
-        return s if where is None else F.when(n_rows > 0, s)
+        s = F.coalesce(F.sum(x), F.lit(0.0))
+        return s if where is None else F.when(n_rows() > 0, s)
     if agg == "var":
         return F.var_samp(x)
     if agg == "std":
@@ -57,13 +62,13 @@ def agg_column(col: str, agg: str, where: Column | None = None, numeric: bool =
     if agg == "median":
         return F.percentile(x, 0.5)
     if agg in ("size",):
-        return n_rows if where is None else F.nullif(n_rows, F.lit(0))
+        return n_rows() if where is None else F.nullif(n_rows(), F.lit(0))
     if agg == "count":
         c = F.count(x)
-        return c if where is None else F.when(n_rows > 0, c)
+        return c if where is None else F.when(n_rows() > 0, c)
     if agg == "nunique":
         c = F.count_distinct(x)
-        return c if where is None else F.when(n_rows > 0, c)
+        return c if where is None else F.when(n_rows() > 0, c)
     raise ValueError(f"unknown aggregation {agg!r}; expected one of {AGGS}")
 
 
@@ -72,12 +77,15 @@ def agg_exprs(
     prefix: str,
     where: Column | None = None,
     numeric: bool = True,
+    float_cols: set | None = None,
 ) -> list[Column]:
-    """``[agg(col).alias(f"{prefix}_{col}_{AGG}")]`` for every (col, agg)."""
+    """``[agg(col).alias(f"{prefix}_{col}_{AGG}")]`` for every (col, agg).
+    ``float_cols``: the float/double columns (all columns when unknown)."""
     out = []
     for col, aggs in spec.items():
+        is_float = float_cols is None or col in float_cols
         for a in aggs:
-            out.append(agg_column(col, a, where, numeric).alias(_name(prefix, f"{col}_{a.upper()}")))
+            out.append(agg_column(col, a, where, numeric, is_float).alias(_name(prefix, f"{col}_{a.upper()}")))
     return out
 
 
@@ -127,12 +135,14 @@ def aggregate_block(
     sub_distinct = {c: [a for a in aggs if a == "nunique"] for c, aggs in sub_spec.items()}
     sub_main = {c: [a for a in aggs if a != "nunique"] for c, aggs in sub_spec.items()}
 
-    exprs = agg_exprs(main_spec, prefix)
+    from pyspark.sql import types as T
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    exprs = agg_exprs(main_spec, prefix, float_cols=floats)
     if vocabulary:
         exprs += dummy_mean_exprs(vocabulary, prefix, nan_as_category)
     exprs.append(count_expr(count_name or f"{prefix}_COUNT"))
     for name, pred in (subsets or {}).items():
-        exprs += agg_exprs(sub_main, name, where=pred)
+        exprs += agg_exprs(sub_main, name, where=pred, float_cols=floats)
         exprs.append(count_expr(f"{name}_COUNT", where=pred))
     main = df.groupBy(key).agg(*exprs)
 
