@@ -1,0 +1 @@
+"""Column expressions (projection layer): built-in functions only."""

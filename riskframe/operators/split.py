@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rank import hash_rank, seeded_hash
+from .rank import hash_bucket, hash_rank, seeded_hash
 
 
 def union_align(*frames: DataFrame) -> DataFrame:
@@ -41,10 +41,25 @@ def split_on_target(df: DataFrame, target: str = "TARGET") -> tuple[DataFrame, D
 
 
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """H4 / H9: exactly min(n, rows) rows -- the n smallest seeded hashes.
-    ``limit`` is the feature here (a fixed-size sample): a per-partition top-n
-    then one merge of at most n rows per partition."""
-    return df.withColumn("_h", seeded_hash(key, seed)).orderBy("_h", *key).limit(n).drop("_h")
+    """H4 / H9: exactly min(n, rows) rows -- the n smallest seeded hashes
+    (ties broken by the key).  Not ``orderBy().limit(n)``: that would merge n
+    rows from every partition in one task.  Instead the rows per 16-bit hash
+    bucket are counted (a 65 536-row table), the bucket holding the n-th row
+    is found, earlier buckets are kept whole and only that one bucket is
+    ordered."""
+    h = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_b", hash_bucket(F.col("_h")))
+    counts = sorted((r["_b"], r["c"]) for r in h.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
+    taken, cut, rest = 0, None, 0
+    for b, c in counts:
+        if taken + c >= n:
+            cut, rest = b, n - taken
+            break
+        taken += c
+    if cut is None:  # fewer than n rows: all of them
+        return h.drop("_h", "_b")
+    whole = h.where(F.col("_b") < cut)
+    part = h.where(F.col("_b") == cut).orderBy("_h", *key).limit(rest)
+    return whole.unionByName(part).drop("_h", "_b")
 
 
 def _n_test(n, pct: int):

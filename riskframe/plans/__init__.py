@@ -1,0 +1 @@
+"""Registered queries over the provided test tables and their DuckDB oracle SQL."""

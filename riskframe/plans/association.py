@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.rounding import sig_round_doubles
 from ..operators import assoc as G
 from ..operators.joins import keep_members
-from . import features as FE
 from . import sqlgen as S
 from . import tables as T
 from .profiling import _mart, _mart_cte, _union

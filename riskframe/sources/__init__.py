@@ -1,0 +1 @@
+"""Scans and sinks through Spark readers and writers."""

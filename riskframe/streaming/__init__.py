@@ -1,0 +1 @@
+"""Structured Streaming re-expression of the scoring step."""

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskframe.functions import expr as X
 from riskframe.functions.rounding import sig_round_doubles

@@ -1,6 +1,5 @@
 """End-to-end: flagship query and invariants on the smallest test tables."""
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF
 from riskframe.operators import encode as E

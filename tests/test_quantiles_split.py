@@ -77,3 +77,10 @@ def test_union_align_nulls(spark):
     b = spark.createDataFrame([(2, 2.0)], "id int, z double")
     out = {r.id: r for r in H.union_align(a, b).collect()}
     assert out[1].z is None and out[2].x is None
+
+
+def test_exact_sample_equals_global_order(spark):
+    df = spark.range(0, 5000).withColumn("x", F.col("id") * 3)
+    got = H.exact_sample(df, 1234, ["id"], 5)
+    ref = df.withColumn("_h", seeded_hash(["id"], 5)).orderBy("_h", "id").limit(1234).drop("_h")
+    assert sorted(got.collect()) == sorted(ref.collect())
