@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKET_BITS = 16
+HASH_BUCKET_BITS = 20  # ~1e6 rows per ranking window at 1e12 rows
 
 
 def seeded_hash(cols: Sequence[str], seed: int) -> Column:

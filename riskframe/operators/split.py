@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rank import hash_bucket, hash_rank, seeded_hash
+from .rank import hash_rank, seeded_hash
 
 
 def union_align(*frames: DataFrame) -> DataFrame:
@@ -40,26 +40,41 @@ def split_on_target(df: DataFrame, target: str = "TARGET") -> tuple[DataFrame, D
     return train, test
 
 
+EXACT_SAMPLE_BUCKET_ROWS = 1_000_000  # the one bucket that gets ordered is refined below this size
+
+
 def exact_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """H4 / H9: exactly min(n, rows) rows -- the n smallest seeded hashes
     (ties broken by the key).  Not ``orderBy().limit(n)``: that would merge n
-    rows from every partition in one task.  Instead the rows per 16-bit hash
-    bucket are counted (a 65 536-row table), the bucket holding the n-th row
-    is found, earlier buckets are kept whole and only that one bucket is
+    rows from every partition in one task.  Instead rows are counted per
+    16-bit slice of the hash (a table of at most 65 536 rows), buckets before
+    the one holding the n-th row are kept whole, and that one bucket is
+    refined with the next 16 bits until it holds few rows; only then is it
     ordered."""
-    h = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_b", hash_bucket(F.col("_h")))
-    counts = sorted((r["_b"], r["c"]) for r in h.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
-    taken, cut, rest = 0, None, 0
-    for b, c in counts:
-        if taken + c >= n:
-            cut, rest = b, n - taken
+    h = df.withColumn("_h", seeded_hash(key, seed))
+    parts, taken, cur = [], 0, h
+    for level in range(8):  # 8 x 16 bits = the whole md5
+        b = F.conv(F.substring("_h", 4 * level + 1, 4), 16, 10).cast("long")
+        counts = sorted((r["b"], r["c"]) for r in
+                        cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        cut = None
+        for bv, c in counts:
+            if taken + c >= n:
+                cut, cut_rows = bv, c
+                break
+            taken += c
+        if cut is None:  # fewer than n rows left: all of them
+            parts.append(cur)
+            break
+        parts.append(cur.where(b < cut))
+        cur = cur.where(b == cut)
+        if cut_rows <= EXACT_SAMPLE_BUCKET_ROWS or level == 7:
+            parts.append(cur.orderBy("_h", *key).limit(n - taken))
             break
-        taken += c
-    if cut is None:  # fewer than n rows: all of them
-        return h.drop("_h", "_b")
-    whole = h.where(F.col("_b") < cut)
-    part = h.where(F.col("_b") == cut).orderBy("_h", *key).limit(rest)
-    return whole.unionByName(part).drop("_h", "_b")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.drop("_h")
 
 
 def _n_test(n, pct: int):

@@ -84,3 +84,11 @@ def test_exact_sample_equals_global_order(spark):
     got = H.exact_sample(df, 1234, ["id"], 5)
     ref = df.withColumn("_h", seeded_hash(["id"], 5)).orderBy("_h", "id").limit(1234).drop("_h")
     assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_exact_sample_multilevel_refinement(spark, monkeypatch):
+    monkeypatch.setattr(H, "EXACT_SAMPLE_BUCKET_ROWS", 0)   # force refinement down the hash levels
+    df = spark.range(0, 3000)
+    got = H.exact_sample(df, 777, ["id"], 11)
+    ref = df.withColumn("_h", seeded_hash(["id"], 11)).orderBy("_h", "id").limit(777).drop("_h")
+    assert sorted(got.collect()) == sorted(ref.collect())
