@@ -69,9 +69,10 @@ def business_cost(df: DataFrame, y: str = "y", pred: str = "pred", fn_cost: floa
 
 # --- K4 / K5 / K7 --------------------------------------------------------------
 def score_table(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, distinct score): pos, neg."""
+    """One row per (group, distinct score): pos, neg (rows without a score
+    are left out)."""
     t = F.col(y) == 1
-    return df.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
+    return df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("s")).agg(
         F.count_if(t).cast("double").alias("pos"), F.count_if(~t).cast("double").alias("neg"))
 
 

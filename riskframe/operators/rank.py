@@ -87,11 +87,12 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = sorted(set(x for x in (d.approxQuantile("_o", probs, 0.001) or []) if x is not None))
     if bounds:
-        arr = F.array(*[F.lit(float(x)) for x in bounds])
-        bucket = F.size(F.filter(arr, lambda t: t < F.col("_o")))
+        # binary search on the JVM (any bucketing monotone in the order works)
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf")] + [float(x) for x in bounds] + [float("inf")]
+        d = Bucketizer(splits=splits, inputCol="_o", outputCol="_bucket", handleInvalid="keep").transform(d)
     else:
-        bucket = F.lit(0)
-    d = d.withColumn("_bucket", bucket)
+        d = d.withColumn("_bucket", F.lit(0.0))
     tot = d.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     w_off = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*by, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
