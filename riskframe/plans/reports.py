@@ -21,6 +21,40 @@ from . import tables as T
 from .profiling import _mart, _mart_cte, _union
 
 
+# --- B6-B9 application_ratios -------------------------------------------------------------
+# Roles of the reference's application columns, played by mart columns.
+RATIO_ROLES = {
+    "AMT_CREDIT": "ORD_o_totalprice_SUM", "AMT_ANNUITY": "ORD_o_totalprice_MEAN",
+    "AMT_GOODS_PRICE": "ACTIVE_o_totalprice_SUM", "AMT_INCOME_TOTAL": "EVT_value_SUM",
+    "CNT_FAM_MEMBERS": "ORD_COUNT", "DAYS_EMPLOYED": "CLOSED_DAYS_ORDER_MEAN", "DAYS_BIRTH": "ORD_DAYS_ORDER_MIN",
+    "DAYS_LAST_PHONE_CHANGE": "ACTIVE_DAYS_ORDER_MAX", "DAYS_ID_PUBLISH": "ORD_DAYS_ORDER_MAX",
+}
+SCORE_SOURCES = ["ORD_o_orderstatus_F_MEAN", "ACTIVE_l_quantity_SIZE_MEAN", "EVT_event_type_click_MEAN"]
+
+
+def q_application_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.ratios import APPLICATION_RATIOS, add_application_ratios, add_score_summary
+    m = _mart(spark, sf)
+    out = add_score_summary(add_application_ratios(m, RATIO_ROLES), SCORE_SOURCES)
+    return sig_round_doubles(out.select("c_custkey", *[n for n, _, _ in APPLICATION_RATIOS],
+                                        "EXT_SOURCES_MEAN", "EXT_SOURCES_STD"))
+
+
+def sql_application_ratios() -> str:
+    from ..operators.ratios import APPLICATION_RATIOS
+    rat = ", ".join(f"{S.safe_div_sql(S.q(RATIO_ROLES[a]), S.q(RATIO_ROLES[b]))} AS {n}" for n, a, b in APPLICATION_RATIOS)
+    lst = f"list_filter([{', '.join(S.q(c) for c in SCORE_SOURCES)}], lambda x: x IS NOT NULL)"
+    mean = f"CASE WHEN len({lst}) > 0 THEN list_sum({lst}) / len({lst}) END"
+    std = (f"CASE WHEN len({lst}) >= 2 THEN sqrt(list_sum(list_transform({lst}, lambda x: (x - list_sum({lst}) / len({lst})) "
+           f"* (x - list_sum({lst}) / len({lst})))) / (len({lst}) - 1)) END")
+    names = [n for n, _, _ in APPLICATION_RATIOS]
+    return (f"WITH {_mart_cte()}, a AS (SELECT c_custkey, {rat}, {mean} AS EXT_SOURCES_MEAN, {std} AS EXT_SOURCES_STD "
+            "FROM mart), med AS (SELECT quantile_cont(EXT_SOURCES_STD, 0.5) AS m FROM a), "
+            f"r AS (SELECT c_custkey, {', '.join(names)}, EXT_SOURCES_MEAN, coalesce(EXT_SOURCES_STD, m) AS EXT_SOURCES_STD "
+            "FROM a, med) " + S.outer_select(["c_custkey"] + names + ["EXT_SOURCES_MEAN", "EXT_SOURCES_STD"],
+                                            set(names) | {"EXT_SOURCES_MEAN", "EXT_SOURCES_STD"}, "r"))
+
+
 # --- B16 text_booleans -------------------------------------------------------------------
 def _text_frame(spark, sf):
     lab = T.table(spark, sf, "labels")
@@ -217,12 +251,14 @@ def sql_top_client() -> str:
 
 
 QUERIES = {
+    "application_ratios": q_application_ratios,
     "text_booleans": q_text_booleans, "sanitized_mart": q_sanitized_mart, "minmax_score": q_minmax_score,
     "class_weights": q_class_weights, "catalog_lookup": q_catalog_lookup, "encoding_summary": q_encoding_summary,
     "residual_nulls": q_residual_nulls, "flatten_summary": q_flatten_summary, "cv_pivot": q_cv_pivot,
     "recommendation": q_recommendation, "selection_context": q_selection_context, "top_client": q_top_client,
 }
 ORACLES = {
+    "application_ratios": sql_application_ratios,
     "text_booleans": sql_text_booleans, "sanitized_mart": sql_sanitized_mart, "minmax_score": sql_minmax_score,
     "class_weights": sql_class_weights, "catalog_lookup": sql_catalog_lookup,
     "encoding_summary": sql_encoding_summary, "residual_nulls": sql_residual_nulls,
