@@ -172,6 +172,42 @@ def q_linear_contrib(spark: SparkSession, sf: str) -> DataFrame:
     return glob
 
 
+# --- entry point 2: baseline benchmark (J6, K10, K12, K20, K21, A7, A9, A10) ----------------------
+BENCHMARK_MODELS = ["majority", "logistic", "gbt"]
+
+
+def baseline_benchmark(spark: SparkSession, sf: str, out_dir: str, models=BENCHMARK_MODELS,
+                       k: int = 3, fast: bool = True) -> DataFrame:
+    """For each candidate: k-fold CV on the training part and a holdout
+    evaluation; one leaderboard row per model (holdout metrics, CV means,
+    fit time).  Writes the leaderboard as CSV (A7), the recommendation as a
+    JSON document (A9) and every metric as a long run-metrics table (A10)
+    under ``out_dir``; returns the leaderboard."""
+    from ..sources.files import append_run_metrics, write_json_document, write_report_csv
+    tr, ho, _, _ = model_matrix(spark, sf)
+    rows = None
+    for name in models:
+        folds = J.cross_validate(name, tr, ["id"], k, "y", SEED, fast=fast)
+        cv = folds.where("split = 'valid'").agg(*[F.avg(m).alias(f"cv_{m}") for m in ("roc_auc", "pr_auc",
+                                                                                       "business_cost_per_obs")])
+        hold, _ = J.holdout_evaluation(name, tr, ho, "y", fast=fast)
+        hold = hold.where("split = 'test'").drop("split")
+        row = K._one_row_join(hold, cv).withColumn("model", F.lit(name))
+        append_run_metrics(long_metrics(row.drop("model"), f"benchmark-{name}", "baseline"), f"{out_dir}/run_metrics")
+        rows = row if rows is None else rows.unionByName(row)
+    board = cut_lineage(K.leaderboard(rows))
+    write_report_csv(board, f"{out_dir}/leaderboard")
+    write_json_document(K.recommendation(board), f"{out_dir}/recommendation")
+    return board
+
+
+def q_baseline_benchmark(spark: SparkSession, sf: str) -> DataFrame:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/baseline-benchmark-{uuid.uuid4().hex[:8]}"
+    return baseline_benchmark(spark, sf, out)
+
+
 # --- A10 run metrics ------------------------------------------------------------------------------
 def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     tr, ho, _, _ = model_matrix(spark, sf)
@@ -185,5 +221,6 @@ QUERIES = {
     "early_stopping": q_early_stopping, "comparison": q_comparison, "test_scoring": q_test_scoring,
     "native_importance": q_native_importance, "permutation_importance": q_permutation_importance,
     "linear_contrib": q_linear_contrib, "run_metrics": q_run_metrics,
+    "baseline_benchmark": q_baseline_benchmark,
 }
 ORACLES = {"majority": sql_majority}
