@@ -113,3 +113,34 @@ def client_feature_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = T.application(spark, sf_dir)
     out = join_blocks(base, feature_blocks(spark, sf_dir), KEY)
     return add_post_join_ratios(out)
+
+
+def build_full_dataset(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
+                       threshold: float = 0.995):
+    """Entry point 1: base table, feature blocks each pruned of
+    low-information columns (F11) before joining, join audit (D4),
+    post-join ratios (B13), split on target nullness (H3).  With ``out_dir``
+    the train / test tables are written as Parquet (A6) and the reports as
+    CSV (A7).  Returns (train, test, pruning report, join audit)."""
+    from ..operators.joins import join_audit
+    from ..operators.profile import drop_low_information_columns
+    from ..operators.split import split_on_target
+    from ..session import cut_lineage
+    from ..sources.files import write_parquet, write_report_csv
+    base = T.application(spark, sf_dir)
+    pruned, reports = {}, None
+    for name, blk in feature_blocks(spark, sf_dir).items():
+        blk = cut_lineage(blk)  # read by the pruning statistics, the audit and the join
+        kept, rep = drop_low_information_columns(blk, [KEY], threshold)
+        pruned[name] = kept
+        rep = rep.select(F.lit(name).alias("block"), "*")
+        reports = rep if reports is None else reports.unionByName(rep)
+    audit = join_audit(base, pruned, KEY, materialize=False)
+    full = add_post_join_ratios(join_blocks(base, pruned, KEY))
+    train, test = split_on_target(full)
+    if out_dir:
+        write_parquet(train, f"{out_dir}/train")
+        write_parquet(test, f"{out_dir}/test")
+        write_report_csv(reports, f"{out_dir}/low_information_features")
+        write_report_csv(audit, f"{out_dir}/join_report")
+    return train, test, reports, audit

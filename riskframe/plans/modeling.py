@@ -172,6 +172,25 @@ def q_linear_contrib(spark: SparkSession, sf: str) -> DataFrame:
     return glob
 
 
+# --- entry point 1: full dataset build (F11 per block, D4, B13, H3, A6, A7) --------------------------------
+def q_full_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from .mart import build_full_dataset
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/full-dataset-{uuid.uuid4().hex[:8]}"
+    train, test, reports, audit = build_full_dataset(spark, sf, out)
+    # the hand-over: what was written, per table, read back
+    counts = (spark.read.parquet(f"{out}/train").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("train").alias("table"), "rows")
+              .unionByName(spark.read.parquet(f"{out}/test").agg(F.count(F.lit(1)).alias("rows"))
+                           .select(F.lit("test").alias("table"), "rows")))
+    return counts
+
+
+def sql_full_dataset() -> str:
+    return (f"WITH app AS {T.APPLICATION_SQL} SELECT 'train' AS \"table\", count(*) AS rows FROM app "
+            "WHERE TARGET IS NOT NULL UNION ALL SELECT 'test', count(*) FROM app WHERE TARGET IS NULL")
+
+
 # --- entry point 2: baseline benchmark (J6, K10, K12, K20, K21, A7, A9, A10) ----------------------
 BENCHMARK_MODELS = ["majority", "logistic", "gbt"]
 
@@ -263,6 +282,7 @@ QUERIES = {
     "early_stopping": q_early_stopping, "comparison": q_comparison, "test_scoring": q_test_scoring,
     "native_importance": q_native_importance, "permutation_importance": q_permutation_importance,
     "linear_contrib": q_linear_contrib, "run_metrics": q_run_metrics,
-    "baseline_benchmark": q_baseline_benchmark, "optimise_and_score": q_optimise_and_score,
+    "full_dataset": q_full_dataset, "baseline_benchmark": q_baseline_benchmark,
+    "optimise_and_score": q_optimise_and_score,
 }
-ORACLES = {"majority": sql_majority}
+ORACLES = {"majority": sql_majority, "full_dataset": sql_full_dataset}
