@@ -317,7 +317,7 @@ def prepare_modeling_tables(train: DataFrame, test: DataFrame, id_col: str, targ
 
 # --- F17 -----------------------------------------------------------------------
 def assert_no_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> None:
-    left = all_missing_columns  # noqa: F841 (kept for symmetry)
+    """raise when any column still has missing values (one aggregate)."""
     cols = list(columns) if columns is not None else df.columns
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     bad = {c: row[f"c{i}"] for i, c in enumerate(cols) if row[f"c{i}"]}
