@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from .rank import running_totals
 
+# Cost of a missed default (false negative) and of a wrongly
+# refused client (false positive), 10:1; the business F-beta uses beta^2 = 10.
 FN_COST = 10.0
 FP_COST = 1.0
 METRICS = ["accuracy", "precision", "recall", "f1", "business_fbeta", "roc_auc", "pr_auc"]
@@ -295,3 +297,17 @@ def gains_vs_baseline(comparison: DataFrame, key: str, baseline: str, metrics: S
     out = comparison.select(key, *[(F.col(m) - base_vals[m]).alias(f"gain_{m}") for m in metrics])
     return out
 
+
+
+def overfit_gaps(metrics: DataFrame, split: str = "split", train: str = "train", valid: str = "test",
+                 names: Sequence[str] = tuple(METRICS), by: Sequence[str] = ()) -> DataFrame:
+    """One row per group with ``{train}_{m}``, ``{valid}_{m}`` and
+    ``gap_{m}`` = train - valid (missing metrics stay NULL) -- a pivot of the
+    metric rows by split."""
+    present = [m for m in names if m in metrics.columns]
+    aggs = []
+    for m in present:
+        t = F.max(F.when(F.col(split) == train, F.col(m)))
+        v = F.max(F.when(F.col(split) == valid, F.col(m)))
+        aggs += [t.alias(f"{train}_{m}"), v.alias(f"{valid}_{m}"), (t - v).alias(f"gap_{m}")]
+    return metrics.groupBy(*by).agg(*aggs)

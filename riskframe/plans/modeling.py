@@ -82,9 +82,11 @@ def sql_majority() -> str:
 
 # --- J2-J5 / K10 / K12 / E13 -----------------------------------------------------------------------
 def q_logistic(spark: SparkSession, sf: str) -> DataFrame:
+    """Holdout evaluation as one aligned row: train_*, test_* and the
+    overfit gap_* of every metric (K12, K19)."""
     tr, ho, _, _ = model_matrix(spark, sf)
     m, _ = J.holdout_evaluation("logistic", tr, ho, "y", fast=True)
-    return m
+    return K.overfit_gaps(m, "split", "train", "test")
 
 
 def q_gbt(spark: SparkSession, sf: str) -> DataFrame:

@@ -57,3 +57,10 @@ def test_regression_metrics(spark):
     r = K.regression_metrics(df).first()
     assert r.mae == pytest.approx(1 / 3) and r.rmse == pytest.approx((0.5 / 3) ** 0.5)
     assert r.r2 == pytest.approx(1 - 0.5 / 2.0)
+
+
+def test_overfit_gaps_pivot(spark):
+    m = spark.createDataFrame([("train", 0.9, 0.5), ("test", 0.7, None)], "split string, roc_auc double, f1 double")
+    r = K.overfit_gaps(m, names=["roc_auc", "f1"]).first()
+    assert r.train_roc_auc == 0.9 and r.test_roc_auc == 0.7 and r.gap_roc_auc == pytest.approx(0.2)
+    assert r.train_f1 == 0.5 and r.test_f1 is None and r.gap_f1 is None
