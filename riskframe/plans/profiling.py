@@ -344,6 +344,23 @@ def q_source_overview(spark: SparkSession, sf: str) -> DataFrame:
     return P.source_overview({t: T.table(spark, sf, t) for t in T.TABLES}, KEYS)
 
 
+def sql_source_overview() -> str:
+    parts = []
+    for t in T.TABLES:
+        main, parent = KEYS.get(t, (None, None))
+        mk = f"'{main}'" if main else "NULL::VARCHAR"
+        pk = f"'{parent}'" if parent else "NULL::VARCHAR"
+        parts.append(
+            f"SELECT '{t}' AS \"table\", "
+            f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS n_columns, "
+            f"{mk} AS main_key, {pk} AS parent_key, "
+            f"(SELECT count(*) > 0 FROM information_schema.columns WHERE table_name = '{t}' AND column_name = 'TARGET') "
+            f"AS has_target, (SELECT string_agg(column_name, ', ' ORDER BY ordinal_position) FROM information_schema.columns "
+            f"WHERE table_name = '{t}' AND ordinal_position <= 8) AS first_columns, "
+            f"(SELECT count(*) FROM {t}) AS n_rows")
+    return _union(parts)
+
+
 def q_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     reg = {t: f"{sf.rstrip('/')}/{t}.parquet" for t in T.TABLES}
     reg["application_test"] = f"{sf.rstrip('/')}/application_test.csv"  # absent on purpose: exists = false
@@ -367,5 +384,5 @@ ORACLES = {
     "duplicate_report": sql_duplicate_report, "grain_report": sql_grain_report, "low_info": sql_low_info,
     "quasi_constant": sql_quasi_constant, "quality_report": sql_quality_report, "overview": sql_overview,
     "class_distribution": sql_class_distribution, "median_by_class": sql_median_by_class,
-    "value_counts": sql_value_counts, "dtype_counts": sql_dtype_counts,
+    "value_counts": sql_value_counts, "dtype_counts": sql_dtype_counts, "source_overview": sql_source_overview,
 }
