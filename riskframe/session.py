@@ -27,6 +27,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # wide feature frames: keep codegen for the aggregate blocks (<= ~150 cols)
     "spark.sql.codegen.maxFields": "200",
+    # reliable checkpoints of multi-pass operators are removed from the shared
+    # checkpoint folder once their DataFrames are no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
