@@ -1,5 +1,6 @@
 """End-to-end: flagship query and invariants on the smallest test tables."""
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF
 from riskframe.operators import encode as E
@@ -41,3 +42,13 @@ def test_unknown_names_raise(spark):
         E.encode_column(df, "missing", "onehot")
     with pytest.raises(ValueError):
         build_estimator("xgboost")
+
+
+def test_vocabulary_guard_and_multi_table_fit(spark):
+    df = spark.range(0, 50).select(F.col("id").cast("string").alias("free_text"),
+                                   (F.col("id") % 2).cast("string").alias("flag"))
+    with pytest.raises(ValueError):
+        E.fit_vocabulary(df, ["free_text"], max_categories=10)
+    other = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
+    v = E.fit_vocabularies([(df, ["flag"]), (other, ["c"])])
+    assert v == {"flag": ["0", "1"], "c": ["x", "y"]}
