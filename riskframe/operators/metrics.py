@@ -78,6 +78,19 @@ def score_table(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[
         F.count_if(t).cast("double").alias("pos"), F.count_if(~t).cast("double").alias("neg"))
 
 
+def _with_totals(cum: DataFrame, st: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach the class totals P, N of each group.  A partition-less window
+    over the distinct scores would run in one task, so the totals are one
+    aggregate row per group joined back (ungrouped: a one-row table broadcast
+    on a constant key)."""
+    by = list(by)
+    tot = st.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    if by:
+        return cum.join(tot, by)
+    return (cum.withColumn("_one", F.lit(1))
+            .join(F.broadcast(tot.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+
+
 def rank_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """ROC-AUC (trapezoid = Mann-Whitney with ties counted half) and average
     precision (step sum over distinct scores, descending) per group.  NULL
@@ -85,16 +98,14 @@ def rank_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Sequence
     positives)."""
     by = list(by)
     st = score_table(df, y, score, by)
-    cum = running_totals(st, "s", ["pos", "neg"], by)
-    w = Window.partitionBy(*by)
-    P = F.sum("pos").over(w)
-    N = F.sum("neg").over(w)
+    cum = _with_totals(running_totals(st, "s", ["pos", "neg"], by), st, by)
+    P, N = F.col("P"), F.col("N")
     # ascending inclusive sums -> negatives strictly below, and the descending
     # inclusive counts at each score (tp, fp when predicting score >= s)
     neg_below = F.col("cum_neg") - F.col("neg")
     tp = P - F.col("cum_pos") + F.col("pos")
     fp = N - F.col("cum_neg") + F.col("neg")
-    c = cum.select(*by, "pos", "neg", P.alias("P"), N.alias("N"),
+    c = cum.select(*by, "pos", "neg", "P", "N",
                    (F.col("pos") * (neg_below + F.col("neg") / 2)).alias("_auc"),
                    (F.col("pos") * tp / (tp + fp)).alias("_ap"))
     g = c.groupBy(*by).agg(F.sum("_auc").alias("_auc"), F.sum("_ap").alias("_ap"),
@@ -180,13 +191,12 @@ def pr_curve(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str
     """Precision / recall / F1 when predicting score >= s, at every distinct
     score s."""
     by = list(by)
-    cum = running_totals(score_table(df, y, score, by), "s", ["pos", "neg"], by)
-    w = Window.partitionBy(*by)
-    P = F.sum("pos").over(w)
-    N = F.sum("neg").over(w)
+    st = score_table(df, y, score, by)
+    cum = _with_totals(running_totals(st, "s", ["pos", "neg"], by), st, by)
+    P, N = F.col("P"), F.col("N")
     tp = P - F.col("cum_pos") + F.col("pos")
     fp = N - F.col("cum_neg") + F.col("neg")
-    c = cum.select(*by, F.col("s").alias("threshold"), tp.alias("tp"), fp.alias("fp"), P.alias("P"))
+    c = cum.select(*by, F.col("s").alias("threshold"), tp.alias("tp"), fp.alias("fp"), "P")
     precision = _div(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _div(F.col("tp"), F.col("P"))
     return c.select(*by, "threshold", precision.alias("precision"), recall.alias("recall"),
