@@ -90,13 +90,30 @@ def runs(member: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start, end, np.searchsorted(start, off)
 
 
+class Spans:
+    """64-bit hashes of spans of one slice, from one running sum over it."""
+
+    def __init__(self, items: np.ndarray) -> None:
+        up, self.down = POWERS.get(len(items))
+        self.total = np.zeros(len(items) + 1, U64)
+        with np.errstate(over="ignore"):
+            code = BYTE_CODE[items] if items.dtype == np.uint8 else items | U64(1)
+            np.cumsum(code * up[:len(items)], out=self.total[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64))
+
+
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one running sum over the slice."""
-    up, down = POWERS.get(len(buf))
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(buf) + 1, U64)
-        np.cumsum(BYTE_CODE[buf] * up[:len(buf)], out=total[1:])
-        return mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+    return Spans(buf).hashes(start, end)
+
+
+def per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of the values of each row, rows given by their first index."""
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=total[1:])
+    return total[first[1:]] - total[first[:-1]]
 
 
 def row_of(first: np.ndarray) -> np.ndarray:

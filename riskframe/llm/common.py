@@ -3,8 +3,11 @@ folder, row keys, and the driver of Arrow batch functions."""
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Sequence
+import zipfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,30 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's modules to the Python workers, once per Spark
+    application (the driver serves the archive like any added Python file)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = os.path.join(sc._temp_dir, f"{root.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
     """Unique row ids; only stable once the frame has been written (``stage``)."""
     return df.withColumn(name, F.monotonically_increasing_id())
@@ -48,3 +75,22 @@ def safe_name(taken: Sequence[str], name: str) -> str:
     while name.lower() in low:
         name += "_"
     return name
+
+
+def row_key(df: DataFrame) -> DataFrame:
+    """``documents`` reduced to (id, key, lang, source, text): id and text hash
+    name a row (repeated rows share both); missing columns are NULL."""
+    text = column_or_null(df, "text", "string")
+    return df.select(column_or_null(df, "doc_id", "long").alias("id"), F.xxhash64(text).alias("key"),
+                     column_or_null(df, "lang", "string").alias("lang"),
+                     column_or_null(df, "source", "string").alias("source"), text.alias("text"))
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (id, key) is not in ``rejected``; the small
+    written table is broadcast only where its size on disk is under Spark's
+    threshold."""
+    gone = stage(rejected.select("id", "key").distinct(), "gone")
+    i, k = safe_name(docs.columns, "_gone_id"), safe_name(docs.columns, "_gone_key")
+    gone = gone.select(gone["id"].alias(i), gone["key"].alias(k))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(i)) & (F.xxhash64(docs["text"]) == F.col(k)), "left_anti")

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import column_or_null, safe_name, stage, table
+from .common import column_or_null, map_batches, safe_name, stage, table
 from .links import components
 
 GROUPS = 64            # coordinates of a point
@@ -255,7 +255,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reach."""
     docs = docs.select(column_or_null(docs, id_col, "long").alias("id"),
                        column_or_null(docs, text_col, "string").alias("text"))
-    meta = stage(docs.mapInArrow(_signature_pass(k, percent), "id long, n long, fp long, cells array<long>"), "sets")
+    meta = stage(map_batches(docs, _signature_pass(k, percent), "id long, n long, fp long, cells array<long>"), "sets")
     named = meta.filter("id is not null and n > 0")
     members = _mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct()
     members = stage(members, "cells")
@@ -264,7 +264,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = members.select("fp").distinct()
     first = named.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id")).select("id").distinct()
     first = stage(first, "first")
-    sets = (docs.join(first, "id", "left_semi").mapInArrow(_set_pass(k), "fp long, n long, vec binary, tokens array<long>")
+    sets = (map_batches(docs.join(first, "id", "left_semi"), _set_pass(k), "fp long, n long, vec binary, tokens array<long>")
             .join(wanted, "fp", "left_semi").dropDuplicates(["fp"]))
     sets = stage(sets, "tokens")
 
@@ -286,7 +286,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
                     "part", "fp", "comp", "n", "vec")
             .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-    more = _verified(runs.mapInArrow(_tree_pass(percent), "u long, v long").distinct(), sets, percent)
+    more = _verified(map_batches(runs, _tree_pass(percent), "u long, v long").distinct(), sets, percent)
     root = components(links.unionByName(more))
 
     out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
