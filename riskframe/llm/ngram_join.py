@@ -132,10 +132,10 @@ def _set_pass(k: int):
             vec = [np.bincount((B.mix(s + U64(7)) % U64(GROUPS)).astype(np.int64), minlength=GROUPS)
                    .astype("<i4").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([fingerprint(s) for s in sets], pa.int64()),
+                [rb.column("id"), pa.array([fingerprint(s) for s in sets], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array(vec, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(B.signed(flat)))],
-                ["fp", "n", "vec", "tokens"])
+                ["id", "fp", "n", "vec", "tokens"])
     return run
 
 
@@ -260,13 +260,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = _mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct()
     members = stage(members, "cells")
 
-    # the whole sets of those that share a cell with a different set
+    # the whole sets of those that share a cell with a different set, from one row each
     wanted = members.select("fp").distinct()
-    first = named.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id")).select("id").distinct()
-    first = stage(first, "first")
-    sets = (map_batches(docs.join(first, "id", "left_semi"), _set_pass(k), "fp long, n long, vec binary, tokens array<long>")
-            .join(wanted, "fp", "left_semi").dropDuplicates(["fp"]))
-    sets = stage(sets, "tokens")
+    first = stage(named.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id")), "first")
+    sets = map_batches(docs.join(first.select("id").distinct(), "id", "left_semi"), _set_pass(k),
+                       "id long, fp long, n long, vec binary, tokens array<long>")
+    repeated = named.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1")
+    if not repeated.join(first, "id", "left_semi").isEmpty():
+        sets = sets.join(first, ["fp", "id"], "left_semi").dropDuplicates(["fp"])
+    sets = stage(sets.drop("id"), "tokens")
 
     # round 1: each member against its cell's smallest member
     hub = members.groupBy("cell").agg(F.min("fp").alias("u"))
