@@ -58,10 +58,10 @@ def prefix_tokens(windows: DataFrame, seen: DataFrame) -> DataFrame:
 
 def _window_grams(windows: DataFrame) -> DataFrame:
     size = F.least(F.lit(SHINGLE), F.size("words"))
-    hashed = F.when(size == 1, gram_hashes("words", [1])).when(size == 2, gram_hashes("words", [2])) \
-        .otherwise(gram_hashes("words", [SHINGLE]))
-    return (windows.select("wid", "words", F.explode(F.slice(hashed, F.lit(1), F.size("words") - size + 1)).alias("g"))
-            .select("wid", "words", F.col("g.pos").alias("offset"), F.col("g.hash").alias("hash")))
+    hashed = F.when(size == 1, gram_hashes("words", 1)).when(size == 2, gram_hashes("words", 2)) \
+        .otherwise(gram_hashes("words", SHINGLE))
+    whole = F.slice(hashed, F.lit(1), F.size("words") - size + 1)
+    return windows.select("wid", "words", F.posexplode_outer(whole).alias("offset", "hash"))
 
 
 def _shared(small: DataFrame, bound: int) -> DataFrame:
@@ -79,18 +79,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     if not sizes:
         return (text.select("id", "key", F.size("w").cast("long").alias("n_words"),
                             F.lit(None).cast("int").alias("start"), F.lit(None).cast("long").alias("wid")), windows)
-    grams = text.select("id", "key", "w", gram_hashes("w", sizes).alias("grams"))
+    # one array of hashes for each shingle size in use; position i of size number s is i + s * n
+    n = F.size("w")
+    grams = text.select("id", "key", "w", F.concat(*[gram_hashes("w", s) for s in sizes]).alias("grams"))
     known = _shared(stage(_window_grams(windows).select("hash").distinct(), "grams"), broadcast_rows)
-    seen = (grams.select(F.explode("grams.hash").alias("hash")).join(known, "hash")
+    seen = (grams.select(F.explode_outer("grams").alias("hash")).join(known, "hash")
             .groupBy("hash").agg(F.count("*").alias("docs")))
     tokens = stage(prefix_tokens(windows, seen), "tokens").select("hash", "offset", "wid", "size", "words")
 
     few = tokens.count() <= broadcast_rows
-    # one row of its own for every document, so that one pass gives both
-    own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("hash")))
-    spread = (grams.select("id", "key", "w", F.explode(F.concat(own, F.col("grams"))).alias("g"))
-              .select("id", "key", "w", F.col("g.pos").alias("pos"), F.col("g.hash").alias("hash")))
-    n = F.size("w")
+    # one row of its own for every document (at -1), so that one pass gives both
+    own = F.array(F.lit(None).cast("long"))
+    spread = (grams.select("id", "key", "w", F.posexplode_outer(F.concat(own, F.col("grams"))).alias("at", "hash"))
+              .select("id", "key", "w", "hash", F.when(F.col("at") == 0, -1)
+                      .otherwise((F.col("at") - 1) % F.greatest(n, F.lit(1))).alias("pos")))
     start = F.col("pos") - F.col("offset")
     bounds = (start >= 0) & (start + F.col("size") <= n)
     verified = bounds & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("size")) == F.col("words"))

@@ -17,13 +17,10 @@ def words(text: Column | str) -> Column:
     return F.coalesce(F.array_remove(F.split(low, NOT_WORD, -1), ""), F.array().cast("array<string>"))
 
 
-def gram_hashes(words_col: str, sizes: list[int]) -> Column:
-    """array<struct<pos, hash>>: for each position and size the 64-bit hash of
-    the words from there on (fewer near the end)."""
+def gram_hashes(words_col: str, size: int) -> Column:
+    """array<long>: for each position the 64-bit hash of the ``size`` words from
+    there on (of fewer near the end).  Explode it with an *outer* generator: for
+    a plain one Catalyst adds a size filter that repeats the whole expression
+    above the scan, for every element."""
     w = F.col(words_col)
-
-    def at(size: int) -> Column:
-        return F.transform(w, lambda x, i: F.struct(
-            i.cast("int").alias("pos"),
-            F.xxhash64(F.lit(size), x, *[F.get(w, i + j) for j in range(1, size)]).alias("hash")))
-    return F.concat(*[at(s) for s in sizes]) if len(sizes) > 1 else at(sizes[0])
+    return F.transform(w, lambda x, i: F.xxhash64(F.lit(size), x, *[F.get(w, i + j) for j in range(1, size)]))
