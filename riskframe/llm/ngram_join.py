@@ -50,6 +50,7 @@ GROUPS = 64            # coordinates of a point
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
+BUCKETS = 1 << 22      # of the bitmap of wanted ids
 U64 = np.uint64
 
 
@@ -72,6 +73,13 @@ def fingerprint(s: np.ndarray) -> int:
         return int(B.signed(B.mix(np.array([x], U64)))[0])
 
 
+def point(s: np.ndarray) -> np.ndarray:
+    """Coordinates of a set: its number of tokens in each group."""
+    with np.errstate(over="ignore"):
+        group = (B.mix(s + U64(7)) % U64(GROUPS)).astype(np.int64)
+    return np.bincount(group, minlength=GROUPS).astype(np.int32)
+
+
 def _difference(a: int, b: int, t: int) -> int:
     """Largest symmetric difference of linked sets of sizes a and b (t percent)."""
     return (100 - t) * (a + b) // (100 + t)
@@ -108,34 +116,34 @@ def cells(s: np.ndarray, t: int) -> np.ndarray:
 def _signature_pass(k: int, t: int):
     def run(batches):
         for rb in batches:
-            n, fp, names, off = [], [], [], [0]
+            n, fp, vec, names, off = [], [], [], [], [0]
             for s in shingle_sets(rb.column("text"), k):
                 n.append(len(s))
                 fp.append(fingerprint(s))
+                vec.append(point(s))
                 c = cells(s, t)
                 names.append(B.signed(c))
                 off.append(off[-1] + len(c))
             flat = np.concatenate(names) if names else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.int64()),
+                [rb.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(vec, pa.list_(pa.int32())),
                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
-                ["id", "n", "fp", "cells"])
+                ["id", "n", "fp", "vec", "cells"])
     return run
 
 
-def _set_pass(k: int):
+def _set_pass(k: int, shared):
+    """Sets of the rows whose id bucket is marked in the bitmap."""
     def run(batches):
+        marks = shared.value
         for rb in batches:
+            rb = rb.filter(pa.array(marks[rb.column("bucket").to_numpy()]))
             sets = list(shingle_sets(rb.column("text"), k))
             off = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-            vec = [np.bincount((B.mix(s + U64(7)) % U64(GROUPS)).astype(np.int64), minlength=GROUPS)
-                   .astype("<i4").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [rb.column("id"), pa.array([fingerprint(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(vec, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(off), pa.array(B.signed(flat)))],
-                ["id", "fp", "n", "vec", "tokens"])
+                 pa.ListArray.from_arrays(pa.array(off), pa.array(B.signed(flat)))], ["id", "fp", "tokens"])
     return run
 
 
@@ -198,7 +206,7 @@ def _tree_pass(t: int):
     def flush(keys, rows):
         if len(rows["fp"]) < 2:
             return None
-        vecs = np.frombuffer(b"".join(rows["vec"]), "<i4").reshape(-1, GROUPS).astype(np.int64)
+        vecs = np.array(rows["vec"], np.int64)
         fp, comp, part = (np.array(rows[c], np.int64) for c in ("fp", "comp", "part"))
         us, vs = [], []
         for x, y in CountTree(vecs, np.array(rows["n"], np.int64)).pairs(t):
@@ -231,12 +239,42 @@ def _tree_pass(t: int):
 
 # ------------------------------------------------------------------ join
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
+def _bounded(pairs: DataFrame, points: DataFrame, t: int) -> DataFrame:
+    """Pairs (u, v) whose sizes and coordinate minima allow a link."""
+    a = points.select(F.col("fp").alias("u"), F.col("n").alias("_na"), F.col("vec").alias("_va"))
+    b = points.select(F.col("fp").alias("v"), F.col("n").alias("_nb"), F.col("vec").alias("_vb"))
+    most = F.aggregate(F.zip_with("_va", "_vb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
+    return (pairs.join(a, "u").join(b, "v").filter(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * t)
+            .filter(most * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"))
+
+
+def _bucket(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
+
+
+def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: int) -> DataFrame:
+    """The pairs whose whole sets link.  The sets are made from the texts of one
+    document each; a bitmap of fixed size lets most other texts be skipped
+    before any shuffle, and the join on (fp, id) is exact."""
+    spark = docs.sparkSession
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
+    nodes = stage(points.join(nodes, "fp").select("fp", "id", "n"), "nodes")
+    marks = np.zeros(BUCKETS, bool)
+    bits = (nodes.select(_bucket("id").alias("b")).groupBy(F.expr("b div 32").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, b % 32)")).alias("bits")).toArrow())
+    word, bits = bits.column("word").to_numpy(), bits.column("bits").to_numpy()     # at most BUCKETS / 32 rows
+    for i in range(32):
+        marks[word[(bits >> i) & 1 == 1] * 32 + i] = True
+    sets = map_batches(docs.filter("id is not null").withColumn("bucket", _bucket("id")),
+                       _set_pass(k, spark.sparkContext.broadcast(marks)), "id long, fp long, tokens array<long>")
+    sets = sets.join(nodes, ["fp", "id"])
+    if not points.filter("again").isEmpty():             # rows or ids repeat
+        sets = sets.dropDuplicates(["fp"])
+    sets = stage(sets.select("fp", "n", "tokens"), "tokens")
     a = sets.select(F.col("fp").alias("u"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
     b = sets.select(F.col("fp").alias("v"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
     shared = F.size(F.array_intersect("_ta", "_tb"))
-    fits = (F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * t)
-    return (pairs.join(a, "u").join(b, "v").filter(fits)
+    return (pairs.join(a, "u").join(b, "v")
             .filter(shared * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"))
 
 
@@ -255,25 +293,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reach."""
     docs = docs.select(column_or_null(docs, id_col, "long").alias("id"),
                        column_or_null(docs, text_col, "string").alias("text"))
-    meta = stage(map_batches(docs, _signature_pass(k, percent), "id long, n long, fp long, cells array<long>"), "sets")
+    meta = stage(map_batches(docs, _signature_pass(k, percent),
+                             "id long, n long, fp long, vec array<int>, cells array<long>"), "sets")
     named = meta.filter("id is not null and n > 0")
     members = _mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct()
     members = stage(members, "cells")
-
-    # the whole sets of those that share a cell with a different set, from one row each
-    wanted = members.select("fp").distinct()
-    first = stage(named.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("id").alias("id")), "first")
-    sets = map_batches(docs.join(first.select("id").distinct(), "id", "left_semi"), _set_pass(k),
-                       "id long, fp long, n long, vec binary, tokens array<long>")
-    repeated = named.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1")
-    if not repeated.join(first, "id", "left_semi").isEmpty():
-        sets = sets.join(first, ["fp", "id"], "left_semi").dropDuplicates(["fp"])
-    sets = stage(sets.drop("id"), "tokens")
+    points = (named.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n", "vec")
+              .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
+    points = stage(points.select("fp", "n", "vec", "id", (F.col("rows") > F.col("ids")).alias("again")), "points")
 
     # round 1: each member against its cell's smallest member
     hub = members.groupBy("cell").agg(F.min("fp").alias("u"))
-    star = (members.join(hub, "cell").select("u", F.col("fp").alias("v")).filter("u <> v").distinct())
-    links = stage(_verified(star, sets, percent), "star")
+    star = members.join(hub, "cell").select("u", F.col("fp").alias("v")).filter("u <> v").distinct()
+    star = stage(_bounded(star, points, percent), "star")
+    links = stage(_verified(star, points, docs, k, percent), "links")
     root = components(links)
 
     # round 2: the R-tree join of each cell, across what is not connected yet
@@ -281,15 +314,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
     open_ = stage(_mixed(open_, "comp"), "open")
     parts = open_.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    point = sets.select("fp", "n", "vec")
-    runs = (open_.join(parts, "cell").join(point, "fp")
+    runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
             .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
                     "part", "fp", "comp", "n", "vec")
             .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-    more = _verified(map_batches(runs, _tree_pass(percent), "u long, v long").distinct(), sets, percent)
-    root = components(links.unionByName(more))
+    more = stage(map_batches(runs, _tree_pass(percent), "u long, v long").distinct(), "more")
+    root = components(links.unionByName(_verified(more, points, docs, k, percent)))
 
     out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
