@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate"]
+MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing"]
 
 
 def _modules():
