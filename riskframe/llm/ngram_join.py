@@ -46,7 +46,7 @@ from . import bytetext as B
 from .common import column_or_null, map_batches, safe_name, stage, table
 from .links import components
 
-GROUPS = 64            # coordinates of a point
+GROUPS = (64, 4096)    # fewest and most coordinates of a point; about size / 4 between
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
@@ -73,11 +73,17 @@ def fingerprint(s: np.ndarray) -> int:
         return int(B.signed(B.mix(np.array([x], U64)))[0])
 
 
-def point(s: np.ndarray) -> np.ndarray:
-    """Coordinates of a set: its number of tokens in each group."""
-    with np.errstate(over="ignore"):
-        group = (B.mix(s + U64(7)) % U64(GROUPS)).astype(np.int64)
-    return np.bincount(group, minlength=GROUPS).astype(np.int32)
+def point(s: np.ndarray) -> bytes:
+    """Coordinates of a set: its number of tokens in each group.  The number of
+    groups, a power of two, grows with the set, as a bound over few groups says
+    little about large sets."""
+    groups = min(max(GROUPS[0], 1 << (len(s) // 4).bit_length()), GROUPS[1])
+    return np.bincount((s & U64(groups - 1)).astype(np.int64), minlength=groups).astype("<u4").tobytes()
+
+
+def folded(point_: np.ndarray, groups: int) -> np.ndarray:
+    """The same point with fewer groups."""
+    return point_.reshape(-1, groups).sum(axis=0)
 
 
 def _difference(a: int, b: int, t: int) -> int:
@@ -126,7 +132,7 @@ def _signature_pass(k: int, t: int):
                 off.append(off[-1] + len(c))
             flat = np.concatenate(names) if names else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(vec, pa.list_(pa.int32())),
+                [rb.column("id"), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(vec, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
                 ["id", "n", "fp", "vec", "cells"])
     return run
@@ -154,8 +160,11 @@ class CountTree:
     the size range of what lies below it."""
 
     def __init__(self, vecs: np.ndarray, sizes: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT) -> None:
-        spread = np.argsort(-vecs.std(axis=0), kind="stable")[:2] if len(vecs) else [0, 0]
-        order = np.lexsort((vecs[:, spread[1]], vecs[:, spread[0]], sizes))
+        if len(vecs) <= leaf:
+            order = np.arange(len(vecs))
+        else:
+            spread = np.argsort(-vecs.std(axis=0), kind="stable")[:2]
+            order = np.lexsort((vecs[:, spread[1]], vecs[:, spread[0]], sizes))
         self.order, self.vecs, self.sizes = order, vecs[order], sizes[order]
         self.leaf, self.fanout = leaf, fanout
         at = np.arange(0, len(order), leaf)
@@ -206,7 +215,9 @@ def _tree_pass(t: int):
     def flush(keys, rows):
         if len(rows["fp"]) < 2:
             return None
-        vecs = np.array(rows["vec"], np.int64)
+        vecs = [np.frombuffer(v, "<u4").astype(np.int32) for v in rows["vec"]]
+        groups = min(len(v) for v in vecs)
+        vecs = np.array([folded(v, groups) for v in vecs], np.int32)
         fp, comp, part = (np.array(rows[c], np.int64) for c in ("fp", "comp", "part"))
         us, vs = [], []
         for x, y in CountTree(vecs, np.array(rows["n"], np.int64)).pairs(t):
@@ -239,13 +250,24 @@ def _tree_pass(t: int):
 
 # ------------------------------------------------------------------ join
 
+def _bound_pass(t: int):
+    def run(batches):
+        for rb in batches:
+            na, nb = rb.column("na").to_numpy(), rb.column("nb").to_numpy()
+            ok = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * t
+            for i in np.flatnonzero(ok):
+                a, b = (np.frombuffer(rb.column(c)[i].as_buffer(), "<u4") for c in ("va", "vb"))
+                g = min(len(a), len(b))
+                ok[i] = int(np.minimum(folded(a, g), folded(b, g)).sum()) * (100 + t) >= (na[i] + nb[i]) * t
+            yield rb.select(["u", "v"]).filter(pa.array(ok))
+    return run
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, t: int) -> DataFrame:
     """Pairs (u, v) whose sizes and coordinate minima allow a link."""
-    a = points.select(F.col("fp").alias("u"), F.col("n").alias("_na"), F.col("vec").alias("_va"))
-    b = points.select(F.col("fp").alias("v"), F.col("n").alias("_nb"), F.col("vec").alias("_vb"))
-    most = F.aggregate(F.zip_with("_va", "_vb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
-    return (pairs.join(a, "u").join(b, "v").filter(F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * t)
-            .filter(most * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"))
+    a = points.select(F.col("fp").alias("u"), F.col("n").alias("na"), F.col("vec").alias("va"))
+    b = points.select(F.col("fp").alias("v"), F.col("n").alias("nb"), F.col("vec").alias("vb"))
+    return map_batches(pairs.join(a, "u").join(b, "v"), _bound_pass(t), "u long, v long")
 
 
 def _bucket(column: str):
@@ -294,7 +316,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(column_or_null(docs, id_col, "long").alias("id"),
                        column_or_null(docs, text_col, "string").alias("text"))
     meta = stage(map_batches(docs, _signature_pass(k, percent),
-                             "id long, n long, fp long, vec array<int>, cells array<long>"), "sets")
+                             "id long, n long, fp long, vec binary, cells array<long>"), "sets")
     named = meta.filter("id is not null and n > 0")
     members = _mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct()
     members = stage(members, "cells")
