@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing", "kd_shards", "license_scan", "chat_format", "warc"]
+MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing", "kd_shards", "license_scan", "chat_format", "warc", "html_wrapper"]
 
 
 def _modules():
