@@ -27,8 +27,10 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,8 @@ QUANTUM = 512
 END_ID = 2
 MAX_QUEUES = 10_000
 PART_ROWS = 4096               # documents of one part of a queue's running sum
-CACHE = 200_000                # chunks whose ids a worker remembers
+CACHE = 300_000                # chunks of one generation that a worker remembers
+LETTERS_MARKS = re.compile("([A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u012f\\u0131-\\u024f]*)([!-/:-@\\[-`{-~]*)")
 SEPARATORS = re.compile("[\x1c-\x1f]")    # white space to Python, but not to the tokenizer
 
 
@@ -51,27 +54,55 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Ids of whole texts.  The tokenizer drops white space and never joins what
-    it separates, so a text is encoded chunk by chunk, and frequent chunks are
-    remembered as bytes."""
+#: Byte-level BPE writes bytes that have no printable Latin-1 character as U+0100 and up, in order.
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
+
+class Encoder(dict):
+    """Ids (as 16-bit numbers) of the chunks that white space separates: the tokenizer
+    drops white space, ignores case and never joins across it.  Chunks met lately
+    are remembered in two generations of ``CACHE`` entries.  A new chunk of Latin
+    letters goes to the BPE model directly, one followed by ASCII marks in two
+    parts (as the tokenizer's own split has it), any other to the whole
+    tokenizer."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        new = list(set().union(*split).difference(self.known))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are held in 16 bits; this vocabulary is larger")
+        self.model = self.tokenizer.model
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha():
+                ids = array("H", [t.id for t in self.model.tokenize(chunk.lower())]).tobytes()
+            elif (m := LETTERS_MARKS.fullmatch(chunk)) is None or "<|" in chunk:
+                ids = array("H", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+            elif m[1] and m[2]:
+                ids = self[m[1]] + self[m[2]]
+            else:
+                written = chunk.lower().encode().decode("latin-1").translate(BYTE_LEVEL)
+                ids = array("H", [t.id for t in self.model.tokenize(written)]).tobytes()
+        self[chunk] = ids
+        return ids
+
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        if SEPARATORS.search(text):
+            return text.replace("\n", " ").split(" ")
+        if "<|" not in text:                               # else case tells special tokens
+            text = text.encode().lower().decode()
+        return text.split()
+
+    def whole(self, text: str) -> bytes:
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.chunks(text)))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -85,21 +116,21 @@ def encoder(path: str) -> Encoder:
 
 
 def _token_pass(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u2").tobytes()
 
     def run(batches):
         for rb in batches:
             for a in range(0, rb.num_rows, 256):
                 part = rb.slice(a, 256)
-                ids = [x + end for x in encoder(path).batch([t or "" for t in part.column("text").to_pylist()])]
+                ids = [encoder(path).whole(t or "") + end for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("source"), pa.array(ids, pa.binary()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64())], ["id", "source", "ids", "n"])
+                     pa.array([len(x) // 2 for x in ids], pa.int64())], ["id", "source", "ids", "n"])
     return run
 
 
 def tokenize(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(id, source, ids, n): ids as little-endian unsigned 32-bit numbers."""
+    """(id, source, ids, n): ids as little-endian unsigned 16-bit numbers."""
     return map_batches(row_key(docs).select("id", "source", "text"), _token_pass(path or tokenizer_path(), end_id),
                        "id long, source string, ids binary, n long")
 
@@ -177,7 +208,7 @@ def _piece_pass(shared, capacity: int):
             ids = rb.column("ids")
             _, off, data = ids.buffers()
             head = np.frombuffer(off, np.int32, 1, ids.offset * 4)
-            ends = np.concatenate([head, head + 4 * np.cumsum(length)]).astype(np.int32)
+            ends = np.concatenate([head, head + 2 * np.cumsum(length)]).astype(np.int32)
             cut = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), data])
             yield pa.RecordBatch.from_arrays(
                 [rb.column("id").take(pa.array(doc)), pa.array(start), pa.array(length), cut, pa.array(n[doc]),
@@ -222,7 +253,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM, prop
 
 def _digest_pass(batches):
     for rb in batches:
-        crc = [zlib.crc32(memoryview(x.as_buffer())) for x in rb.column("ids")]
+        crc = [zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4")) for x in rb.column("ids")]
         yield pa.RecordBatch.from_arrays(
             [rb.column("id"), rb.column("start"), rb.column("length"), pa.array(crc, pa.int64()), rb.column("doc_tokens"),
              rb.column("sequence_id"), rb.column("offset")],
