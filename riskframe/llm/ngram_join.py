@@ -17,11 +17,12 @@ a partner's, so the first slab they share is among them.  A document with too
 few filled slabs for that also enters the cells of its empty ones.  A document
 whose smaller partners may lie in the class below enters that class too.
 
-Inside the cells the work is in two rounds, so that a large group of copies
-never makes all its pairs: first every member against the cell's smallest
-member; then an R-tree join of each cell between members that the verified
-links have not connected yet.  A cell with many such members is joined in
-blocks, each pair of blocks a separate run.
+Inside the cells the work is in rounds, so that a large group of copies never
+makes all its pairs: first every member against the smallest member of all its
+cells, then against each cell's smallest member, and last an R-tree join of
+each cell; every round leaves out what the verified links have connected by
+then.  A cell with many members is joined in blocks, each pair of blocks a
+separate run.
 
 Sets are compared through 64-bit hashes of shingles and 64-bit fingerprints of
 whole sets; among n different sets about n^2 / 2^65 pairs share a fingerprint.
@@ -46,7 +47,7 @@ from . import bytetext as B
 from .common import column_or_null, map_batches, safe_name, stage, table
 from .links import components
 
-GROUPS = (64, 4096)    # fewest and most coordinates of a point; about size / 4 between
+GROUPS = (64, 4096)    # fewest and most coordinates of a point; about size / 8 between
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
@@ -77,13 +78,13 @@ def point(s: np.ndarray) -> bytes:
     """Coordinates of a set: its number of tokens in each group.  The number of
     groups, a power of two, grows with the set, as a bound over few groups says
     little about large sets."""
-    groups = min(max(GROUPS[0], 1 << (len(s) // 4).bit_length()), GROUPS[1])
-    return np.bincount((s & U64(groups - 1)).astype(np.int64), minlength=groups).astype("<u4").tobytes()
+    groups = min(max(GROUPS[0], 1 << (len(s) // 8).bit_length()), GROUPS[1])
+    return np.bincount((s & U64(groups - 1)).astype(np.int64), minlength=groups).astype("<u2").tobytes()
 
 
 def folded(point_: np.ndarray, groups: int) -> np.ndarray:
     """The same point with fewer groups."""
-    return point_.reshape(-1, groups).sum(axis=0)
+    return point_.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
 
 def _difference(a: int, b: int, t: int) -> int:
@@ -215,7 +216,7 @@ def _tree_pass(t: int):
     def flush(keys, rows):
         if len(rows["fp"]) < 2:
             return None
-        vecs = [np.frombuffer(v, "<u4").astype(np.int32) for v in rows["vec"]]
+        vecs = [np.frombuffer(v, "<u2") for v in rows["vec"]]
         groups = min(len(v) for v in vecs)
         vecs = np.array([folded(v, groups) for v in vecs], np.int32)
         fp, comp, part = (np.array(rows[c], np.int64) for c in ("fp", "comp", "part"))
@@ -256,7 +257,7 @@ def _bound_pass(t: int):
             na, nb = rb.column("na").to_numpy(), rb.column("nb").to_numpy()
             ok = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * t
             for i in np.flatnonzero(ok):
-                a, b = (np.frombuffer(rb.column(c)[i].as_buffer(), "<u4") for c in ("va", "vb"))
+                a, b = (np.frombuffer(rb.column(c)[i].as_buffer(), "<u2") for c in ("va", "vb"))
                 g = min(len(a), len(b))
                 ok[i] = int(np.minimum(folded(a, g), folded(b, g)).sum()) * (100 + t) >= (na[i] + nb[i]) * t
             yield rb.select(["u", "v"]).filter(pa.array(ok))
@@ -324,17 +325,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
     points = stage(points.select("fp", "n", "vec", "id", (F.col("rows") > F.col("ids")).alias("again")), "points")
 
-    # round 1: each member against its cell's smallest member
-    hub = members.groupBy("cell").agg(F.min("fp").alias("u"))
-    star = members.join(hub, "cell").select("u", F.col("fp").alias("v")).filter("u <> v").distinct()
-    star = stage(_bounded(star, points, percent), "star")
-    links = stage(_verified(star, points, docs, k, percent), "links")
-    root = components(links)
-
-    # round 2: the R-tree join of each cell, across what is not connected yet
-    open_ = (members.join(root.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
-    open_ = stage(_mixed(open_, "comp"), "open")
+    def verified(pairs: DataFrame, tag: str) -> DataFrame:
+        return stage(_verified(stage(pairs, "pairs"), points, docs, k, percent), tag)
+
+    def unconnected(root: DataFrame) -> DataFrame:
+        """Members of the cells that hold several components so far."""
+        now = (members.join(root.withColumnRenamed("node", "fp"), "fp", "left")
+               .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
+        return stage(_mixed(now, "comp"), "open")
+
+    # stars: each member against the smallest of its cells' smallest members, ...
+    hub = members.groupBy("cell").agg(F.min("fp").alias("hub"))
+    star = members.join(hub, "cell").groupBy("fp").agg(F.min("hub").alias("u")).filter("u <> fp").select("u", F.col("fp").alias("v"))
+    links = verified(_bounded(star, points, percent), "star")
+    open_ = unconnected(components(links))
+    # ... then, where that left components apart, against each cell's smallest member
+    hub = open_.groupBy("cell").agg(F.min(F.struct("comp", "fp")).alias("hub"))
+    star = (open_.join(hub, "cell").filter("comp <> hub.comp").select(F.col("hub.fp").alias("u"), F.col("fp").alias("v")).distinct())
+    links = links.unionByName(verified(_bounded(star, points, percent), "star"))
+    open_ = unconnected(components(links))
+
+    # the R-tree join of each cell, across what is not connected yet
     parts = open_.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
             .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
@@ -342,8 +353,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
                     "part", "fp", "comp", "n", "vec")
             .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-    more = stage(map_batches(runs, _tree_pass(percent), "u long, v long").distinct(), "more")
-    root = components(links.unionByName(_verified(more, points, docs, k, percent)))
+    more = map_batches(runs, _tree_pass(percent), "u long, v long").distinct()
+    root = components(links.unionByName(verified(more, "more")))
 
     out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
