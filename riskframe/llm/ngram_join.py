@@ -19,10 +19,11 @@ whose smaller partners may lie in the class below enters that class too.
 
 Inside the cells the work is in rounds, so that a large group of copies never
 makes all its pairs: first every member against the smallest member of all its
-cells, then against each cell's smallest member, and last an R-tree join of
-each cell; every round leaves out what the verified links have connected by
-then.  A cell with many members is joined in blocks, each pair of blocks a
-separate run.
+cells; then an R-tree join of each cell that keeps a forest of the surviving
+pairs; then the R-tree join with every surviving pair.  Each round leaves out
+what the verified links have connected by then, so the last one finds little
+but pairs that the bound cannot tell from links.  A cell with many members is
+joined in blocks, each pair of blocks a separate run.
 
 Sets are compared through 64-bit hashes of shingles and 64-bit fingerprints of
 whole sets; among n different sets about n^2 / 2^65 pairs share a fingerprint.
@@ -47,7 +48,7 @@ from . import bytetext as B
 from .common import column_or_null, map_batches, safe_name, stage, table
 from .links import components
 
-GROUPS = (64, 4096)    # fewest and most coordinates of a point; about size / 8 between
+GROUPS = (64, 65536)   # fewest and most coordinates of a point; about the set's size between
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
@@ -76,15 +77,20 @@ def fingerprint(s: np.ndarray) -> int:
 
 def point(s: np.ndarray) -> bytes:
     """Coordinates of a set: its number of tokens in each group.  The number of
-    groups, a power of two, grows with the set, as a bound over few groups says
-    little about large sets."""
-    groups = min(max(GROUPS[0], 1 << (len(s) // 8).bit_length()), GROUPS[1])
-    return np.bincount((s & U64(groups - 1)).astype(np.int64), minlength=groups).astype("<u2").tobytes()
+    groups, a power of two, is about the set's size: fewer say little about
+    large sets.  One byte a coordinate, two for sets beyond ``GROUPS[1]``."""
+    groups = min(max(GROUPS[0], 1 << max(len(s) - 1, 0).bit_length()), GROUPS[1])
+    counts = np.bincount((s & U64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype("u1" if len(s) <= GROUPS[1] else "<u2").tobytes()
+
+
+def coordinates(raw) -> np.ndarray:
+    return np.frombuffer(raw, "u1" if len(raw) <= GROUPS[1] else "<u2")
 
 
 def folded(point_: np.ndarray, groups: int) -> np.ndarray:
     """The same point with fewer groups."""
-    return point_.reshape(-1, groups).sum(axis=0, dtype=np.int64)
+    return point_ if len(point_) == groups else point_.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
 
 def _difference(a: int, b: int, t: int) -> int:
@@ -191,7 +197,7 @@ class CountTree:
                 la, lb = max(int(low[a]), -(-int(low[b]) * t // 100)), max(int(low[b]), -(-int(low[a]) * t // 100))
                 if la > high[a] or lb > high[b]:
                     continue
-                if int(np.minimum(top[a], top[b]).sum()) * (100 + t) < t * (la + lb):
+                if int(np.minimum(top[a], top[b]).sum(dtype=np.int64)) * (100 + t) < t * (la + lb):
                     continue
             if level:
                 under = len(self.levels[level - 1][0])
@@ -201,7 +207,7 @@ class CountTree:
                 continue
             ia = np.arange(a * self.leaf, min((a + 1) * self.leaf, len(self.order)))
             ib = np.arange(b * self.leaf, min((b + 1) * self.leaf, len(self.order)))
-            bound = np.minimum(self.vecs[ia][:, None, :], self.vecs[ib][None, :, :]).sum(axis=2)
+            bound = np.minimum(self.vecs[ia][:, None, :], self.vecs[ib][None, :, :]).sum(axis=2, dtype=np.int64)
             need = t * (self.sizes[ia][:, None] + self.sizes[ib][None, :])
             ok = bound * (100 + t) >= need
             if a == b:
@@ -211,22 +217,33 @@ class CountTree:
                 yield self.order[ia[x]], self.order[ib[y]]
 
 
-def _tree_pass(t: int):
-    """Rows sorted by (cell, lo, hi) -> surviving pairs of different components."""
+def _tree_pass(t: int, forest: bool):
+    """Rows sorted by (cell, lo, hi) -> surviving pairs of different components;
+    with ``forest`` only enough of them to connect what all of them connect."""
     def flush(keys, rows):
         if len(rows["fp"]) < 2:
             return None
-        vecs = [np.frombuffer(v, "<u2") for v in rows["vec"]]
+        vecs = [coordinates(v) for v in rows["vec"]]
         groups = min(len(v) for v in vecs)
-        vecs = np.array([folded(v, groups) for v in vecs], np.int32)
-        fp, comp, part = (np.array(rows[c], np.int64) for c in ("fp", "comp", "part"))
+        vecs = np.array([folded(v, groups) for v in vecs])
+        fp, part = np.array(rows["fp"], np.int64), np.array(rows["part"], np.int64)
+        label = np.unique(np.array(rows["comp"], np.int64), return_inverse=True)[1]
         us, vs = [], []
         for x, y in CountTree(vecs, np.array(rows["n"], np.int64)).pairs(t):
-            ok = comp[x] != comp[y]
             if keys[1] != keys[2]:
-                ok &= part[x] != part[y]
-            us.append(fp[x[ok]])
-            vs.append(fp[y[ok]])
+                ok = part[x] != part[y]
+                x, y = x[ok], y[ok]
+            ok = label[x] != label[y]
+            while ok.any():
+                x, y = x[ok], y[ok]
+                if not forest:
+                    us.append(fp[x])
+                    vs.append(fp[y])
+                    break
+                us.append(fp[x[:1]])
+                vs.append(fp[y[:1]])
+                label[label == label[y[0]]] = label[x[0]]
+                ok = label[x] != label[y]
         if not us:
             return None
         u, v = np.concatenate(us), np.concatenate(vs)
@@ -257,9 +274,9 @@ def _bound_pass(t: int):
             na, nb = rb.column("na").to_numpy(), rb.column("nb").to_numpy()
             ok = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * t
             for i in np.flatnonzero(ok):
-                a, b = (np.frombuffer(rb.column(c)[i].as_buffer(), "<u2") for c in ("va", "vb"))
+                a, b = (coordinates(rb.column(c)[i].as_buffer()) for c in ("va", "vb"))
                 g = min(len(a), len(b))
-                ok[i] = int(np.minimum(folded(a, g), folded(b, g)).sum()) * (100 + t) >= (na[i] + nb[i]) * t
+                ok[i] = int(np.minimum(folded(a, g), folded(b, g)).sum(dtype=np.int64)) * (100 + t) >= (na[i] + nb[i]) * t
             yield rb.select(["u", "v"]).filter(pa.array(ok))
     return run
 
@@ -325,36 +342,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
     points = stage(points.select("fp", "n", "vec", "id", (F.col("rows") > F.col("ids")).alias("again")), "points")
 
-    def verified(pairs: DataFrame, tag: str) -> DataFrame:
-        return stage(_verified(stage(pairs, "pairs"), points, docs, k, percent), tag)
-
     def unconnected(root: DataFrame) -> DataFrame:
         """Members of the cells that hold several components so far."""
         now = (members.join(root.withColumnRenamed("node", "fp"), "fp", "left")
                .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
         return stage(_mixed(now, "comp"), "open")
 
-    # stars: each member against the smallest of its cells' smallest members, ...
+    def candidates(open_: DataFrame, forest: bool) -> DataFrame:
+        """Pairs within the cells that survive the bound: directly where a cell
+        has two members, by its R-tree where it has more."""
+        sizes = open_.groupBy("cell").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v"))
+        two = _bounded(sizes.filter("size = 2").select("u", "v").distinct(), points, percent)
+        parts = sizes.filter("size > 2").select("cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+        runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
+                .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
+                        "part", "fp", "comp", "n", "vec")
+                .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
+        return two.unionByName(map_batches(runs, _tree_pass(percent, forest), "u long, v long")).distinct()
+
+    # star: each member against the smallest of its cells' smallest members
     hub = members.groupBy("cell").agg(F.min("fp").alias("hub"))
     star = members.join(hub, "cell").groupBy("fp").agg(F.min("hub").alias("u")).filter("u <> fp").select("u", F.col("fp").alias("v"))
-    links = verified(_bounded(star, points, percent), "star")
-    open_ = unconnected(components(links))
-    # ... then, where that left components apart, against each cell's smallest member
-    hub = open_.groupBy("cell").agg(F.min(F.struct("comp", "fp")).alias("hub"))
-    star = (open_.join(hub, "cell").filter("comp <> hub.comp").select(F.col("hub.fp").alias("u"), F.col("fp").alias("v")).distinct())
-    links = links.unionByName(verified(_bounded(star, points, percent), "star"))
-    open_ = unconnected(components(links))
-
-    # the R-tree join of each cell, across what is not connected yet
-    parts = open_.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
-            .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
-                    "part", "fp", "comp", "n", "vec")
-            .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-    more = map_batches(runs, _tree_pass(percent), "u long, v long").distinct()
-    root = components(links.unionByName(verified(more, "more")))
+    checked = stage(_bounded(star, points, percent), "pairs")
+    links = stage(_verified(checked, points, docs, k, percent), "links")
+    root = components(links)
+    # R-tree joins: first enough pairs to connect what the bound lets through,
+    # then every pair that is left across components
+    for forest in (True, False):
+        pairs = stage(candidates(unconnected(root), forest).join(checked, ["u", "v"], "left_anti"), "pairs")
+        links = links.unionByName(stage(_verified(pairs, points, docs, k, percent), "links"))
+        checked = checked.unionByName(pairs)
+        root = components(links)
 
     out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
