@@ -52,6 +52,7 @@ GROUPS = (64, 65536)   # fewest and most coordinates of a point; about the set's
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
+MAX_CLASS = 40         # sizes up to 2^39 tokens
 BUCKETS = 1 << 22      # of the bitmap of wanted ids
 U64 = np.uint64
 
@@ -98,31 +99,36 @@ def _difference(a: int, b: int, t: int) -> int:
     return (100 - t) * (a + b) // (100 + t)
 
 
+def _slabs(c: int, t: int) -> tuple[int, int]:
+    """(slabs, cells that linked sets share at least) of a size class."""
+    most = _difference(2 ** c, 2 ** c * 100 // t, t)
+    return most + most // 8 + 16, 1 + most // 16
+
+
 def cells(s: np.ndarray, t: int) -> np.ndarray:
-    """Names of the cells that a set enters."""
+    """Names of the cells that a set enters; the low bits are the size class."""
     n = len(s)
     if not n:
         return s
     top = (n - 1).bit_length()                       # sizes (2^(top-1), 2^top]
     least = -(-n * t // 100)
     plan = [(top, _difference(n, n * 100 // t, t))]
-    if (low := (least - 1).bit_length()) < top:      # smaller partners one class below
+    if (low := (least - 1).bit_length()) < top:      # smaller partners in classes below
         plan += [(c, _difference(n, 2 ** c, t)) for c in range(low, top)]
     out = []
     for c, d in plan:
-        most = _difference(2 ** c, 2 ** c * 100 // t, t)
-        slabs = most + most // 20 + 16
+        slabs, share = _slabs(c, t)
         slab = ((s >> U64(32)) * U64(slabs)) >> U64(32)
         cut = np.flatnonzero(np.concatenate([[True], slab[1:] != slab[:-1]]))
         with np.errstate(over="ignore"):
             tag = U64(c + 1) * U64(0xA24BAED4963EE407)
             names = B.mix(np.add.reduceat(B.mix(s), cut) ^ B.mix(slab[cut] + tag))
-            if len(names) > d:
-                names = np.sort(names)[:d + 1]
+            if len(names) >= d + share:
+                names = np.sort(names)[:d + share]
             else:
                 empty = np.setdiff1d(np.arange(slabs, dtype=U64), slab[cut])
                 names = np.concatenate([names, B.mix(~B.mix(empty + tag))])
-        out.append(names)
+        out.append((names & ~U64(63)) | U64(c))
     return np.concatenate(out)
 
 
@@ -336,8 +342,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     meta = stage(map_batches(docs, _signature_pass(k, percent),
                              "id long, n long, fp long, vec binary, cells array<long>"), "sets")
     named = meta.filter("id is not null and n > 0")
-    members = _mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct()
-    members = stage(members, "cells")
+    members = stage(_mixed(named.select(F.explode("cells").alias("cell"), "fp"), "fp").distinct(), "cells")
+    need = F.get(F.array(*[F.lit(_slabs(c, percent)[1]) for c in range(MAX_CLASS)]), F.col("class"))
+    for _ in range(2):                     # a document left out may leave others without company
+        size_class = F.col("cell").bitwiseAND(63).cast("int")
+        enough = (members.groupBy("fp", size_class.alias("class")).agg(F.count("*").alias("held"))
+                  .filter(F.col("held") >= need).select("fp", "class"))
+        members = members.withColumn("class", size_class).join(enough, ["fp", "class"]).select("cell", "fp")
+        members = stage(_mixed(members, "fp"), "cells")
+
     points = (named.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n", "vec")
               .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
     points = stage(points.select("fp", "n", "vec", "id", (F.col("rows") > F.col("ids")).alias("again")), "points")
