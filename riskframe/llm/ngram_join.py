@@ -20,7 +20,7 @@ whose smaller partners may lie in the class below enters that class too.
 Inside the cells the work is in rounds, so that a large group of copies never
 makes all its pairs: first every member against the smallest member of all its
 cells; then an R-tree join of each cell that keeps a forest of the surviving
-pairs; then the R-tree join with every surviving pair.  Each round leaves out
+pairs; then, in the cells that had any, the R-tree join with every surviving pair.  Each round leaves out
 what the verified links have connected by then, so the last one finds little
 but pairs that the bound cannot tell from links.  A cell with many members is
 joined in blocks, each pair of blocks a separate run.
@@ -253,7 +253,8 @@ def _tree_pass(t: int, forest: bool):
         if not us:
             return None
         u, v = np.concatenate(us), np.concatenate(vs)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), keys[0])), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
+                                          ["cell", "u", "v"])
 
     def run(batches):
         keys, rows = None, None
@@ -324,6 +325,15 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: i
             .filter(shared * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"))
 
 
+def _distinct_cells(members: DataFrame) -> DataFrame:
+    """One cell of each set of members: cells with the very same members hold
+    the very same pairs, and alike documents share many cells."""
+    sets = members.groupBy("cell").agg(F.bit_xor(F.xxhash64("fp")).alias("a"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("b"),
+                                       F.count("*").alias("size"))
+    keep = sets.groupBy("a", "b", "size").agg(F.min("cell").alias("cell")).select("cell")
+    return members.join(keep, "cell")
+
+
 def _mixed(members: DataFrame, by: str) -> DataFrame:
     """Members of cells that hold at least two values of ``by``."""
     from pyspark.sql import Window
@@ -350,6 +360,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                   .filter(F.col("held") >= need).select("fp", "class"))
         members = members.withColumn("class", size_class).join(enough, ["fp", "class"]).select("cell", "fp")
         members = stage(_mixed(members, "fp"), "cells")
+    members = stage(_distinct_cells(members), "cells")
 
     points = (named.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n", "vec")
               .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
@@ -361,33 +372,38 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
         return stage(_mixed(now, "comp"), "open")
 
-    def candidates(open_: DataFrame, forest: bool) -> DataFrame:
-        """Pairs within the cells that survive the bound: directly where a cell
-        has two members, by its R-tree where it has more."""
-        sizes = open_.groupBy("cell").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v"))
-        two = _bounded(sizes.filter("size = 2").select("u", "v").distinct(), points, percent)
-        parts = sizes.filter("size > 2").select("cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    def tree_pairs(open_: DataFrame, forest: bool) -> DataFrame:
+        """(cell, u, v): pairs that survive the R-tree join of their cell."""
+        parts = open_.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
         runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
                 .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                 .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
                         "part", "fp", "comp", "n", "vec")
                 .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-        return two.unionByName(map_batches(runs, _tree_pass(percent, forest), "u long, v long")).distinct()
+        return stage(map_batches(runs, _tree_pass(percent, forest), "cell long, u long, v long"), "tree")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return stage(_verified(pairs, points, docs, k, percent), "links")
 
     # star: each member against the smallest of its cells' smallest members
     hub = members.groupBy("cell").agg(F.min("fp").alias("hub"))
     star = members.join(hub, "cell").groupBy("fp").agg(F.min("hub").alias("u")).filter("u <> fp").select("u", F.col("fp").alias("v"))
     checked = stage(_bounded(star, points, percent), "pairs")
-    links = stage(_verified(checked, points, docs, k, percent), "links")
-    root = components(links)
-    # R-tree joins: first enough pairs to connect what the bound lets through,
-    # then every pair that is left across components
-    for forest in (True, False):
-        pairs = stage(candidates(unconnected(root), forest).join(checked, ["u", "v"], "left_anti"), "pairs")
-        links = links.unionByName(stage(_verified(pairs, points, docs, k, percent), "links"))
-        checked = checked.unionByName(pairs)
-        root = components(links)
+    links = verified(checked)
+    # R-tree joins: first enough pairs to connect what the bound lets through
+    # (cells of two members have one pair, bounded without a tree) ...
+    open_ = unconnected(components(links))
+    sizes = stage(open_.groupBy("cell").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v")), "sizes")
+    two = _bounded(sizes.filter("size = 2").select("u", "v").distinct(), points, percent)
+    found = tree_pairs(open_.join(sizes.filter("size > 2").select("cell"), "cell", "left_semi"), forest=True)
+    pairs = stage(two.unionByName(found.select("u", "v")).distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
+    links = links.unionByName(verified(pairs))
+    checked = checked.unionByName(pairs)
+    # ... then, in the cells where it let any through, all that are left across components
+    open_ = unconnected(components(links)).join(found.select("cell").distinct(), "cell", "left_semi")
+    pairs = stage(tree_pairs(open_, forest=False).select("u", "v").distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
+    root = components(links.unionByName(verified(pairs)))
 
     out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
