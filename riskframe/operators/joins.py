@@ -14,7 +14,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that also matches NULL keys with each other: a group whose key
+    is NULL keeps its rows."""
+    new = {c: f"_right_{c}" for c in on}
+    r = right.withColumnsRenamed(new)
+    cond = None
+    for c, n in new.items():
+        same = left[c].eqNullSafe(r[n])
+        cond = same if cond is None else cond & same
+    return left.join(r, cond, how).drop(*new.values())
 
 
 def join_child_summary(parent: DataFrame, child_summary: DataFrame, key: str,
@@ -33,35 +43,24 @@ def join_blocks(base: DataFrame, blocks: Mapping[str, DataFrame], key: str) -> D
     return out
 
 
-def join_audit(base: DataFrame, blocks: Mapping[str, DataFrame], key: str,
-               materialize: bool = True) -> DataFrame:
+def join_audit(base: DataFrame, blocks: Mapping[str, DataFrame], key: str) -> DataFrame:
     """One row per join step with the row count before and after and the
-    number of added columns.  Counts are aggregates of the joined frames, so
-    the audit itself is a set of distributed counts, not a driver loop over
-    rows.  Each step's count re-joins the earlier blocks, so the blocks are
-    first written once (reliable checkpoint) instead of being re-aggregated
-    for every step."""
-    if materialize:
-        blocks = {n: cut_lineage(b) for n, b in blocks.items()}
-    rows = []
-    current = base
-    for step, (name, blk) in enumerate(blocks.items(), start=1):
-        joined = current.join(blk, key, "left")
-        added = len([c for c in blk.columns if c != key])
-        sides = (current.select(F.lit(True).alias("_before"))
-                 .unionByName(joined.select(F.lit(False).alias("_before"))))
-        rows.append(
-            sides.agg(F.count_if(F.col("_before")).alias("rows_before"),
-                      F.count_if(~F.col("_before")).alias("rows_after"))
-            .select(F.lit(step).alias("step"), F.lit(name).alias("block"),
-                    "rows_before", "rows_after",
-                    F.lit(added).alias("added_columns"))
-        )
-        current = joined
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    number of added columns.  A left join multiplies a base row by the number of
+    block rows of its key (by one where there is none), so all counts follow
+    from the rows per key: one narrow count of each side, joined on the key
+    once, and one aggregate; no block is joined in full."""
+    keys = base.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    for i, blk in enumerate(blocks.values()):
+        keys = keys.join(blk.groupBy(key).agg(F.count(F.lit(1)).alias(f"_m{i}")), key, "left")
+    so_far, sums = F.col("_rows"), [F.sum("_rows")]
+    for i in range(len(blocks)):
+        so_far = so_far * F.coalesce(F.col(f"_m{i}"), F.lit(1))
+        sums.append(F.sum(so_far))
+    sums = [F.coalesce(x, F.lit(0)) for x in sums]
+    steps = [F.struct(F.lit(i + 1).alias("step"), F.lit(name).alias("block"), sums[i].alias("rows_before"),
+                      sums[i + 1].alias("rows_after"), F.lit(len([c for c in blk.columns if c != key])).alias("added_columns"))
+             for i, (name, blk) in enumerate(blocks.items())]
+    return keys.agg(F.array(*steps).alias("steps")).select(F.inline("steps"))
 
 
 def lookup_with_default(df: DataFrame, catalog: DataFrame, key: str,

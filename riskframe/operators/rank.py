@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
+
 HASH_BUCKET_BITS = 20  # ~1e6 rows per ranking window at 1e12 rows
 
 
@@ -50,7 +52,7 @@ def row_number_by_buckets(df: DataFrame, order: Sequence[str], bucket: Column,
     w_off = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     inner = Window.partitionBy(*by, "_bucket").orderBy(*order)
-    return (b.join(offsets, [*by, "_bucket"])
+    return (join_null_safe(b, offsets, [*by, "_bucket"])
             .withColumn(name, F.col("_off") + F.row_number().over(inner))
             .drop("_bucket", "_off"))
 
@@ -98,7 +100,7 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
     offs = tot.select(*by, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
                                         for c in sums])
     inner = Window.partitionBy(*by, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    out = d.join(offs, [*by, "_bucket"])  # groups x buckets rows; AQE broadcasts it when small
+    out = join_null_safe(d, offs, [*by, "_bucket"])  # groups x buckets rows; AQE broadcasts it when small
     out = out.withColumns({f"{prefix}{c}": F.col(f"_off_{c}") + F.sum(c).over(inner) for c in sums})
     return out.drop("_o", "_bucket", *[f"_off_{c}" for c in sums])
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
 from .rank import hash_rank, seeded_hash
 
 
@@ -85,10 +86,11 @@ def _n_test(n, pct: int):
 def stratified_holdout(df: DataFrame, label: str, key: Sequence[str], test_pct: int = 20,
                        seed: int = 42, name: str = "is_test") -> DataFrame:
     """H5: per class, the round(test_pct% of the class) rows with the smallest
-    seeded hash are test rows; class shares are kept."""
+    seeded hash are test rows; class shares are kept.  Rows without a label are
+    a class of their own."""
     ranked = hash_rank(df, key, seed, by=[label], name="_rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
-    return (ranked.join(F.broadcast(sizes), label)
+    return (join_null_safe(ranked, sizes, [label])
             .withColumn(name, (F.col("_rn") <= _n_test(F.col("_nc"), test_pct)).cast("int"))
             .drop("_rn", "_nc"))
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the operators in this package:
 #  * AQE re-plans joins (broadcast of small feature blocks, coalesced
@@ -27,9 +28,6 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # wide feature frames: keep codegen for the aggregate blocks (<= ~150 cols)
     "spark.sql.codegen.maxFields": "200",
-    # reliable checkpoints of multi-pass operators are removed from the shared
-    # checkpoint folder once their DataFrames are no longer referenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,21 +62,29 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; set a scratch one only when unset
-    (local runs and tests).  A cluster must configure a shared folder."""
+    """Return the configured checkpoint folder.  A scratch folder is set only in
+    local mode (tests, scripts), where driver and executors are one process; a
+    cluster must name a folder that all of its machines share."""
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set, and master {master!r} is not local: "
+                           "name a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("RISKFRAME_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss) in the configured shared
-    folder; used between iterations of multi-pass operators."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back: later
+    passes scan only the columns they need, see real sizes, and survive lost
+    executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/handover-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

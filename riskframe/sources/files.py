@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,23 +37,19 @@ def read_keys(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "p
 
 
 def file_inventory(spark: SparkSession, registry: Mapping[str, str]) -> DataFrame:
-    """A4: name, path, exists, size_mb for every registered file.  The
-    ``binaryFile`` source only lists files when ``content`` is not selected."""
-    reg = spark.createDataFrame(list(registry.items()), "name string, path string")
-    paths = list(registry.values())
-    found = None
-    for p in paths:
-        try:
-            f = spark.read.format("binaryFile").load(p).select("path", "length")
-        except Exception:  # noqa: BLE001 -- absent file: reported as missing
-            continue
-        found = f if found is None else found.unionByName(f)
-    if found is None:
-        return reg.select("name", "path", F.lit(False).alias("exists"), F.lit(None).cast("double").alias("size_mb"))
-    found = found.select(F.regexp_replace("path", "^file:", "").alias("path"), "length")
-    out = reg.join(found, "path", "left")
-    return out.select("name", "path", F.col("length").isNotNull().alias("exists"),
-                      F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"))
+    """A4: name, path, exists, size_mb for every registered table: a file or a
+    directory of part files, under any scheme that Hadoop's file systems know.
+    Only an absent path is reported as missing; other errors are raised."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    rows = []
+    for name, p in registry.items():
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path).getLength() if fs.exists(path) else None
+        rows.append((name, p, size))
+    listed = spark.createDataFrame(rows, "name string, path string, length long")
+    return listed.select("name", "path", F.col("length").isNotNull().alias("exists"),
+                         F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -70,17 +67,20 @@ def write_report_csv(df: DataFrame, path: str, single_file: bool = True) -> None
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame:
-    """Read back a previous report; an absent path gives an empty frame
-    with the expected schema."""
+    """The columns of ``schema`` of a previous report, found by name (a CSV
+    report by its header), NULL where the report lacks one; an absent path
+    gives an empty frame with that schema."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     try:
-        r = spark.read.schema(schema)
-        if fmt == "csv":
-            r = r.option("header", True)
-        return r.format(fmt).load(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        r = spark.read.option("header", True) if fmt == "csv" else spark.read
+        found = r.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    return found.select(*[(F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in schema.fields])
 
 
 def write_json_document(df: DataFrame, path: str) -> None:
