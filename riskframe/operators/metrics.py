@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .joins import join_null_safe
 from .rank import running_totals
 
 # Cost of a missed default (false negative) and of a wrongly
@@ -30,13 +32,20 @@ def _div(a: Column, b: Column) -> Column:
 
 
 # --- K1-K3 ---------------------------------------------------------------------
+# One rule for missing values throughout this module: a row without a label, or
+# without the score (or prediction) that is evaluated, is left out of every
+# count and metric.
+def _evaluated(df: DataFrame, y: str, value: str) -> DataFrame:
+    return df.where(F.col(y).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+
+
 def confusion_counts(df: DataFrame, y: str = "y", score: str = "score", threshold: float = 0.5,
                      by: Sequence[str] = (), pred: str | None = None) -> DataFrame:
     """tp, fp, tn, fn, n per group; prediction = score >= threshold (or a
     given 0/1 prediction column)."""
     p = F.col(pred) == 1 if pred else F.col(score) >= F.lit(float(threshold))
     t = F.col(y) == 1
-    return df.groupBy(*by).agg(
+    return _evaluated(df, y, pred or score).groupBy(*by).agg(
         F.count_if(p & t).alias("tp"), F.count_if(p & ~t).alias("fp"),
         F.count_if(~p & ~t).alias("tn"), F.count_if(~p & t).alias("fn"),
         F.count(F.lit(1)).alias("n"))
@@ -71,34 +80,27 @@ def business_cost(df: DataFrame, y: str = "y", pred: str = "pred", fn_cost: floa
 
 # --- K4 / K5 / K7 --------------------------------------------------------------
 def score_table(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, distinct score): pos, neg (rows without a score
-    are left out)."""
+    """One row per (group, distinct score): pos, neg."""
     t = F.col(y) == 1
-    return df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("s")).agg(
+    return _evaluated(df, y, score).groupBy(*by, F.col(score).cast("double").alias("s")).agg(
         F.count_if(t).cast("double").alias("pos"), F.count_if(~t).cast("double").alias("neg"))
 
 
-def _with_totals(cum: DataFrame, st: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach the class totals P, N of each group.  A partition-less window
-    over the distinct scores would run in one task, so the totals are one
-    aggregate row per group joined back (ungrouped: a one-row table broadcast
-    on a constant key)."""
+def _cumulated(st: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Running sums of a written score table, with the class totals P, N of
+    each group (read from the same table, not from the scores)."""
     by = list(by)
+    cum = running_totals(st, "s", ["pos", "neg"], by, materialize=False)
     tot = st.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if by:
-        return cum.join(tot, by)
-    return (cum.withColumn("_one", F.lit(1))
-            .join(F.broadcast(tot.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+        return join_null_safe(cum, tot, by)
+    row = tot.first()
+    return cum.withColumns({"P": F.lit(row["P"]).cast("double"), "N": F.lit(row["N"]).cast("double")})
 
 
-def rank_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """ROC-AUC (trapezoid = Mann-Whitney with ties counted half) and average
-    precision (step sum over distinct scores, descending) per group.  NULL
-    when a group has a single class (ROC undefined; AP undefined without
-    positives)."""
+def _rank_metrics_of(st: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
-    st = score_table(df, y, score, by)
-    cum = _with_totals(running_totals(st, "s", ["pos", "neg"], by), st, by)
+    cum = _cumulated(st, by)
     P, N = F.col("P"), F.col("N")
     # ascending inclusive sums -> negatives strictly below, and the descending
     # inclusive counts at each score (tp, fp when predicting score >= s)
@@ -116,16 +118,33 @@ def rank_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Sequence
                     F.when(F.col("P") > 0, F.col("_ap") / F.col("P")).alias("pr_auc"))
 
 
+def rank_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC (trapezoid = Mann-Whitney with ties counted half) and average
+    precision (step sum over distinct scores, descending) per group.  NULL
+    when a group has a single class (ROC undefined; AP undefined without
+    positives).  The scores are read once, to the distinct-score table."""
+    return _rank_metrics_of(cut_lineage(score_table(df, y, score, by)), by)
+
+
 # --- K6 ------------------------------------------------------------------------
 def classification_metrics(df: DataFrame, y: str = "y", score: str = "score", threshold: float = 0.5,
                            fn_cost: float = FN_COST, fp_cost: float = FP_COST,
                            by: Sequence[str] = ()) -> DataFrame:
-    """All threshold and rank metrics in one row per group."""
+    """All threshold and rank metrics in one row per group, from one scan of
+    the scores: the confusion counts are sums over the distinct-score table."""
     by = list(by)
-    c = confusion_counts(df, y, score, threshold, by)
+    st = cut_lineage(score_table(df, y, score, by))
+    p = F.col("s") >= F.lit(float(threshold))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0.0)).cast("long")
+    c = st.groupBy(*by).agg(
+        total(F.when(p, F.col("pos"))).alias("tp"), total(F.when(p, F.col("neg"))).alias("fp"),
+        total(F.when(~p, F.col("neg"))).alias("tn"), total(F.when(~p, F.col("pos"))).alias("fn"),
+        total(F.col("pos") + F.col("neg")).alias("n"))
     m = c.select(*by, *threshold_metric_columns(fn_cost, fp_cost), F.lit(float(threshold)).alias("threshold"))
-    r = rank_metrics(df, y, score, by)
-    return m.join(r, by, "left") if by else _one_row_join(m, r)
+    r = _rank_metrics_of(st, by)
+    return join_null_safe(m, r, by, "left") if by else _one_row_join(m, r)
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -143,20 +162,18 @@ def grid(lo: int = 5, hi: int = 95, step_div: int = 100) -> list[float]:
 
 
 def threshold_search(df: DataFrame, y: str = "y", score: str = "score", lo: int = 5, hi: int = 95,
-                     fn_cost: float = FN_COST, fp_cost: float = FP_COST) -> DataFrame:
-    """Metrics at every threshold i/100 (lo <= i <= hi) from ONE pass: each
-    row falls in the bucket b = max{i : i/100 <= score} (clamped), the
-    counts per bucket (<= hi-lo+2 rows) give every threshold's confusion
-    matrix by suffix sums.  ROC-AUC / PR-AUC are threshold-free and attached.
+                     fn_cost: float = FN_COST, fp_cost: float = FP_COST, ranks: bool = True) -> DataFrame:
+    """Metrics at every threshold i/100 (lo <= i <= hi) from ONE scan of the
+    scores, to the distinct-score table: each score falls in the bucket
+    b = max{i : i/100 <= score} (clamped), the counts per bucket (<= hi-lo+2
+    rows) give every threshold's confusion matrix by suffix sums.  ROC-AUC and
+    PR-AUC are threshold-free and attached, unless ``ranks`` is off.
     """
     spark = df.sparkSession
-    s = F.col(score).cast("double")
-    g0 = F.floor(s * 100).cast("int")
-    # exact: compare with the same i/100 doubles the grid uses
-    b = (F.when((g0 + 1) / F.lit(100.0) <= s, g0 + 1).when(g0 / F.lit(100.0) > s, g0 - 1).otherwise(g0))
-    b = F.least(F.greatest(b, F.lit(lo - 1)), F.lit(hi))
-    t = F.col(y) == 1
-    counts = df.groupBy(b.alias("b")).agg(F.count_if(t).alias("pos"), F.count_if(~t).alias("neg"))
+    st = score_table(df, y, score)
+    if ranks:
+        st = cut_lineage(st)
+    counts = st.groupBy(_grid_bucket(F.col("s"), lo, hi).alias("b")).agg(F.sum("pos").cast("long").alias("pos"), F.sum("neg").cast("long").alias("neg"))
     idx = spark.range(lo - 1, hi + 1).select(F.col("id").cast("int").alias("b"))
     full = idx.join(counts, "b", "left").fillna(0, ["pos", "neg"])
     w_sfx = Window.orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)  # <= 92 rows
@@ -169,9 +186,39 @@ def threshold_search(df: DataFrame, y: str = "y", score: str = "score", lo: int
         (F.col("N") - F.col("fp")).alias("tn"), (F.col("P") - F.col("tp")).alias("fn"),
         (F.col("P") + F.col("N")).alias("n"))
     table = conf.select("threshold", *threshold_metric_columns(fn_cost, fp_cost))
-    r = rank_metrics(df, y, score).first()
-    return table.withColumns({"roc_auc": F.lit(r["roc_auc"]).cast("double"),
-                              "pr_auc": F.lit(r["pr_auc"]).cast("double")})
+    if not ranks:
+        return table
+    # one row of ranks, joined by the constant of the whole grid
+    r = _rank_metrics_of(st).withColumn("_all", F.lit(1))
+    return table.withColumn("_all", F.lit(1)).join(F.broadcast(r), "_all", "left").drop("_all")
+
+
+def _grid_bucket(s: Column, lo: int, hi: int) -> Column:
+    """max{i : i/100 <= s}, clamped to [lo - 1, hi], compared with the same
+    i/100 doubles that the grid uses."""
+    g0 = F.floor(s * 100).cast("int")
+    b = (F.when((g0 + 1) / F.lit(100.0) <= s, g0 + 1).when(g0 / F.lit(100.0) > s, g0 - 1).otherwise(g0))
+    return F.least(F.greatest(b, F.lit(lo - 1)), F.lit(hi))
+
+
+def least_cost(df: DataFrame, y: str, score: str, by: Sequence[str], lo: int = 5, hi: int = 95,
+               fn_cost: float = FN_COST, fp_cost: float = FP_COST) -> DataFrame:
+    """Per group, the lowest business cost per observation over the
+    threshold grid (``least_cost_per_obs``), from one aggregate by grid bucket
+    and suffix sums over at most hi - lo + 2 buckets of a group."""
+    by = list(by)
+    t = F.col(y) == 1
+    counts = _evaluated(df, y, score).groupBy(*by, _grid_bucket(F.col(score).cast("double"), lo, hi).alias("b")).agg(
+        F.count_if(t).alias("pos"), F.count_if(~t).alias("neg"))
+    # thresholds in an empty bucket cost what the next filled one above does; the highest may refuse nobody
+    above = Window.partitionBy(*by).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy(*by)
+    c = counts.select(*by, "b", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"),
+                      F.sum("pos").over(every).alias("P"), F.sum(F.col("pos") + F.col("neg")).over(every).alias("n"),
+                      F.max("b").over(every).alias("top"))
+    at = F.when(F.col("b") >= lo, (F.col("P") - F.col("tp")) * fn_cost + F.col("fp") * fp_cost)
+    none = F.when(F.col("top") < hi, F.col("P") * F.lit(fn_cost))
+    return c.groupBy(*by).agg((F.least(F.min(at), F.min(none)) / F.max("n")).alias("least_cost_per_obs"))
 
 
 def best_threshold(search: DataFrame) -> DataFrame:
@@ -191,8 +238,7 @@ def pr_curve(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str
     """Precision / recall / F1 when predicting score >= s, at every distinct
     score s."""
     by = list(by)
-    st = score_table(df, y, score, by)
-    cum = _with_totals(running_totals(st, "s", ["pos", "neg"], by), st, by)
+    cum = _cumulated(cut_lineage(score_table(df, y, score, by)), by)
     P, N = F.col("P"), F.col("N")
     tp = P - F.col("cum_pos") + F.col("pos")
     fp = N - F.col("cum_neg") + F.col("neg")
@@ -298,15 +344,18 @@ def recommendation(board: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rank", "model"))).alias("ranking"))
 
 
+COSTS = ("business_cost", "business_cost_per_obs", "false_negatives", "false_positives")
+
+
 def gains_vs_baseline(comparison: DataFrame, key: str, baseline: str, metrics: Sequence[str]) -> DataFrame:
-    """Each row's metric minus the baseline row's (cost: decrease)."""
+    """What each row gains over the baseline row: the metric minus the
+    baseline's, for costs (lower is better) the baseline's minus the row's."""
     # the baseline value is spread with a window over the comparison table
     # (report-sized: one row per version / model)
     w = Window.partitionBy()
-    base_vals = {m: F.max(F.when(F.col(key) == baseline, F.col(m))).over(w) for m in metrics}
-    out = comparison.select(key, *[(F.col(m) - base_vals[m]).alias(f"gain_{m}") for m in metrics])
-    return out
-
+    base = {m: F.max(F.when(F.col(key) == baseline, F.col(m))).over(w) for m in metrics}
+    return comparison.select(key, *[(base[m] - F.col(m) if m in COSTS else F.col(m) - base[m]).alias(f"gain_{m}")
+                                    for m in metrics])
 
 
 def overfit_gaps(metrics: DataFrame, split: str = "split", train: str = "train", valid: str = "test",

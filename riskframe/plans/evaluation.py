@@ -319,11 +319,12 @@ def q_gains(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_gains() -> str:
-    gains = ", ".join(f"{m} - max(CASE WHEN model = 'coarse' THEN {m} END) OVER () AS gain_{m}" for m in _GAIN_METRICS)
+    # a cost gains when it falls, every other metric when it rises
+    gains = ", ".join((f"b.{m} - res.{m}" if "cost" in m else f"res.{m} - b.{m}") + f" AS gain_{m}" for m in _GAIN_METRICS)
     return (f"WITH {_MODELS_SQL}, c AS ({_conf_sql('models', 'score >= 0.5', 'model')}), "
             f"m AS (SELECT model, {_metric_sql()} FROM c), r0 AS ({_rank_sql('models', 'model')}), "
             "res AS (SELECT m.*, r0.roc_auc, r0.pr_auc FROM m LEFT JOIN r0 ON m.model = r0.model), "
-            f"r AS (SELECT model, {gains} FROM res) "
+            f"r AS (SELECT res.model, {gains} FROM res, (SELECT * FROM res WHERE model = 'coarse') b) "
             + S.outer_select(["model"] + [f"gain_{m}" for m in _GAIN_METRICS],
                              {f"gain_{m}" for m in _GAIN_METRICS}, "r"))
 
