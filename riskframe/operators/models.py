@@ -9,21 +9,22 @@ for all folds is one grouped aggregation.
 
 from __future__ import annotations
 
+import itertools
 import random
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import metrics as K
 from .encode import balanced_class_weight
-from .split import exact_sample, kfold as kfold_column
+from .split import exact_sample, holdout, kfold as kfold_column, stratified_holdout
 
 FEATURES = "features"
 
@@ -44,31 +45,28 @@ def model_catalog(spark) -> DataFrame:
 
 # --- J1-J6 ------------------------------------------------------------------------
 def build_estimator(name: str, label: str = "y", weight: str | None = "weight", seed: int = 42,
-                    fast: bool = False):
-    """Estimator for a catalog name (``fast`` shrinks iteration counts for
-    smoke runs; the defaults follow the reference configurations)."""
-    it = 20 if fast else None
+                    params: Mapping[str, object] | None = None):
+    """Estimator for a catalog name, with the reference configuration;
+    ``params`` overrides single settings (a tuned point, or small settings in
+    a test)."""
+    kw = {"featuresCol": FEATURES, "labelCol": label}
+    weighted = {"weightCol": weight} if weight else {}
     if name == "logistic":
-        kw = {"weightCol": weight} if weight else {}
-        return LogisticRegression(featuresCol=FEATURES, labelCol=label, **kw,
-                                  regParam=1e-4, elasticNetParam=0.0, maxIter=it or 2000, standardization=True)
-    if name == "gbt":
-        return GBTClassifier(featuresCol=FEATURES, labelCol=label, stepSize=0.05, maxIter=it or 300,
-                             minInstancesPerNode=100 if not fast else 5, seed=seed)
-    if name == "gbt_leafwise":
-        kw = {"weightCol": weight} if weight else {}
-        return GBTClassifier(featuresCol=FEATURES, labelCol=label, stepSize=0.05, maxIter=it or 300, maxDepth=5,
-                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **kw)
-    if name == "forest":
-        kw = {"weightCol": weight} if weight else {}
-        return RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=it or 400,
-                                      minInstancesPerNode=20 if not fast else 2, seed=seed, **kw)
-    if name == "linear_svc":
-        kw = {"weightCol": weight} if weight else {}
-        return LinearSVC(featuresCol=FEATURES, labelCol=label, maxIter=it or 100, **kw)
-    if name == "majority":
+        est = LogisticRegression(**kw, **weighted, regParam=1e-4, elasticNetParam=0.0, maxIter=2000, standardization=True)
+    elif name == "gbt":
+        est = GBTClassifier(**kw, stepSize=0.05, maxIter=300, minInstancesPerNode=100, seed=seed)
+    elif name == "gbt_leafwise":
+        est = GBTClassifier(**kw, **weighted, stepSize=0.05, maxIter=300, maxDepth=5, minInstancesPerNode=20,
+                            subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
+    elif name == "forest":
+        est = RandomForestClassifier(**kw, **weighted, numTrees=400, minInstancesPerNode=20, seed=seed)
+    elif name == "linear_svc":
+        est = LinearSVC(**kw, **weighted, maxIter=100)
+    elif name == "majority":
         return None
-    raise ValueError(f"unknown model {name!r}; expected one of {[c[0] for c in CATALOG]}")
+    else:
+        raise ValueError(f"unknown model {name!r}; expected one of {[c[0] for c in CATALOG]}")
+    return est.copy({est.getParam(k): v for k, v in (params or {}).items()})
 
 
 def assemble(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
@@ -77,7 +75,7 @@ def assemble(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
 
 
 def fit(name: str, train: DataFrame, label: str = "y", balanced: bool = True, seed: int = 42,
-        fast: bool = False):
+        params: Mapping[str, object] | None = None):
     """Fit a catalog model on an assembled frame; returns (model, seconds)."""
     t0 = time.perf_counter()
     if name == "majority":
@@ -85,8 +83,7 @@ def fit(name: str, train: DataFrame, label: str = "y", balanced: bool = True, se
         model = ("majority", int(row[label]))
     else:
         data = balanced_class_weight(train, label, "weight") if balanced else train
-        est = build_estimator(name, label, "weight" if balanced else None, seed, fast)
-        model = est.fit(data)
+        model = build_estimator(name, label, "weight" if balanced else None, seed, params).fit(data)
     return model, time.perf_counter() - t0
 
 
@@ -105,17 +102,18 @@ def score(model, df: DataFrame, keep: Sequence[str] = ("id", "y"), name: str = "
 
 # --- K10 / K12 / K18 ---------------------------------------------------------------
 def cross_validate(name: str, data: DataFrame, key: Sequence[str], k: int = 3, label: str = "y",
-                   seed: int = 42, threshold: float = 0.5, fast: bool = False,
+                   seed: int = 42, threshold: float = 0.5, params: Mapping[str, object] | None = None,
                    train_sample: int | None = None) -> DataFrame:
-    """Per fold: fit on the other folds, score train (optionally an exact
-    sample of ``train_sample`` rows, seed + fold) and valid rows; metrics of
-    every (fold, split) in one grouped aggregation, plus the fit time."""
+    """Per fold: fit on the other folds, score train and valid rows; metrics of
+    every (fold, split) in one grouped aggregation over one table of scores,
+    plus the fit time.  ``train_sample`` (H9) scores an exact sample of that
+    many training rows instead of all of them (seed + fold)."""
     d = kfold_column(data, key, k, seed, label=label)
     scored, times = None, {}
     for f in range(k):
         tr = d.where(F.col("fold") != f)
         va = d.where(F.col("fold") == f)
-        model, secs = fit(name, tr, label, seed=seed, fast=fast)
+        model, secs = fit(name, tr, label, seed=seed, params=params)
         times[f] = secs
         tr_eval = exact_sample(tr, train_sample, key, seed + f) if train_sample else tr
         part = (score(model, tr_eval, [*key, label]).withColumn("split", F.lit("train"))
@@ -128,10 +126,42 @@ def cross_validate(name: str, data: DataFrame, key: Sequence[str], k: int = 3, l
     return m.join(F.broadcast(t), "fold")  # k rows
 
 
+def out_of_fold(name: str, data: DataFrame, key: Sequence[str], k: int = 3, label: str = "y", seed: int = 42,
+                params: Mapping[str, object] | None = None) -> DataFrame:
+    """Every row's score by the model of the other folds: (key, y, fold,
+    score)."""
+    d = kfold_column(data, key, k, seed, label=label)
+    out = None
+    for f in range(k):
+        model, _ = fit(name, d.where(F.col("fold") != f), label, seed=seed, params=params)
+        part = score(model, d.where(F.col("fold") == f), [*key, label, "fold"])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def cross_validate_split(name: str, data: DataFrame, key: Sequence[str], k: int = 5, label: str = "y", seed: int = 42,
+                         test_pct: int = 20, threshold: float = 0.5, params: Mapping[str, object] | None = None):
+    """The second CV routine: cross-validation inside a stratified training
+    part with population std, the model refitted on that whole part, and its
+    holdout metrics; values rounded to 4 digits.  Returns (summary, holdout
+    metrics, model)."""
+    d = stratified_holdout(data, label, key, test_pct, seed)
+    tr, te = d.where("is_test = 0").drop("is_test"), d.where("is_test = 1").drop("is_test")
+    folds = cross_validate(name, tr, key, k, label, seed, threshold, params)
+    summary = K.cv_summary(folds, K.METRICS, population=True)
+    model, _ = fit(name, tr, label, seed=seed, params=params)
+    hold = K.classification_metrics(score(model, te, [*key, label]), y=label, threshold=threshold)
+
+    def rounded(df):
+        return df.withColumns({f.name: F.round(f.name, 4) for f in df.schema.fields if f.dataType.simpleString() == "double"})
+    return rounded(summary), rounded(hold), model
+
+
 def holdout_evaluation(name: str, train: DataFrame, holdout: DataFrame, label: str = "y",
-                       key: Sequence[str] = ("id",), threshold: float = 0.5, fast: bool = False):
+                       key: Sequence[str] = ("id",), threshold: float = 0.5,
+                       params: Mapping[str, object] | None = None):
     """Fit on train, metrics on train and holdout; returns (metrics, model)."""
-    model, secs = fit(name, train, label, fast=fast)
+    model, secs = fit(name, train, label, params=params)
     s = (score(model, train, [*key, label]).withColumn("split", F.lit("train"))
          .unionByName(score(model, holdout, [*key, label]).withColumn("split", F.lit("test"))))
     m = K.classification_metrics(s, y=label, threshold=threshold, by=["split"])
@@ -139,19 +169,20 @@ def holdout_evaluation(name: str, train: DataFrame, holdout: DataFrame, label: s
 
 
 def learning_curve(name: str, data: DataFrame, key: Sequence[str], label: str = "y", k: int = 3,
-                   sizes: Sequence[int] = (20, 40, 60, 80, 100), seed: int = 42, fast: bool = False) -> DataFrame:
+                   sizes: Sequence[int] = (20, 40, 60, 80, 100), seed: int = 42,
+                   params: Mapping[str, object] | None = None) -> DataFrame:
     """ROC-AUC on train and valid for nested seeded training subsets
     (size % of each training fold), mean and std over folds."""
     from .rank import hash_rank
     d = kfold_column(data, key, k, seed, label=label)
     rows = None
     for f in range(k):
-        tr = hash_rank(d.where(F.col("fold") != f), key, seed + 1000 + f, name="_r")
+        tr = cut_lineage(hash_rank(d.where(F.col("fold") != f), key, seed + 1000 + f, name="_r"))
         n = tr.count()
         va = d.where(F.col("fold") == f)
         for pct in sizes:
             sub = tr.where(F.col("_r") <= F.lit((n * pct + 99) // 100)).drop("_r")
-            model, _ = fit(name, sub, label, seed=seed, fast=fast)
+            model, _ = fit(name, sub, label, seed=seed, params=params)
             part = (score(model, sub, [*key, label]).withColumn("split", F.lit("train"))
                     .unionByName(score(model, va, [*key, label]).withColumn("split", F.lit("valid")))
                     .withColumn("fold", F.lit(f)).withColumn("train_pct", F.lit(pct)))
@@ -171,26 +202,29 @@ def scoring_table(model, test: DataFrame, key: str, best_threshold: float) -> Da
 
 
 # --- J8 / J10 / J11 / J13 ---------------------------------------------------------------
+# The tuning grids (learning rate, iterations, leaf size, share of
+# features and regularisation points of the reference, in Spark's names).
 GRIDS = {
-    "logistic": {"regParam": [1e-4, 1e-3, 1e-2], "elasticNetParam": [0.0, 0.5]},
-    "gbt": {"stepSize": [0.05, 0.1], "maxDepth": [3, 5]},
-    "gbt_leafwise": {"stepSize": [0.03, 0.05], "maxDepth": [4, 6], "subsamplingRate": [0.8, 1.0],
-                     "minInstancesPerNode": [20, 50]},
-    "forest": {"maxDepth": [5, 10], "minInstancesPerNode": [5, 20]},
+    "logistic": {"regParam": [1e-5, 1e-4, 1e-3], "elasticNetParam": [0.0, 0.15]},
+    "gbt": {"stepSize": [0.03, 0.05], "maxIter": [200, 300], "minInstancesPerNode": [50, 100]},
+    "gbt_leafwise": {"stepSize": [0.03, 0.05], "maxDepth": [5, 6], "minInstancesPerNode": [20, 100],
+                     "minInfoGain": [0.0, 1e-3]},
+    "forest": {"numTrees": [300, 500], "minInstancesPerNode": [10, 20], "featureSubsetStrategy": ["sqrt", "0.5"]},
 }
 
 
-def param_grid(name: str, estimator, max_points: int | None = None, seed: int = 42):
-    """Full grid, or a seeded random subset of ``max_points``."""
-    if name not in GRIDS:
+def param_grid(name: str, grids: Mapping[str, Mapping[str, Sequence]] | None = None, max_points: int | None = None,
+               seed: int = 42) -> list[dict]:
+    """The points of the full grid, or a seeded random subset of
+    ``max_points`` (a random search, when the caller asks for one)."""
+    grids = GRIDS if grids is None else grids
+    if name not in grids:
         raise ValueError(f"no tuning grid for {name!r}")
-    b = ParamGridBuilder()
-    for p, vals in GRIDS[name].items():
-        b = b.addGrid(estimator.getParam(p), vals)
-    grid = b.build()
-    if max_points and max_points < len(grid):
-        grid = random.Random(seed).sample(grid, max_points)
-    return grid
+    names = list(grids[name])
+    points = [dict(zip(names, values)) for values in itertools.product(*grids[name].values())]
+    if max_points and max_points < len(points):
+        points = random.Random(seed).sample(points, max_points)
+    return points
 
 
 def grid_guide(spark, name: str) -> DataFrame:
@@ -202,53 +236,107 @@ def grid_guide(spark, name: str) -> DataFrame:
                                  "model string, param string, values string, grid_size int")
 
 
-class BusinessCostEvaluator(Evaluator):
-    """Scores a fold by the lowest business cost per observation over
-    the threshold grid (negated, so larger is better), from one threshold
-    search aggregation per fold."""
+def params_text(params: Mapping[str, object]) -> str:
+    return ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
+
+
+def grid_search(name: str, data: DataFrame, key: Sequence[str], label: str = "y", k: int = 3,
+                grids: Mapping[str, Mapping[str, Sequence]] | None = None, max_points: int | None = None,
+                seed: int = 42, lo: int = 5, hi: int = 95) -> tuple[DataFrame, dict]:
+    """Cross-validated search.  Every grid point is fitted on
+    the other folds of each fold (class weights from those rows only) and
+    scores that fold; all scores are one table, from which one aggregation
+    each gives the business cost at the fold's best threshold, average
+    precision, ROC-AUC and recall.  Returns the search table (one row per point:
+    params, the mean scores and their ranks, best first) and the parameters of
+    the best point."""
+    points = param_grid(name, grids, max_points, seed)
+    d = cut_lineage(kfold_column(data, key, k, seed, label=label))
+    scored = None
+    for i, params in enumerate(points):
+        for f in range(k):
+            model, _ = fit(name, d.where(F.col("fold") != f), label, seed=seed, params=params)
+            part = score(model, d.where(F.col("fold") == f), [label]).withColumns({"point": F.lit(i), "fold": F.lit(f)})
+            scored = part if scored is None else scored.unionByName(part)
+    scored = cut_lineage(scored)
+    by = ["point", "fold"]
+    cost = K.least_cost(scored, label, "score", by, lo, hi)
+    rest = K.classification_metrics(scored, label, "score", by=by).select(*by, "pr_auc", "roc_auc", "recall")
+    means = rest.join(cost, by).groupBy("point").agg(
+        F.avg("least_cost_per_obs").alias("mean_business_cost"), F.avg("pr_auc").alias("mean_average_precision"),
+        F.avg("roc_auc").alias("mean_roc_auc"), F.avg("recall").alias("mean_recall"))
+    spark = data.sparkSession
+    listed = spark.createDataFrame([(i, name, params_text(p)) for i, p in enumerate(points)], "point int, model string, params string")
 
-    def __init__(self, labelCol: str = "y", lo: int = 5, hi: int = 95, fn_cost: float = K.FN_COST,
-                 fp_cost: float = K.FP_COST):
-        super().__init__()
-        self.labelCol, self.lo, self.hi, self.fn_cost, self.fp_cost = labelCol, lo, hi, fn_cost, fp_cost
+    def rank(c, descending=True):
+        return F.rank().over(Window.orderBy(F.col(c).desc() if descending else F.col(c).asc()))  # one row per point
+    table = cut_lineage(listed.join(means, "point").withColumns({
+        "rank_business_cost": rank("mean_business_cost", False), "rank_average_precision": rank("mean_average_precision"),
+        "rank_roc_auc": rank("mean_roc_auc"), "rank_recall": rank("mean_recall")}))
+    table = table.orderBy("rank_business_cost", "rank_average_precision", "point")
+    return table, points[table.first()["point"]]
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        s = dataset.select(F.col(self.labelCol).alias("y"), vector_to_array("probability")[1].alias("score"))
-        t = K.threshold_search(s, "y", "score", self.lo, self.hi, self.fn_cost, self.fp_cost)
-        best = t.agg(F.min("business_cost_per_obs")).first()[0]
-        return -float(best)
 
-    def isLargerBetter(self) -> bool:
-        return True
+BOOSTED = ("gbt", "gbt_leafwise")
 
 
-def grid_search(name: str, data: DataFrame, key: Sequence[str], label: str = "y", k: int = 3,
-                max_points: int | None = None, seed: int = 42, fast: bool = False,
-                parallelism: int = 2) -> DataFrame:
-    """Cross-validated search with the business-cost scorer over
-    seeded folds (``foldCol``); one row per grid point: params, mean score,
-    rank."""
-    d = balanced_class_weight(kfold_column(data, key, k, seed, label=label), label, "weight")
-    est = build_estimator(name, label, "weight", seed, fast)
-    grid = param_grid(name, est, max_points, seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=BusinessCostEvaluator(label),
-                        foldCol="fold", parallelism=parallelism, seed=seed)
-    cvm = cv.fit(d.withColumn("fold", F.col("fold").cast("int")))
-    rows = []
-    for pm, score_ in zip(grid, cvm.avgMetrics):
-        rows.append((name, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda x: x[0].name)),
-                     float(score_), -float(score_)))
-    spark = data.sparkSession
-    out = spark.createDataFrame(rows, "model string, params string, mean_score double, mean_cost_per_obs double")
-    from pyspark.sql import Window
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.col("mean_score").desc(), "params")))
-
-
-def early_stopped_gbt(train: DataFrame, valid_frac_col: str, label: str = "y", max_iter: int = 300,
-                      tol: float = 0.01, seed: int = 42):
-    """Boosting with a validation indicator column; Spark stops when the
-    validation loss stops improving by ``tol``.  Returns (model, n_trees)."""
-    est = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, stepSize=0.05,
-                        validationIndicatorCol=valid_frac_col, validationTol=tol, seed=seed)
-    m = est.fit(train)
+def early_stopped(name: str, train: DataFrame, valid_col: str, label: str = "y",
+                  params: Mapping[str, object] | None = None, tol: float = 0.01, seed: int = 42):
+    """Boosting on the rows where ``valid_col`` is false, with the others as
+    validation; stops when the validation loss no longer improves by ``tol``.
+    Returns (model, number of trees)."""
+    data = balanced_class_weight(train, label, "weight") if name == "gbt_leafwise" else train
+    est = build_estimator(name, label, "weight" if name == "gbt_leafwise" else None, seed, params)
+    est = est.copy({est.validationIndicatorCol: valid_col, est.validationTol: tol})
+    m = est.fit(data)
     return m, m.getNumTrees
+
+
+def tuned_threshold(name: str, data: DataFrame, key: Sequence[str], label: str = "y",
+                    params: Mapping[str, object] | None = None, valid_pct: int = 20, seed: int = 42,
+                    lo: int = 10, hi: int = 90) -> tuple[float, dict, DataFrame]:
+    """The business threshold, found on an inner validation part that
+    the model has not seen, and the parameters of the final fit: those given,
+    with the early-stopped number of trees for a boosted model.  Returns
+    (threshold, final parameters, threshold table)."""
+    inner = cut_lineage(stratified_holdout(data, label, key, valid_pct, seed, name="is_valid")
+                        .withColumn("is_valid", F.col("is_valid").cast("boolean")))
+    final = dict(params or {})
+    if name in BOOSTED:
+        model, trees = early_stopped(name, inner, "is_valid", label, params, seed=seed)
+        final["maxIter"] = int(trees)
+    else:
+        model, _ = fit(name, inner.where("not is_valid").drop("is_valid"), label, seed=seed, params=params)
+    table = K.threshold_search(score(model, inner.where("is_valid"), [*key, label]), label, lo=lo, hi=hi)
+    table = cut_lineage(table)
+    return float(K.best_threshold(table).first()["threshold"]), final, table
+
+
+# --- K16 / K17 with a model -------------------------------------------------------------
+def fit_regression(train: DataFrame, label: str = "y", params: Mapping[str, object] | None = None):
+    est = LinearRegression(featuresCol=FEATURES, labelCol=label)
+    return est.copy({est.getParam(k): v for k, v in (params or {}).items()}).fit(train)
+
+
+def regression_evaluation(data: DataFrame, key: Sequence[str], label: str = "y", test_pct: int = 20, seed: int = 42,
+                          params: Mapping[str, object] | None = None):
+    """Seeded split, fit, metrics on train and test: one row per split.
+    Returns (metrics, model)."""
+    d = holdout(data, key, test_pct, seed)
+    model = fit_regression(d.where("is_test = 0"), label, params)
+    s = model.transform(d).select(F.when(F.col("is_test") == 1, "test").otherwise("train").alias("split"),
+                                  F.col(label).alias("y"), F.col("prediction").alias("yhat"))
+    return K.regression_metrics(s, by=["split"]), model
+
+
+def regression_cross_validate(data: DataFrame, key: Sequence[str], label: str = "y", k: int = 5, seed: int = 42,
+                              params: Mapping[str, object] | None = None) -> DataFrame:
+    """Metrics of every (fold, split)."""
+    d = cut_lineage(kfold_column(data, key, k, seed))
+    out = None
+    for f in range(k):
+        model = fit_regression(d.where(F.col("fold") != f), label, params)
+        s = model.transform(d).select(F.when(F.col("fold") == f, "valid").otherwise("train").alias("split"),
+                                      F.lit(f).alias("fold"), F.col(label).alias("y"), F.col("prediction").alias("yhat"))
+        out = s if out is None else out.unionByName(s)
+    return K.regression_metrics(out, by=["fold", "split"])
