@@ -90,27 +90,36 @@ def coverage_filtered_correlations(df: DataFrame, target: str, columns: Sequence
 
 
 # --- G4 ------------------------------------------------------------------------
+RANK_BROADCAST_ROWS = 200_000  # rank tables up to this size are broadcast, larger ones joined by a shuffle
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str] = (), sample_n: int | None = None,
                     seed: int = 42) -> DataFrame:
     """Spearman correlation (average ranks over pair-complete rows, as pandas'
     pairwise ``corr(method="spearman")``) of every pair of columns, on the
     whole frame (or on an exact seeded sample of ``sample_n`` rows when given).
+    Columns with a single value have no ranks to correlate and are left out.
 
     A column's ranks are computed over its non-missing rows; a pair whose
     partner column has missing values gets its own ranks over the
     pair-complete rows.  All rank tables come from ONE long-form count of
     distinct values and one grouped, bucketed running sum (average rank =
-    #smaller + (#equal + 1) / 2); they are joined back by value onto the rows
-    and every pair correlation comes from one aggregate."""
+    #smaller + (#equal + 1) / 2).  All ranks of a column are one table by value,
+    joined back once: by broadcast where its counted size allows, so that only
+    columns of many distinct values (which have no hot value) shuffle rows.
+    Every pair correlation comes from one aggregate."""
     s = df.select(*key, *[clean_float(c).alias(c) for c in columns])
     if sample_n:
         s = exact_sample(s, sample_n, list(key), seed)
-    s = cut_lineage(s)  # read by the rank tables and the final aggregate
+    s = cut_lineage(s.select(*columns))  # read by the rank tables and the final aggregate
+    none = df.sparkSession.createDataFrame([], "var_a string, var_b string, spearman double, n long")
+    facts = s.agg(*[x for c in columns for x in (F.count_if(F.col(c).isNull()).alias(f"null_{c}"),
+                                                 (F.min(c) < F.max(c)).alias(f"varies_{c}"))]).first()
+    columns = [c for c in columns if facts[f"varies_{c}"]]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
-        return df.sparkSession.createDataFrame([], "var_a string, var_b string, spearman double, n long")
-    nulls = s.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    nullable = {c for c in columns if nulls[c] > 0}
+        return none
+    nullable = {c for c in columns if facts[f"null_{c}"] > 0}
     # rank id -> (column, partner or None)
     specs: list[tuple[str, str | None]] = [(c, None) for c in columns]
     for a, b in pairs:
@@ -125,37 +134,41 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str] =
     counts = long.groupBy("rid", "v").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     cum = running_totals(counts, "v", ["_n"], by=["rid"])
     table = cut_lineage(cum.select("rid", "v", (F.col("cum__n") - F.col("_n") + (F.col("_n") + 1) / 2).alias("r")))
-    ranked = s
-    name = {}
-    for rid, (x, y) in enumerate(specs):
-        name[(x, y)] = f"_r{rid}"
-        t = table.where(F.col("rid") == rid).select(F.col("v").alias("_v"), F.col("r").alias(f"_r{rid}"))
-        ranked = ranked.join(t, F.col(x) == F.col("_v"), "left").drop("_v")
-    aggs = []
-    for k, (a, b) in enumerate(pairs):
+    sizes = {r["rid"]: r["n"] for r in table.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per rank id
+    ranked, name = s, {}
+    for c in columns:
+        mine = [rid for rid, (x, _) in enumerate(specs) if x == c]
+        name.update({specs[rid]: f"_r{rid}" for rid in mine})
+        t = (table.where(F.col("rid").isin(mine)).groupBy(F.col("v").alias("_v"))
+             .agg(*[F.max(F.when(F.col("rid") == rid, F.col("r"))).alias(f"_r{rid}") for rid in mine]))
+        if max(sizes.get(rid, 0) for rid in mine) <= RANK_BROADCAST_ROWS:
+            t = F.broadcast(t)
+        ranked = ranked.join(t, F.col(c) == F.col("_v"), "left").drop("_v")
+    rows = []
+    for a, b in pairs:
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         ra = F.when(both, F.col(name.get((a, b), name[(a, None)])))
         rb = F.when(both, F.col(name.get((b, a), name[(b, None)])))
-        aggs += [F.count_if(both).alias(f"n{k}"), F.covar_pop(ra, rb).alias(f"c{k}"),
-                 F.stddev_pop(ra).alias(f"sa{k}"), F.stddev_pop(rb).alias(f"sb{k}")]
-    g = ranked.agg(*aggs)
-    parts = []
-    for k, (a, b) in enumerate(pairs):
-        rho = F.when(F.col(f"n{k}") >= 2, F.col(f"c{k}") / F.nullif(F.col(f"sa{k}") * F.col(f"sb{k}"), F.lit(0.0)))
-        parts.append(g.select(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), rho.alias("spearman"),
-                              F.col(f"n{k}").alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        n = F.count_if(both)
+        rho = F.when(n >= 2, F.covar_pop(ra, rb) / F.nullif(F.stddev_pop(ra) * F.stddev_pop(rb), F.lit(0.0)))
+        rows.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), rho.alias("spearman"), n.alias("n")))
+    return ranked.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 # --- G5 / G6 / G7 ----------------------------------------------------------------
+CF_TERMS = 400  # of the continued fraction; it converges like its terms / sqrt(z)
+
+
 def chi2_sf(x: Column, dof: Column) -> Column:
     """Upper tail of the chi-square distribution, Q(dof/2, x/2), as a
-    JVM-side expression: the lower regularized gamma series
-    P(a, z) = sum_n exp((a+n) ln z - z - lnGamma(a+n+1)) with lnGamma built up
-    incrementally (a is a multiple of 1/2).  Tails below ~1e-20 are 0."""
+    JVM-side expression (a = dof/2, z = x/2; a is a multiple of 1/2).
+
+    Below z = a + 1 it is one minus the power series of the lower regularized
+    gamma function.  Above, where that difference would lose every digit, it
+    is Legendre's continued fraction of the upper one,
+    z^a e^-z / Gamma(a) * 1/(z+1-a - 1(1-a)/(z+3-a - 2(2-a)/(z+5-a - ...))),
+    evaluated from its far end; small tails keep their relative precision down
+    to the smallest doubles."""
     a = dof.cast("double") / 2
     z = x.cast("double") / 2
     # lnGamma(a + 1) for a = m/2: sum of ln(a - i) over the integer steps, times Gamma(1.5) when m is odd
@@ -170,10 +183,14 @@ def chi2_sf(x: Column, dof: Column) -> Column:
         lambda acc, n: F.struct((acc["lt"] + F.log(z) - F.log(a + n)).alias("lt"),
                                 (acc["s"] + F.exp(acc["lt"] + F.log(z) - F.log(a + n))).alias("s")),
         lambda acc: acc["s"])
-    far = z - a > F.lit(50.0) + F.lit(10.0) * F.sqrt(a)
+    far_end = z + F.lit(2.0 * CF_TERMS + 1) - a
+    fraction = F.aggregate(F.sequence(F.lit(CF_TERMS), F.lit(1), F.lit(-1)), far_end,
+                           lambda acc, n: z + 2 * n - 1 - a - n * (n - a) / acc)
+    # z^a e^-z / Gamma(a) = a * z^a e^-z / Gamma(a + 1)
+    upper = a * F.exp(first) / fraction
     return (F.when(x.isNull() | dof.isNull(), F.lit(None).cast("double"))
             .when(z <= 0, F.lit(1.0))
-            .when(far, F.lit(0.0))
+            .when(z > a + 1, upper)
             .otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - series)))
 
 

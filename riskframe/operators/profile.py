@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import (categorical_columns, clean_float, numeric_columns,
+from ..functions.expr import (categorical_columns, clean_float, clean_floats, numeric_columns, sanitize_names,
                               temporal_columns)
 from ..session import cut_lineage
 from .quantiles import exact_quantiles, long_numeric, quantiles_from_long
@@ -48,25 +48,75 @@ def value_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _typed(df: DataFrame, c: str):
+    x = F.col(f"`{c}`")
+    return clean_float(x) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else x
+
+
+def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column, from ONE wide aggregate without any shuffle of values: rows,
+    null_count, non_null, and whether it has a single value (min = max)."""
+    cols = list(columns) if columns is not None else df.columns
+    n = F.count(F.lit(1))
+
+    def row(c):
+        x = _typed(df, c)
+        return F.struct(F.lit(c).alias("variable"), n.alias("rows"), (n - F.count(x)).alias("null_count"),
+                        F.count(x).alias("non_null"), (F.min(x) == F.max(x)).alias("single"))
+    return _inline(df, cols, row)
+
+
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, null_count, non_null, nunique (NULL excluded),
     nunique_with_null, dominant_count (NULL counts as a value), top_value
-    (most frequent non-null, lowest on ties) and top_count, plus dtype."""
+    (most frequent non-null, lowest on ties, as text) and top_count, plus dtype.
+
+    Null counts and single-valued columns come from one wide aggregate; only
+    the other columns need their values counted, by type: numbers travel as
+    doubles (longs, dates and the rest as text), not all as text."""
     cols = list(columns) if columns is not None else df.columns
-    vc = value_counts_long(df, cols)
-    nn = F.col("value").isNotNull()
-    stats = vc.groupBy("variable").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(~nn, F.col("n"))), F.lit(0)).alias("null_count"),
-        F.coalesce(F.sum(F.when(nn, F.col("n"))), F.lit(0)).alias("non_null"),
-        F.count("value").alias("nunique"),
-        F.count(F.lit(1)).alias("nunique_with_null"),
-        F.max("n").alias("dominant_count"),
-        F.min_by(F.when(nn, F.col("value")),
-                 F.when(nn, F.struct((-F.col("n")).alias("a"), F.col("value").alias("b")))).alias("top_value"),
-        F.max(F.when(nn, F.col("n"))).alias("top_count"),
-    )
-    return stats.join(F.broadcast(dtypes(df, cols)), "variable")  # one row per column
+    spark = df.sparkSession
+    facts = column_facts(df, cols).collect()                      # one row per column
+    rows, single = {}, {}
+    for r in facts:
+        rows[r["variable"]] = (r["rows"], r["null_count"], r["non_null"])
+        single[r["variable"]] = r["single"]
+    many = [c for c in cols if rows[c][2] and not single[c]]
+    numbers = [c for c in many if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType))]
+    texts = [c for c in many if c not in numbers]
+    counted = None
+    ids = {c: i for i, c in enumerate(many)}
+    for part, cast in ((numbers, "double"), (texts, "string")):
+        if not part:
+            continue
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(ids[c]).alias("id"), _typed(df, c).cast(cast).alias("value"))
+                                            for c in part]))).where(F.col("value").isNotNull())
+        vc = long.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = F.min(F.struct((-F.col("n")).alias("a"), F.col("value").alias("b")))
+        one = vc.groupBy("id").agg(F.count(F.lit(1)).alias("nunique"), best.alias("t")) \
+            .select("id", "nunique", (-F.col("t.a")).alias("top_count"), F.col("t.b").cast("string").alias("top_value"))
+        counted = one if counted is None else counted.unionByName(one)
+    found = {r["id"]: r for r in counted.collect()} if counted is not None else {}   # one row per column
+    constant = [c for c in cols if rows[c][2] and single[c]]
+    value = df.agg(*[F.first(_typed(df, c), ignorenulls=True).cast("string").alias(f"v{i}") for i, c in enumerate(constant)]).first() \
+        if constant else None
+    out = []
+    for c in cols:
+        n, nulls, present = rows[c]
+        if c in ids and ids[c] in found:
+            r = found[ids[c]]
+            nunique, top_count, top = r["nunique"], r["top_count"], r["top_value"]
+            field = df.schema[c].dataType
+            if c in numbers and not isinstance(field, (T.DoubleType, T.FloatType)):
+                top = str(int(float(top)))
+        elif present:
+            nunique, top_count, top = 1, present, value[f"v{constant.index(c)}"]
+        else:
+            nunique, top_count, top = 0, None, None
+        out.append((c, df.schema[c].dataType.simpleString(), n, nulls, present, nunique, nunique + (nulls > 0),
+                    max(nulls, top_count or 0) if n else None, top, top_count))
+    return spark.createDataFrame(out, "variable string, dtype string, rows long, null_count long, non_null long, nunique long, "
+                                      "nunique_with_null long, dominant_count long, top_value string, top_count long")
 
 
 # --- F1 ------------------------------------------------------------------------
@@ -96,15 +146,24 @@ def column_quality(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 # --- F3 ------------------------------------------------------------------------
+def _inline(df: DataFrame, cols: Sequence[str], row) -> DataFrame:
+    """One row per column from ONE wide aggregate: ``row(c)`` is a struct of
+    aggregate expressions of column c."""
+    return df.agg(F.array(*[row(c) for c in cols]).alias("rows")).select(F.inline("rows"))
+
+
 def numeric_completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """variable, pct_nan_zero, pct_nan, pct_zero (percent of rows)."""
+    """variable, pct_nan_zero, pct_nan, pct_zero (percent of rows), from one
+    pass of conditional counts; sorted pct_nan_zero desc."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    long = df.select(*[clean_float(c).alias(c) for c in cols]).unpivot([], cols, "variable", "x")
     n = F.count(F.lit(1))
-    return long.groupBy("variable").agg(
-        (F.count_if(F.col("x").isNull()) * 100.0 / n).alias("pct_nan"),
-        (F.count_if(F.col("x") == 0) * 100.0 / n).alias("pct_zero"),
-    ).withColumn("pct_nan_zero", F.col("pct_nan") + F.col("pct_zero"))
+
+    def row(c):
+        x = clean_float(c)
+        return F.struct(F.lit(c).alias("variable"), (F.count_if(x.isNull()) * 100.0 / n).alias("pct_nan"),
+                        (F.count_if(x == 0) * 100.0 / n).alias("pct_zero"))
+    out = _inline(df, cols, row).withColumn("pct_nan_zero", F.col("pct_nan") + F.col("pct_zero"))
+    return out.orderBy(F.col("pct_nan_zero").desc(), "variable")
 
 
 # --- F4 ------------------------------------------------------------------------
@@ -139,12 +198,15 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 # --- F5 ------------------------------------------------------------------------
 def moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """n, min, max and the bias-adjusted skewness G1 (n >= 3) and excess
-    kurtosis G2 (n >= 4); a zero-variance column gives 0."""
+    kurtosis G2 (n >= 4) of the finite values; a zero-variance column gives 0.
+    One pass, one wide aggregate."""
     cols = list(columns) if columns is not None else numeric_columns(df)
-    long = long_numeric(df, cols)
-    g = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("min"), F.max("x").alias("max"),
-        F.var_pop("x").alias("_m2"), F.skewness("x").alias("_g1"), F.kurtosis("x").alias("_g2"))
+
+    def row(c):
+        x = clean_float(c)
+        return F.struct(F.lit(c).alias("variable"), F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
+                        F.var_pop(x).alias("_m2"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
+    g = _inline(df, cols, row).where(F.col("n") > 0)
     n = F.col("n").cast("double")
     zero_var = F.col("_m2") == 0
     skew = F.when(n >= 3, F.when(zero_var, F.lit(0.0)).otherwise(
@@ -171,16 +233,9 @@ def temporal_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """min, max, null_count, pct_null of every date/timestamp column (one agg)."""
     cols = list(columns) if columns is not None else temporal_columns(df)
     n = F.count(F.lit(1))
-    row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}"),
-        F.count_if(F.col(c).isNull()).alias(f"nl{i}"))], n.alias("n"))
-    parts = [row.select(F.lit(c).alias("variable"), F.col(f"mn{i}").alias("min"), F.col(f"mx{i}").alias("max"),
-                        F.col(f"nl{i}").alias("null_count"),
-                        (F.col(f"nl{i}") * 100.0 / F.col("n")).alias("pct_null")) for i, c in enumerate(cols)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _inline(df, cols, lambda c: F.struct(
+        F.lit(c).alias("variable"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),
+        F.count_if(F.col(c).isNull()).alias("null_count"), (F.count_if(F.col(c).isNull()) * 100.0 / n).alias("pct_null")))
 
 
 # --- F8 / F13 ------------------------------------------------------------------
@@ -304,22 +359,40 @@ def modeling_quality_report(train: DataFrame, id_col: str, target: str,
 
 def prepare_modeling_tables(train: DataFrame, test: DataFrame, id_col: str, target: str,
                             missing_threshold: float = 0.95) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(X_train with target, X_test aligned to train's columns, report)."""
+    """F15 end to end: Inf and NaN become NULL; text columns that only hold
+    true/false (over train and test) become 1/0 and other text columns are
+    dropped; train-only pruning by missing ratio and number of values; test is
+    aligned to train's columns; names are sanitised.  Returns (X_train with
+    target, X_test, report).  The report lists the kept features and, with the
+    reason ``dropped_text``, the text columns that were dropped."""
+    from .encode import apply_text_booleans, fit_text_booleans
     from .split import left_align
-    report = modeling_quality_report(train, id_col, target, missing_threshold)
-    keep = [r["feature"] for r in report.select("feature").collect()]
-    keep_sorted = [c for c in train.columns if c in set(keep)]
-    types = {c: train.schema[c].dataType for c in keep_sorted}
-    x_train = train.select(id_col, target, *keep_sorted)
-    x_test = left_align(test, [id_col, *keep_sorted], types)
+    spark = train.sparkSession
+    train, test = clean_floats(train), clean_floats(test)
+    text = [c for c in categorical_columns(train) if c not in (id_col, target)]
+    booleans, dropped = fit_text_booleans(train, test, columns=text)
+    train, test = apply_text_booleans(train, booleans, dropped), apply_text_booleans(test, booleans, dropped)
+    report = modeling_quality_report(train, id_col, target, missing_threshold).withColumn("status", F.lit("kept"))
+    kept = {r["feature"] for r in report.select("feature").collect()}
+    features = [c for c in train.columns if c in kept]
+    types = {c: train.schema[c].dataType for c in features}
+    clean = dict(zip(features, sanitize_names(features)))
+    x_train = train.select(id_col, target, *[F.col(c).alias(clean[c]) for c in features])
+    x_test = left_align(test, [id_col, *features], types).select(id_col, *[F.col(c).alias(clean[c]) for c in features])
+    if dropped:
+        gone = spark.createDataFrame([(c, "string", "dropped_text") for c in dropped], "feature string, dtype string, status string")
+        report = report.unionByName(gone, allowMissingColumns=True)
     return x_train, x_test, report
 
 
 # --- F17 -----------------------------------------------------------------------
 def assert_no_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> None:
-    """raise when any column still has missing values (one aggregate)."""
+    """raise when any column still has missing values, NaN and Inf
+    included (one aggregate)."""
     cols = list(columns) if columns is not None else df.columns
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    missing = {c: (clean_float(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c)).isNull()
+               for c in cols}
+    row = df.agg(*[F.count_if(missing[c]).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     bad = {c: row[f"c{i}"] for i, c in enumerate(cols) if row[f"c{i}"]}
     if bad:
         raise AssertionError(f"residual nulls after imputation: {bad}")

@@ -156,11 +156,23 @@ def q_chi2_cramers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pvalue_sql(x: str, dof: str) -> str:
-    a, z = f"({dof} / 2.0)", f"({x} / 2.0)"
-    n = f"CAST({z} + 12.0 * sqrt({z} + 1) + 40 AS BIGINT)"
-    series = f"(SELECT sum(exp(({a} + t.i) * ln({z}) - {z} - lgamma({a} + t.i + 1))) FROM range(0, {n} + 1) t(i))"
+    """Upper chi-square tail in closed form.  Even dof: e^-z sum z^k / k! for
+    k < dof/2.  Odd dof: erfc(sqrt z) plus e^-z sum z^(k-1/2) / Gamma(k+1/2) for
+    k <= (dof-1)/2.  erfc: its power series below 1, above it the integral
+    (2 y e^-y^2 / pi) int_0^inf e^-t^2 / (t^2 + y^2) dt by the trapezoidal rule,
+    whose error falls exponentially with the step."""
+    z = f"({x} / 2.0)"
+    y = f"sqrt({z})"
+    even = f"(SELECT sum(exp(t.i * ln({z}) - {z} - lgamma(t.i + 1))) FROM range(0, CAST({dof} / 2 AS BIGINT)) t(i))"
+    tail = (f"coalesce((SELECT sum(exp((t.i - 0.5) * ln({z}) - {z} - lgamma(t.i + 0.5))) "
+            f"FROM range(1, CAST(({dof} - 1) / 2 AS BIGINT) + 1) t(i)), 0.0)")
+    small = (f"1.0 - 2.0 / sqrt(pi()) * (SELECT sum(CASE WHEN t.i % 2 = 0 THEN 1.0 ELSE -1.0 END * "
+             f"pow({y}, 2 * t.i + 1) / (exp(lgamma(t.i + 1)) * (2 * t.i + 1))) FROM range(0, 40) t(i))")
+    large = (f"2.0 * {y} * exp(-{z}) / pi() * 0.05 * (SELECT sum(CASE WHEN t.i = 0 THEN 0.5 ELSE 1.0 END * "
+             f"exp(-pow(0.05 * t.i, 2)) / (pow(0.05 * t.i, 2) + {z})) FROM range(0, 160) t(i))")
     return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {z} <= 0 THEN 1.0 "
-            f"WHEN {z} - {a} > 50.0 + 10.0 * sqrt({a}) THEN 0.0 ELSE greatest(0.0, 1.0 - {series}) END")
+            f"WHEN CAST({dof} AS BIGINT) % 2 = 0 THEN {even} "
+            f"ELSE (CASE WHEN {z} < 1 THEN {small} ELSE {large} END) + {tail} END")
 
 
 def sql_chi2_cramers() -> str:

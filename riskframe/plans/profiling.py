@@ -84,20 +84,17 @@ def q_iqr_outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_iqr_outliers() -> str:
-    parts = []
-    for c in FE.mart_numeric_columns():
-        x = f"CAST({S.q(c)} AS DOUBLE)"
-        parts.append(
-            f"SELECT '{c}' AS variable, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median, "
-            f"quantile_cont({x}, 0.75) AS q3, min({x}) AS min, max({x}) AS max, count({x}) AS non_null FROM mart")
-    body = _union(parts)
-    cnt = []
-    for c in FE.mart_numeric_columns():
-        x = f"CAST({S.q(c)} AS DOUBLE)"
-        cnt.append(f"SELECT '{c}' AS variable, count_if({x} < f.lower) AS n_low, count_if({x} > f.upper) AS n_high "
-                   f"FROM mart, (SELECT lower, upper FROM fences WHERE variable = '{c}') f")
-    return (f"WITH {_mart_cte()}, q AS ({body}), fences AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower, "
-            f"q3 + 1.5 * (q3 - q1) AS upper FROM q), c AS ({_union(cnt)}), "
+    """The mart once (materialised), unpivoted once, grouped by variable."""
+    cols = FE.mart_numeric_columns()
+    casts = ", ".join(f"CAST({S.q(c)} AS DOUBLE) AS {S.q(c)}" for c in cols)
+    names = ", ".join(S.q(c) for c in cols)
+    return (f"WITH {_mart_cte().replace('mart AS (', 'mart AS MATERIALIZED (', 1)}, d AS (SELECT {casts} FROM mart), "
+            f"l AS MATERIALIZED (UNPIVOT d ON {names} INTO NAME variable VALUE x), "
+            "q AS (SELECT variable, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3, "
+            "min(x) AS min, max(x) AS max, count(*) AS non_null FROM l GROUP BY variable), "
+            "fences AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q), "
+            "c AS (SELECT l.variable, count_if(x < f.lower) AS n_low, count_if(x > f.upper) AS n_high "
+            "FROM l JOIN fences f ON l.variable = f.variable GROUP BY l.variable), "
             "r AS (SELECT f.variable, coalesce((c.n_low + c.n_high) * 100.0 / nullif(f.non_null, 0), 0.0) AS pct_outliers, "
             "coalesce(c.n_low, 0) AS n_low, coalesce(c.n_high, 0) AS n_high, f.min, f.q1, f.median, f.q3, f.max, "
             "f.lower, f.upper FROM fences f LEFT JOIN c ON f.variable = c.variable) "

@@ -13,6 +13,7 @@ from ..operators import metrics as K
 from ..operators import profile as P
 from ..operators import split as H
 from ..operators.joins import lookup_with_default
+from ..session import cut_lineage
 from ..operators.rank import arg_max  # noqa: F401 (I5 helper, see top_client)
 from . import evaluation as V
 from . import features as FE
@@ -133,24 +134,29 @@ def sql_catalog_lookup() -> str:
 
 # --- F14 encoding_summary, F17 residual_nulls --------------------------------------------------
 def q_encoding_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The seven counts of the encoding step: raw text columns, text columns
+    left, train and test rows, final columns, engineered columns, columns that
+    the train-based pruning removes."""
     app = T.application(spark, sf)
     raw_cat = X.categorical_columns(app)
-    enc, new = E.one_hot_encode(app)
-    mart = FE.q_client_feature_mart(spark, sf)
-    n = mart.count()
+    mart = cut_lineage(FE.q_client_feature_mart(spark, sf))
+    enc, _ = E.one_hot_encode(mart, E.fit_vocabulary(mart, raw_cat, max_categories=T.MAX_DUMMIES))
+    sizes = mart.agg(F.count("TARGET").alias("train"), F.count_if(F.col("TARGET").isNull()).alias("test")).first()
+    removed = P.train_pruning_report(mart.where(F.col("TARGET").isNotNull()), ["c_custkey", "TARGET"], 0.995).count()
     rows = [("raw_categorical_columns", len(raw_cat)), ("text_columns_after_encoding", len(X.categorical_columns(enc))),
-            ("dummy_columns", len(new)), ("mart_rows", n), ("mart_columns", len(mart.columns)),
-            ("engineered_columns", len([c for c in mart.columns if c not in app.columns]))]
+            ("train_rows", sizes["train"]), ("test_rows", sizes["test"]), ("columns_after_encoding", len(enc.columns)),
+            ("engineered_columns", len([c for c in enc.columns if c not in app.columns])), ("columns_removed", removed)]
     return spark.createDataFrame(rows, "metric string, value long")
 
 
 def sql_encoding_summary() -> str:
-    n_cols = len(FE.mart_columns())
-    n_eng = n_cols - 5
-    return ("SELECT * FROM (VALUES ('raw_categorical_columns', 1), ('text_columns_after_encoding', 0), "
-            f"('dummy_columns', (SELECT count(DISTINCT c_mktsegment) + 1 FROM customer)), "
-            f"('mart_rows', (SELECT count(*) FROM customer)), ('mart_columns', {n_cols}), "
-            f"('engineered_columns', {n_eng})) t(metric, value)")
+    from .profiling import sql_quasi_constant
+    segments = "(SELECT count(DISTINCT c_mktsegment) + 1 FROM customer)"
+    kept = len(FE.mart_columns()) - 1
+    return (f"WITH a AS {T.APPLICATION_SQL} SELECT * FROM (VALUES ('raw_categorical_columns', 1), ('text_columns_after_encoding', 0), "
+            "('train_rows', (SELECT count(TARGET) FROM a)), ('test_rows', (SELECT count(*) - count(TARGET) FROM a)), "
+            f"('columns_after_encoding', {kept} + {segments}), ('engineered_columns', {kept} - 4 + {segments}), "
+            f"('columns_removed', (SELECT count(*) FROM ({sql_quasi_constant()})))) t(metric, value)")
 
 
 _IMPUTE_COLS = ["ORD_o_totalprice_VAR", "ACTIVE_o_totalprice_SUM", "CLOSED_DAYS_ORDER_MEAN", "EVT_value_MEAN",
