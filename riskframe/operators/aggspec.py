@@ -36,12 +36,16 @@ def _value(col: str, where: Column | None) -> Column:
 
 
 def agg_column(col: str, agg: str, where: Column | None = None, numeric: bool = True,
-               is_float: bool = True) -> Column:
+               is_float: bool | None = None) -> Column:
     """One aggregate expression with the null rules of the module docstring.
-    ``is_float`` False skips the NaN/Inf guard (integer columns have none)."""
+    NaN and Inf count as missing in every aggregate of a float column
+    (``is_float``); False skips that guard (integer columns need none), None
+    (unknown type) applies it where the aggregate is numeric anyway."""
     x = _value(col, where)
     if numeric and agg in ("mean", "sum", "var", "std", "median"):
-        x = clean_float(x) if is_float else x.cast("double")
+        x = x.cast("double") if is_float is False else clean_float(x)
+    elif numeric and is_float and agg in ("min", "max", "nunique", "count"):
+        x = clean_float(x)
 
     def n_rows() -> Column:
         return F.count(F.lit(1)) if where is None else F.count(F.when(where, F.lit(1)))
@@ -80,10 +84,10 @@ def agg_exprs(
     float_cols: set | None = None,
 ) -> list[Column]:
     """``[agg(col).alias(f"{prefix}_{col}_{AGG}")]`` for every (col, agg).
-    ``float_cols``: the float/double columns (all columns when unknown)."""
+    ``float_cols``: the float/double columns, None when unknown."""
     out = []
     for col, aggs in spec.items():
-        is_float = float_cols is None or col in float_cols
+        is_float = None if float_cols is None else col in float_cols
         for a in aggs:
             out.append(agg_column(col, a, where, numeric, is_float).alias(_name(prefix, f"{col}_{a.upper()}")))
     return out
@@ -150,9 +154,9 @@ def aggregate_block(
     # wide aggregate would make Spark shuffle every aggregation buffer twice
     # (once by (key, value), once by key).  Both results are hash-partitioned
     # on the key, so the join adds no exchange.
-    dexprs = agg_exprs({c: a for c, a in distinct_spec.items() if a}, prefix)
+    dexprs = agg_exprs({c: a for c, a in distinct_spec.items() if a}, prefix, float_cols=floats)
     for name, pred in (subsets or {}).items():
-        dexprs += agg_exprs({c: a for c, a in sub_distinct.items() if a}, name, where=pred)
+        dexprs += agg_exprs({c: a for c, a in sub_distinct.items() if a}, name, where=pred, float_cols=floats)
     if not dexprs:
         return main
     needed = {key} | {c for c, a in distinct_spec.items() if a} | {c for c, a in sub_distinct.items() if a}

@@ -14,8 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import categorical_columns, numeric_columns
+from ..functions.expr import categorical_columns, clean_float, numeric_columns
+from ..session import cut_lineage
 from .quantiles import quantile_map
+from .rank import row_number_by_buckets
 
 ENCODINGS = ("onehot", "binary", "ordinal")
 
@@ -25,51 +27,51 @@ def _long_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return vals.unpivot([], list(columns), "variable", "value")
 
 
-def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None,
-                   max_categories: int = 10000) -> dict[str, list[str]]:
-    """C1 fit: sorted distinct non-null values of each categorical column.
+def _checked_values(distinct: DataFrame, by: Sequence[str], max_categories: int) -> list:
+    """Collect (by..., value) rows after an exact count per column: a column with
+    more than ``max_categories`` values raises, so at most that many strings
+    for each named column reach the driver."""
+    distinct = cut_lineage(distinct)
+    too_big = distinct.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_categories).collect()
+    if too_big:
+        found = {".".join(str(r[b]) for b in by): r["n"] for r in too_big}
+        raise ValueError(f"too many categories to one-hot encode (limit {max_categories}): {found}")
+    return distinct.collect()
 
-    One ``unpivot -> distinct`` job for all columns.  The per-column sizes are
-    checked (a tiny aggregate) before anything is collected, so a free-text
-    column raises instead of flooding the driver."""
+
+def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, *, max_categories: int) -> dict[str, list[str]]:
+    """C1 fit: sorted distinct non-null values of each categorical column, in one
+    ``unpivot -> distinct`` job for all columns.
+
+    ``max_categories`` is the most dummy columns that one column may turn
+    into; a column with more values raises, for it needs another encoding
+    (C3, C4), which has no limit."""
     if columns is None:
         columns = categorical_columns(df)
     columns = list(columns)
     if not columns:
         return {}
     distinct = _long_text(df, columns).where(F.col("value").isNotNull()).distinct()
-    # one job; the collect is bounded by max_categories per column
-    bound = max_categories * len(columns)
-    rows = distinct.limit(bound + 1).collect()
     vocab: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in _checked_values(distinct, ["variable"], max_categories):
         vocab[r["variable"]].append(r["value"])
-    too_big = {c: len(v) for c, v in vocab.items() if len(v) > max_categories}
-    if too_big or len(rows) > bound:
-        raise ValueError(f"too many categories to one-hot encode: {too_big or 'over ' + str(bound)}")
     return {c: sorted(v) for c, v in vocab.items()}
 
 
-def fit_vocabularies(frames: Sequence[tuple[DataFrame, Sequence[str]]],
-                     max_categories: int = 10000) -> dict[str, list[str]]:
-    """C1 fit for several tables in ONE job: the long forms of all
-    (frame, columns) pairs are unioned before the distinct."""
+def fit_vocabularies(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], *,
+                     max_categories: int) -> dict[str, dict[str, list[str]]]:
+    """C1 fit for several tables in ONE job: {table: {column: values}}.  Values
+    are tagged with their table, so columns of the same name in different
+    tables keep vocabularies of their own."""
     long = None
-    n_cols = 0
-    for df, cols in frames:
-        part = _long_text(df, list(cols))
+    for name, (df, cols) in frames.items():
+        part = _long_text(df, list(cols)).withColumn("table", F.lit(name))
         long = part if long is None else long.unionByName(part)
-        n_cols += len(cols)
     distinct = long.where(F.col("value").isNotNull()).distinct()
-    bound = max_categories * n_cols
-    rows = distinct.limit(bound + 1).collect()
-    vocab: dict[str, list[str]] = {c: [] for _, cols in frames for c in cols}
-    for r in rows:
-        vocab[r["variable"]].append(r["value"])
-    too_big = {c: len(v) for c, v in vocab.items() if len(v) > max_categories}
-    if too_big or len(rows) > bound:
-        raise ValueError(f"too many categories to one-hot encode: {too_big or 'over ' + str(bound)}")
-    return {c: sorted(v) for c, v in vocab.items()}
+    vocab = {name: {c: [] for c in cols} for name, (_, cols) in frames.items()}
+    for r in _checked_values(distinct, ["table", "variable"], max_categories):
+        vocab[r["table"]][r["variable"]].append(r["value"])
+    return {t: {c: sorted(v) for c, v in cols.items()} for t, cols in vocab.items()}
 
 
 def one_hot_columns(vocabulary: Mapping[str, Sequence[str]], nan_as_category: bool = True,
@@ -85,12 +87,10 @@ def one_hot_columns(vocabulary: Mapping[str, Sequence[str]], nan_as_category: bo
     return out
 
 
-def one_hot_encode(df: DataFrame, vocabulary: Mapping[str, Sequence[str]] | None = None,
+def one_hot_encode(df: DataFrame, vocabulary: Mapping[str, Sequence[str]],
                    nan_as_category: bool = True) -> tuple[DataFrame, list[str]]:
-    """Replace every categorical column by its dummies; values
+    """Replace every column of the vocabulary by its dummies; values
     unseen at fit time give all zeros.  Returns (frame, new column names)."""
-    if vocabulary is None:
-        vocabulary = fit_vocabulary(df)
     if not vocabulary:
         return df, []
     dummies = one_hot_columns(vocabulary, nan_as_category)
@@ -106,14 +106,34 @@ def _check(df: DataFrame, col: str, encoding: str) -> None:
         raise ValueError(f"unknown encoding {encoding!r}; expected one of {ENCODINGS}")
 
 
+def category_codes(df: DataFrame, col: str, categories: Sequence[str] | None = None, first: int = 0) -> DataFrame:
+    """(value, code): position of each distinct non-null value in sorted order
+    (or of the given categories), from ``first``.  Any number of values: they
+    are range-partitioned, numbered inside their part, and shifted by the
+    counts of the parts before."""
+    spark = df.sparkSession
+    if categories is not None:
+        return spark.createDataFrame([(v, i) for i, v in enumerate(categories, first)], "value string, code long")
+    values = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+    parts = cut_lineage(values.repartitionByRange("value").withColumn("_part", F.spark_partition_id()))
+    ranked = row_number_by_buckets(parts, ["value"], F.col("_part"), name="code")
+    return ranked.select("value", (F.col("code") - 1 + first).alias("code"))
+
+
+def _coded(df: DataFrame, col: str, codes: DataFrame, unknown: int) -> DataFrame:
+    """``df`` with ``_code``: an equi-join on the value (a hot value is split by
+    AQE, a small vocabulary broadcast by its size on disk)."""
+    return (df.join(codes.select(F.col("value").alias("_value"), F.col("code").alias("_code")),
+                    F.col(col).cast("string") == F.col("_value"), "left").drop("_value")
+            .withColumn("_code", F.coalesce("_code", F.lit(unknown))))
+
+
 def ordinal_encode(df: DataFrame, col: str, categories: Sequence[str] | None = None) -> DataFrame:
     """C4: code = position in the given order (or sorted values) from 0;
     unseen and NULL -> -1."""
     _check(df, col, "ordinal")
-    cats = list(categories) if categories is not None else fit_vocabulary(df, [col])[col]
-    m = F.create_map(*[x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))])
-    code = F.coalesce(F.try_element_at(m, F.col(col).cast("string")), F.lit(-1))
-    return df.withColumn(col, code.cast("int"))
+    coded = _coded(df, col, category_codes(df, col, categories), -1)
+    return coded.withColumn(col, F.col("_code").cast("int")).drop("_code")
 
 
 def binary_encode(df: DataFrame, col: str, categories: Sequence[str] | None = None) -> DataFrame:
@@ -121,21 +141,19 @@ def binary_encode(df: DataFrame, col: str, categories: Sequence[str] | None = No
     where the reference used order of first appearance), written as bits
     ``{col}_0`` (most significant) .. ``{col}_{k-1}``; unseen / NULL -> 0s."""
     _check(df, col, "binary")
-    cats = list(categories) if categories is not None else fit_vocabulary(df, [col])[col]
-    n_bits = max(1, len(cats).bit_length())
-    m = F.create_map(*[x for i, v in enumerate(cats, start=1) for x in (F.lit(v), F.lit(i))])
-    code = F.coalesce(F.try_element_at(m, F.col(col).cast("string")), F.lit(0))
-    bits = {f"{col}_{i}": F.shiftright(code, n_bits - 1 - i).bitwiseAND(F.lit(1)).cast("int")
+    codes = cut_lineage(category_codes(df, col, categories, first=1))
+    n_bits = max(1, int(codes.agg(F.max("code")).first()[0] or 0).bit_length())
+    bits = {f"{col}_{i}": F.shiftright("_code", n_bits - 1 - i).bitwiseAND(F.lit(1)).cast("int")
             for i in range(n_bits)}
     keep = [F.col(c) for c in df.columns if c != col]
-    return df.select(*keep, *[e.alias(n) for n, e in bits.items()])
+    return _coded(df, col, codes, 0).select(*keep, *[e.alias(n) for n, e in bits.items()])
 
 
-def encode_column(df: DataFrame, col: str, encoding: str, ordinal_categories=None) -> DataFrame:
-    """C2-C5 dispatcher."""
+def encode_column(df: DataFrame, col: str, encoding: str, ordinal_categories=None, *, max_categories: int) -> DataFrame:
+    """C2-C5 dispatcher (``max_categories``: see ``fit_vocabulary``)."""
     _check(df, col, encoding)
     if encoding == "onehot":
-        return one_hot_encode(df, fit_vocabulary(df, [col]))[0]
+        return one_hot_encode(df, fit_vocabulary(df, [col], max_categories=max_categories))[0]
     if encoding == "binary":
         return binary_encode(df, col)
     return ordinal_encode(df, col, ordinal_categories)
@@ -156,7 +174,7 @@ class MedianImputer:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        fill = {c: F.coalesce(F.col(c).cast("double"), F.lit(v))
+        fill = {c: F.coalesce(clean_float(c), F.lit(v))
                 for c, v in self.medians.items() if c in df.columns and v is not None}
         return df.withColumns(fill) if fill else df
 
@@ -169,8 +187,8 @@ class StandardScaler:
 
     def fit(self, df: DataFrame, exclude: Sequence[str] = ()) -> "StandardScaler":
         cols = self.columns or numeric_columns(df, exclude)
-        row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
+        row = df.agg(*[F.avg(clean_float(c)).alias(f"m_{i}") for i, c in enumerate(cols)],
+                     *[F.stddev_pop(clean_float(c)).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
         self.columns = cols
         self.stats = {c: (row[f"m_{i}"], row[f"s_{i}"]) for i, c in enumerate(cols)}
         return self
@@ -180,7 +198,7 @@ class StandardScaler:
         for c, (m, s) in self.stats.items():
             if c in df.columns and m is not None:
                 scale = s if s else 1.0
-                out[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(scale)
+                out[c] = (clean_float(c) - F.lit(m)) / F.lit(scale)
         return df.withColumns(out) if out else df
 
 
@@ -188,13 +206,12 @@ def balanced_class_weight(df: DataFrame, label: str, weight_col: str = "weight")
     """w = n / (n_classes * n_class) as a column, via window counts over
     the label (partial aggregation of two counts, no collect)."""
     from pyspark.sql import Window
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
     every = Window.partitionBy()  # over the (#classes)-row count table only
     w = counts.select(label, (F.sum("_n_class").over(every)
                               / (F.count(F.lit(1)).over(every) * F.col("_n_class")))
                       .alias(weight_col))
-    # one row per class: a proven size bound for the broadcast
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")  # one row per class; rows without a label have no weight
 
 
 @dataclass
@@ -217,7 +234,8 @@ class Winsorizer:
         out = {}
         for c, (lo, hi) in self.bounds.items():
             if c in df.columns and lo is not None and hi is not None and lo < hi:
-                x = F.col(c).cast("double")
+                # infinite values are clipped to the bounds, NaN is missing
+                x = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
                 out[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(lo)), F.lit(hi)))
         return df.withColumns(out) if out else df
 

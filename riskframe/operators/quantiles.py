@@ -30,16 +30,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.expr import clean_float
 from ..session import cut_lineage
 
-MAX_PASSES = 64
+# Equal-width buckets shrink an interval by their number in every pass, unless
+# the values crowd at one end of it.  Intervals that are still open after this
+# many passes are resolved by grouping on the values themselves, which always
+# ends; the grouping is a distributed aggregate, only larger.
+WIDTH_PASSES = 16
 
 
 def long_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., variable, x) with non-missing double values only."""
-    vals = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    """(by..., variable, x) with finite double values only (NaN and Inf count
+    as missing)."""
+    vals = df.select(*by, *[clean_float(c).alias(c) for c in columns])
     long = vals.unpivot(list(by), list(columns), "variable", "x")
-    return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return long.where(F.col("x").isNotNull())
 
 
 def exact_quantiles(
@@ -107,13 +113,15 @@ def quantiles_from_long(long: DataFrame, columns: Sequence[str], probs: Sequence
            T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()),
            T.StructField("rel", T.LongType()), T.StructField("exact", T.BooleanType())])
 
-    for _ in range(MAX_PASSES):
+    passes = 0
+    while True:
+        passes += 1
         open_ = [(tid, t) for tid, t in targets.items() if not t["done"]]
         if not open_:
             break
         tdf = spark.createDataFrame(
             [(tid, *t["g"], t["variable"], float(t["lo"]), float(t["hi"]),
-              int(t["r"] - t["below"]), t["cnt"] <= exact_below) for tid, t in open_],
+              int(t["r"] - t["below"]), t["cnt"] <= exact_below or passes > WIDTH_PASSES) for tid, t in open_],
             tschema)
         j = long.join(F.broadcast(tdf), [*by, "variable"]).where(
             (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
@@ -134,8 +142,6 @@ def quantiles_from_long(long: DataFrame, columns: Sequence[str], probs: Sequence
             t["below"] += row["prev"]
             t["lo"], t["hi"], t["cnt"] = row["bmn"], row["bmx"], row["c"]
             t["done"] = row["bmn"] == row["bmx"]
-    else:
-        raise RuntimeError("exact_quantiles did not converge")
 
     out = []
     seen = set()

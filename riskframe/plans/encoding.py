@@ -32,7 +32,7 @@ def _const(x):
 # --- one_hot (C1/C2) -----------------------------------------------------------
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     app = T.application(spark, sf)
-    out, _ = E.one_hot_encode(app, E.fit_vocabulary(app, ["c_mktsegment"]))
+    out, _ = E.one_hot_encode(app, E.fit_vocabulary(app, ["c_mktsegment"], max_categories=T.MAX_DUMMIES))
     return out
 
 
@@ -45,7 +45,7 @@ def sql_one_hot() -> str:
 # --- dummy_mean (E10 dummies) -------------------------------------------------------
 def q_dummy_mean(spark: SparkSession, sf: str) -> DataFrame:
     o = T.table(spark, sf, "orders")
-    vocab = E.fit_vocabulary(o, ["o_orderstatus", "o_orderpriority"])
+    vocab = E.fit_vocabulary(o, ["o_orderstatus", "o_orderpriority"], max_categories=T.MAX_DUMMIES)
     return sig_round_doubles(o.groupBy("o_custkey").agg(*dummy_mean_exprs(vocab, "PREV")))
 
 

@@ -112,7 +112,7 @@ TWO_HOP_SPEC = {"l_quantity_MIN": ["min"], "l_quantity_MAX": ["max"],
 def q_two_hop_agg(spark: SparkSession, sf: str) -> DataFrame:
     orders = T.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     li = T.table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
-    lines = M.line_summary(li, fit_vocabulary(li, ["l_returnflag"]))
+    lines = M.line_summary(li, fit_vocabulary(li, ["l_returnflag"], max_categories=T.MAX_DUMMIES))
     o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey", "o_orderkey")
     out = aggregate_block(o.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "ORD",
                           TWO_HOP_SPEC, count_name="ORD_COUNT")

@@ -56,19 +56,19 @@ def line_summary(lineitem: DataFrame, vocab: dict) -> DataFrame:
 
 def mart_vocabulary(spark: SparkSession, sf_dir: str) -> dict:
     """All one-hot vocabularies of the mart, fitted in one job."""
-    return fit_vocabularies([
-        (T.table(spark, sf_dir, "lineitem"), ["l_returnflag"]),
-        (T.table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"]),
-        (T.table(spark, sf_dir, "events"), ["event_type"])])
+    return fit_vocabularies({
+        "lineitem": (T.table(spark, sf_dir, "lineitem"), ["l_returnflag"]),
+        "orders": (T.table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"]),
+        "events": (T.table(spark, sf_dir, "events"), ["event_type"])}, max_categories=T.MAX_DUMMIES)
 
 
 def orders_block(spark: SparkSession, sf_dir: str, vocab: dict | None = None) -> DataFrame:
     vocab = vocab or mart_vocabulary(spark, sf_dir)
     orders = T.table(spark, sf_dir, "orders")
     lineitem = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
-    line_vocab = {"l_returnflag": vocab["l_returnflag"]}
+    line_vocab = vocab["lineitem"]
     lines = line_summary(lineitem, line_vocab)
-    ord_vocab = {c: vocab[c] for c in ("o_orderstatus", "o_orderpriority")}
+    ord_vocab = vocab["orders"]
     o = (orders.withColumn("DAYS_ORDER", T.day_offset("o_orderdate"))
          .join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
          .withColumnRenamed("o_custkey", KEY))
@@ -88,9 +88,9 @@ def orders_block(spark: SparkSession, sf_dir: str, vocab: dict | None = None) ->
 def events_block(spark: SparkSession, sf_dir: str, vocab: dict | None = None) -> DataFrame:
     """Every non-id column (value + event_type dummies) x min/max/mean/sum/var."""
     ev = T.table(spark, sf_dir, "events").select("user_id", "event_type", "value")
-    vocab = vocab or fit_vocabulary(ev, ["event_type"])
+    values = vocab["events"] if vocab else fit_vocabulary(ev, ["event_type"], max_categories=T.MAX_DUMMIES)
     dummies = {f"event_type_{v}": F.when(F.col("event_type") == v, 1.0).otherwise(0.0)
-               for v in vocab["event_type"]}
+               for v in values["event_type"]}
     dummies["event_type_nan"] = F.when(F.col("event_type").isNull(), 1.0).otherwise(0.0)
     ev = ev.withColumns(dummies).drop("event_type").withColumnRenamed("user_id", KEY)
     spec = {c: EVT_SPEC_AGGS for c in ev.columns if c != KEY}
@@ -135,7 +135,7 @@ def build_full_dataset(spark: SparkSession, sf_dir: str, out_dir: str | None = N
         pruned[name] = kept
         rep = rep.select(F.lit(name).alias("block"), "*")
         reports = rep if reports is None else reports.unionByName(rep)
-    audit = join_audit(base, pruned, KEY, materialize=False)
+    audit = join_audit(base, pruned, KEY)
     full = add_post_join_ratios(join_blocks(base, pruned, KEY))
     train, test = split_on_target(full)
     if out_dir:

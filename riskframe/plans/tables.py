@@ -27,6 +27,7 @@ REFERENCE_DATE = "2002-01-01"          # day offsets are counted to this date (<
 TEST_HASH_PREFIXES = ("0", "1")        # md5 first hex digit of test clients
 ORDER_STATUS_ACTIVE = "O"              # plays ACTIVE / APPROVED
 ORDER_STATUS_CLOSED = "F"              # plays CLOSED / REFUSED
+MAX_DUMMIES = 1000                     # most dummy columns that one text column may turn into
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
