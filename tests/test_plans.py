@@ -29,7 +29,7 @@ def test_registry_has_oracle_names(spark):
 
 def test_one_hot_no_text_left(spark):
     app = T.application(spark, SF)
-    out, new = E.one_hot_encode(app)
+    out, new = E.one_hot_encode(app, E.fit_vocabulary(app, max_categories=100))
     assert not [f for f in out.schema.fields if f.dataType.simpleString() == "string"]
     assert "c_mktsegment_nan" in new
 
@@ -37,9 +37,9 @@ def test_one_hot_no_text_left(spark):
 def test_unknown_names_raise(spark):
     df = spark.createDataFrame([("a",)], "c string")
     with pytest.raises(ValueError):
-        E.encode_column(df, "c", "target")
+        E.encode_column(df, "c", "target", max_categories=10)
     with pytest.raises(ValueError):
-        E.encode_column(df, "missing", "onehot")
+        E.encode_column(df, "missing", "onehot", max_categories=10)
     with pytest.raises(ValueError):
         build_estimator("xgboost")
 
@@ -50,5 +50,5 @@ def test_vocabulary_guard_and_multi_table_fit(spark):
     with pytest.raises(ValueError):
         E.fit_vocabulary(df, ["free_text"], max_categories=10)
     other = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
-    v = E.fit_vocabularies([(df, ["flag"]), (other, ["c"])])
-    assert v == {"flag": ["0", "1"], "c": ["x", "y"]}
+    v = E.fit_vocabularies({"a": (df, ["flag"]), "b": (other, ["c"])}, max_categories=10)
+    assert v == {"a": {"flag": ["0", "1"]}, "b": {"c": ["x", "y"]}}

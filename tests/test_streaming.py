@@ -15,7 +15,7 @@ def test_stream_scoring_matches_batch(spark):
     feats = ["c_nationkey", "n_regionkey"]
     train = app.where("TARGET IS NOT NULL").withColumns({c: F.col(c).cast("double") for c in feats})
     imp = E.MedianImputer(feats).fit(train)
-    model, _ = J.fit("logistic", J.assemble(train, feats).withColumnRenamed("TARGET", "y"), "y", fast=True)
+    model, _ = J.fit("logistic", J.assemble(train, feats).withColumnRenamed("TARGET", "y"), "y")
     scratch = tempfile.mkdtemp(prefix="rf-stream-", dir="/tmp")
     src, sink = os.path.join(scratch, "in"), os.path.join(scratch, "out")
     app.where("TARGET IS NULL").drop("TARGET").write.parquet(src)
