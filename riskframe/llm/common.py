@@ -3,12 +3,15 @@ folder, row keys, and the driver of Arrow batch functions."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 import zipfile
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +51,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def release_memory() -> None:
+    """Hand the worker's freed memory back to the system: workers live on between
+    tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):     # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, which give their
+    memory back after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        release_memory()
+    return df.mapInArrow(run, schema)
 
 
 def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:

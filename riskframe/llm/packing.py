@@ -43,7 +43,7 @@ CAPACITY = 4096
 QUANTUM = 512
 END_ID = 2
 MAX_QUEUES = 10_000
-PART_ROWS = 4096               # documents of one part of a queue's running sum
+PART_ROWS = 1024               # documents of one part of a queue's running sum
 CACHE = 300_000                # chunks of one generation that a worker remembers
 LETTERS_MARKS = re.compile("([A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u012f\\u0131-\\u024f]*)([!-/:-@\\[-`{-~]*)")
 SEPARATORS = re.compile("[\x1c-\x1f]")    # white space to Python, but not to the tokenizer
