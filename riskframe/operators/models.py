@@ -52,7 +52,8 @@ def build_estimator(name: str, label: str = "y", weight: str | None = "weight",
     kw = {"featuresCol": FEATURES, "labelCol": label}
     weighted = {"weightCol": weight} if weight else {}
     if name == "logistic":
-        est = LogisticRegression(**kw, **weighted, regParam=1e-4, elasticNetParam=0.0, maxIter=2000, standardization=True)
+        est = LogisticRegression(**kw, **weighted, regParam=1e-4, elasticNetParam=0.0, maxIter=2000, tol=1e-3,
+                                 standardization=True)  # tol: the reference learner's default tolerance
     elif name == "gbt":
         est = GBTClassifier(**kw, stepSize=0.05, maxIter=300, minInstancesPerNode=100, seed=seed)
     elif name == "gbt_leafwise":
