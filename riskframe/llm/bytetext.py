@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 U64 = np.uint64
 
 _rng = np.random.RandomState(20240517)

@@ -33,6 +33,7 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -48,6 +49,9 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))
     sc.addPyFile(path)
+    # whole texts travel in these batches: keep them small beside the heap
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     _shipped.add(sc.applicationId)
 
 
