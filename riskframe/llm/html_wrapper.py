@@ -164,26 +164,25 @@ class Skeleton:
     @classmethod
     def of(cls, root: Node) -> Skeleton:
         out = cls()
-        out._add([root])
+        todo = [(-1, [root])]                              # own stack: pages nest deeper than Python's
+        while todo:
+            up, alike = todo.pop()
+            i = len(out.label)
+            if up >= 0:
+                out.kids[up].append(i)
+            own = " ".join("".join(p for p in n.parts if isinstance(p, str)) for n in alike).split()
+            out.label.append(alike[0].label)
+            out.text.append(" ".join(own)[:4000] and _digest(" ".join(own)))
+            out.kids.append([])
+            out.nodes.append(alike)
+            runs: list[list[Node]] = []
+            for child in [c for n in alike for c in n.children]:
+                if not runs or runs[-1][0].label != child.label:
+                    runs.append([])
+                runs[-1].append(child)
+            todo += [(i, run) for run in reversed(runs)]
         return out
 
-    def _add(self, alike: list[Node]) -> int:
-        i = len(self.label)
-        own = " ".join("".join(p for p in n.parts if isinstance(p, str)) for n in alike).split()
-        self.label.append(alike[0].label)
-        self.text.append(" ".join(own)[:4000] and _digest(" ".join(own)))
-        self.kids.append([])
-        self.nodes.append(alike)
-        run: list[Node] = []
-        for child in [c for n in alike for c in n.children]:
-            if run and run[0].label != child.label:
-                self.kids[i].append(self._add(run))
-                run = []
-            run.append(child)
-        if run:
-            self.kids[i].append(self._add(run))
-        return i
-
     def dump(self) -> str:
         return json.dumps([self.label, self.text, self.kids])
 
@@ -204,11 +203,22 @@ def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
     known: dict[tuple[int, int], tuple[int, list]] = {}
 
     def match(i: int, j: int) -> int:
-        if a.label[i] != b.label[j]:
-            return 0
+        return known[i, j][0] if a.label[i] == b.label[j] else 0
+
+    if a.label[0] != b.label[0]:
+        return []
+    todo = [(0, 0)]
+    while todo:                                            # pairs below a pair come first
+        i, j = todo[-1]
         if (i, j) in known:
-            return known[i, j][0]
+            todo.pop()
+            continue
         ka, kb = a.kids[i], b.kids[j]
+        below = [(x, y) for x in ka for y in kb if a.label[x] == b.label[y] and (x, y) not in known]
+        if below:
+            todo += below
+            continue
+        todo.pop()
         best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
         for x, ca in enumerate(ka, 1):
             for y, cb in enumerate(kb, 1):
@@ -223,10 +233,6 @@ def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
                 x, y = x - 1, y - 1
                 pairs.append((ka[x], kb[y]))
         known[i, j] = best[-1][-1] + 1, pairs
-        return best[-1][-1] + 1
-
-    if not match(0, 0):
-        return []
     out, todo = [], [(0, 0)]
     while todo:
         i, j = todo.pop()
@@ -240,9 +246,12 @@ def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
 def main_text(root: Node, template: set[int]) -> str:
     """Text outside dropped regions; inside the declared article if there is one,
     else without template nodes (by ``id``)."""
-    def has_main(n: Node) -> bool:
-        return not n.drop and (n.main or any(has_main(c) for c in n.children))
-    declared = has_main(root)
+    declared, todo = False, [root]
+    while todo and not declared:
+        n = todo.pop()
+        if not n.drop:
+            declared = n.main
+            todo += n.children
     out: list[str] = []
     stack: list = [root]
     while stack:

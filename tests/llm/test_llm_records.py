@@ -130,6 +130,15 @@ def test_tree_matching_against_plain_recursion():
         assert len(pairs) == plain(a, b, 0, 0) and all(a.label[i] == b.label[j] for i, j in pairs)
 
 
+def test_pages_nested_thousands_of_levels_deep(spark):
+    n = 3000
+    shapes = ["<div>" * n + "deep {i}" + "</div>" * n, "<font>" * n + "deep {i}", "<span>a" * n + " deep {i}", "<main>" + "<div>" * n + "deep {i}"]
+    rows = [(10 * k + i, f"http://h{k}/", f"<body>{shape.format(i=i)}") for k, shape in enumerate(shapes) for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract(df).collect()}
+    assert len(got) == len(rows) and all(got[10 * k + i].endswith(f"deep {i}") for k in range(len(shapes)) for i in range(6))
+
+
 # ------------------------------------------------------------------ packing
 @pytest.fixture(scope="module")
 def tokenizer():
