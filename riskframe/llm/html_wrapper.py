@@ -6,12 +6,18 @@ equal labels that keeps parents and the order of siblings.  Runs of alike
 siblings (paragraphs, list items) are one iterator node, so trees stay small.
 Over all pages of the host, a reference node whose text is the same on nearly all
 aligned pages is constant and becomes template; a node whose text varies is a
-slot.  A second alignment labels the nodes of each page.
+slot.  An iterator that varies may hold constant members (a notice among
+paragraphs): a block of the reference whose whole inline text is among the
+aligned blocks of nearly all pages is template too.  A second alignment labels
+the nodes of each page.
 
 Slots hold content, but also menus, adverts and footers that change from page to
-page.  Regions that their element, role or class marks as such are left out.
-Where a page declares its article (``article``, ``main``), the content is what
-lies inside; otherwise it is all varying text outside those regions.
+page.  Regions that their element, role or class marks as such are left out as
+well.  Where a page declares its article (``article``, ``main``), the content is
+the varying text inside, with the inline elements that stand in it; otherwise it
+is all varying text outside those regions.
+A declared article of nothing but template is a copy of the host's other pages,
+and stays whole.
 
 Counts are partial sums by (host, node).  Pages are joined to one small wrapper
 per host, so a host with a third of all pages needs no task of its own.
@@ -152,14 +158,40 @@ def tree(text: str) -> Node:
     return root
 
 
+def inline_nodes(block: Node) -> list[Node]:
+    """The block and the inline elements in it, down to the next blocks."""
+    out, todo = [], [block]
+    while todo:
+        n = todo.pop()
+        out.append(n)
+        todo += [c for c in n.children if c.tag in INLINE]
+    return out
+
+
+def inline_text(block: Node) -> str:
+    """The block's own text and that of the inline elements in it."""
+    out, todo = [], [block]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x is block or x.tag in INLINE:
+            todo += reversed(x.parts)
+        else:
+            out.append(" ")
+    return " ".join("".join(out).split())
+
+
 # ------------------------------------------------------------------ alignment
 
 class Skeleton:
     """A tree for matching: (label, own text hash, children) in flat lists, with
-    runs of alike siblings as one node.  ``nodes[i]`` are the page's elements."""
+    runs of alike siblings as one node.  ``nodes[i]`` are the page's elements,
+    ``members`` the (node, hash of the whole inline text) of single blocks."""
 
     def __init__(self) -> None:
         self.label, self.text, self.kids, self.nodes = [], [], [], []
+        self.members: list[tuple[int, str]] = []
 
     @classmethod
     def of(cls, root: Node) -> Skeleton:
@@ -175,6 +207,8 @@ class Skeleton:
             out.text.append(" ".join(own)[:4000] and _digest(" ".join(own)))
             out.kids.append([])
             out.nodes.append(alike)
+            if alike[0].tag not in INLINE:
+                out.members += sorted({(i, _digest(t)) for t in map(inline_text, alike) if t})
             runs: list[list[Node]] = []
             for child in [c for n in alike for c in n.children]:
                 if not runs or runs[-1][0].label != child.label:
@@ -184,12 +218,19 @@ class Skeleton:
         return out
 
     def dump(self) -> str:
-        return json.dumps([self.label, self.text, self.kids])
+        return json.dumps([self.label, self.text, self.kids, self.members])
 
     @classmethod
     def load(cls, text: str) -> Skeleton:
         out = cls()
-        out.label, out.text, out.kids = json.loads(text)
+        out.label, out.text, out.kids, members = json.loads(text)
+        out.members = [(i, t) for i, t in members]
+        return out
+
+    def members_of(self) -> dict[int, set[str]]:
+        out = defaultdict(set)
+        for i, t in self.members:
+            out[i].add(t)
         return out
 
 
@@ -244,8 +285,8 @@ def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
 # ------------------------------------------------------------------ text
 
 def main_text(root: Node, template: set[int]) -> str:
-    """Text outside dropped regions; inside the declared article if there is one,
-    else without template nodes (by ``id``)."""
+    """Text outside dropped regions and without template nodes (by ``id``); only
+    that inside the declared article if there is one."""
     declared, todo = False, [root]
     while todo and not declared:
         n = todo.pop()
@@ -253,6 +294,7 @@ def main_text(root: Node, template: set[int]) -> str:
             declared = n.main
             todo += n.children
     out: list[str] = []
+    sentences: set[int] = set()                            # elements with varying text of an article
     stack: list = [root]
     while stack:
         x = stack.pop()
@@ -262,13 +304,18 @@ def main_text(root: Node, template: set[int]) -> str:
         if x.drop:
             out.append(" ")
             continue
-        keep = x.main if declared else id(x) not in template
         block = x.tag not in INLINE
+        phrase = not block and id(x.parent) in sentences
+        fixed = id(x) in template and not phrase
+        if x.main and not fixed and (phrase or any(isinstance(p, str) and not p.isspace() for p in x.parts)):
+            sentences.add(id(x))
+        keep = (x.main or not declared) and not fixed
         if block:
             out.append(" ")
             stack.append(" ")
         stack += [p for p in reversed(x.parts) if keep or not isinstance(p, str)]
-    return " ".join("".join(out).split())
+    text = " ".join("".join(out).split())
+    return main_text(root, set()) if declared and template and not text else text
 
 
 # ------------------------------------------------------------------ Spark
@@ -288,10 +335,16 @@ def _stat_pass(batches):
             if host not in refs:
                 refs[host] = Skeleton.load(ref)
             page = Skeleton.of(tree(text or ""))
-            for i, j in align(refs[host], page):
+            aligned = dict(align(refs[host], page))
+            for i, j in aligned.items():
                 if refs[host].text[i] or page.text[j]:
                     seen[host, i] += 1
                     same[host, i] += refs[host].text[i] == page.text[j]
+            held = page.members_of()
+            for m, (i, t) in enumerate(refs[host].members, len(refs[host].label)):
+                if i in aligned:                           # members are counted behind the nodes
+                    seen[host, m] += 1
+                    same[host, m] += t in held.get(aligned[i], ())
         keys = list(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
@@ -308,9 +361,16 @@ def _extract_pass(batches):
             if constant and ref:
                 if host not in refs:
                     refs[host] = Skeleton.load(ref)
-                page, fixed = Skeleton.of(root), set(constant)
-                template = {id(n) for i, j in align(refs[host], page) if i in fixed and refs[host].text[i] == page.text[j]
-                            for n in page.nodes[j]}
+                page, fixed, members = Skeleton.of(root), set(constant), defaultdict(set)
+                for m, (i, t) in enumerate(refs[host].members, len(refs[host].label)):
+                    if m in fixed:
+                        members[i].add(t)
+                for i, j in align(refs[host], page):
+                    if i in fixed and refs[host].text[i] == page.text[j]:
+                        template.update(id(n) for n in page.nodes[j])
+                    for block in page.nodes[j] if i in members else ():
+                        if _digest(inline_text(block)) in members[i]:
+                            template.update(map(id, inline_nodes(block)))
             texts.append(main_text(root, template))
         yield pa.RecordBatch.from_arrays([rb.column("page_id"), rb.column("url"), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -130,6 +130,18 @@ def test_tree_matching_against_plain_recursion():
         assert len(pairs) == plain(a, b, 0, 0) and all(a.label[i] == b.label[j] for i, j in pairs)
 
 
+def test_constant_boilerplate_without_telling_class_in_a_declared_article(spark):
+    rows = [(i, "http://x.com/a", f'<body><article><h1>Title {i}</h1><div class="q7">Best offers of the shop</div><p>First {i} <b>bold</b> text.</p>'
+             f'<p>All rights <a href="/r{i}">reserved</a> here.</p><p>Second {i}.</p><div class="zz">Reader mail goes to us</div><ul><li>own {i}<li>print'
+             f'</ul><p>Third {i}.</p></article><div>Outside {i}</div></body>') for i in range(8)]
+    rows += [(20 + i, "http://copies/", f"<title>{i}</title><article><p>One text on every page.</p></article>") for i in range(8)]
+    rows += [(40 + i, "http://few/", f"<article><p>Own {i}.</p><p>Same.</p></article>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(8)] == [f"Title {i} First {i} bold text. Second {i}. own {i} Third {i}." for i in range(8)]
+    assert all(got[20 + i] == "One text on every page." for i in range(8))
+    assert all(got[40 + i] == f"Own {i}. Same." for i in range(3))
+
+
 def test_pages_nested_thousands_of_levels_deep(spark):
     n = 3000
     shapes = ["<div>" * n + "deep {i}" + "</div>" * n, "<font>" * n + "deep {i}", "<span>a" * n + " deep {i}", "<main>" + "<div>" * n + "deep {i}"]
