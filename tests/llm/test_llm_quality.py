@@ -34,3 +34,13 @@ def test_empty_table_and_stage_columns(spark):
     df = frame(spark, rows)
     got = Q.stage_quality(spark, df, SF)
     assert got.columns == df.columns and [r["doc_id"] for r in got.collect()] == [1, 1]
+
+
+def test_limit_does_not_rise_with_the_host(spark):
+    passage = " ".join(f"passage{j}" for j in "abcdefghijklmnopqrstuvwxyz" for _ in range(2)) + " and some words to more than fifty"
+    rows = []
+    for i in range(600):
+        text = "\n".join(" ".join(f"u{chr(97 + i % 26)}{chr(97 + i // 26)}{p}w{chr(97 + j)}" for j in range(26)) + f" {p}" for p in "abcd")
+        rows.append((i, "hot", text + ("\nOne line of fifteen pages" if i % 40 == 0 else "") + (f"\n{passage}" if i % 30 == 1 else "")))
+    got = {r["id"]: r["lost_words"] for r in Q.quality_figures(frame(spark, rows)).collect()}
+    assert all(got[i] == 5 * (i % 40 == 0) + len(passage.split()) * (i % 30 == 1) for i in range(600))
