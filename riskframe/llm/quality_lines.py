@@ -23,11 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import map_batches, row_key, stage, table, without
+from .common import column_or_null, map_batches, row_key, safe_name, stage, table
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -53,6 +54,20 @@ def _repeats(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     return twice
 
 
+def _lines(buf: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, end, first word, word behind) of the lines with a word."""
+    line_start, line_end, line_first = B.runs(buf != 10, off)
+    line_word = np.searchsorted(start, line_start)
+    line_stop = np.searchsorted(start, line_end)
+    full = line_stop > line_word
+    return (B.row_of(line_first)[full], *(x[full] for x in (line_start, line_end, line_word, line_stop)))
+
+
+def _line_keys(buf: np.ndarray, start: np.ndarray, end: np.ndarray, word: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hashes of the normalised lines."""
+    return B.signed(B.Spans(B.Spans(FOLD[buf]).hashes(start, end)).hashes(word, stop))
+
+
 def _figures(buf: np.ndarray, off: np.ndarray) -> dict:
     rows = len(off) - 1
     start, end, first = B.runs(~B.SPACE[buf], off)
@@ -74,19 +89,13 @@ def _figures(buf: np.ndarray, off: np.ndarray) -> dict:
     out["n_repeat_words"] = B.per_row((np.cumsum(edge)[:len(start)] > 0).astype(np.int64), first)
 
     # lines with a word
-    line_start, line_end, line_first = B.runs(buf != 10, off)
-    line_word = np.searchsorted(start, line_start)
-    line_stop = np.searchsorted(start, line_end)
-    full = line_stop > line_word
-    line_row = B.row_of(line_first)[full]
-    line_start, line_end, line_word, line_stop = (x[full] for x in (line_start, line_end, line_word, line_stop))
+    line_row, line_start, line_end, line_word, line_stop = _lines(buf, off, start, end)
     exact = raw.hashes(line_start, line_end)
     order = np.lexsort((exact, line_row))
     again = (exact[order][1:] == exact[order][:-1]) & (line_row[order][1:] == line_row[order][:-1])
     out["n_dup_lines"] = np.bincount(line_row[order][1:][again], minlength=rows)
 
-    folded = B.Spans(B.Spans(FOLD[buf]).hashes(start, end))
-    key = B.signed(folded.hashes(line_word, line_stop))
+    key = _line_keys(buf, start, end, line_word, line_stop)
     order = np.lexsort((key, line_row))
     key, line_row, size = key[order], line_row[order], (line_stop - line_word)[order]
     new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (line_row[1:] != line_row[:-1])])) \
@@ -118,9 +127,7 @@ SCHEMA = ("id long, key long, source string, " + ", ".join(f"{c} long" for c in
           + ", line array<long>, line_words array<long>")
 
 
-def quality_figures(docs: DataFrame, min_docs: int = MIN_DOCS, max_lost: int = MAX_LOST) -> DataFrame:
-    """One row per document row: (id, key, base figures, base_failed, lost_words,
-    kept)."""
+def _judged(docs: DataFrame, min_docs: int, max_lost: int) -> DataFrame:
     docs = row_key(docs).select("id", "key", "source", "text")
     figures = map_batches(docs, _pass, SCHEMA)
     figures = stage(figures.withColumns({"host": F.xxhash64("source"), "_row": F.monotonically_increasing_id()})
@@ -129,16 +136,67 @@ def quality_figures(docs: DataFrame, min_docs: int = MIN_DOCS, max_lost: int = M
         .select("_row", "host", "fp", F.col("x.line").alias("line"), F.col("x.line_words").alias("words"))
     boilerplate = stage(lines.select("host", "line", "fp").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
                         .filter(F.col("docs") > min_docs).select("host", "line"), "boilerplate")
-    lost = (lines.join(boilerplate, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("lost_words")))
+    lost = (lines.join(boilerplate, ["host", "line"]).groupBy("_row")
+            .agg(F.sum("words").alias("lost_words"), F.collect_list("line").alias("removed")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (figures.drop("line", "line_words", "host", "fp").join(lost, "_row", "left").drop("_row")
+    return (figures.drop("line", "line_words", "fp").join(lost, "_row", "left").drop("_row")
             .withColumns({"lost_words": F.coalesce("lost_words", F.lit(0)), "base_failed": failed})
             .withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_words") <= max_lost * F.col("n_words"))))
 
 
+def quality_figures(docs: DataFrame, min_docs: int = MIN_DOCS, max_lost: int = MAX_LOST) -> DataFrame:
+    """One row per document row: (id, key, base figures, base_failed, lost_words,
+    kept)."""
+    return _judged(docs, min_docs, max_lost).drop("host", "removed")
+
+
+def _clean_pass(text: str, removed: str):
+    def run(batches):
+        for rb in batches:
+            marks, column = rb.column(removed), rb.column(text)
+            rows = np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False))
+            if len(rows):
+                gone, cleaned = marks.take(pa.array(rows)).to_pylist(), []
+                for at, buf, off in B.slices(column.take(pa.array(rows))):
+                    start, end, _ = B.runs(~B.SPACE[buf], off)
+                    row, line_start, _, word, stop = _lines(buf, off, start, end)
+                    key = _line_keys(buf, start, end, word, stop)
+                    first = np.searchsorted(row, np.arange(len(off)))
+                    for i in range(len(off) - 1):
+                        mine, here, left = slice(first[i], first[i + 1]), int(off[i]), []
+                        cut, drop = dict(zip(line_start[mine].tolist(), key[mine].tolist())), set(gone[at + i])
+                        for line in buf[off[i]:off[i + 1]].tobytes().split(b"\n"):
+                            if not line or cut.get(here) not in drop:
+                                left.append(line)
+                            here += len(line) + 1
+                        cleaned.append(b"\n".join(left))
+                mask = marks.is_valid()
+                column = pc.replace_with_mask(column, mask, pa.array(cleaned, pa.binary()).view(pa.string()).cast(column.type))
+            yield pa.RecordBatch.from_arrays([column if f.name == text else rb.column(i) for i, f in enumerate(rb.schema)
+                                              if f.name != removed], [f.name for f in rb.schema if f.name != removed])
+    return run
+
+
+def clean(docs: DataFrame, min_docs: int = MIN_DOCS, max_lost: int = MAX_LOST) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with the boilerplate lines taken
+    out of ``text``; the other lines stay as they are and in order, as do the
+    other columns (``n_chars`` is that of the source text)."""
+    marks = _judged(docs, min_docs, max_lost).filter(~F.col("kept") | (F.col("lost_words") > 0))
+    i, k, h, kept, removed = (safe_name(docs.columns, x) for x in ("_id", "_key", "_host", "_kept", "_removed"))
+    marks = stage(marks.dropDuplicates(["id", "key", "host"]).select(
+        F.col("id").alias(i), F.col("key").alias(k), F.col("host").alias(h), F.col("kept").alias(kept),
+        F.col("removed").alias(removed)), "marks")
+    same = (column_or_null(docs, "doc_id", "long").eqNullSafe(F.col(i))
+            & (F.xxhash64(column_or_null(docs, "text", "string")) == F.col(k))
+            & (F.xxhash64(column_or_null(docs, "source", "string")) == F.col(h)))
+    rows = docs.join(marks, same, "left").filter(F.coalesce(F.col(kept), F.lit(True))).select(*docs.columns, removed)
+    return map_batches(rows, _clean_pass("text", removed), docs.schema)
+
+
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows that the quality rules keep."""
-    return without(docs, quality_figures(docs).filter(~F.col("kept")))
+    """Pipeline stage: the rows that the quality rules keep, without their
+    boilerplate lines."""
+    return clean(docs)
 
 
 def q_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,19 @@ def test_empty_table_and_stage_columns(spark):
     assert got.columns == df.columns and [r["doc_id"] for r in got.collect()] == [1, 1]
 
 
+def test_stage_takes_boilerplate_lines_out_of_the_text(spark):
+    own = [[" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{p}{chr(97 + j)}" for j in range(9)) for p in "abc"] for i in range(30)]
+    rows = [(i, "h", f"{a}\n\nShare this  page now {i}\n{b} é\nshare THIS page now 7\n{c}" + ("\nSHARE this page now 0" if i % 2 else "\n"))
+            for i, (a, b, c) in enumerate(own)]
+    rows += [(100, "other", rows[0][2]), (None, "h", rows[3][2]), (200, "h", "Share this page now 1\n" * 3 + "a few more words than ten are here now it is"), rows[5]]
+    got = {}
+    for r in Q.stage_quality(spark, frame(spark, rows), SF).collect():
+        got.setdefault(r["doc_id"], []).append(r["text"])
+    want = [f"{a}\n\n{b} é\n{c}" + ("" if i % 2 else "\n") for i, (a, b, c) in enumerate(own)]
+    assert all(got[i] == [want[i]] * (1 + (i == 5)) for i in range(30))
+    assert got[100] == [rows[0][2]] and got[None] == [want[3]]
+
+
 def test_limit_does_not_rise_with_the_host(spark):
     passage = " ".join(f"passage{j}" for j in "abcdefghijklmnopqrstuvwxyz" for _ in range(2)) + " and some words to more than fifty"
     rows = []
@@ -44,3 +57,5 @@ def test_limit_does_not_rise_with_the_host(spark):
         rows.append((i, "hot", text + ("\nOne line of fifteen pages" if i % 40 == 0 else "") + (f"\n{passage}" if i % 30 == 1 else "")))
     got = {r["id"]: r["lost_words"] for r in Q.quality_figures(frame(spark, rows)).collect()}
     assert all(got[i] == 5 * (i % 40 == 0) + len(passage.split()) * (i % 30 == 1) for i in range(600))
+    texts = [r["text"] for r in Q.stage_quality(spark, frame(spark, rows), SF).collect()]
+    assert len(texts) == 600 and not any("One line" in t or "passage" in t for t in texts)
