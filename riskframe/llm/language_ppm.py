@@ -10,6 +10,13 @@ to a uniform order -1.  Code lengths are whole multiples of 2^-16 bit, so the su
 over a text is exact and does not depend on how the rows are cut into batches.
 The language with the shortest code wins; ties go to the first in name order.
 
+The score is the winner's posterior, which tells languages apart but not whether
+the text is of any of them.  So the bits a byte of the winner's code are held
+against those of the labelled texts that it wins rightly: a text over
+median + ``SPREADS`` x (``TAIL`` quantile - median) of its language is none of the
+learned ones, and its score is 0.  The quantiles are exact over counts of whole
+64ths of a bit.  A language with fewer than ``MIN_TEXTS`` such texts has no limit.
+
 Training counts are a Spark aggregate: each batch sends one row per (language,
 trigram) it holds.  The model has at most languages x 157^3 counts, whatever the
 corpus size; it is gathered once and broadcast.
@@ -24,14 +31,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import map_batches, row_key, table, without
+from .common import map_batches, row_key, stage, table, without
 
 FOLDS = 5
 MIN_SCORE = 0.5
+TAIL = 0.9
+SPREADS = 20                   # sf0.01: limits of 4.8-5.3 bits; every third text of sf0.1: up to 4.2, random letters from 11.6
+MIN_TEXTS = 30
+BIN = 64                       # counted parts of a bit
 
 CLASS = np.zeros(256, np.int64)
 CLASS[33:127] = 28
@@ -142,7 +153,7 @@ def _predict_pass(shared):
         index = model.lookup() if model else None
         for rb in batches:
             letters = has_letters(rb.column("text"))
-            pred, score = np.full(rb.num_rows, "und", object), np.zeros(rb.num_rows)
+            pred, score, bits = np.full(rb.num_rows, "und", object), np.zeros(rb.num_rows), np.zeros(rb.num_rows, np.int64)
             for at, buf, off in B.slices(rb.column("text")) if model else ():
                 if not len(buf):
                     continue
@@ -159,10 +170,11 @@ def _predict_pass(shared):
                 share = 1.0 / np.exp2(-np.minimum(over, 1000.0)).sum(axis=1)
                 pred[at + full] = np.array(model.langs, object)[best]
                 score[at + full] = share
+                bits[at + full] = np.rint(length.min(axis=1) * (BIN / BIT) / np.diff(off)[full])
             pred[~letters], score[~letters] = "und", 0.0
             yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), rb.column("key"), pa.array(letters), pa.array(pred, pa.string()), pa.array(score)],
-                ["id", "key", "has_letter", "lang_pred", "score"])
+                [rb.column("id"), rb.column("key"), rb.column("lang"), pa.array(letters), pa.array(pred, pa.string()),
+                 pa.array(score), pa.array(bits)], ["id", "key", "lang", "has_letter", "lang_pred", "score", "bits"])
     return run
 
 
@@ -170,20 +182,40 @@ def held_out(doc_id: str = "id", folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def fit_limits(found: DataFrame) -> DataFrame:
+    """(learned, limit): the most bits a byte, in parts of ``BIN``, of a text of
+    each language."""
+    counts = found.filter("has_letter and lang = lang_pred").groupBy("lang", "bits").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("lang")                     # one row per 64th of a bit
+    ranked = counts.withColumns({"total": F.sum("n").over(whole), "upto": F.sum("n").over(whole.orderBy("bits"))})
+
+    def quantile(q: float) -> Column:
+        return F.min(F.when(F.col("upto") >= F.col("total") * F.lit(q), F.col("bits")))
+    return (ranked.filter(F.col("total") >= MIN_TEXTS).groupBy(F.col("lang").alias("learned"))
+            .agg(quantile(0.5).alias("middle"), quantile(TAIL).alias("high"))
+            .select("learned", (F.col("middle") + SPREADS * F.greatest(F.col("high") - F.col("middle"), F.lit(BIN // 8)))
+                    .alias("limit")))
+
+
 def identify(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     """(id, key, held_out, has_letter, lang_pred, score) of every row, by a model
     learned from the labelled rows outside the held-out fold."""
     rows = row_key(docs).select("id", "key", "lang", "text")
     model = fit(rows.filter(~held_out(folds=folds)))
     spark = docs.sparkSession
-    out = map_batches(rows.select("id", "key", "text"), _predict_pass(spark.sparkContext.broadcast(model)),
-                      "id long, key long, has_letter boolean, lang_pred string, score double")
-    return out.withColumn("held_out", held_out(folds=folds))
+    out = stage(map_batches(rows, _predict_pass(spark.sparkContext.broadcast(model)),
+                            "id long, key long, lang string, has_letter boolean, lang_pred string, score double, bits long"),
+                "language")
+    limits = F.broadcast(fit_limits(out))                  # one row per language
+    strange = F.coalesce(F.col("bits") > F.col("limit"), F.lit(False))
+    return (out.join(limits, F.col("lang_pred") == F.col("learned"), "left")
+            .select("id", "key", "has_letter", "lang_pred", F.when(strange, 0.0).otherwise(F.col("score")).alias("score"))
+            .withColumn("held_out", held_out(folds=folds)))
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without a letter go, and those whose language is
-    less likely than ``MIN_SCORE``."""
+    less likely than ``MIN_SCORE`` or none of the learned ones (score 0)."""
     found = identify(docs)
     return without(docs, found.filter(~F.col("has_letter") | ((F.col("lang_pred") != "und") & (F.col("score") < MIN_SCORE))))
 

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -72,3 +73,18 @@ def test_result_does_not_depend_on_partitions(spark):
     a = sorted(tuple(r) for r in L.identify(docs).collect())
     b = sorted(tuple(r) for r in L.identify(docs.repartition(7)).collect())
     assert a == b
+
+
+def test_stage_rejects_gibberish_and_unlearned_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rnd = random.Random(5)
+    strange = [" ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(rnd.choice([10, 30, 100]))) for _ in range(30)]
+    strange += ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+                "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto."]
+    clean = [" ".join(r["text"].split()[:12]) for r in docs.filter("n_chars > 300").orderBy("doc_id").limit(60).collect()]
+    extra = spark.createDataFrame([(-1 - i, x) for i, x in enumerate(strange + clean)], "doc_id long, text string")
+    left = {r["doc_id"] for r in L.stage_language(spark, docs.unionByName(extra, allowMissingColumns=True), SF).collect()}
+    assert not left & {-1 - i for i in range(len(strange))}
+    assert sum(-1 - len(strange) - i in left for i in range(len(clean))) >= 58
+    ids = {r["doc_id"] for r in docs.collect()}
+    assert len(ids - left) <= 0.01 * len(ids)
