@@ -12,6 +12,3 @@ def spark():
     s = get_spark(app="riskframe-tests", master="local[4]", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-SF = "/root/testdata/sf0.001"

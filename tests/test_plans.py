@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from paths import SF
 from riskframe.operators import encode as E
 from riskframe.operators.models import build_estimator
 from riskframe.plans import mart as M

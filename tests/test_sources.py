@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF
+from paths import SF
 from riskframe.sources import files as A
 
 

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF
+from paths import SF
 from riskframe.operators import encode as E
 from riskframe.operators import models as J
 from riskframe.plans import tables as T
