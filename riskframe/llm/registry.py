@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing", "kd_shards", "license_scan", "chat_format", "warc", "html_wrapper"]
+MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing", "kd_shards", "license_scan", "chat_format", "warc", "html_wrapper",
+           "spelling"]
 
 
 def _modules():
