@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["ngram_join", "quality_lines", "language_ppm", "decontaminate", "packing", "kd_shards", "license_scan", "chat_format", "warc", "html_wrapper",
-           "spelling", "lexical_search"]
+           "spelling", "lexical_search", "vector_search"]
 
 
 def _modules():
