@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import manyfit as M
 from . import metrics as K
 from .encode import balanced_class_weight
 from .split import exact_sample, holdout, kfold as kfold_column, stratified_holdout
@@ -102,6 +103,17 @@ def score(model, df: DataFrame, keep: Sequence[str] = ("id", "y"), name: str = "
 
 
 # --- K10 / K12 / K18 ---------------------------------------------------------------
+def logistic_point(params: Mapping[str, object] | None = None) -> dict:
+    """The penalty of the logistic candidate with overrides."""
+    est = build_estimator("logistic", params=params)
+    return {"regParam": est.getRegParam(), "elasticNetParam": est.getElasticNetParam()}
+
+
+def _fold_models(d: DataFrame, k: int, points: Sequence[Mapping[str, object]], label: str) -> dict:
+    """{(fold, point): model fitted on the other folds}, in shared scans."""
+    return M.fit_logistic(d, [F.col("fold") != f for f in range(k)], [logistic_point(p) for p in points], label, FEATURES)
+
+
 def cross_validate(name: str, data: DataFrame, key: Sequence[str], k: int = 3, label: str = "y",
                    seed: int = 42, threshold: float = 0.5, params: Mapping[str, object] | None = None,
                    train_sample: int | None = None) -> DataFrame:
@@ -109,9 +121,20 @@ def cross_validate(name: str, data: DataFrame, key: Sequence[str], k: int = 3, l
     every (fold, split) in one grouped aggregation over one table of scores,
     plus the fit time.  ``train_sample`` (H9) scores an exact sample of that
     many training rows instead of all of them (seed + fold)."""
-    d = kfold_column(data, key, k, seed, label=label)
+    d = cut_lineage(kfold_column(data, key, k, seed, label=label))
     scored, times = None, {}
-    for f in range(k):
+    if name == "logistic":
+        started = time.perf_counter()
+        models = _fold_models(d, k, [params or {}], label)
+        times = dict.fromkeys(range(k), (time.perf_counter() - started) / k)   # the folds share their scans
+        rows = d.withColumn("_of", F.sequence(F.lit(0), F.lit(k - 1)) if train_sample is None else F.array("fold"))
+        if train_sample:
+            for f in range(k):
+                rows = rows.unionByName(exact_sample(d.where(F.col("fold") != f), train_sample, key, seed + f).withColumn("_of", F.array(F.lit(f))))
+        scored = M.score_many(rows, [models[f, 0] for f in range(k)], F.col("_of"), [*key, label, "fold"])
+        scored = (scored.withColumn("split", F.when(F.col("fold") == F.col("model"), "valid").otherwise("train"))
+                  .drop("fold").withColumnRenamed("model", "fold"))
+    for f in range(k) if name != "logistic" else ():
         tr = d.where(F.col("fold") != f)
         va = d.where(F.col("fold") == f)
         model, secs = fit(name, tr, label, seed=seed, params=params)
@@ -131,7 +154,10 @@ def out_of_fold(name: str, data: DataFrame, key: Sequence[str], k: int = 3, labe
                 params: Mapping[str, object] | None = None) -> DataFrame:
     """Every row's score by the model of the other folds: (key, y, fold,
     score)."""
-    d = kfold_column(data, key, k, seed, label=label)
+    d = cut_lineage(kfold_column(data, key, k, seed, label=label))
+    if name == "logistic":
+        models = _fold_models(d, k, [params or {}], label)
+        return M.score_many(d, [models[f, 0] for f in range(k)], F.array("fold"), [*key, label, "fold"]).drop("model")
     out = None
     for f in range(k):
         model, _ = fit(name, d.where(F.col("fold") != f), label, seed=seed, params=params)
@@ -177,7 +203,22 @@ def learning_curve(name: str, data: DataFrame, key: Sequence[str], label: str =
     from .rank import hash_rank
     d = kfold_column(data, key, k, seed, label=label)
     rows = None
-    for f in range(k):
+    if name == "logistic":
+        # a row's place in each fold's training order, and from it the subsets that hold it
+        for f in range(k):
+            order = hash_rank(d.where(F.col("fold") != f).select(*key), key, seed + 1000 + f, name=f"_r{f}")
+            d = d.join(order, list(key), "left")
+        d = cut_lineage(d)
+        sizes_of = [(f, pct) for f in range(k) for pct in sizes]
+        n = d.agg(*[F.max(f"_r{f}") for f in range(k)]).first()
+        inside = [F.coalesce(F.col(f"_r{f}") <= (n[f] * pct + 99) // 100, F.lit(False)) for f, pct in sizes_of]
+        models = M.fit_logistic(d, inside, [logistic_point(params)], label, FEATURES)
+        wanted = F.filter(F.array(*[F.when(inside[i] | (F.col("fold") == f), F.lit(i)) for i, (f, _) in enumerate(sizes_of)]), lambda i: i.isNotNull())
+        scored = M.score_many(d, [models[i, 0] for i in range(len(sizes_of))], wanted, [*key, label, "fold"])
+        of = F.element_at(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(p).alias("p")) for f, p in sizes_of]), F.col("model") + 1)
+        rows = scored.select(label, "score", F.when(F.col("fold") == of["f"], "valid").otherwise("train").alias("split"),
+                             of["f"].alias("fold"), of["p"].alias("train_pct"))
+    for f in range(k) if name != "logistic" else ():
         tr = cut_lineage(hash_rank(d.where(F.col("fold") != f), key, seed + 1000 + f, name="_r"))
         n = tr.count()
         va = d.where(F.col("fold") == f)
@@ -254,7 +295,12 @@ def grid_search(name: str, data: DataFrame, key: Sequence[str], label: str = "y"
     points = param_grid(name, grids, max_points, seed)
     d = cut_lineage(kfold_column(data, key, k, seed, label=label))
     scored = None
-    for i, params in enumerate(points):
+    if name == "logistic":                                 # all points and folds in shared scans
+        models = _fold_models(d, k, points, label)
+        every = F.transform(F.sequence(F.lit(0), F.lit(len(points) - 1)), lambda i: i * k + F.col("fold"))
+        scored = (M.score_many(d, [models[f, i] for i in range(len(points)) for f in range(k)], every, [label, "fold"])
+                  .withColumn("point", (F.col("model") / k).cast("int")).drop("model"))
+    for i, params in enumerate(points) if name != "logistic" else ():
         for f in range(k):
             model, _ = fit(name, d.where(F.col("fold") != f), label, seed=seed, params=params)
             part = score(model, d.where(F.col("fold") == f), [label]).withColumns({"point": F.lit(i), "fold": F.lit(f)})

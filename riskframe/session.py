@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's modules to the Python workers, once per Spark
+    application (the driver serves the archive like any added Python file)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(sc._temp_dir, f"{root.name}-modules.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back: later
     passes scan only the columns they need, see real sizes, and survive lost
