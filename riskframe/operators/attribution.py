@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir, ship_package
+from .extratrees import RandomForest
 from .leafwise import Booster
 
 NODES = "tree int, node int, left int, right int, feature int, threshold double, cover double, value double"
@@ -39,7 +40,7 @@ def ensemble_nodes(model, spark: SparkSession) -> DataFrame:
     """The relation of nodes: ``left`` (at most the threshold) and ``right`` are
     nodes of the same tree, ``feature`` is -1 at a leaf; ``value`` is what the
     leaf adds to the margin (a forest's is its share of class 1)."""
-    if isinstance(model, Booster):
+    if isinstance(model, (Booster, RandomForest)):
         return spark.createDataFrame(model.nodes(), NODES)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     model.write().save(path)
@@ -123,6 +124,32 @@ class _Paths:
         return out
 
 
+def tree_values(paths: DataFrame, data: DataFrame, keep: Sequence[str], features: str = "features") -> DataFrame:
+    """(keep..., values): what each tree adds to a row's margin, in tree order."""
+    ship_package(data.sparkSession)
+    rows = paths.orderBy("tree", "leaf").collect()         # as many as the model has leaves
+    trees: dict[int, list] = {}
+    for r in rows:
+        trees.setdefault(r["tree"], []).append((r["value"], [(p["feature"], p["low"], p["high"]) for p in r["path"]]))
+    shared = data.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches):
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            x = rb.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(rb.num_rows, -1)
+            out = np.zeros((len(x), len(shared.value)))
+            for i, (_, leaves) in enumerate(sorted(shared.value.items())):
+                for value, path in leaves:
+                    held = np.ones(len(x), bool)
+                    for f, low, high in path:
+                        held &= (x[:, f] > low) & (x[:, f] <= high)
+                    out[held, i] = value
+            yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in keep), pa.array(out.tolist(), pa.list_(pa.float64()))], [*keep, "values"])
+    kinds = dict(data.dtypes)
+    return data.select(*keep, vector_to_array(features).alias("_x")).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", values array<double>")
+
+
 def tree_contributions(model, data: DataFrame, feature_cols: Sequence[str], key: str, features: str = "features") -> tuple[DataFrame, DataFrame, float]:
     """(local, global, expected): per row ``contrib_<feature>`` of every feature,
     which with ``expected`` add up to the row's margin; per feature the mean

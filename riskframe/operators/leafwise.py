@@ -251,6 +251,8 @@ def fit_leafwise(data: DataFrame, masks: Sequence[Column], params: Sequence[Mapp
     growth (they should meet no mask)."""
     spark = data.sparkSession
     ship_package(spark)
+    if unknown := {n for p in params for n in p} - set(DEFAULTS):
+        raise ValueError(f"unknown settings {sorted(unknown)}; expected some of {sorted(DEFAULTS)}")
     settings = [{**DEFAULTS, **p} for p in params]
     rows = data.where(F.col(label).isNotNull())
     edges = bin_edges(rows, features)

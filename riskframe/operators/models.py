@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import attribution as A
+from . import extratrees as X
+from . import leafwise as W
 from . import manyfit as M
 from . import metrics as K
 from .encode import balanced_class_weight
@@ -34,8 +37,9 @@ CATALOG = [
     ("majority", "baseline", "reference", "most frequent class: the floor any model must beat"),
     ("logistic", "linear", "baseline", "imputed, scaled, class-weighted logistic regression"),
     ("gbt", "boosting", "candidate", "gradient-boosted trees (histogram boosting analogue)"),
-    ("gbt_leafwise", "boosting", "candidate", "deeper sub-sampled boosted trees (leaf-wise boosting analogue)"),
+    ("gbt_leafwise", "boosting", "candidate", "leaf-wise boosted trees, sub-sampled rows and columns, class weights"),
     ("forest", "bagging", "candidate", "random forest with class weights"),
+    ("extra_trees", "bagging", "candidate", "extremely randomised trees with class weights"),
     ("linear_svc", "linear", "baseline", "linear SVM; margin min-max scaled into [0, 1]"),
 ]
 
@@ -57,9 +61,6 @@ def build_estimator(name: str, label: str = "y", weight: str | None = "weight",
                                  standardization=True)  # tol: the reference learner's default tolerance
     elif name == "gbt":
         est = GBTClassifier(**kw, stepSize=0.05, maxIter=300, minInstancesPerNode=100, seed=seed)
-    elif name == "gbt_leafwise":
-        est = GBTClassifier(**kw, **weighted, stepSize=0.05, maxIter=300, maxDepth=5, minInstancesPerNode=20,
-                            subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
     elif name == "forest":
         est = RandomForestClassifier(**kw, **weighted, numTrees=400, minInstancesPerNode=20, seed=seed)
     elif name == "linear_svc":
@@ -76,6 +77,11 @@ def assemble(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_cols), outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
+def _row_key(df: DataFrame) -> str:
+    """The column that tells rows apart (bagging draws by it)."""
+    return "id" if "id" in df.columns else df.columns[0]
+
+
 def fit(name: str, train: DataFrame, label: str = "y", balanced: bool = True, seed: int = 42,
         params: Mapping[str, object] | None = None):
     """Fit a catalog model on an assembled frame; returns (model, seconds)."""
@@ -83,6 +89,10 @@ def fit(name: str, train: DataFrame, label: str = "y", balanced: bool = True, se
     if name == "majority":
         row = train.groupBy(label).count().orderBy(F.col("count").desc(), F.col(label).asc()).first()
         model = ("majority", int(row[label]))
+    elif name == "extra_trees":
+        model = X.fit_extra_trees(train, params, label, FEATURES, balanced, seed)
+    elif name == "gbt_leafwise":
+        model = W.fit_leafwise(train, [F.lit(True)], [params or {}], _row_key(train), label, FEATURES, balanced, seed=seed)[0]
     else:
         data = balanced_class_weight(train, label, "weight") if balanced else train
         model = build_estimator(name, label, "weight" if balanced else None, seed, params).fit(data)
@@ -94,6 +104,10 @@ def score(model, df: DataFrame, keep: Sequence[str] = ("id", "y"), name: str = "
     gives its margin min-max scaled (B22); the majority model a constant."""
     if isinstance(model, tuple) and model[0] == "majority":
         return df.select(*keep, F.lit(float(model[1])).alias(name))
+    if isinstance(model, W.Booster):
+        return W.score_leafwise(model, df, keep, FEATURES, name)
+    if isinstance(model, X.RandomForest):
+        return X.score_extra_trees(model, df, keep, FEATURES, name)
     out = model.transform(df)
     if "probability" in out.columns:
         return out.select(*keep, vector_to_array("probability")[1].alias(name))
@@ -249,9 +263,9 @@ def scoring_table(model, test: DataFrame, key: str, best_threshold: float) -> Da
 GRIDS = {
     "logistic": {"regParam": [1e-5, 1e-4, 1e-3], "elasticNetParam": [0.0, 0.15]},
     "gbt": {"stepSize": [0.03, 0.05], "maxIter": [200, 300], "minInstancesPerNode": [50, 100]},
-    "gbt_leafwise": {"stepSize": [0.03, 0.05], "maxDepth": [5, 6], "minInstancesPerNode": [20, 100],
-                     "minInfoGain": [0.0, 1e-3]},
+    "gbt_leafwise": {"learning_rate": [0.03, 0.05], "max_leaves": [31, 63], "min_child": [20, 100], "l2": [0.0, 1.0]},
     "forest": {"numTrees": [300, 500], "minInstancesPerNode": [10, 20], "featureSubsetStrategy": ["sqrt", "0.5"]},
+    "extra_trees": {"n_trees": [300, 500], "min_leaf": [10, 20], "max_features": ["sqrt", 0.5]},
 }
 
 
@@ -300,7 +314,13 @@ def grid_search(name: str, data: DataFrame, key: Sequence[str], label: str = "y"
         every = F.transform(F.sequence(F.lit(0), F.lit(len(points) - 1)), lambda i: i * k + F.col("fold"))
         scored = (M.score_many(d, [models[f, i] for i in range(len(points)) for f in range(k)], every, [label, "fold"])
                   .withColumn("point", (F.col("model") / k).cast("int")).drop("model"))
-    for i, params in enumerate(points) if name != "logistic" else ():
+    elif name == "gbt_leafwise":
+        pairs = [(i, f) for i in range(len(points)) for f in range(k)]
+        models = W.fit_leafwise(d, [F.col("fold") != f for _, f in pairs], [points[i] for i, _ in pairs], key[0], label, FEATURES, seed=seed)
+        for (i, f), model in zip(pairs, models):
+            part = score(model, d.where(F.col("fold") == f), [label]).withColumns({"point": F.lit(i), "fold": F.lit(f)})
+            scored = part if scored is None else scored.unionByName(part)
+    for i, params in enumerate(points) if name not in ("logistic", "gbt_leafwise") else ():
         for f in range(k):
             model, _ = fit(name, d.where(F.col("fold") != f), label, seed=seed, params=params)
             part = score(model, d.where(F.col("fold") == f), [label]).withColumns({"point": F.lit(i), "fold": F.lit(f)})
@@ -327,16 +347,37 @@ def grid_search(name: str, data: DataFrame, key: Sequence[str], label: str = "y"
 BOOSTED = ("gbt", "gbt_leafwise")
 
 
-def early_stopped(name: str, train: DataFrame, valid_col: str, label: str = "y",
-                  params: Mapping[str, object] | None = None, tol: float = 0.01, seed: int = 42):
-    """Boosting on the rows where ``valid_col`` is false, with the others as
-    validation; stops when the validation loss no longer improves by ``tol``.
-    Returns (model, number of trees)."""
-    data = balanced_class_weight(train, label, "weight") if name == "gbt_leafwise" else train
-    est = build_estimator(name, label, "weight" if name == "gbt_leafwise" else None, seed, params)
-    est = est.copy({est.validationIndicatorCol: valid_col, est.validationTol: tol})
-    m = est.fit(data)
-    return m, m.getNumTrees
+def prefix_aucs(model, valid: DataFrame, label: str = "y") -> DataFrame:
+    """(n_trees, roc_auc) of every prefix of a boosted model: the margins after
+    each tree are one exploded table, with one grouped rank aggregate."""
+    if isinstance(model, W.Booster):
+        return valid.sparkSession.createDataFrame([(i + 1, float(a)) for i, a in enumerate(model.auc)], "n_trees int, roc_auc double")
+    leaves = A.leaf_paths(A.ensemble_nodes(model, valid.sparkSession))
+    trees = A.tree_values(leaves, valid, [label], FEATURES)          # (label, values: one per tree)
+    margins = F.transform(F.sequence(F.lit(1), F.size("values")),
+                          lambda i: F.struct(i.alias("n_trees"), F.aggregate(F.slice("values", F.lit(1), i), F.lit(0.0), lambda a, v: a + v).alias("score")))
+    return K.rank_metrics(trees.select(label, F.inline(margins)), y=label, by=["n_trees"]).select("n_trees", "roc_auc")
+
+
+def early_stopped(name: str, train: DataFrame, valid_col: str, label: str = "y", params: Mapping[str, object] | None = None,
+                  patience: int = 50, seed: int = 42):
+    """Boosting on the rows where ``valid_col`` is false; the number of trees
+    is that of the best AUC on the others, before an AUC ``patience`` trees old
+    has not been beaten.  The leaf-wise learner stops growing there; the other
+    one grows all its trees, and the rule is applied to its prefixes.  Returns
+    (model, number of trees)."""
+    if name == "gbt_leafwise":
+        model = W.fit_leafwise(train, [~F.col(valid_col)], [params or {}], _row_key(train), label, FEATURES,
+                               valid=F.col(valid_col), patience=patience, seed=seed)[0]
+        return model, len(model.trees)
+    model = build_estimator(name, label, None, seed, params).fit(train.where(~F.col(valid_col)))
+    best, at = -1.0, 0
+    for r in prefix_aucs(model, train.where(F.col(valid_col)), label).orderBy("n_trees").collect():    # one row per tree
+        if (r["roc_auc"] or 0.0) > best:
+            best, at = r["roc_auc"] or 0.0, r["n_trees"]
+        elif r["n_trees"] - at >= patience:
+            break
+    return model, at
 
 
 def tuned_threshold(name: str, data: DataFrame, key: Sequence[str], label: str = "y",
@@ -351,7 +392,7 @@ def tuned_threshold(name: str, data: DataFrame, key: Sequence[str], label: str =
     final = dict(params or {})
     if name in BOOSTED:
         model, trees = early_stopped(name, inner, "is_valid", label, params, seed=seed)
-        final["maxIter"] = int(trees)
+        final["n_iter" if name == "gbt_leafwise" else "maxIter"] = int(trees)
     else:
         model, _ = fit(name, inner.where("not is_valid").drop("is_valid"), label, seed=seed, params=params)
     table = K.threshold_search(score(model, inner.where("is_valid"), [*key, label]), label, lo=lo, hi=hi)

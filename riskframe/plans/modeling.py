@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions.rounding import sig_round_doubles
+from ..operators import attribution as A
 from ..operators import encode as E
 from ..operators import explain as L
 from ..operators import metrics as K
@@ -114,11 +115,55 @@ def q_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return J.holdout_evaluation("gbt", tr, ho, "y")[0]
 
 
+def q_leafwise(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf-wise boosting at the reference configuration."""
+    tr, ho, _, _ = model_matrix(spark, sf)
+    return J.holdout_evaluation("gbt_leafwise", tr, ho, "y")[0]
+
+
+def q_leafwise_stopping(spark: SparkSession, sf: str) -> DataFrame:
+    """The AUC of every prefix on an inner validation part, and where the
+    growth stops (patience 50)."""
+    tr, _, _, _ = model_matrix(spark, sf)
+    inner = cut_lineage(H.stratified_holdout(tr, "y", ["id"], 20, SEED + 7, name="is_valid").withColumn("is_valid", F.col("is_valid").cast("boolean")))
+    model, trees = J.early_stopped("gbt_leafwise", inner, "is_valid", "y")
+    return J.prefix_aucs(model, inner).withColumn("kept", F.col("n_trees") <= trees)
+
+
+def q_tree_contrib(spark: SparkSession, sf: str) -> DataFrame:
+    """L3: mean absolute contributions of a boosted model's features over the
+    test clients."""
+    tr, _, te, feats = model_matrix(spark, sf)
+    model, _ = J.fit("gbt", tr, "y")
+    return A.tree_contributions(model, te, feats, "id")[1]
+
+
+def q_tree_local_contrib(spark: SparkSession, sf: str) -> DataFrame:
+    """The contributions of the test client with the highest score."""
+    tr, _, te, feats = model_matrix(spark, sf)
+    model, _ = J.fit("gbt", tr, "y")
+    riskiest = J.score(model, te, ["id"]).agg(F.max_by("id", F.struct("score", "id"))).first()[0]
+    return L.local_explanation(A.tree_contributions(model, te.where(F.col("id") == riskiest), feats, "id")[0], "id", riskiest)
+
+
+def q_random_search(spark: SparkSession, sf: str) -> DataFrame:
+    """A random search of 20 draws over a finer logistic grid."""
+    tr, _, _, _ = model_matrix(spark, sf)
+    fine = {"logistic": {"regParam": [10.0 ** (-e / 2) for e in range(4, 12)], "elasticNetParam": [0.0, 0.15, 0.5, 1.0]}}
+    return J.grid_search("logistic", tr, ["id"], "y", 3, grids=fine, max_points=20)[0]
+
+
 def q_forest(spark: SparkSession, sf: str) -> DataFrame:
     tr, ho, _, _ = model_matrix(spark, sf)
     return J.holdout_evaluation("forest", tr, ho, "y")[0]
 
 
+def q_extra_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Extremely randomised trees at the reference configuration."""
+    tr, ho, _, _ = model_matrix(spark, sf)
+    return J.holdout_evaluation("extra_trees", tr, ho, "y")[0]
+
+
 def q_svc(spark: SparkSession, sf: str) -> DataFrame:
     """A model without probabilities, scored by its scaled margin."""
     tr, ho, _, _ = model_matrix(spark, sf)
@@ -287,15 +332,16 @@ BENCHMARK_MODELS = ["majority", "logistic", "linear_svc", "forest"]
 
 
 def baseline_benchmark(spark: SparkSession, sf: str, out_dir: str, models=BENCHMARK_MODELS, k: int = 3,
-                       params: dict | None = None) -> DataFrame:
+                       params: dict | None = None, matrix: tuple | None = None) -> DataFrame:
     """For each candidate: k-fold CV on the training part and a holdout
     evaluation; one leaderboard row per model (holdout metrics, CV means,
     fit time).  Writes the leaderboard as CSV (A7), the recommendation as a
     JSON document (A9) and every metric as a long run-metrics table (A10)
     under ``out_dir``; returns the leaderboard.  ``params`` ({model: settings})
-    overrides single settings of the reference configurations."""
+    overrides single settings of the reference configurations; ``matrix`` is a
+    built ``model_matrix``."""
     from ..sources.files import append_run_metrics, write_json_document, write_report_csv
-    tr, ho, _, _ = model_matrix(spark, sf)
+    tr, ho, _, _ = matrix or model_matrix(spark, sf)
     rows = None
     for name in models:
         own = (params or {}).get(name)
@@ -328,7 +374,7 @@ LEADERBOARD_SCHEMA = "model string, rank int, business_cost_per_obs double"
 FALLBACK_MODEL = "logistic"
 
 
-def optimise_and_score(spark: SparkSession, sf: str, work_dir: str, grids: dict | None = None) -> DataFrame:
+def optimise_and_score(spark: SparkSession, sf: str, work_dir: str, grids: dict | None = None, matrix: tuple | None = None) -> DataFrame:
     """Read the leaderboard that ``baseline_benchmark`` wrote under ``work_dir``
     (absent: the fallback model), search the full grid of its best tunable
     model, find the business threshold on an inner validation part (with early
@@ -341,7 +387,7 @@ def optimise_and_score(spark: SparkSession, sf: str, work_dir: str, grids: dict
     board = read_or_empty(spark, f"{work_dir}/leaderboard", LEADERBOARD_SCHEMA)
     best = board.where(F.col("model").isin(*grids)).orderBy("rank").limit(1).collect()
     name = best[0]["model"] if best else FALLBACK_MODEL
-    tr, ho, te, _ = model_matrix(spark, sf)
+    tr, ho, te, _ = matrix or model_matrix(spark, sf)
     search, params = J.grid_search(name, tr, ["id"], "y", 3, grids=grids)
     thr, final, _ = J.tuned_threshold(name, tr, ["id"], params=params, seed=SEED + 3)
     base, _ = J.fit(name, tr, "y")
@@ -356,8 +402,9 @@ def optimise_and_score(spark: SparkSession, sf: str, work_dir: str, grids: dict
 def q_optimise_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Entry points 2 and 3 in a row: the second reads what the first wrote."""
     work = _work_dir(spark, "optimise")
-    baseline_benchmark(spark, sf, work, ["majority", "logistic", "linear_svc"])
-    return optimise_and_score(spark, sf, work)
+    matrix = model_matrix(spark, sf)
+    baseline_benchmark(spark, sf, work, ["majority", "logistic", "linear_svc"], matrix=matrix)
+    return optimise_and_score(spark, sf, work, matrix=matrix)
 
 
 # --- A10 run metrics ------------------------------------------------------------------------------
@@ -368,6 +415,8 @@ def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "extra_trees": q_extra_trees, "leafwise": q_leafwise, "leafwise_stopping": q_leafwise_stopping, "tree_contrib": q_tree_contrib,
+    "tree_local_contrib": q_tree_local_contrib, "random_search": q_random_search,
     "majority": q_majority, "logistic": q_logistic, "gbt": q_gbt, "forest": q_forest,
     "cv_logistic": q_cv_logistic, "grid_search": q_grid_search, "learning_curve": q_learning_curve,
     "early_stopping": q_early_stopping, "comparison": q_comparison, "test_scoring": q_test_scoring,

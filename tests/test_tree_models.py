@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.operators import attribution as A
+from riskframe.operators import extratrees as T
 from riskframe.operators import leafwise as W
 from riskframe.operators import models as J
 from riskframe.session import cut_lineage
@@ -147,3 +148,51 @@ def test_contributions_equal_subset_enumeration(spark, data, kind):
         phi, base = shapley(nodes, x[i], 4)
         assert abs(base - expected) < 1e-9 and np.allclose(phi, rows[int(ids[i])], atol=1e-9)
     assert {r["feature"] for r in glob.collect()} == set(FEATS)
+
+
+# --- extremely randomised trees -------------------------------------------------------
+def plain_extra_tree(x, y, w, rows, tree, node, seed, least, count, out):
+    """Recursion over (node id, rows); ids are given level by level, so by a queue."""
+    queue, size = [(0, rows)], 1
+    while queue:
+        node, rows = queue.pop(0)
+        whole = np.array([w[0] * (y[rows] == 0).sum(), w[1] * (y[rows] == 1).sum()])
+        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+        best = (0.0, None)
+        if len(rows) >= 2 * least and whole.min() > 0:
+            chosen = [f for f in T.drawn(seed, tree, node, x.shape[1]) if high[f] > low[f]][:count]
+            for f in chosen:
+                cut = T.threshold_at(seed, tree, node, np.array([f]), low[[f]], high[[f]])[0]
+                left = x[rows, f] <= cut
+                if min(left.sum(), (~left).sum()) >= least:
+                    a = np.array([w[0] * (y[rows[left]] == 0).sum(), w[1] * (y[rows[left]] == 1).sum()])
+                    gini = [2 * s[0] * s[1] / s.sum() if s.sum() else 0.0 for s in (whole, a, whole - a)]
+                    gain = round(gini[0] - gini[1] - gini[2], 9)
+                    if gain > best[0]:
+                        best = (gain, (f, cut, rows[left], rows[~left]))
+        if best[1] is None:
+            out[node] = (rows, whole[1] / whole.sum())
+            continue
+        for part in best[1][2:]:
+            queue.append((size, part))
+            size += 1
+    return out
+
+
+def test_extra_trees_equal_plain_growth(data):
+    params = {"n_trees": 3, "min_leaf": 15}
+    forest = T.fit_extra_trees(data, params)
+    again = T.fit_extra_trees(data.repartition(6), params)
+    _, y, x = local_rows(data)
+    w = len(y) / (2 * np.bincount(y))
+    for i, tree in enumerate(forest.trees):
+        want = plain_extra_tree(x, y, w, np.arange(len(y)), i, 0, 42, 15, 2, {})
+        place = tree.place(x)
+        assert {n: frozenset(np.flatnonzero(place == n)) for n in np.unique(place)} == {n: frozenset(r) for n, (r, _) in want.items()}
+        assert all(abs(tree.value[n] - v) < 1e-9 for n, (_, v) in want.items()) and tree.feature == again.trees[i].feature
+    assert forest.trees[0].feature != forest.trees[1].feature
+    scored = {r["id"]: r["score"] for r in J.score(forest, data).collect()}
+    assert np.allclose([scored[i] for i in local_rows(data)[0]], forest.scores(x))
+    local, _, expected = A.tree_contributions(forest, data, FEATS, "id")
+    assert all(abs(expected + sum(r[f"contrib_{c}"] for c in FEATS) - scored[r["id"]]) < 1e-9 for r in local.collect())
+    assert len(T.fit_extra_trees(data.where("y = 1"), params).trees[0].feature) == 1
