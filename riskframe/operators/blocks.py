@@ -9,12 +9,15 @@ vocabularies are fitted once and can be shared between train and test.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_at_zero, nullify_sentinels, safe_divide
+from ..session import ensure_checkpoint_dir
+from ..sources.files import hand_over_bucketed
 from .aggspec import agg_exprs, aggregate_block, dummy_mean_exprs
 from .joins import join_blocks
 
@@ -130,10 +133,13 @@ def post_join_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns({name: safe_divide(a, b) for name, a, b in POST_JOIN_RATIOS if a in df.columns and b in df.columns})
 
 
-def five_blocks(application: DataFrame, tables: Mapping[str, DataFrame], vocabularies: Mapping[str, Vocabulary]) -> DataFrame:
+def five_blocks(application: DataFrame, tables: Mapping[str, DataFrame], vocabularies: Mapping[str, Vocabulary],
+                buckets: int | None = None) -> DataFrame:
     """D3 + B13: application left-joined with all five blocks (every client keeps
     one row), then the nine ratios.  ``tables`` and ``vocabularies``: bureau,
-    balance, previous, pos, instalments, card."""
+    balance, previous, pos, instalments, card.  With ``buckets`` the application
+    and each block are handed over as tables bucketed by client, for builds that
+    read the blocks again: the five joins then have no shuffle."""
     v = vocabularies
     blocks = {
         "BURO": bureau_block(tables["bureau"], tables["balance"], v["bureau"], v["balance"]),
@@ -141,4 +147,8 @@ def five_blocks(application: DataFrame, tables: Mapping[str, DataFrame], vocabul
         "POS": pos_block(tables["pos"], v["pos"]),
         "INSTAL": instalments_block(tables["instalments"], v.get("instalments")),
         "CC": card_block(tables["card"], v["card"])}
+    if buckets:
+        folder = f"{ensure_checkpoint_dir(application.sparkSession).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+        application = hand_over_bucketed(application, KEY, buckets, f"{folder}/application")
+        blocks = {n: hand_over_bucketed(b, KEY, buckets, f"{folder}/{n.lower()}") for n, b in blocks.items()}
     return post_join_ratios(join_blocks(application, blocks, KEY))

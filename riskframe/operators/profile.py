@@ -55,14 +55,15 @@ def _typed(df: DataFrame, c: str):
 
 def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column, from ONE wide aggregate without any shuffle of values: rows,
-    null_count, non_null, and whether it has a single value (min = max)."""
+    null_count, non_null, whether it has a single value (min = max), and the
+    smallest value as text."""
     cols = list(columns) if columns is not None else df.columns
     n = F.count(F.lit(1))
 
     def row(c):
         x = _typed(df, c)
         return F.struct(F.lit(c).alias("variable"), n.alias("rows"), (n - F.count(x)).alias("null_count"),
-                        F.count(x).alias("non_null"), (F.min(x) == F.max(x)).alias("single"))
+                        F.count(x).alias("non_null"), (F.min(x) == F.max(x)).alias("single"), F.min(x).cast("string").alias("least"))
     return _inline(df, cols, row)
 
 
@@ -71,38 +72,31 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     nunique_with_null, dominant_count (NULL counts as a value), top_value
     (most frequent non-null, lowest on ties, as text) and top_count, plus dtype.
 
-    Null counts and single-valued columns come from one wide aggregate; only
-    the other columns need their values counted, by type: numbers travel as
-    doubles (longs, dates and the rest as text), not all as text."""
+    Two jobs whatever the number of columns: one wide aggregate for null counts
+    and single-valued columns, and one count of the values of all others, numbers
+    as doubles and the rest (longs, dates) as text, side by side in one row."""
     cols = list(columns) if columns is not None else df.columns
     spark = df.sparkSession
-    facts = column_facts(df, cols).collect()                      # one row per column
-    rows, single = {}, {}
-    for r in facts:
-        rows[r["variable"]] = (r["rows"], r["null_count"], r["non_null"])
-        single[r["variable"]] = r["single"]
-    many = [c for c in cols if rows[c][2] and not single[c]]
+    facts = {r["variable"]: r for r in column_facts(df, cols).collect()}      # one row per column
+    many = [c for c in cols if facts[c]["non_null"] and not facts[c]["single"]]
     numbers = [c for c in many if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType))]
-    texts = [c for c in many if c not in numbers]
-    counted = None
     ids = {c: i for i, c in enumerate(many)}
-    for part, cast in ((numbers, "double"), (texts, "string")):
-        if not part:
-            continue
-        long = df.select(F.inline(F.array(*[F.struct(F.lit(ids[c]).alias("id"), _typed(df, c).cast(cast).alias("value"))
-                                            for c in part]))).where(F.col("value").isNotNull())
-        vc = long.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
-        best = F.min(F.struct((-F.col("n")).alias("a"), F.col("value").alias("b")))
-        one = vc.groupBy("id").agg(F.count(F.lit(1)).alias("nunique"), best.alias("t")) \
-            .select("id", "nunique", (-F.col("t.a")).alias("top_count"), F.col("t.b").cast("string").alias("top_value"))
-        counted = one if counted is None else counted.unionByName(one)
-    found = {r["id"]: r for r in counted.collect()} if counted is not None else {}   # one row per column
-    constant = [c for c in cols if rows[c][2] and single[c]]
-    value = df.agg(*[F.first(_typed(df, c), ignorenulls=True).cast("string").alias(f"v{i}") for i, c in enumerate(constant)]).first() \
-        if constant else None
+
+    def entry(c):
+        x, is_number = _typed(df, c), c in numbers
+        return F.struct(F.lit(ids[c]).alias("id"), (x if is_number else F.lit(None)).cast("double").alias("number"),
+                        (F.lit(None) if is_number else x).cast("string").alias("text"))
+    found = {}
+    if many:
+        long = df.select(F.inline(F.array(*[entry(c) for c in many]))).where("number IS NOT NULL OR text IS NOT NULL")
+        counts = long.groupBy("id", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+        best = F.min(F.struct((-F.col("n")).alias("a"), "number", "text"))
+        one = counts.groupBy("id").agg(F.count(F.lit(1)).alias("nunique"), best.alias("t")).select(
+            "id", "nunique", (-F.col("t.a")).alias("top_count"), F.coalesce("t.text", F.col("t.number").cast("string")).alias("top_value"))
+        found = {r["id"]: r for r in one.collect()}        # one row per column
     out = []
     for c in cols:
-        n, nulls, present = rows[c]
+        n, nulls, present = facts[c]["rows"], facts[c]["null_count"], facts[c]["non_null"]
         if c in ids and ids[c] in found:
             r = found[ids[c]]
             nunique, top_count, top = r["nunique"], r["top_count"], r["top_value"]
@@ -110,7 +104,7 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
             if c in numbers and not isinstance(field, (T.DoubleType, T.FloatType)):
                 top = str(int(float(top)))
         elif present:
-            nunique, top_count, top = 1, present, value[f"v{constant.index(c)}"]
+            nunique, top_count, top = 1, present, facts[c]["least"]
         else:
             nunique, top_count, top = 0, None, None
         out.append((c, df.schema[c].dataType.simpleString(), n, nulls, present, nunique, nunique + (nulls > 0),
@@ -120,13 +114,23 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 # --- F1 ------------------------------------------------------------------------
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """(n_rows, n_distinct).  Rows are counted by a 128-bit digest, so that whole
+    rows are not shuffled; only rows that share a digest are compared as they are
+    (digests skip NULLs, and any digest can collide)."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    one, two = F.xxhash64(*cols).alias("_h1"), F.xxhash64(F.lit(17), *cols, F.concat(*[c.isNull().cast("string") for c in cols])).alias("_h2")
+    counts = df.select(one, two).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    alone = counts.agg(F.sum("_n").alias("n_rows"), F.count_if(F.col("_n") == 1).alias("alone"))
+    shared = counts.where("_n > 1").select("_h1", "_h2")
+    others = df.select(*cols, one, two).join(shared, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2").distinct().agg(F.count(F.lit(1)).alias("others"))
+    return alone.crossJoin(others).select(F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+                                          (F.col("alone") + F.col("others")).alias("n_distinct"))      # one row each
+
+
 def overview(df: DataFrame) -> DataFrame:
     """rows, columns, duplicate rows (rows - distinct rows) and their share (%)."""
-    n = F.count(F.lit(1))
-    rows = df.agg(n.alias("n_rows"))
-    distinct = df.distinct().agg(n.alias("n_distinct"))
-    both = rows.unionByName(distinct, allowMissingColumns=True).agg(
-        F.max("n_rows").alias("n_rows"), F.max("n_distinct").alias("n_distinct"))
+    both = distinct_rows(df)
     return both.select(
         "n_rows", F.lit(len(df.columns)).alias("n_columns"),
         (F.col("n_rows") - F.col("n_distinct")).alias("duplicates"),

@@ -104,6 +104,15 @@ def q_post_join_ratios(spark: SparkSession, sf: str) -> DataFrame:
                                          *[n for n, _, _ in B.POST_JOIN_RATIOS]))
 
 
+def q_bucketed_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """D3: the same build with blocks handed over bucketed by client."""
+    t = role_tables(spark, sf, list(_roles(_SPARK_DAYS)))
+    app = t.pop("application")
+    full = B.five_blocks(app, t, _vocabularies(t), buckets=16)
+    return sig_round_doubles(full.select(KEY, "AMT_CREDIT", "BURO_COUNT", "PREV_COUNT", "POS_COUNT", "INSTAL_COUNT", "CC_COUNT",
+                                         *[n for n, _, _ in B.POST_JOIN_RATIOS]))
+
+
 # --- oracles: one subquery per block and per subset, then left joins --------------------------------
 _DOUBLE = {"AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_CREDIT_MAX_OVERDUE", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_OVERDUE",
            "AMT_CREDIT_SUM_LIMIT", "AMT_ANNUITY", "AMT_APPLICATION", "AMT_DOWN_PAYMENT", "AMT_GOODS_PRICE", "RATE_DOWN_PAYMENT",
@@ -201,7 +210,8 @@ def sql_post_join_ratios() -> str:
 
 QUERIES = {"bureau_block": q_bureau_block, "previous_block": _single("previous", B.previous_block), "pos_block": _single("pos", B.pos_block),
            "instalments_block": _single("instalments", B.instalments_block), "card_block": _single("card", B.card_block),
-           "post_join_ratios": q_post_join_ratios}
+           "post_join_ratios": q_post_join_ratios, "bucketed_blocks": q_bucketed_blocks}
 ORACLES = {"bureau_block": lambda: _block_sql(_bureau_ctes, "buro"), "previous_block": lambda: _block_sql(_previous_ctes, "prev"),
            "pos_block": lambda: _block_sql(_pos_ctes, "pos"), "instalments_block": lambda: _block_sql(_instalments_ctes, "instal"),
-           "card_block": lambda: _block_sql(_card_ctes, "cc"), "post_join_ratios": sql_post_join_ratios}
+           "card_block": lambda: _block_sql(_card_ctes, "cc"), "post_join_ratios": sql_post_join_ratios,
+           "bucketed_blocks": sql_post_join_ratios}

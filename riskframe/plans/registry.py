@@ -7,7 +7,7 @@ import importlib
 
 from .sqlgen import bigint_count_if
 
-_MODULES = ["features", "encoding", "profiling", "association", "evaluation", "modeling", "reports", "domain"]
+_MODULES = ["features", "encoding", "profiling", "association", "evaluation", "modeling", "reports", "domain", "files"]
 
 
 def _load():

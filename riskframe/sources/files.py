@@ -3,6 +3,7 @@ readers and writers only -- nothing is read through the driver."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -60,6 +61,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     w.parquet(path)
 
 
+def hand_over_bucketed(df: DataFrame, key: str, buckets: int, path: str) -> DataFrame:
+    """``df`` written once under ``path``, bucketed and sorted by ``key``, and read
+    back: tables of equal ``buckets`` join on the key without a shuffle, as often
+    as they are read.  One task writes a bucket as one sorted file."""
+    name = f"handover_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def write_report_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
     """Reports are small (one row per column / model / threshold), so one
     file is fine; data-sized frames keep their partitioning."""
@@ -112,5 +122,6 @@ def long_metrics(wide: DataFrame, run_id: str, scope: str, split_col: str | None
 
 
 def append_run_metrics(df: DataFrame, path: str) -> None:
-    """A10 sink: append, partitioned by run."""
-    df.write.mode("append").partitionBy("run_id").parquet(path)
+    """A10 sink: partitioned by run; a run that is written again replaces its own
+    rows and no other run's, so a retried flow leaves one set."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)

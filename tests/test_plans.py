@@ -52,3 +52,16 @@ def test_vocabulary_guard_and_multi_table_fit(spark):
     other = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
     v = E.fit_vocabularies({"a": (df, ["flag"]), "b": (other, ["c"])}, max_categories=10)
     assert v == {"a": {"flag": ["0", "1"]}, "b": {"c": ["x", "y"]}}
+
+
+def test_bucketed_blocks_join_without_a_shuffle(spark):
+    from riskframe.plans import domain as D
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = D.q_bucketed_blocks(spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan and "Bucketed: true" in plan
+        assert sorted(map(str, df.collect())) == sorted(map(str, D.q_post_join_ratios(spark, SF).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

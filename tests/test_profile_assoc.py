@@ -83,3 +83,24 @@ def test_chi2_sf_edges(spark):
     df = spark.createDataFrame([(0.0, 3), (5000.0, 1), (None, 2)], "x double, d int")
     got = [r[0] for r in df.select(G.chi2_sf(F.col("x"), F.col("d"))).collect()]
     assert got[0] == 1.0 and got[1] == 0.0 and got[2] is None
+
+
+def test_distinct_rows_by_digest(spark):
+    from riskframe.operators import profile as P
+    rows = [(None, 1, 0.0), (1, None, -0.0), (1, None, 0.0), (None, 1, 0.0), (2, 2, float("nan")), (2, 2, float("nan")), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b int, c double")
+    r = P.distinct_rows(df).first()
+    assert (r["n_rows"], r["n_distinct"]) == (7, df.distinct().count()) == (7, 4)
+    assert tuple(P.distinct_rows(df.limit(0)).first()) == (0, 0)
+    # a digest that all rows share: the rows themselves decide
+    same = df.select("a", "b")
+    assert P.distinct_rows(same).first()["n_distinct"] == same.distinct().count()
+
+
+def test_column_stats_of_all_types_in_two_jobs(spark):
+    from riskframe.operators import profile as P
+    df = spark.createDataFrame([(1, 10 ** 17 + 1, "x", True, 1.5, None), (2, 10 ** 17 + 1, "x", False, None, None), (2, 10 ** 17 + 2, None, True, 1.5, None)],
+                               "i int, l long, s string, b boolean, d double, n string")
+    r = {x["variable"]: x for x in P.column_stats(df).collect()}
+    assert [(r[c]["nunique"], r[c]["top_value"], r[c]["top_count"], r[c]["null_count"]) for c in "ilsbdn"] == [
+        (2, "2", 2, 0), (2, str(10 ** 17 + 1), 2, 0), (1, "x", 2, 1), (2, "true", 2, 0), (1, "1.5", 2, 1), (0, None, None, 3)]

@@ -37,3 +37,12 @@ def test_file_inventory_and_key_scan(spark):
     assert inv["orders"].exists and inv["orders"].size_mb >= 0 and not inv["missing"].exists
     keys = A.read_keys(spark, f"{SF}/orders.parquet", ["o_orderkey", "o_custkey"])
     assert keys.columns == ["o_orderkey", "o_custkey"]
+
+
+def test_a_run_written_again_replaces_only_itself(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="rf-src-", dir="/tmp"), "metrics")
+    for run, auc in (("run-1", 0.7), ("run-2", 0.8), ("run-1", 0.9)):
+        A.append_run_metrics(A.metrics_frame(spark, run, "baseline", "test", {"auc": auc, "ap": None}), path)
+    got = {(r.run_id, r.metric): r.value for r in spark.read.parquet(path).collect()}
+    assert got == {("run-1", "auc"): 0.9, ("run-1", "ap"): None, ("run-2", "auc"): 0.8, ("run-2", "ap"): None}
+    assert spark.read.parquet(path).count() == 4
