@@ -30,7 +30,18 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of ``stage`` frames.  Only for tables whose readers have
+    all been written themselves: what has been written reads nothing again."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written)
+        path.getFileSystem(conf).delete(path, True)
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -106,11 +117,24 @@ def row_key(df: DataFrame) -> DataFrame:
                      column_or_null(df, "source", "string").alias("source"), text.alias("text"))
 
 
+BUCKETS = 1 << 20              # hash buckets of a broadcast: its rows at most
+
+
+def apart(docs: DataFrame, key, rare: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two: rows that share no hash bucket with the keys of ``rare``
+    (one column), and the others.  The buckets that hold a key are broadcast, at
+    most ``BUCKETS`` of them, so only the others' texts need a shuffle."""
+    name = safe_name(docs.columns, "_bucket")
+    buckets = F.broadcast(rare.select(F.pmod(F.xxhash64(rare.columns[0]), F.lit(BUCKETS)).alias(name)).distinct())
+    same = F.pmod(F.xxhash64(key), F.lit(BUCKETS)) == buckets[name]
+    return docs.join(buckets, same, "left_anti"), docs.join(buckets, same, "left_semi")
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose (id, key) is not in ``rejected``; the small
-    written table is broadcast only where its size on disk is under Spark's
-    threshold."""
+    """The rows of ``docs`` whose (id, key) is not in ``rejected``."""
     gone = stage(rejected.select("id", "key").distinct(), "gone")
     i, k = safe_name(docs.columns, "_gone_id"), safe_name(docs.columns, "_gone_key")
+    clear, others = apart(docs, F.xxhash64(docs["text"]), gone.select("key"))
     gone = gone.select(gone["id"].alias(i), gone["key"].alias(k))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(i)) & (F.xxhash64(docs["text"]) == F.col(k)), "left_anti")
+    return clear.unionByName(others.join(
+        gone, others["doc_id"].eqNullSafe(F.col(i)) & (F.xxhash64(others["text"]) == F.col(k)), "left_anti"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -37,4 +37,5 @@ def components(links: DataFrame) -> DataFrame:
         mark = tuple(now)
         if not mark[0]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        e = stage(_small_star(_large_star(e)), "links")
+        e, old = stage(_small_star(_large_star(e)), "links"), e
+        discard(old)

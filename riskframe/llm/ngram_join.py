@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import column_or_null, map_batches, safe_name, stage, table
+from .common import apart, column_or_null, discard, map_batches, safe_name, stage, table
 from .links import components
 
 GROUPS = (64, 65536)   # fewest and most coordinates of a point; about the set's size between
@@ -300,7 +300,7 @@ def _bucket(column: str):
 
 
 def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: int) -> DataFrame:
-    """The pairs whose whole sets link.  The sets are made from the texts of one
+    """The pairs whose whole sets link, written.  The sets are made from the texts of one
     document each; a bitmap of fixed size lets most other texts be skipped
     before any shuffle, and the join on (fp, id) is exact."""
     spark = docs.sparkSession
@@ -321,8 +321,10 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: i
     a = sets.select(F.col("fp").alias("u"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
     b = sets.select(F.col("fp").alias("v"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
     shared = F.size(F.array_intersect("_ta", "_tb"))
-    return (pairs.join(a, "u").join(b, "v")
-            .filter(shared * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"))
+    links = stage(pairs.join(a, "u").join(b, "v")
+                  .filter(shared * (100 + t) >= (F.col("_na") + F.col("_nb")) * t).select("u", "v"), "links")
+    discard(nodes, sets)
+    return links
 
 
 def _distinct_cells(members: DataFrame) -> DataFrame:
@@ -358,13 +360,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         size_class = F.col("cell").bitwiseAND(63).cast("int")
         enough = (members.groupBy("fp", size_class.alias("class")).agg(F.count("*").alias("held"))
                   .filter(F.col("held") >= need).select("fp", "class"))
-        members = members.withColumn("class", size_class).join(enough, ["fp", "class"]).select("cell", "fp")
-        members = stage(_mixed(members, "fp"), "cells")
-    members = stage(_distinct_cells(members), "cells")
+        members, old = stage(_mixed(members.withColumn("class", size_class).join(enough, ["fp", "class"]).select("cell", "fp"), "fp"), "cells"), members
+        discard(old)
+    members, old = stage(_distinct_cells(members), "cells"), members
+    discard(old)
 
     points = (named.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp", "n", "vec")
               .agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids")))
     points = stage(points.select("fp", "n", "vec", "id", (F.col("rows") > F.col("ids")).alias("again")), "points")
+    known = stage(meta.select("id", "n", "fp"), "known")
+    discard(meta)
 
     def unconnected(root: DataFrame) -> DataFrame:
         """Members of the cells that hold several components so far."""
@@ -384,7 +389,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return stage(map_batches(runs, _tree_pass(percent, forest), "cell long, u long, v long"), "tree")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return stage(_verified(pairs, points, docs, k, percent), "links")
+        return _verified(pairs, points, docs, k, percent)
 
     # star: each member against the smallest of its cells' smallest members
     hub = members.groupBy("cell").agg(F.min("fp").alias("hub"))
@@ -398,14 +403,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     two = _bounded(sizes.filter("size = 2").select("u", "v").distinct(), points, percent)
     found = tree_pairs(open_.join(sizes.filter("size > 2").select("cell"), "cell", "left_semi"), forest=True)
     pairs = stage(two.unionByName(found.select("u", "v")).distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
+    discard(open_, sizes)
     links = links.unionByName(verified(pairs))
     checked = checked.unionByName(pairs)
     # ... then, in the cells where it let any through, all that are left across components
-    open_ = unconnected(components(links)).join(found.select("cell").distinct(), "cell", "left_semi")
-    pairs = stage(tree_pairs(open_, forest=False).select("u", "v").distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
+    open_ = unconnected(components(links))
+    every = tree_pairs(open_.join(found.select("cell").distinct(), "cell", "left_semi"), forest=False)
+    pairs = stage(every.select("u", "v").distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
+    discard(open_, members, found, every)
     root = components(links.unionByName(verified(pairs)))
+    discard(points)
 
-    out = (meta.select("id", "n", "fp").join(root.withColumnRenamed("node", "fp"), "fp", "left")
+    out = (known.join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))
     least = out.filter("id is not null and n > 0").groupBy("root").agg(F.min("id").alias("least"))
     return (out.join(least, "root", "left")
@@ -421,13 +430,16 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     who = jaccard_components(docs)
     gone = stage(who.filter("component_id <> id").select("id").distinct(), "gone")
     again = stage(who.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "again")
-    gone_id, again_id = (F.col(safe_name(docs.columns, c)) for c in ("_gone", "_again"))
-    kept = docs.join(gone.select(gone["id"].alias(safe_name(docs.columns, "_gone"))), docs["doc_id"] == gone_id, "left_anti")
-    many = again.select(again["id"].alias(safe_name(docs.columns, "_again")))
+    gone_id, again_id = safe_name(docs.columns, "_gone"), safe_name(docs.columns, "_again")
+
+    def rows(of: DataFrame, ids: DataFrame, name: str, how: str) -> DataFrame:
+        return of.join(ids.select(ids["id"].alias(name)), of["doc_id"] == F.col(name), how)
+
+    clear, others = apart(docs, docs["doc_id"].cast("long"), gone)
+    kept = clear.unionByName(rows(others, gone, gone_id, "left_anti"))
     if again.isEmpty():
         return kept
-    return (kept.join(many, kept["doc_id"] == again_id, "left_anti")
-            .unionByName(kept.join(many, kept["doc_id"] == again_id, "left_semi").dropDuplicates()))
+    return rows(kept, again, again_id, "left_anti").unionByName(rows(kept, again, again_id, "left_semi").dropDuplicates())
 
 
 def q_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
