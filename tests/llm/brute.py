@@ -46,9 +46,9 @@ def jaccard_components(rows, k=5, percent=80):
     return order((d, len(sets[i]), min(least[find(i)]) if d is not None else None) for i, (d, _) in enumerate(rows))
 
 
-def quality(rows, min_docs=10, share=0.10, max_lost=50):
+def quality(rows, min_docs=3, max_lost=50):
     """rows (id, source, text) -> id, base figures, base_failed, kept, lost words."""
-    lines, hosts, per, out = defaultdict(set), defaultdict(set), [], []
+    lines, hosts, size, per, out = defaultdict(set), defaultdict(set), {}, [], []
     for d, s, t in rows:
         t = t or ""
         w = SPACE_WORD.findall(t)
@@ -56,12 +56,13 @@ def quality(rows, min_docs=10, share=0.10, max_lost=50):
         count = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
         held = {i + j for i in range(len(w) - 4) if count[tuple(w[i:i + 5])] > 1 for j in range(5)}
         norm = [tuple(re.sub("[0-9]", "0", lower(x)) for x in SPACE_WORD.findall(line)) for line in full]
-        for n in norm:
+        for n in set(norm):
             lines[s, n].add(t)
+            size[s, n] = min(size.get((s, n), 10 ** 9), norm.count(n) * len(n))
         hosts[s].add(t)
         per.append((d, s, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(full) - len(set(full)), len(held), norm))
     for d, s, n, chars, symbols, dup, rep, norm in per:
-        lost = sum(len(x) for x in norm if len(lines[s, x]) > max(min_docs, share * len(hosts[s])))
+        lost = sum(len(x) for x in norm if len(lines[s, x]) > max(min_docs, 0.16 * len(hosts[s]) ** 0.8 * (8 / size[s, x]) ** 0.5))
         failed = n < 10 or 100 * rep > 20 * n
         out.append((d, n, chars, symbols, dup, rep, failed, not failed and 100 * lost <= max_lost * n, lost))
     return order(out)
