@@ -12,7 +12,7 @@ The language with the shortest code wins; ties go to the first in name order.
 
 The score is the winner's posterior, which tells languages apart but not whether
 the text is of any of them.  So the bits a byte of the winner's code are held
-against those of the labelled texts that it wins rightly: a text over
+against those of the learned texts that it wins rightly: a text over
 median + ``SPREADS`` x (``TAIL`` quantile - median) of its language is none of the
 learned ones, and its score is 0.  The quantiles are exact over counts of whole
 64ths of a bit.  A language with fewer than ``MIN_TEXTS`` such texts has no limit.
@@ -206,7 +206,7 @@ def identify(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     out = stage(map_batches(rows, _predict_pass(spark.sparkContext.broadcast(model)),
                             "id long, key long, lang string, has_letter boolean, lang_pred string, score double, bits long"),
                 "language")
-    limits = F.broadcast(fit_limits(out))                  # one row per language
+    limits = F.broadcast(fit_limits(out.filter(~held_out(folds=folds))))      # one row per language, from learned rows
     strange = F.coalesce(F.col("bits") > F.col("limit"), F.lit(False))
     return (out.join(limits, F.col("lang_pred") == F.col("learned"), "left")
             .select("id", "key", "has_letter", "lang_pred", F.when(strange, 0.0).otherwise(F.col("score")).alias("score"))
