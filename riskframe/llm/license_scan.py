@@ -4,9 +4,11 @@ Templates are short license texts.  Every rolling word k-gram of every document
 is joined to the template positions that hold it (``K`` = 2, the length of the
 shortest phrase).  A match at document word i and template word j votes for the
 diagonal i - j; votes are partial aggregates by (document, template, diagonal).
-Neighbouring diagonals (at most ``GAP`` apart: a word put in or left out) are
-merged.  A merged span is verified: it must hold at least ``COVER`` of the
-template's k-grams, and be no longer than the template plus its slack.  The
+Each diagonal is merged with its neighbours (words put in: up to a slack of
+``GAP`` plus a tenth of the template's k-grams) and verified: together they must
+hold at least ``COVER`` of the template's k-grams.  All votes of such a band lie
+within the template's length plus the slack, and every band of that width is
+looked at, so repeats of the template's own words beside it hide nothing.  The
 words are compared at the join, so no hash is trusted.
 
 Base phrases are templates as well; a phrase stands where one diagonal has all
@@ -89,17 +91,18 @@ def spans(docs: DataFrame, grams: DataFrame) -> tuple[DataFrame, DataFrame]:
               .select("id", "key", "label", "base", F.col("diagonal").alias("start"),
                       (F.col("diagonal") + F.col("grams") + K - 1).alias("stop"), F.lit(1.0).alias("score")))
 
-    order = Window.partitionBy("id", "key", "tid").orderBy("diagonal")
-    far = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(order) > GAP).cast("int"), F.lit(0))
-    run = votes.filter(~F.col("base")).withColumn("far", far).withColumn("run", F.sum("far").over(order))
-    merged = run.groupBy("id", "key", "tid", "label", "base", "grams", "run").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
-        F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
-        F.max(F.col("diagonal") + F.array_max("at") + K).alias("stop"))
+    # a diagonal and its neighbours up to the template's slack: votes of all of them
+    slack = GAP + F.floor(F.col("grams") / 10).cast("int")
+    longest = grams.filter(~F.col("base")).agg(F.max("grams")).first()[0] or 0
+    near = Window.partitionBy("id", "key", "tid").orderBy("diagonal").rangeBetween(0, GAP + longest // 10)
+    band = F.filter(F.collect_list(F.struct("diagonal", "at")).over(near), lambda x: x["diagonal"] - F.col("diagonal") <= F.col("slack"))
+    merged = (votes.filter(~F.col("base")).withColumn("slack", slack).withColumn("band", band)
+              .withColumn("held", F.size(F.array_distinct(F.flatten(F.transform("band", lambda x: x["at"]))))))
     score = F.col("held") / F.col("grams")
-    slack = GAP + F.floor(F.col("grams") / 10)
-    longer = (merged.filter((score >= COVER) & (F.col("stop") - F.col("start") <= F.col("grams") + K - 1 + slack))
-              .select("id", "key", "label", "base", "start", "stop", score.alias("score")))
+    ends = F.transform("band", lambda x: x["diagonal"] + F.array_max(x["at"]) + K)
+    starts = F.transform("band", lambda x: x["diagonal"] + F.array_min(x["at"]))
+    longer = (merged.filter(score >= COVER).select("id", "key", "label", "base", F.array_min(starts).alias("start"),
+                                                   F.array_max(ends).alias("stop"), score.alias("score")))
     rows = match.filter("pos = -1").select("id", "key", "n_words")
     return rows, phrase.unionByName(longer)
 

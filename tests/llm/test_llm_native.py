@@ -64,6 +64,40 @@ def test_license_templates_with_changes(spark):
     assert L.scan(df.limit(0)).collect() == []
 
 
+def plain_labels(text, gap=L.GAP, cover=L.COVER):
+    """{label} of the templates by trying every start and every slack."""
+    w, out = brute.MARK_WORD.findall(brute.lower(text)), set()
+    for label, template in L.TEMPLATES:
+        t = template.split()
+        g = len(t) - 1
+        slack = gap + g // 10
+        held = {i for i in range(len(w) - 1)}
+        for d in range(-g, len(w)):
+            covered = sum(any(j + d + x in held and w[j + d + x:j + d + x + 2] == t[j:j + 2] for x in range(slack + 1)) for j in range(g))
+            if covered >= cover * g:
+                out.add(label)
+                break
+    return out
+
+
+def test_license_templates_among_repeats_of_their_own_words(spark):
+    cases = []
+    for label, template in L.TEMPLATES:
+        t = template.split()
+        for times in (0, 1, 3, 6):
+            for tail in (t[-2:], t[:2], t[len(t) // 2:len(t) // 2 + 2]):
+                cases.append((label, " ".join([*tail * times, *t, *tail * times])))
+                cases.append((label, " ".join([*tail * times, *t[:5], "new", *t[5:], *(tail + ["x"]) * times])))
+    cases += [(None, "license at " * 30), (None, "under the license " * 10)]
+    rows = [(i, text) for i, (_, text) in enumerate(cases)] + [(1000 + i, t) for i, t in documents(spark)[:60]]
+    got = {r["id"]: set(filter(None, r["labels"].split(","))) - {x for x, _ in L.BASE} for r in
+           L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert got[i] - {"gpl"} == plain_labels(text) - {x for x, _ in L.BASE}, text
+        if i < 1000 and cases[i][0] not in (None, "gpl") and text == " ".join(dict(L.TEMPLATES)[cases[i][0]].split()):
+            assert cases[i][0] in got[i]
+
+
 @pytest.mark.parametrize("shards", [40, 7, 1])
 def test_shards_are_balanced_and_numbered(spark, shards):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
