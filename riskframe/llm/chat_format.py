@@ -9,14 +9,16 @@ The turns of a conversation are rendered by a line grammar:
 ``</turn>``) that follows a backslash is content.  The rendered text is parsed by
 a deterministic parser and compared with the source; a turn that does not come
 back identical is escaped (each marker in it gets one more backslash; the parser
-takes one off), until the whole conversation is recovered.  Roles are written
-with percent escapes for the characters that end a role line.
+takes one off), and rendered and compared again.  Roles are written with percent
+escapes for the characters that end a role line.  A piece that parses to its one
+turn does so whatever follows it, so a conversation is its pieces in order.
 
-The loss mask is the list of content spans of the assistant turns in the
-rendered text; what training sees is the text under it, unescaped.
+The loss mask is the content spans of the assistant turns in the rendered text;
+what training sees is the text under it, unescaped.
 
-Conversations are single values: the turns of one are gathered and sorted by a
-Spark aggregate, everything else is work on that one value.
+A conversation is never one value.  Its rows come sorted through one task, which
+renders, checks and counts them one at a time; what it keeps between rows is a
+number of code points, or the state of a hash.  The output has a row per turn.
 
 Defined cases: null text is empty, null role is the empty role; a null turn sorts
 first; rows that share a turn number are ordered by role, then text, and all are
@@ -50,16 +52,10 @@ def unescape(content: str) -> str:
     return MARK.sub(lambda m: m[1][1:] + m[2] if m[1] else m[0], content)
 
 
-def _render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
-    """Rendered text and the content span of each turn."""
-    out, spans, at = [], [], 0
-    for role, content in turns:
-        head = HEAD + ROLE_OUT.sub(lambda m: f"%{ord(m[0]):02X}", role) + ":\n"
-        piece = head + content + "\n" + END + "\n"
-        spans.append((at + len(head), at + len(head) + len(content)))
-        out.append(piece)
-        at += len(piece)
-    return "".join(out), spans
+def _render(role: str, content: str) -> tuple[str, int]:
+    """The piece of a turn, and where its content begins."""
+    head = HEAD + ROLE_OUT.sub(lambda m: f"%{ord(m[0]):02X}", role) + ":\n"
+    return head + content + "\n" + END + "\n", len(head)
 
 
 def parse(text: str) -> list[tuple[str, str]] | None:
@@ -84,64 +80,93 @@ def parse(text: str) -> list[tuple[str, str]] | None:
     return turns
 
 
-def format_conversation(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
-    """(text, loss mask): rendered raw first; turns that break the round trip are
-    escaped, then all that hold a marker, until the parser gives the source back."""
-    contents = [c for _, c in turns]
-    broken = [i for i, turn in enumerate(turns) if parse(_render([turn])[0]) != [turn]]
-    for attempt in (broken, [i for i, c in enumerate(contents) if MARK.search(c)]):
-        written = list(contents)
-        for i in attempt:
-            written[i] = escape(contents[i])
-        text, spans = _render([(r, c) for (r, _), c in zip(turns, written)])
-        if parse(text) == turns:
-            return text, [s for (role, _), s in zip(turns, spans) if role == TRAINED]
-    raise ValueError("the grammar cannot carry this conversation")
+def format_turn(role: str, content: str) -> tuple[str, int, int]:
+    """(piece, content span in it): rendered raw first; escaped where the parser
+    does not give the turn back."""
+    for written in (content, escape(content)):
+        piece, at = _render(role, written)
+        if parse(piece) == [(role, content)]:
+            return piece, at, at + len(written)
+    raise ValueError("the grammar cannot carry this turn")
 
 
 def _format_pass(batches):
+    """Rows in conversation order -> their pieces, numbered and placed."""
+    conversation, n, start, first = None, 0, 0, True
     for rb in batches:
-        texts, starts, stops = [], [], []
-        for turns in rb.column("turns").to_pylist():
-            text, mask = format_conversation([(t["role"], t["text"]) for t in turns])
-            texts.append(text)
-            starts.append([a for a, _ in mask])
-            stops.append([b for _, b in mask])
-        yield pa.RecordBatch.from_arrays(
-            [rb.column("conv_id"), pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.int64())),
-             pa.array(stops, pa.list_(pa.int64()))], ["conv_id", "formatted", "loss_start", "loss_stop"])
+        out = {c: [] for c in ("n", "start", "piece", "loss_start", "loss_stop")}
+        for conv, role, text in zip(*(rb.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+            if first or conv != conversation:
+                conversation, n, start, first = conv, 0, 0, False
+            piece, a, b = format_turn(role, text)
+            trained = role == TRAINED
+            for c, v in zip(out, (n, start, piece, start + a if trained else None, start + b if trained else None)):
+                out[c].append(v)
+            n, start = n + 1, start + len(piece)
+        yield pa.RecordBatch.from_arrays([rb.column("conv_id"), rb.column("role"), *(pa.array(v, pa.string() if c == "piece" else pa.int64()) for c, v in out.items())],
+                                         ["conv_id", "role", *out])
+
+
+PIECES = "conv_id long, role string, n long, start long, piece string, loss_start long, loss_stop long"
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss_start, loss_stop): the rendered text of each
-    conversation and the code-point spans under the loss mask."""
+    """(conv_id, role, n, start, piece, loss_start, loss_stop): the rendered text of
+    a conversation is its pieces by ``n``; ``start`` is a piece's place in it, and
+    the span under the loss mask (null: none) is in code points of it."""
     rows = conversations.select(
-        column_or_null(conversations, "conv_id", "long").alias("conv_id"),
-        F.struct(column_or_null(conversations, "turn", "long").alias("turn"),
-                 F.coalesce(column_or_null(conversations, "role", "string"), F.lit("")).alias("role"),
-                 F.coalesce(column_or_null(conversations, "text", "string"), F.lit("")).alias("text")).alias("t"))
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    return map_batches(grouped, _format_pass,
-                       "conv_id long, formatted string, loss_start array<long>, loss_stop array<long>")
+        column_or_null(conversations, "conv_id", "long").alias("conv_id"), column_or_null(conversations, "turn", "long").alias("turn"),
+        F.coalesce(column_or_null(conversations, "role", "string"), F.lit("")).alias("role"),
+        F.coalesce(column_or_null(conversations, "text", "string"), F.lit("")).alias("text"))
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return map_batches(ordered.drop("turn"), _format_pass, PIECES)
 
 
-def _read_pass(batches):
-    for rb in batches:
-        out = {c: [] for c in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
-        for text, a, b in zip(*(rb.column(c).to_pylist() for c in ("formatted", "loss_start", "loss_stop"))):
-            turns = parse(text)
-            whole = hashlib.sha256()
-            for role, content in turns:
-                whole.update(f"{role}\n{content}\n".encode())
-            loss = "".join(unescape(text[i:j]) for i, j in zip(a, b))
-            for c, v in zip(out, (len(turns), whole.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text))):
-                out[c].append(v)
-        yield pa.RecordBatch.from_arrays([rb.column("conv_id"), *(pa.array(v, pa.string() if "sha" in c else pa.int64())
-                                                                  for c, v in out.items())], ["conv_id", *out])
+class _Digest:
+    """What is kept of a conversation while its pieces go by."""
 
+    def __init__(self, conv_id) -> None:
+        self.conv_id, self.whole, self.loss = conv_id, hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.formatted_chars = 0
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the parser and the mask recover from the output."""
+    def add(self, start: int, piece: str, a: int | None, b: int | None) -> None:
+        for role, content in parse(piece):
+            self.whole.update(f"{role}\n{content}\n".encode())
+            self.n_turns += 1
+        if a is not None:
+            text = unescape(piece[a - start:b - start])
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        self.formatted_chars += len(piece)
+
+
+def _read_pass(batches):
+    names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+    def rows(done):
+        values = zip(*((d.conv_id, d.n_turns, d.whole.hexdigest(), d.loss_chars, d.loss.hexdigest(), d.formatted_chars) for d in done))
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.string() if "sha" in c else pa.int64()) for c, v in zip(names, values)], list(names))
+    now = None
+    for rb in batches:
+        done = []
+        for conv, start, piece, a, b in zip(*(rb.column(c).to_pylist() for c in ("conv_id", "start", "piece", "loss_start", "loss_stop"))):
+            if now is None or conv != now.conv_id:
+                if now is not None:
+                    done.append(now)
+                now = _Digest(conv)
+            now.add(start, piece, a, b)
+        if done:
+            yield rows(done)
+    if now is not None:
+        yield rows([now])
+
+
+def read_back(formatted: DataFrame, ordered: bool = False) -> DataFrame:
+    """Digests of what the parser and the mask recover from the output, a row per
+    conversation.  ``ordered``: the rows come as ``format_chats`` gives them; a
+    table that was written is put in order first."""
+    if not ordered:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "n")
     return map_batches(formatted, _read_pass, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                               "loss_sha256 string, formatted_chars long")
 
@@ -154,7 +179,7 @@ def q_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(EXTRA_ID, 0, "user", EXTRA_TEXT), (EXTRA_ID, 1, "assistant", EXTRA_TEXT)],
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return read_back(format_chats(rows.unionByName(extra)))
+    return read_back(format_chats(rows.unionByName(extra)), ordered=True)
 
 
 QUERIES = {"op3_chat_format": q_chat_format}
