@@ -35,6 +35,7 @@ import json
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -239,46 +240,102 @@ def _digest(text: str) -> str:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
-def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
-    """Simple tree matching: pairs of matched nodes of a and b."""
-    known: dict[tuple[int, int], tuple[int, list]] = {}
+TRACE_CELLS = 1 << 20          # of a table that is kept whole to read the mapping from
+
+
+def _last_row(worth: np.ndarray, a: np.ndarray, b: np.ndarray, table: list | None = None) -> np.ndarray:
+    """Best weights of mapping all of the row a to each prefix of b, in order."""
+    row = np.zeros(len(b) + 1, np.int64)
+    for x in a:
+        new = np.zeros_like(row)
+        np.maximum.accumulate(np.maximum(row[1:], row[:-1] + worth[x, b]), out=new[1:])
+        row = new
+        if table is not None:
+            table.append(row)
+    return row
+
+
+def _mapping(worth: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Positions of a heaviest mapping that keeps the order.  Long rows are
+    halved (the halves' best rows meet where their sum is largest), so memory
+    stays linear and the weight exact."""
+    if not len(a) or not len(b):
+        return []
+    if len(a) > 1 and len(a) * len(b) > TRACE_CELLS:
+        half = len(a) // 2
+        cut = int((_last_row(worth, a[:half], b) + _last_row(worth, a[half:][::-1], b[::-1])[::-1]).argmax())
+        return _mapping(worth, a[:half], b[:cut]) + [(x + half, y + cut) for x, y in _mapping(worth, a[half:], b[cut:])]
+    table = [np.zeros(len(b) + 1, np.int64)]
+    _last_row(worth, a, b, table)
+    out, x, y = [], len(a), len(b)
+    while x and y:
+        if table[x][y] == table[x - 1][y]:
+            x -= 1
+        elif table[x][y] == table[x][y - 1]:
+            y -= 1
+        else:
+            x, y = x - 1, y - 1
+            out.append((x, y))
+    return out[::-1]
 
-    def match(i: int, j: int) -> int:
-        return known[i, j][0] if a.label[i] == b.label[j] else 0
 
+def align(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
+    """Simple tree matching: pairs of matched nodes of a and b.  Subtrees of equal
+    shape are one class, which maps to itself whole; other pairs of classes are
+    matched once, however many nodes have them."""
     if a.label[0] != b.label[0]:
         return []
-    todo = [(0, 0)]
+    classes: dict[tuple, int] = {}
+    label, kids, size = [], [], []
+
+    def class_of(t: Skeleton) -> list[int]:
+        out = [0] * len(t.label)
+        for i in reversed(range(len(t.label))):            # children have larger numbers
+            key = (t.label[i], tuple(out[k] for k in t.kids[i]))
+            if key not in classes:
+                classes[key] = len(classes)
+                label.append(key[0])
+                kids.append(np.array(key[1], np.int64))
+                size.append(1 + sum(size[k] for k in key[1]))
+            out[i] = classes[key]
+        return out
+
+    ca, cb = class_of(a), class_of(b)
+    known: dict[tuple[int, int], int] = {}
+
+    def worth_of(i: int, j: int) -> int:
+        return size[i] if i == j else known[i, j] if label[i] == label[j] else 0
+
+    def shapes(i: int, j: int):
+        (ua, xa), (ub, xb) = (np.unique(kids[k], return_inverse=True) for k in (i, j))
+        return ua.tolist(), xa, ub.tolist(), xb
+
+    todo = [(ca[0], cb[0])]
     while todo:                                            # pairs below a pair come first
         i, j = todo[-1]
-        if (i, j) in known:
+        if i == j or (i, j) in known:
             todo.pop()
             continue
-        ka, kb = a.kids[i], b.kids[j]
-        below = [(x, y) for x in ka for y in kb if a.label[x] == b.label[y] and (x, y) not in known]
+        ua, xa, ub, xb = shapes(i, j)
+        below = [(x, y) for x in ua for y in ub if x != y and label[x] == label[y] and (x, y) not in known]
         if below:
             todo += below
             continue
         todo.pop()
-        best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
-        for x, ca in enumerate(ka, 1):
-            for y, cb in enumerate(kb, 1):
-                best[x][y] = max(best[x - 1][y], best[x][y - 1], best[x - 1][y - 1] + match(ca, cb))
-        pairs, x, y = [], len(ka), len(kb)
-        while x and y:
-            if best[x][y] == best[x - 1][y]:
-                x -= 1
-            elif best[x][y] == best[x][y - 1]:
-                y -= 1
-            else:
-                x, y = x - 1, y - 1
-                pairs.append((ka[x], kb[y]))
-        known[i, j] = best[-1][-1] + 1, pairs
-    out, todo = [], [(0, 0)]
+        worth = np.array([[worth_of(x, y) for y in ub] for x in ua], np.int64).reshape(len(ua), len(ub))
+        known[i, j] = 1 + int(_last_row(worth, xa, xb)[-1])
+    out, todo, maps = [], [(0, 0)], {}
     while todo:
         i, j = todo.pop()
         out.append((i, j))
-        todo += known[i, j][1]
+        if ca[i] == cb[j]:
+            todo += zip(a.kids[i], b.kids[j])
+            continue
+        if (ca[i], cb[j]) not in maps:
+            ua, xa, ub, xb = shapes(ca[i], cb[j])
+            worth = np.array([[worth_of(x, y) for y in ub] for x in ua], np.int64).reshape(len(ua), len(ub))
+            maps[ca[i], cb[j]] = _mapping(worth, xa, xb)
+        todo += [(a.kids[i][x], b.kids[j][y]) for x, y in maps[ca[i], cb[j]]]
     return out
 
 
