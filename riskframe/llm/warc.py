@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_or_null, map_batches, shared_path, stage, table
+from .common import apart, column_or_null, map_batches, shared_path, stage, table
 
 MIN_DEDUP = 1000
 NO_URL = "urn:none"
@@ -42,6 +42,7 @@ CAPTURED = "20240101000000"              # of pages that have no date of their o
 BLANK = re.compile(r"[\x00-\x20\x7f]")
 NAMESPACE = uuid.UUID("6f0c4be2-3c0b-5a39-9a52-8a2f4f8b2c11")
 ROWS = 256                               # records of one Arrow batch
+BROADCAST_ROWS = 100_000                 # (digest, page) keys of revisits; more are joined
 
 # Field lines of the two ARC versions.
 ARC_FIELDS = {
@@ -200,13 +201,27 @@ def _warc_pass(batches):
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
 
-def to_warc(spark: SparkSession, arc_path: str) -> DataFrame:
-    """The WARC records (``value``) of the ARC files: first the winners of equal
-    payloads from digests alone, then one pass over the payloads."""
-    digests = read_arc(spark, arc_path, payload=False)
-    winners = (digests.filter(F.col("payload_bytes") >= MIN_DEDUP).groupBy("digest")
-               .agg(F.max("page_id").alias("winner"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"))
-    return map_batches(read_arc(spark, arc_path).join(stage(winners, "winners"), "digest", "left"), _warc_pass, "value string")
+def to_warc(spark: SparkSession, arc_path: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The WARC records (``value``) of the ARC files.  Winners of equal payloads,
+    and the revisits they make, come from the headers and digests alone; a revisit
+    holds no payload, so it is written from them.  The payloads are read once more
+    for the responses.  They are never shuffled by digest: the revisits are taken
+    out by (digest, page), where they are read if the revisits are few (counted),
+    otherwise in an even join of the rows that may be one."""
+    heads = stage(read_arc(spark, arc_path, payload=False), "heads")
+    winners = (heads.filter(F.col("payload_bytes") >= MIN_DEDUP).groupBy("digest")
+               .agg(F.max("page_id").alias("winner"), F.count("*").alias("rows")).filter("rows > 1 and winner is not null").drop("rows"))
+    revisits = stage(heads.join(winners, "digest").filter("page_id is null or page_id <> winner"), "revisits")
+    gone = revisits.select(F.col("digest").alias("_d"), F.col("page_id").alias("_p")).distinct()
+    records = read_arc(spark, arc_path)
+    same = (F.col("digest") == F.col("_d")) & F.col("page_id").eqNullSafe(F.col("_p"))
+    if gone.count() <= broadcast_rows:
+        responses = records.join(F.broadcast(gone), same, "left_anti")
+    else:
+        clear, others = apart(records, F.xxhash64("digest", "page_id"), gone.select(F.xxhash64("_d", "_p").alias("key")))
+        responses = clear.unionByName(others.join(gone, same, "left_anti"))
+    every = responses.withColumn("winner", F.lit(None).cast("long")).unionByName(revisits.withColumn("payload", F.lit("")))
+    return map_batches(every, _warc_pass, "value string")
 
 
 def write_warc(records: DataFrame, path: str) -> None:

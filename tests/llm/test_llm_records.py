@@ -4,6 +4,7 @@ import hashlib
 import html
 import io
 import random
+from collections import Counter
 import re
 import zlib
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from riskframe.llm import chat_format as C
 from riskframe.llm import html_wrapper as H
 from riskframe.llm import packing as P
+from riskframe.llm.common import stage
 from riskframe.llm import warc as W
 
 SF = "/root/testdata/sf0.01"
@@ -45,6 +47,19 @@ def test_warc_null_ids_repeated_rows_and_empty_table(spark):
     assert W.convert(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("bound", [W.BROADCAST_ROWS, 0])
+def test_warc_payload_of_a_third_of_all_pages(spark, tmp_path, bound):
+    rows = [(i, f"http://h{i}/", "hot " * 400 if i % 3 == 0 else f"page {i} " * 200) for i in range(600)] + [(None, "n", "hot " * 400)]
+    W.write_arc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), f"{tmp_path}/arc")
+    records = W.to_warc(spark, f"{tmp_path}/arc", bound)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload" in plan and (bound or "LeftAnti" in plan)
+    W.write_warc(records, f"{tmp_path}/warc")
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in W.read_warc(spark, f"{tmp_path}/warc").collect()), key=str)
+    hot = {i for i, _, h in rows if h.startswith("hot")} - {597}
+    assert got == sorted(((i, "revisit", 597) if i in hot else (i, "response", None) for i, _, _ in rows), key=str)
+
+
 def test_arc_versions_and_broken_lengths():
     for version in (1, 2):
         block = f"{version} 0 org\n{W.ARC_FIELDS[version]}\n"
@@ -61,9 +76,9 @@ def test_chat_round_trip_of_hostile_texts():
     for _ in range(4000):
         turns = [("".join(rnd.choice(parts) for _ in range(rnd.randint(0, 3))) if rnd.random() < .2 else rnd.choice(["user", "assistant", ""]),
                   "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 7)))) for _ in range(rnd.randint(1, 4))]
-        text, mask = C.format_conversation(turns)
-        assert C.parse(text) == turns
-        assert [C.unescape(text[a:b]) for a, b in mask] == [c for r, c in turns if r == "assistant"]
+        pieces = [C.format_turn(r, c) for r, c in turns]
+        assert C.parse("".join(p for p, _, _ in pieces)) == turns
+        assert [C.unescape(p[a:b]) for p, a, b in pieces] == [c for _, c in turns]
 
 
 def test_chat_digests_and_edge_rows(spark):
@@ -84,6 +99,23 @@ def test_chat_digests_and_edge_rows(spark):
     assert C.format_chats(df.limit(0)).collect() == []
 
 
+def test_one_conversation_of_a_third_of_all_rows(spark):
+    rows = [(7, i, "assistant" if i % 2 else "user", f"turn {i} </turn> ### ") for i in range(3000)]
+    rows += [(None, i, "user", "x" * (i % 5)) for i in range(3000)] + [(100 + i, 0, "assistant", f"own {i}") for i in range(3000)]
+    random.Random(4).shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    formatted = stage(C.format_chats(df), "chats")
+    one, other = (sorted(map(str, x.collect())) for x in (C.read_back(formatted), C.read_back(C.format_chats(df), ordered=True)))
+    assert one == other and len(one) == 3002
+    hot = C.read_back(formatted).filter("conv_id = 7").first()
+    want = "".join(f"{'assistant' if i % 2 else 'user'}\nturn {i} </turn> ### \n" for i in range(3000))
+    assert hot["n_turns"] == 3000 and hot["turns_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    pieces = formatted.filter("conv_id = 7").orderBy("n").collect()
+    text = "".join(r["piece"] for r in pieces)
+    assert hot["formatted_chars"] == len(text) and all(text[r["start"]:].startswith(r["piece"]) for r in pieces[::100])
+    assert [C.unescape(text[r["loss_start"]:r["loss_stop"]]) for r in pieces if r["loss_start"] is not None] == [f"turn {i} </turn> ### " for i in range(1, 3000, 2)]
+
+
 # ------------------------------------------------------------------ HTML
 def test_article_text_of_all_pages(spark):
     got = {r["page_id"]: r for r in H.q_html_wrapper(spark, SF).collect()}
@@ -151,6 +183,43 @@ def test_pages_nested_thousands_of_levels_deep(spark):
     assert len(got) == len(rows) and all(got[10 * k + i].endswith(f"deep {i}") for k in range(len(shapes)) for i in range(6))
 
 
+def plain_matching(a, b, i=0, j=0):
+    """Size of the largest mapping, by the textbook recursion."""
+    if a.label[i] != b.label[j]:
+        return 0
+    ka, kb = a.kids[i], b.kids[j]
+    best = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
+    for x, p in enumerate(ka, 1):
+        for y, q in enumerate(kb, 1):
+            best[x][y] = max(best[x - 1][y], best[x][y - 1], best[x - 1][y - 1] + plain_matching(a, b, p, q))
+    return best[-1][-1] + 1
+
+
+@pytest.mark.parametrize("cells", [H.TRACE_CELLS, 1])
+def test_alignment_is_simple_tree_matching(monkeypatch, cells):
+    monkeypatch.setattr(H, "TRACE_CELLS", cells)
+    rnd = random.Random(8)
+
+    def page(depth=0):
+        return "t" if depth > 3 else "".join(f"<{t}>{page(depth + 1)}</{t}>" for t in (rnd.choice(["div", "p", "ul", "span"]) for _ in range(rnd.randint(0, 4))))
+    for _ in range(150):
+        a, b = H.Skeleton.of(H.tree(page())), H.Skeleton.of(H.tree(page()))
+        pairs = H.align(a, b)
+        assert len(pairs) == plain_matching(a, b) and len(dict(pairs)) == len({j for _, j in pairs}) == len(pairs)
+        assert all(a.label[i] == b.label[j] for i, j in pairs)
+        up = {k: i for i, kids in enumerate(a.kids) for k in kids}, {k: i for i, kids in enumerate(b.kids) for k in kids}
+        assert all((up[0][i], up[1][j]) in pairs for i, j in pairs if i)
+        for i, j in pairs:                                 # siblings keep their order
+            order = [q for p, q in sorted(pairs) if up[0].get(p) == i]
+            assert order == sorted(order)
+
+
+def test_alignment_of_many_siblings_that_alternate():
+    a = H.Skeleton.of(H.tree("<div>" + "<p>a</p><ul><li>b</li></ul>" * 1500 + "</div>"))
+    b = H.Skeleton.of(H.tree("<div>" + "<p>a</p><ul><li>b</li></ul><h2>x</h2>" * 1000 + "</div>"))
+    assert len(H.align(a, b)) == 2 + 1000 * 3
+
+
 # ------------------------------------------------------------------ packing
 @pytest.fixture(scope="module")
 def tokenizer():
@@ -191,7 +260,61 @@ def test_pieces_tile_documents_and_sequences(spark, tokenizer, capacity, quantum
         assert np.abs(sums.cumsum().to_numpy() - target).max() <= quantum + capacity
 
 
-def test_packing_more_sources_than_queues_and_no_rows(spark):
-    docs = spark.createDataFrame([(i, f"s{i}", "some words " * i) for i in range(40)], "doc_id long, source string, text string")
-    assert P.pack(docs, 64, 16, max_queues=7).agg(F.sum("length")).first()[0] == sum(2 * i + 1 for i in range(40))
+def round_robin(docs, weights, capacity, quantum):
+    """Plain deficit round-robin over (source, length) documents: the stream as
+    (document, offset in it) tokens."""
+    queues = {}
+    for i, (s, n) in enumerate(docs):
+        queues.setdefault(s, []).extend((i, k) for k in range(n))
+    order = sorted(queues, key=lambda s: (s is not None, s or ""))
+    weight = {s: weights.get(s, len(queues[s])) for s in order}
+    total, stream, windows = sum(weight.values()), [], []
+    credit, sent = dict.fromkeys(order, 0.0), dict.fromkeys(order, 0)
+    while len(stream) < sum(map(len, queues.values())):
+        held = Counter()
+        for s in order:
+            credit[s] += capacity * weight[s] / total
+            while credit[s] >= quantum - 1e-9:
+                credit[s] -= quantum
+                part = queues[s][sent[s]:sent[s] + quantum]
+                stream += part
+                sent[s] += len(part)
+                held[s] += len(part)
+        windows.append((held, {s for s in order if sent[s] >= len(queues[s])}))
+    return stream, windows, {s: weight[s] / total for s in order}
+
+
+@pytest.mark.parametrize("sources, max_queues", [(3, 100), (3, 1), (200, 1000), (200, 10)])
+def test_packing_is_a_plain_deficit_round_robin(spark, sources, max_queues):
+    rnd = random.Random(sources)
+    names = [None, *(f"s{i:03d}" for i in range(1, sources))]
+    docs = [(rnd.choice(names), rnd.randint(1, 60)) for _ in range(sources * 8)]
+    weights = {s: rnd.choice([1.0, 2.0, 5.0]) for s in names[1:]}            # unlike the corpus shares
+    weights[None] = 3.0
+    df = spark.createDataFrame([(i, s, "a " * (n - 1)) for i, (s, n) in enumerate(docs)], "doc_id long, source string, text string").coalesce(1)
+    used = {s for s, _ in docs}
+    weights = {s: w for s, w in weights.items() if s in used}
+    capacity, quantum = 256, 16
+    pieces = P.pack(df, capacity, quantum, weights, max_queues=max_queues).collect()
+    got = {}
+    for r in pieces:
+        for k in range(r["length"]):
+            got[r["sequence_id"] * capacity + r["offset"] + k] = (r["id"], r["start"] + k)
+    stream, windows, share = round_robin(docs, weights, capacity, quantum)
+    assert [got[i] for i in range(len(stream))] == stream
+    total = Counter()
+    for w, (held, dry) in enumerate(windows):              # each prefix within a quantum of the target until a queue is dry
+        total.update(held)
+        if dry:
+            break
+        assert all(abs(total[s] - (w + 1) * capacity * share[s]) <= quantum for s in share)
+
+
+def test_packing_more_sources_than_a_broadcast_and_no_rows(spark):
+    docs = spark.createDataFrame([(i, f"s{i}", "a b " * i) for i in range(40)], "doc_id long, source string, text string")
+    one, other = (sorted(map(tuple, P.pack(docs, 64, 16, max_queues=n).collect())) for n in (7, 100))
+    assert one == other and sum(r[2] for r in one) == sum(2 * i + 1 for i in range(40))
     assert P.pack(docs.limit(0)).collect() == []
+    for bad in ({"s1": 0.0}, {"s1": -1.0}, {"s1": float("nan")}, {"nowhere": 1.0}):
+        with pytest.raises(ValueError):
+            P.pack(docs, proportions=bad)
