@@ -52,6 +52,7 @@ GROUPS = (64, 65536)   # fewest and most coordinates of a point; about the set's
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
 BLOCK = 2048           # members of a cell that one run joins
+SPREAD_ROWS = 256      # of them show the widest coordinates, by which a tree is sorted
 MAX_CLASS = 40         # sizes up to 2^39 tokens
 BUCKETS = 1 << 22      # of the bitmap of wanted ids
 U64 = np.uint64
@@ -90,8 +91,8 @@ def coordinates(raw) -> np.ndarray:
 
 
 def folded(point_: np.ndarray, groups: int) -> np.ndarray:
-    """The same point with fewer groups."""
-    return point_ if len(point_) == groups else point_.reshape(-1, groups).sum(axis=0, dtype=np.int64)
+    """The same point with fewer groups, in the next wider type."""
+    return point_ if len(point_) == groups else point_.reshape(-1, groups).sum(axis=0, dtype="<u2" if point_.itemsize == 1 and len(point_) <= 128 * groups else "<u4")
 
 
 def _difference(a: int, b: int, t: int) -> int:
@@ -176,7 +177,7 @@ class CountTree:
         if len(vecs) <= leaf:
             order = np.arange(len(vecs))
         else:
-            spread = np.argsort(-vecs.std(axis=0), kind="stable")[:2]
+            spread = np.argsort(-vecs[::-(-len(vecs) // SPREAD_ROWS)].std(axis=0), kind="stable")[:2]
             order = np.lexsort((vecs[:, spread[1]], vecs[:, spread[0]], sizes))
         self.order, self.vecs, self.sizes = order, vecs[order], sizes[order]
         self.leaf, self.fanout = leaf, fanout
