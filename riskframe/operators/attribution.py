@@ -124,8 +124,8 @@ class _Paths:
         return out
 
 
-def tree_values(paths: DataFrame, data: DataFrame, keep: Sequence[str], features: str = "features") -> DataFrame:
-    """(keep..., values): what each tree adds to a row's margin, in tree order."""
+def prefix_margins(paths: DataFrame, data: DataFrame, keep: Sequence[str], features: str = "features") -> DataFrame:
+    """(keep..., margins): a row's margin after each tree, in tree order."""
     ship_package(data.sparkSession)
     rows = paths.orderBy("tree", "leaf").collect()         # as many as the model has leaves
     trees: dict[int, list] = {}
@@ -145,9 +145,9 @@ def tree_values(paths: DataFrame, data: DataFrame, keep: Sequence[str], features
                     for f, low, high in path:
                         held &= (x[:, f] > low) & (x[:, f] <= high)
                     out[held, i] = value
-            yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in keep), pa.array(out.tolist(), pa.list_(pa.float64()))], [*keep, "values"])
+            yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in keep), pa.array(out.cumsum(axis=1).tolist(), pa.list_(pa.float64()))], [*keep, "margins"])
     kinds = dict(data.dtypes)
-    return data.select(*keep, vector_to_array(features).alias("_x")).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", values array<double>")
+    return data.select(*keep, vector_to_array(features).alias("_x")).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", margins array<double>")
 
 
 def tree_contributions(model, data: DataFrame, feature_cols: Sequence[str], key: str, features: str = "features") -> tuple[DataFrame, DataFrame, float]:

@@ -353,10 +353,9 @@ def prefix_aucs(model, valid: DataFrame, label: str = "y") -> DataFrame:
     if isinstance(model, W.Booster):
         return valid.sparkSession.createDataFrame([(i + 1, float(a)) for i, a in enumerate(model.auc)], "n_trees int, roc_auc double")
     leaves = A.leaf_paths(A.ensemble_nodes(model, valid.sparkSession))
-    trees = A.tree_values(leaves, valid, [label], FEATURES)          # (label, values: one per tree)
-    margins = F.transform(F.sequence(F.lit(1), F.size("values")),
-                          lambda i: F.struct(i.alias("n_trees"), F.aggregate(F.slice("values", F.lit(1), i), F.lit(0.0), lambda a, v: a + v).alias("score")))
-    return K.rank_metrics(trees.select(label, F.inline(margins)), y=label, by=["n_trees"]).select("n_trees", "roc_auc")
+    margins = A.prefix_margins(leaves, valid, [label], FEATURES)
+    each = margins.select(label, F.posexplode("margins").alias("at", "score")).withColumn("n_trees", F.col("at") + 1)
+    return K.rank_metrics(each, y=label, by=["n_trees"]).select("n_trees", "roc_auc")
 
 
 def early_stopped(name: str, train: DataFrame, valid_col: str, label: str = "y", params: Mapping[str, object] | None = None,

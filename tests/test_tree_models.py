@@ -196,3 +196,24 @@ def test_extra_trees_equal_plain_growth(data):
     local, _, expected = A.tree_contributions(forest, data, FEATS, "id")
     assert all(abs(expected + sum(r[f"contrib_{c}"] for c in FEATS) - scored[r["id"]]) < 1e-9 for r in local.collect())
     assert len(T.fit_extra_trees(data.where("y = 1"), params).trees[0].feature) == 1
+
+
+def test_prefixes_of_a_gbt_scored_apart(data):
+    model, _ = J.fit("gbt", data, params={"maxIter": 6, "minInstancesPerNode": 5})
+    aucs = {r["n_trees"]: r["roc_auc"] for r in J.prefix_aucs(model, data).collect()}
+    _, y, x = local_rows(data)
+    nodes = {(r["tree"], r["node"]): r for r in A.ensemble_nodes(model, data.sparkSession).collect()}
+
+    def value(tree, row):
+        n = nodes[tree, 0]
+        while n["feature"] >= 0:
+            n = nodes[tree, n["left"] if row[n["feature"]] <= n["threshold"] else n["right"]]
+        return n["value"]
+    margin = np.zeros(len(y))
+    for t in range(6):
+        margin += [value(t, row) for row in x]
+        a, b = margin[y == 1], margin[y == 0]
+        assert abs(aucs[t + 1] - np.mean((a[:, None] > b) + (a[:, None] == b) / 2)) < 1e-9
+    inner = data.withColumn("is_valid", F.col("id") % 4 == 0)
+    found, trees = J.early_stopped("gbt", inner, "is_valid", params={"maxIter": 8, "minInstancesPerNode": 5}, patience=2)
+    assert 1 <= trees <= 8 and found.getNumTrees == 8
