@@ -78,8 +78,9 @@ def q_run_metrics_retried(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_run_metrics_retried() -> str:
-    long = f"UNPIVOT INCLUDE NULLS (SELECT CAST(COLUMNS(*) AS DOUBLE) FROM ({ML.sql_majority()})) ON COLUMNS(*) INTO NAME metric VALUE value"
-    return f"SELECT r.run_id, 'baseline' AS scope, 'all' AS split, metric, value FROM ({long}), (VALUES ('majority'), ('other')) AS r(run_id)"
+    wide = f"SELECT CAST(COLUMNS(*) AS DOUBLE) FROM ({ML.sql_majority()})"
+    long = f"({wide}) UNPIVOT INCLUDE NULLS (value FOR metric IN (COLUMNS(*)))"
+    return f"SELECT r.run_id, 'baseline' AS scope, 'all' AS split, metric, value FROM {long}, (VALUES ('majority'), ('other')) AS r(run_id)"
 
 
 def q_holdout(spark: SparkSession, sf: str) -> DataFrame:
