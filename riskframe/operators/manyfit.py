@@ -60,7 +60,9 @@ class _State:
             self.share /= 2                                # overshot: half the step
             self.next = self.now + self.share * self.step
             return
-        if self.step is not None and np.abs(self.next - self.now).max() <= TOL:
+        moved = np.abs(self.next - self.now).max() if self.step is not None else np.inf
+        still = self.value - value <= 1e-14 * max(1.0, abs(value)) and moved <= 1e3 * TOL
+        if moved <= TOL * max(1.0, np.abs(self.next).max()) or still:
             self.done = True
         self.now, self.value, self.share = self.next, value, 1.0
         self.step = self._newton(gradient / self.total, normal / self.total)
@@ -76,25 +78,38 @@ class _State:
         if not l1.any():
             step[at] = -np.linalg.lstsq(a, r, rcond=None)[0]
             return step
-        d, slope = np.zeros(len(at)), r.copy()             # coordinate descent; slope = r + a d
-        for _ in range(1000):
-            moved = 0.0
-            for j in range(len(at)):
-                if a[j, j] <= 0:
-                    continue
-                x = b[j] + d[j] - slope[j] / a[j, j]
-                x = np.sign(x) * max(abs(x) - l1[j] / a[j, j], 0.0)
-                change = x - b[j] - d[j]
-                if change:
-                    d[j] += change
-                    slope += a[:, j] * change
-                    moved = max(moved, abs(change))
-            if moved < TOL / 10:
-                break
-        step[at] = d
+        step[at] = _lasso_minimum(a, r - a @ b, l1, b) - b
         return step
 
 
+def _lasso_minimum(a: np.ndarray, c: np.ndarray, l1: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Minimiser of u'au/2 + c'u + l1|u| from a start: sweeps over coordinates
+    find the signs, and the linear system of the non-zero ones goes the rest."""
+    u, slope = u.copy(), a @ u + c
+    for _ in range(200):
+        for _ in range(3):
+            for j in np.flatnonzero(np.diag(a) > 0):
+                x = u[j] - slope[j] / a[j, j]
+                x = np.sign(x) * max(abs(x) - l1[j] / a[j, j], 0.0)
+                if x != u[j]:
+                    slope += a[:, j] * (x - u[j])
+                    u[j] = x
+        s, sign = np.flatnonzero((u != 0) | (l1 == 0)), np.sign(u)
+        v = np.linalg.lstsq(a[np.ix_(s, s)], -(c[s] + l1[s] * sign[s]), rcond=None)[0]
+        turned = (l1[s] > 0) & (np.sign(v) != sign[s])
+        share = 1.0
+        if turned.any():                                   # up to the first one that turns
+            share = (u[s][turned] / (u[s][turned] - v[turned])).min()
+        u[s] += share * (v - u[s])
+        if turned.any():
+            u[s[turned][np.argmin(np.abs(u[s[turned]]))]] = 0.0
+        slope = a @ u + c
+        excess = np.where(u != 0, np.abs(slope + l1 * np.sign(u)), np.maximum(np.abs(slope) - l1, 0.0))
+        if excess.max(initial=0.0) <= 1e-13 * max(1.0, np.abs(c).max(initial=0.0)):
+            break
+    return u
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
