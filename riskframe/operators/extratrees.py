@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_package
-from .leafwise import _uniform
+from .leafwise import _uniform, met, widened
 
 DEFAULTS = {"n_trees": 400, "min_leaf": 20, "max_features": "sqrt", "max_depth": 30}
 
@@ -155,11 +155,9 @@ def _merge_pass(combine):
 SUMS = "tree int, node int, sums binary"
 
 
-def _merged(table: DataFrame, function, combine) -> dict[tuple[int, int], np.ndarray]:
+def _merged(table: DataFrame, width: int, function, combine) -> dict[tuple[int, int], np.ndarray]:
     """One vector for each (tree, node) of a level."""
-    width = table.sparkSession.sparkContext.defaultParallelism
-    rows = (table.mapInArrow(function, SUMS).repartition(width, "tree", "node").sortWithinPartitions("tree", "node")
-            .mapInArrow(_merge_pass(combine), SUMS).collect())
+    rows = met(table.mapInArrow(function, SUMS), width, "tree", "node").mapInArrow(_merge_pass(combine), SUMS).collect()
     return {(r["tree"], r["node"]): np.frombuffer(bytes(r["sums"]), "<f8") for r in rows}
 
 
@@ -180,6 +178,7 @@ def fit_extra_trees(data: DataFrame, params: Mapping[str, object] | None = None,
     s = {**DEFAULTS, **(params or {})}
     ship_package(data.sparkSession)
     table = cut_lineage(data.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), vector_to_array(features).alias("x")))
+    table, width = widened(table)
     counts = {r["y"]: r["count"] for r in table.groupBy("y").count().collect()}
     n = np.array([counts.get(0, 0), counts.get(1, 0)], float)
     weights = np.divide(n.sum(), (n > 0).sum() * n, out=np.ones(2), where=n > 0) if balanced else np.ones(2)
@@ -187,7 +186,7 @@ def fit_extra_trees(data: DataFrame, params: Mapping[str, object] | None = None,
     trees = [RandomTree([-1], [0.0], [0], [0], [first], [n.sum()], [0]) for _ in range(int(s["n_trees"]))]
     least, level = int(s["min_leaf"]), {t: [0] for t in range(len(trees))} if n.sum() >= 2 * int(s["min_leaf"]) and n.all() else {}
     while level:
-        ranges = _merged(table, _range_pass(trees, level), np.minimum)
+        ranges = _merged(table, width, _range_pass(trees, level), np.minimum)
         splits: dict[int, dict] = {}
         for (t, node), v in ranges.items():
             low, high = v.reshape(2, -1) * [[1], [-1]]
@@ -197,7 +196,7 @@ def fit_extra_trees(data: DataFrame, params: Mapping[str, object] | None = None,
                 splits.setdefault(t, {})[node] = (chosen, threshold_at(seed, t, node, chosen, low[chosen], high[chosen]))
         if not splits:
             break
-        sums = _merged(table, _class_pass(trees, splits, weights), np.add)
+        sums = _merged(table, width, _class_pass(trees, splits, weights), np.add)
         level = {}
         for (t, node), v in sorted(sums.items()):
             v = v.reshape(-1, 3)

@@ -35,6 +35,7 @@ from ..session import cut_lineage, ship_package
 from . import metrics as K
 
 BINS = 64
+TASK_ROWS = 20_000             # a task takes so many rows at least: small tables are not cut finer
 REFRESH = 25
 DEFAULTS = {"learning_rate": 0.05, "n_iter": 300, "max_leaves": 31, "min_child": 20, "l2": 0.0, "subsample": 0.8, "colsample": 0.8}
 U64 = np.uint64
@@ -109,6 +110,21 @@ def _uniform(ids: np.ndarray, seed: int) -> np.ndarray:
         return ((x ^ (x >> U64(31))) >> U64(11)).astype(np.float64) / 2 ** 53
 
 
+def widened(table: DataFrame) -> tuple[DataFrame, int]:
+    """The written table in at most one task for every ``TASK_ROWS`` rows, and
+    that number of tasks."""
+    width = max(1, min(table.rdd.getNumPartitions(), -(-table.count() // TASK_ROWS)))
+    return table.coalesce(width), width
+
+
+def met(parts: DataFrame, width: int, *key: str) -> DataFrame:
+    """Partial sums of ``width`` tasks brought together by key; those of one task
+    are whole."""
+    if width > 1:
+        parts = parts.repartition(min(width, 4 * parts.sparkSession.sparkContext.defaultParallelism), *key)
+    return parts.sortWithinPartitions(*key)
+
+
 def _sums(column) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1)
@@ -134,8 +150,8 @@ def _histogram_pass(jobs: dict, d: int):
                     sel = np.flatnonzero(use & (at == node))
                     if not len(sel):
                         continue
-                    slot = (x[sel].astype(np.int64) + np.arange(d) * 256).ravel()
-                    part = np.stack([np.bincount(slot, np.repeat(v[sel], d), d * 256) for v in (g, h, np.ones(len(x)))])
+                    slot = (x[sel].astype(np.int64) + np.arange(d) * BINS).ravel()
+                    part = np.stack([np.bincount(slot, np.repeat(v[sel], d), d * BINS) for v in (g, h, np.ones(len(x)))])
                     total[m, node] = total[m, node] + part if (m, node) in total else part
         for (m, node), v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([node], pa.int32()), pa.array([v.tobytes()], pa.binary())],
@@ -144,7 +160,7 @@ def _histogram_pass(jobs: dict, d: int):
 
 
 def best_split(sums: np.ndarray, columns: np.ndarray, min_child: int, l2: float) -> tuple:
-    """(gain, feature, cut, left sums, whole sums) of (3, features, 256) sums;
+    """(gain, feature, cut, left sums, whole sums) of (3, features, bins) sums;
     the first of equal gains in (feature, cut) order.  Gain -1: no split."""
     whole = sums[:, 0].sum(axis=1)
     left = np.cumsum(sums, axis=2)
@@ -170,7 +186,7 @@ def _split_pass(jobs: dict, d: int):
 
         def found():
             columns, min_child, l2 = jobs[key[0]]
-            gain, f, cut, left, whole = best_split(total.reshape(3, d, 256), columns, min_child, l2)
+            gain, f, cut, left, whole = best_split(total.reshape(3, d, BINS), columns, min_child, l2)
             return pa.RecordBatch.from_pydict({
                 "model": pa.array([key[0]], pa.int32()), "node": pa.array([key[1]], pa.int32()), "gain": [gain], "feature": pa.array([f], pa.int32()),
                 "cut": pa.array([cut], pa.int32()), "lefts": [left.tolist()], "whole": [whole.tolist()]})
@@ -266,6 +282,7 @@ def fit_leafwise(data: DataFrame, masks: Sequence[Column], params: Sequence[Mapp
     table = rows.select(F.xxhash64(key).alias("rid"), F.col(label).cast("double").alias("y"), F.array(*[F.coalesce(m, F.lit(False)) for m in masks]).alias("inside"),
                         F.coalesce(valid if valid is not None else F.lit(False), F.lit(False)).alias("valid"), vector_to_array(features).alias("x"))
     table = cut_lineage(table.mapInArrow(bins, "rid long, y double, inside array<boolean>, valid boolean, bins binary"))
+    table, width = widened(table)
     counts = {r["y"]: r for r in table.groupBy("y").agg(*[F.sum(F.col("inside")[m].cast("long")).alias(str(m)) for m in range(models)]).collect()}
     n = np.array([[counts[float(c)][str(m)] if float(c) in counts else 0 for c in (0, 1)] for m in range(models)], float)
     weights = np.ones((models, 2))
@@ -288,9 +305,8 @@ def fit_leafwise(data: DataFrame, masks: Sequence[Column], params: Sequence[Mapp
                     rules[m] = (_columns(d, s["colsample"], seed * 2003 + iteration), int(s["min_child"]), float(s["l2"]))
             if not jobs:
                 break
-            found = (table.mapInArrow(_histogram_pass(jobs, d), "model int, node int, sums binary")
-                     .repartition(min(len(jobs) * 8, spark.sparkContext.defaultParallelism), "model", "node").sortWithinPartitions("model", "node")
-                     .mapInArrow(_split_pass(rules, d), SPLITS).collect())          # a row per node
+            parts = table.mapInArrow(_histogram_pass(jobs, d), "model int, node int, sums binary")
+            found = met(parts, width, "model", "node").mapInArrow(_split_pass(rules, d), SPLITS).collect()     # a row per node
             seen = {(r["model"], r["node"]): r for r in found}
             for m, (*_, wanted, _, _) in jobs.items():
                 for node in sorted(wanted):

@@ -18,6 +18,14 @@ FEATS = list("abcd")
 PLAIN = {"subsample": 1.0, "colsample": 1.0, "min_child": 8, "max_leaves": 9}
 
 
+@pytest.fixture(autouse=True, params=[20_000])
+def task_rows(request, monkeypatch):
+    monkeypatch.setattr(W, "TASK_ROWS", request.param)
+
+
+several_tasks = pytest.mark.parametrize("task_rows", [100], indirect=True)
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     rng = np.random.RandomState(3)
@@ -77,6 +85,7 @@ def test_first_trees_equal_plain_best_first_growth(data, l2):
     assert np.abs(booster.margins(x) - margin).max() < 1e-12
 
 
+@several_tasks
 def test_models_side_by_side_partitions_and_odd_rows(data, monkeypatch):
     monkeypatch.setattr(W, "REFRESH", 2)
     odd = data.withColumn("y", F.when(F.col("id") % 50 != 0, F.col("y")))
@@ -179,6 +188,7 @@ def plain_extra_tree(x, y, w, rows, tree, node, seed, least, count, out):
     return out
 
 
+@several_tasks
 def test_extra_trees_equal_plain_growth(data):
     params = {"n_trees": 3, "min_leaf": 15}
     forest = T.fit_extra_trees(data, params)
