@@ -7,7 +7,9 @@ split, so the driver gets one row per node.  Growth is best first: the leaf with
 the highest gain splits next, until ``max_leaves``.  A round looks at all leaves
 that the growth reaches by what is known so far, and growth is repeated with
 what they show, so a tree takes about as many rounds as it is deep and is still
-the tree that splits one leaf at a time.
+the tree that splits one leaf at a time.  Where one task holds the whole table
+(``TASK_ROWS`` rows), its sums need not meet others and it goes from round to round
+itself; the trees are the same.
 
 Several models (masks of training rows, parameters) grow side by side in the
 same rounds.  Rows carry their margins: every ``REFRESH`` trees the table is
@@ -130,28 +132,42 @@ def _sums(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+class _Rows:
+    """A batch as arrays."""
+
+    def __init__(self, rb, d: int) -> None:
+        self.x = np.frombuffer(b"".join(rb.column("bins").to_pylist()), np.uint8).reshape(rb.num_rows, d)
+        self.y, self.ids = rb.column("y").to_numpy(), rb.column("rid").to_numpy()
+        self.margin, self.inside = _sums(rb.column("margin")), np.array(_sums(rb.column("inside")), bool)
+
+    def gradients(self, m: int, job: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(gradient, hessian, in the bag) of model m's job."""
+        mask, weights, recent, _, _, share, seed = job
+        f = self.margin[:, m] + sum((t.value[t.place(self.x)] for t in recent), np.zeros(len(self.x)))
+        p, w = 0.5 * (1 + np.tanh(f / 2)), weights[self.y.astype(int)]
+        return w * (p - self.y), w * p * (1 - p), self.inside[:, mask] & (_uniform(self.ids, seed) < share)
+
+    def node_sums(self, facts: tuple, growing: Tree, nodes) -> dict[int, np.ndarray]:
+        g, h, use = facts
+        at, d, out = growing.place(self.x), self.x.shape[1], {}
+        for node in nodes:
+            sel = np.flatnonzero(use & (at == node))
+            if len(sel):
+                slot = (self.x[sel].astype(np.int64) + np.arange(d) * BINS).ravel()
+                out[node] = np.stack([np.bincount(slot, np.repeat(v[sel], d), d * BINS) for v in (g, h, np.ones(len(at)))])
+        return out
+
+
 def _histogram_pass(jobs: dict, d: int):
-    """``jobs``: {model: (weights, recent trees, tree in growth, nodes, share, seed)}."""
+    """``jobs``: {model: (mask, weights, recent trees, tree in growth, nodes, share, seed)}."""
     def run(batches):
         total: dict = {}
         for rb in batches:
             if not rb.num_rows:
                 continue
-            x = np.frombuffer(b"".join(rb.column("bins").to_pylist()), np.uint8).reshape(rb.num_rows, d)
-            y, ids = rb.column("y").to_numpy(), rb.column("rid").to_numpy()
-            margin, inside = _sums(rb.column("margin")), np.array(_sums(rb.column("inside")), bool)
-            for m, (mask, weights, recent, growing, nodes, share, seed) in jobs.items():
-                f = margin[:, m] + sum((t.value[t.place(x)] for t in recent), np.zeros(len(x)))
-                p, w = 0.5 * (1 + np.tanh(f / 2)), weights[y.astype(int)]
-                g, h = w * (p - y), w * p * (1 - p)
-                use = inside[:, mask] & (_uniform(ids, seed) < share)
-                at = growing.place(x)
-                for node in nodes:
-                    sel = np.flatnonzero(use & (at == node))
-                    if not len(sel):
-                        continue
-                    slot = (x[sel].astype(np.int64) + np.arange(d) * BINS).ravel()
-                    part = np.stack([np.bincount(slot, np.repeat(v[sel], d), d * BINS) for v in (g, h, np.ones(len(x)))])
+            rows = _Rows(rb, d)
+            for m, job in jobs.items():
+                for node, part in rows.node_sums(rows.gradients(m, job), job[3], job[4]).items():
                     total[m, node] = total[m, node] + part if (m, node) in total else part
         for (m, node), v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([node], pa.int32()), pa.array([v.tobytes()], pa.binary())],
@@ -159,6 +175,33 @@ def _histogram_pass(jobs: dict, d: int):
     return run
 
 
+def _one_task_pass(jobs: dict, rules: dict, shapes: dict, d: int):
+    """The rounds of a tree one after another, for a table of one task, whose sums
+    are whole: the splits in the order in which they were found."""
+    def run(batches):
+        parts = [_Rows(rb, d) for rb in batches if rb.num_rows]              # TASK_ROWS rows at most
+        for m, job in jobs.items():
+            columns, min_child, l2 = rules[m]
+            growth, facts = Growth(shapes[m]), [rows.gradients(m, job) for rows in parts]
+            while wanted := growth.grow()[1]:
+                tree, total = growth.tree(1.0, l2), {}
+                for rows, f in zip(parts, facts):
+                    for node, part in rows.node_sums(f, tree, wanted).items():
+                        total[node] = total[node] + part if node in total else part
+                for node in sorted(wanted):
+                    found = best_split(total[node].reshape(3, d, BINS), columns, min_child, l2) if node in total else NO_SPLIT
+                    growth.learn(node, found)
+                    yield _split_row(m, node, found)
+    return run
+
+
+def _split_row(model: int, node: int, found: tuple) -> pa.RecordBatch:
+    gain, f, cut, left, whole = found
+    return pa.RecordBatch.from_pydict({
+        "model": pa.array([model], pa.int32()), "node": pa.array([node], pa.int32()), "gain": [gain], "feature": pa.array([f], pa.int32()),
+        "cut": pa.array([cut], pa.int32()), "lefts": [left.tolist()], "whole": [whole.tolist()]})
+
+
 def best_split(sums: np.ndarray, columns: np.ndarray, min_child: int, l2: float) -> tuple:
     """(gain, feature, cut, left sums, whole sums) of (3, features, bins) sums;
     the first of equal gains in (feature, cut) order.  Gain -1: no split."""
@@ -176,6 +219,7 @@ def best_split(sums: np.ndarray, columns: np.ndarray, min_child: int, l2: float)
     return float(gain[f, cut]), int(f), int(cut), left[:, f, cut], whole
 
 
+NO_SPLIT = (-1.0, 0, 0, np.zeros(3), np.zeros(3))
 SPLITS = "model int, node int, gain double, feature int, cut int, lefts array<double>, whole array<double>"
 
 
@@ -185,11 +229,7 @@ def _split_pass(jobs: dict, d: int):
         key, total = None, None
 
         def found():
-            columns, min_child, l2 = jobs[key[0]]
-            gain, f, cut, left, whole = best_split(total.reshape(3, d, BINS), columns, min_child, l2)
-            return pa.RecordBatch.from_pydict({
-                "model": pa.array([key[0]], pa.int32()), "node": pa.array([key[1]], pa.int32()), "gain": [gain], "feature": pa.array([f], pa.int32()),
-                "cut": pa.array([cut], pa.int32()), "lefts": [left.tolist()], "whole": [whole.tolist()]})
+            return _split_row(*key, best_split(total.reshape(3, d, BINS), *jobs[key[0]]))
         for rb in batches:
             for m, n, raw in zip(rb.column("model").to_pylist(), rb.column("node").to_pylist(), rb.column("sums")):
                 v = np.frombuffer(raw.as_buffer(), "<f8")
@@ -305,14 +345,17 @@ def fit_leafwise(data: DataFrame, masks: Sequence[Column], params: Sequence[Mapp
                     rules[m] = (_columns(d, s["colsample"], seed * 2003 + iteration), int(s["min_child"]), float(s["l2"]))
             if not jobs:
                 break
+            if width == 1:
+                shapes = {m: growing[m].max_leaves for m in jobs}
+                for r in table.mapInArrow(_one_task_pass(jobs, rules, shapes, d), SPLITS).collect():     # a row per node, in order
+                    growing[r["model"]].learn(r["node"], _found(r))
+                break
             parts = table.mapInArrow(_histogram_pass(jobs, d), "model int, node int, sums binary")
-            found = met(parts, width, "model", "node").mapInArrow(_split_pass(rules, d), SPLITS).collect()     # a row per node
-            seen = {(r["model"], r["node"]): r for r in found}
+            rows_ = met(parts, width, "model", "node").mapInArrow(_split_pass(rules, d), SPLITS).collect()     # a row per node
+            seen = {(r["model"], r["node"]): r for r in rows_}
             for m, (*_, wanted, _, _) in jobs.items():
                 for node in sorted(wanted):
-                    r = seen.get((m, node))
-                    growing[m].learn(node, (r["gain"], r["feature"], r["cut"], np.array(r["lefts"]), np.array(r["whole"])) if r else
-                                     (-1.0, 0, 0, np.zeros(3), np.zeros(3)))
+                    growing[m].learn(node, _found(seen[m, node]) if (m, node) in seen else NO_SPLIT)
         for m in live:
             tree = growing[m].tree(settings[m]["learning_rate"], settings[m]["l2"])
             out[m].trees.append(tree)
@@ -335,6 +378,10 @@ def fit_leafwise(data: DataFrame, masks: Sequence[Column], params: Sequence[Mapp
     return out
 
 
+def _found(r) -> tuple:
+    return r["gain"], r["feature"], r["cut"], np.array(r["lefts"]), np.array(r["whole"])
+
+
 def _with_margins(table: DataFrame, recent: dict, d: int) -> DataFrame:
     def run(batches):
         for rb in batches:

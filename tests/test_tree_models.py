@@ -102,6 +102,16 @@ def test_models_side_by_side_partitions_and_odd_rows(data, monkeypatch):
     assert len(constant.trees) == 2 and all(len(t.feature) == 1 for t in constant.trees)
 
 
+def test_one_task_and_several_grow_the_same_trees(data, monkeypatch):
+    settings = [{"n_iter": 3, "min_child": 10}, {"n_iter": 2, "max_leaves": 5, "l2": 1.0}]
+    masks = [F.lit(True), F.col("id") % 2 == 0]
+    one = W.fit_leafwise(data, masks, settings)
+    monkeypatch.setattr(W, "TASK_ROWS", 100)
+    for a, b in zip(one, W.fit_leafwise(data, masks, settings)):
+        assert [t.feature.tolist() for t in a.trees] == [t.feature.tolist() for t in b.trees]
+        assert all(np.allclose(x.value, y.value) for x, y in zip(a.trees, b.trees))
+
+
 def test_stops_where_each_prefix_scored_apart_is_best(data, monkeypatch):
     monkeypatch.setattr(W, "REFRESH", 4)
     valid = F.col("id") % 4 == 0
