@@ -88,3 +88,12 @@ def test_stage_rejects_gibberish_and_unlearned_languages(spark):
     assert sum(-1 - len(strange) - i in left for i in range(len(clean))) >= 58
     ids = {r["doc_id"] for r in docs.collect()}
     assert len(ids - left) <= 0.01 * len(ids)
+
+
+def test_held_out_labels_teach_nothing(spark):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    other = docs.withColumn("lang", F.when(held, F.lit("xx")).otherwise(F.col("lang")))
+    one, two = (sorted(map(str, L.identify(d).select("id", "held_out", "lang_pred", "score").collect())) for d in (docs, other))
+    assert one == two
