@@ -218,6 +218,17 @@ def test_extra_trees_equal_plain_growth(data):
     assert len(T.fit_extra_trees(data.where("y = 1"), params).trees[0].feature) == 1
 
 
+def test_extra_trees_send_one_array_a_tree(data, monkeypatch):
+    import pyarrow as pa
+    forest = T.fit_extra_trees(data, {"n_trees": 3, "min_leaf": 15})
+    _, y, x = local_rows(data)
+    batch = pa.RecordBatch.from_pydict({"x": pa.array(x.tolist()), "y": pa.array(y)})
+    level = {t: (T._shape(tree), np.unique(tree.place(x)), np.tile([0, 1], (len(np.unique(tree.place(x))), 1))) for t, tree in enumerate(forest.trees)}
+    assert sum(rb.num_rows for rb in T._range_pass(level)([batch, batch])) == 3 < sum(len(v[1]) for v in level.values())
+    monkeypatch.setattr(T, "WAVE_NODES", 1)                # one tree after another: the same trees
+    assert [t.feature for t in T.fit_extra_trees(data, {"n_trees": 3, "min_leaf": 15}).trees] == [t.feature for t in forest.trees]
+
+
 def test_prefixes_of_a_gbt_scored_apart(data):
     model, _ = J.fit("gbt", data, params={"maxIter": 6, "minInstancesPerNode": 5})
     aucs = {r["n_trees"]: r["roc_auc"] for r in J.prefix_aucs(model, data).collect()}
