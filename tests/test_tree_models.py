@@ -229,6 +229,23 @@ def test_extra_trees_send_one_array_a_tree(data, monkeypatch):
     assert [t.feature for t in T.fit_extra_trees(data, {"n_trees": 3, "min_leaf": 15}).trees] == [t.feature for t in forest.trees]
 
 
+@pytest.mark.parametrize("task_rows", [200], indirect=True)
+def test_a_table_that_one_task_can_hold_takes_one_job_a_tree(data, monkeypatch):
+    monkeypatch.setattr(W, "_histogram_pass", lambda *a: pytest.fail("a round over several tasks"))
+    assert len(W.fit_leafwise(data, [F.lit(True)], [{**PLAIN, "n_iter": 2}])[0].trees) == 2
+
+
+def test_rounds_add_up_few_trees_to_the_margins(data, monkeypatch):
+    longest, one_task = [], W._one_task_pass
+
+    def seen(jobs, *rest):
+        longest.append(max(len(job[2]) for job in jobs.values()))
+        return one_task(jobs, *rest)
+    monkeypatch.setattr(W, "_one_task_pass", seen)
+    W.fit_leafwise(data, [F.lit(True)], [{**PLAIN, "n_iter": 8}])
+    assert max(longest) < 5
+
+
 def test_prefixes_of_a_gbt_scored_apart(data):
     model, _ = J.fit("gbt", data, params={"maxIter": 6, "minInstancesPerNode": 5})
     aucs = {r["n_trees"]: r["roc_auc"] for r in J.prefix_aucs(model, data).collect()}
