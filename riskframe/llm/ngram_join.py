@@ -17,13 +17,15 @@ a partner's, so the first slab they share is among them.  A document with too
 few filled slabs for that also enters the cells of its empty ones.  A document
 whose smaller partners may lie in the class below enters that class too.
 
-Inside the cells the work is in rounds, so that a large group of copies never
-makes all its pairs: first every member against the smallest member of all its
-cells; then an R-tree join of each cell that keeps a forest of the surviving
-pairs; then, in the cells that had any, the R-tree join with every surviving pair.  Each round leaves out
-what the verified links have connected by then, so the last one finds little
-but pairs that the bound cannot tell from links.  A cell with many members is
-joined in blocks, each pair of blocks a separate run.
+Inside the cells the work is in rounds, so that a large group of copies, or of
+texts that are alike but do not link, never makes all its pairs: first every
+member against the smallest member of all its cells; then an R-tree join of each
+cell that still holds several components, which tells only what components the
+surviving pairs connect.  All surviving pairs lie inside the groups connected
+that way, and a document is in one group at most: there the whole sets meet, and
+each set's overlaps with all others are counted from the group's posting lists;
+only links that join two components are put out.  A cell or group with many
+members is joined in blocks, each pair of blocks a separate run.
 
 Sets are compared through 64-bit hashes of shingles and 64-bit fingerprints of
 whole sets; among n different sets about n^2 / 2^65 pairs share a fingerprint.
@@ -51,7 +53,8 @@ from .links import components
 GROUPS = (64, 65536)   # fewest and most coordinates of a point; about the set's size between
 LEAF = 32              # points of a leaf
 FANOUT = 8             # children of a node
-BLOCK = 2048           # members of a cell that one run joins
+BLOCK = 2048           # members of a cell or group that a block holds
+TOKENS = 1 << 22       # tokens of a group that a block holds
 SPREAD_ROWS = 256      # of them show the widest coordinates, by which a tree is sorted
 MAX_CLASS = 40         # sizes up to 2^39 tokens
 BUCKETS = 1 << 22      # of the bitmap of wanted ids
@@ -224,18 +227,18 @@ class CountTree:
                 yield self.order[ia[x]], self.order[ib[y]]
 
 
-def _tree_pass(t: int, forest: bool):
-    """Rows sorted by (cell, lo, hi) -> surviving pairs of different components;
-    with ``forest`` only enough of them to connect what all of them connect."""
+def _tree_pass(t: int):
+    """Rows sorted by (cell, lo, hi) -> (u, v): what components the surviving
+    pairs of a run connect, each with the smallest one."""
     def flush(keys, rows):
         if len(rows["fp"]) < 2:
             return None
         vecs = [coordinates(v) for v in rows["vec"]]
         groups = min(len(v) for v in vecs)
         vecs = np.array([folded(v, groups) for v in vecs])
-        fp, part = np.array(rows["fp"], np.int64), np.array(rows["part"], np.int64)
-        label = np.unique(np.array(rows["comp"], np.int64), return_inverse=True)[1]
-        us, vs = [], []
+        part = np.array(rows["part"], np.int64)
+        comps, mine = np.unique(np.array(rows["comp"], np.int64), return_inverse=True)
+        label = mine.copy()
         for x, y in CountTree(vecs, np.array(rows["n"], np.int64)).pairs(t):
             if keys[1] != keys[2]:
                 ok = part[x] != part[y]
@@ -243,19 +246,14 @@ def _tree_pass(t: int, forest: bool):
             ok = label[x] != label[y]
             while ok.any():
                 x, y = x[ok], y[ok]
-                if not forest:
-                    us.append(fp[x])
-                    vs.append(fp[y])
-                    break
-                us.append(fp[x[:1]])
-                vs.append(fp[y[:1]])
                 label[label == label[y[0]]] = label[x[0]]
                 ok = label[x] != label[y]
-        if not us:
+        own, at = np.unique(mine, return_index=True)       # comps ascend: the first of a label is its smallest
+        _, first, of = np.unique(label[at], return_index=True, return_inverse=True)
+        u, v = comps[own[first[of]]], comps[own]
+        if not (u != v).any():
             return None
-        u, v = np.concatenate(us), np.concatenate(vs)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), keys[0])), pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
-                                          ["cell", "u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
 
     def run(batches):
         keys, rows = None, None
@@ -274,9 +272,65 @@ def _tree_pass(t: int, forest: bool):
     return run
 
 
+def _links(fp: np.ndarray, label: np.ndarray, part: np.ndarray, tokens: list[np.ndarray], t: int) -> tuple[list[int], list[int]]:
+    """Links that join different labels, enough to connect what all of them
+    connect; between blocks, where ``part`` has two values, only across."""
+    n = np.array([len(s) for s in tokens])
+    off = np.concatenate([[0], np.cumsum(n)])
+    word = np.unique(np.concatenate(tokens), return_inverse=True)[1]
+    held = np.bincount(word)
+    at = np.concatenate([[0], np.cumsum(held)[:-1]])
+    posting = np.repeat(np.arange(len(n)), n)[np.argsort(word, kind="stable")]
+    across = part.min() != part.max()
+    us, vs = [], []
+    label = np.unique(label, return_inverse=True)[1]
+    # a pair of two labels has a member outside the largest one
+    for x in np.flatnonzero(label != np.bincount(label).argmax()):
+        mine = word[off[x]:off[x + 1]]
+        count = held[mine]
+        where = np.repeat(at[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        ok = np.bincount(posting[where], minlength=len(n)) * (100 + t) >= (n[x] + n) * t
+        ok &= label != label[x]
+        if across:
+            ok &= part != part[x]
+        for y in np.flatnonzero(ok):
+            if label[x] != label[y]:
+                us.append(int(fp[x]))
+                vs.append(int(fp[y]))
+                label[label == label[y]] = label[x]
+        if label.min() == label.max():
+            break
+    return us, vs
+
+
+def _link_pass(t: int):
+    """Rows sorted by (group, lo, hi) -> the links (u, v) of each run."""
+    def flush(rows):
+        u, v = _links(np.array(rows["fp"], np.int64), np.array(rows["comp"], np.int64), np.array(rows["part"], np.int64), rows["tokens"], t)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    def run(batches):
+        keys, rows = None, None
+        for rb in batches:
+            d = rb.drop_columns(["tokens"]).to_pydict()
+            tokens = rb.column("tokens")
+            for i in range(rb.num_rows):
+                now = (d["group"][i], d["lo"][i], d["hi"][i])
+                if now != keys:
+                    if keys is not None:
+                        yield flush(rows)
+                    keys, rows = now, {c: [] for c in ("fp", "comp", "part", "tokens")}
+                for c in ("fp", "comp", "part"):
+                    rows[c].append(d[c][i])
+                rows["tokens"].append(tokens[i].values.to_numpy().copy())
+        if keys is not None:
+            yield flush(rows)
+    return run
+
+
 # ------------------------------------------------------------------ join
 
-def _bound_pass(t: int):
+def _bound_pass(t: int, keep: list[str]):
     def run(batches):
         for rb in batches:
             na, nb = rb.column("na").to_numpy(), rb.column("nb").to_numpy()
@@ -285,7 +339,7 @@ def _bound_pass(t: int):
                 a, b = (coordinates(rb.column(c)[i].as_buffer()) for c in ("va", "vb"))
                 g = min(len(a), len(b))
                 ok[i] = int(np.minimum(folded(a, g), folded(b, g)).sum(dtype=np.int64)) * (100 + t) >= (na[i] + nb[i]) * t
-            yield rb.select(["u", "v"]).filter(pa.array(ok))
+            yield rb.select(keep).filter(pa.array(ok))
     return run
 
 
@@ -293,20 +347,17 @@ def _bounded(pairs: DataFrame, points: DataFrame, t: int) -> DataFrame:
     """Pairs (u, v) whose sizes and coordinate minima allow a link."""
     a = points.select(F.col("fp").alias("u"), F.col("n").alias("na"), F.col("vec").alias("va"))
     b = points.select(F.col("fp").alias("v"), F.col("n").alias("nb"), F.col("vec").alias("vb"))
-    return map_batches(pairs.join(a, "u").join(b, "v"), _bound_pass(t), "u long, v long")
+    return map_batches(pairs.join(a, "u").join(b, "v"), _bound_pass(t, pairs.columns), ", ".join(f"{c} long" for c in pairs.columns))
 
 
 def _bucket(column: str):
     return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
 
 
-def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: int) -> DataFrame:
-    """The pairs whose whole sets link, written.  The sets are made from the texts of one
-    document each; a bitmap of fixed size lets most other texts be skipped
-    before any shuffle, and the join on (fp, id) is exact."""
-    spark = docs.sparkSession
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
-    nodes = stage(points.join(nodes, "fp").select("fp", "id", "n"), "nodes")
+def _token_sets(nodes: DataFrame, points: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """The rows of ``nodes`` (fp, id, ...; a written table) with their whole sets,
+    made from the texts of one document each; a bitmap of fixed size lets most
+    other texts be skipped before any shuffle, and the join on (fp, id) is exact."""
     marks = np.zeros(BUCKETS, bool)
     bits = (nodes.select(_bucket("id").alias("b")).groupBy(F.expr("b div 32").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, b % 32)")).alias("bits")).toArrow())
@@ -314,11 +365,16 @@ def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: i
     for i in range(32):
         marks[word[(bits >> i) & 1 == 1] * 32 + i] = True
     sets = map_batches(docs.filter("id is not null").withColumn("bucket", _bucket("id")),
-                       _set_pass(k, spark.sparkContext.broadcast(marks)), "id long, fp long, tokens array<long>")
+                       _set_pass(k, docs.sparkSession.sparkContext.broadcast(marks)), "id long, fp long, tokens array<long>")
     sets = sets.join(nodes, ["fp", "id"])
-    if not points.filter("again").isEmpty():             # rows or ids repeat
-        sets = sets.dropDuplicates(["fp"])
-    sets = stage(sets.select("fp", "n", "tokens"), "tokens")
+    return sets if points.filter("again").isEmpty() else sets.dropDuplicates(["fp"])    # rows or ids repeat
+
+
+def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, k: int, t: int) -> DataFrame:
+    """The pairs whose whole sets link, written."""
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
+    nodes = stage(points.join(nodes, "fp").select("fp", "id", "n"), "nodes")
+    sets = stage(_token_sets(nodes, points, docs, k).select("fp", "n", "tokens"), "tokens")
     a = sets.select(F.col("fp").alias("u"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
     b = sets.select(F.col("fp").alias("v"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
     shared = F.size(F.array_intersect("_ta", "_tb"))
@@ -372,48 +428,53 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = stage(meta.select("id", "n", "fp"), "known")
     discard(meta)
 
-    def unconnected(root: DataFrame) -> DataFrame:
-        """Members of the cells that hold several components so far."""
-        now = (members.join(root.withColumnRenamed("node", "fp"), "fp", "left")
-               .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
-        return stage(_mixed(now, "comp"), "open")
-
-    def tree_pairs(open_: DataFrame, forest: bool) -> DataFrame:
-        """(cell, u, v): pairs that survive the R-tree join of their cell."""
-        parts = open_.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-        runs = (open_.join(parts, "cell").join(points.select("fp", "n", "vec"), "fp")
-                .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    def blocks(rows: DataFrame, by: str, parts) -> DataFrame:
+        """Rows (``by``, fp, ...) for each pair (lo, hi) of blocks of their cell or
+        group that they take part in, sorted by it."""
+        of = rows.groupBy(by).agg(F.ceil(parts).cast("int").alias("parts"))
+        return (rows.join(of, by).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-                .select("cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
-                        "part", "fp", "comp", "n", "vec")
-                .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "fp"))
-        return stage(map_batches(runs, _tree_pass(percent, forest), "cell long, u long, v long"), "tree")
+                .withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).drop("parts", "other"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, points, docs, k, percent)
+    def runs(rows: DataFrame, by: str) -> DataFrame:
+        return rows.repartition(by, "lo", "hi").sortWithinPartitions(by, "lo", "hi", "fp")
 
     # star: each member against the smallest of its cells' smallest members
     hub = members.groupBy("cell").agg(F.min("fp").alias("hub"))
     star = members.join(hub, "cell").groupBy("fp").agg(F.min("hub").alias("u")).filter("u <> fp").select("u", F.col("fp").alias("v"))
     checked = stage(_bounded(star, points, percent), "pairs")
-    links = verified(checked)
-    # R-tree joins: first enough pairs to connect what the bound lets through
-    # (cells of two members have one pair, bounded without a tree) ...
-    open_ = unconnected(components(links))
-    sizes = stage(open_.groupBy("cell").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v")), "sizes")
-    two = _bounded(sizes.filter("size = 2").select("u", "v").distinct(), points, percent)
-    found = tree_pairs(open_.join(sizes.filter("size > 2").select("cell"), "cell", "left_semi"), forest=True)
-    pairs = stage(two.unionByName(found.select("u", "v")).distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
-    discard(open_, sizes)
-    links = links.unionByName(verified(pairs))
-    checked = checked.unionByName(pairs)
-    # ... then, in the cells where it let any through, all that are left across components
-    open_ = unconnected(components(links))
-    every = tree_pairs(open_.join(found.select("cell").distinct(), "cell", "left_semi"), forest=False)
-    pairs = stage(every.select("u", "v").distinct().join(checked, ["u", "v"], "left_anti"), "pairs")
-    discard(open_, members, found, every)
-    root = components(links.unionByName(verified(pairs)))
-    discard(points)
+    links = _verified(checked, points, docs, k, percent)
+    root = components(links)
+
+    # R-tree joins of the cells that hold several components so far (cells of two
+    # members have one pair, bounded without a tree): what may still be connected
+    open_ = (members.join(root.withColumnRenamed("node", "fp"), "fp", "left")
+             .select("cell", "fp", F.coalesce("root", "fp").alias("comp")))
+    open_ = stage(_mixed(open_, "comp"), "open")
+    sizes = stage(open_.groupBy("cell").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v"),
+                                            F.min("comp").alias("cu"), F.max("comp").alias("cv")), "sizes")
+    two = _bounded(sizes.filter("size = 2").select("u", "v", "cu", "cv").distinct(), points, percent)
+    cells_ = open_.join(sizes.filter("size > 2").select("cell"), "cell", "left_semi")
+    trees = runs(blocks(cells_, "cell", F.count("*") / BLOCK).join(points.select("fp", "n", "vec"), "fp"), "cell")
+    alike = map_batches(trees, _tree_pass(percent), "u long, v long").unionByName(two.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    alike = components(alike)
+    discard(open_, sizes, members)
+
+    # groups of components: whole sets, every link between components
+    alike = alike.unionByName(alike.select(F.col("root").alias("node"), "root").distinct())
+    grouped = (points.select("fp", "id", "n").join(root.withColumnRenamed("node", "fp"), "fp", "left")
+               .select("fp", "id", "n", F.coalesce("root", "fp").alias("comp"))
+               .join(alike.select(F.col("node").alias("comp"), F.col("root").alias("group")), "comp"))
+    grouped = stage(grouped, "groups")
+    done = (grouped.groupBy("group").agg(F.count("*").alias("size"), F.min("fp").alias("u"), F.max("fp").alias("v")).filter("size = 2")
+            .join(checked, ["u", "v"], "left_semi").select("group"))        # their one pair is no link
+    nodes = stage(grouped.join(done, "group", "left_anti"), "nodes")
+    whole = blocks(_token_sets(nodes, points, docs, k), "group", F.greatest(F.count("*") / BLOCK, F.sum("n") / TOKENS))
+    more = stage(map_batches(runs(whole.select("group", "lo", "hi", "part", "fp", "comp", "tokens"), "group"), _link_pass(percent),
+                             "u long, v long"), "links")
+    discard(grouped, nodes)
+    root = components(links.unionByName(more))
+    discard(points, checked)
 
     out = (known.join(root.withColumnRenamed("node", "fp"), "fp", "left")
            .withColumn("root", F.coalesce("root", "fp")))

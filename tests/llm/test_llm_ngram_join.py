@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import ngram_join as J
@@ -105,3 +106,46 @@ def test_stage_keeps_one_document_of_each_group(spark):
 def test_fingerprint_ignores_order(n):
     s = np.unique(np.random.RandomState(n).randint(0, 2 ** 63, n).astype(np.uint64))
     assert J.fingerprint(s) == J.fingerprint(s[::-1].copy()) != J.fingerprint(s[1:])
+
+
+def alike(rnd, base, changed, n):
+    """``n`` texts that replace ``changed`` words of one text, each by words of its own."""
+    out = []
+    for d in range(n):
+        words = list(base)
+        for i in rnd.sample(range(len(words)), changed):
+            words[i] = f"w{d}x{i}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_alike_texts_that_do_not_link_make_no_pairs():
+    """A run puts out at most one row for each of its components, whatever number
+    of pairs survives the bound."""
+    texts = alike(random.Random(5), [f"b{i}" for i in range(200)], 5, 60)
+    sets = list(J.shingle_sets(pa.array(texts), 5))
+    rows = pa.RecordBatch.from_pydict({"cell": [1] * 60, "lo": [0] * 60, "hi": [0] * 60, "part": [0] * 60, "fp": list(range(60)), "comp": list(range(60)),
+                                       "n": [len(s) for s in sets], "vec": [J.point(s) for s in sets]})
+    out = pa.Table.from_batches(J._tree_pass(60)(iter([rows]))).to_pylist()
+    assert sorted(r["v"] for r in out) == list(range(1, 60)) and {r["u"] for r in out} == {0}
+    shared = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for t in (60, 65, 70, 80):
+        u, v = J._links(np.arange(60), np.arange(60), np.zeros(60, int), sets, t)
+        want = [(i, j) for i in range(60) for j in range(i) if shared[i][j] * (100 + t) >= (len(sets[i]) + len(sets[j])) * t]
+        assert all((max(p), min(p)) in want for p in zip(u, v)) and len(u) < 60
+
+        def reach(pairs):
+            root = list(range(60))
+            for a, b in pairs:
+                root = [root[a] if r == root[b] else r for r in root]
+            return [min(i for i in range(60) if root[i] == r) for r in root]
+        assert reach(zip(u, v)) == reach(want)
+
+
+def test_group_of_alike_texts_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 7)
+    monkeypatch.setattr(J, "TOKENS", 1000)
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    rows = list(enumerate(alike(rnd, base, 2, 30) + alike(rnd, base, 1, 6) + alike(rnd, base, 3, 20)))
+    assert result(spark, rows) == brute.jaccard_components(rows)
