@@ -104,3 +104,27 @@ def test_column_stats_of_all_types_in_two_jobs(spark):
     r = {x["variable"]: x for x in P.column_stats(df).collect()}
     assert [(r[c]["nunique"], r[c]["top_value"], r[c]["top_count"], r[c]["null_count"]) for c in "ilsbdn"] == [
         (2, "2", 2, 0), (2, str(10 ** 17 + 1), 2, 0), (1, "x", 2, 1), (2, "true", 2, 0), (1, "1.5", 2, 1), (0, None, None, 3)]
+
+
+def test_value_counts_of_numbers_are_made_in_batches(spark, monkeypatch):
+    """Numbers take no wide aggregate; ties, NaN, large longs, text and empty frames as before."""
+    from riskframe.operators import profile as P
+    big = 2 ** 60
+    rows = [(1, big, 1.5, 7, "x", None), (1, big + 1, float("nan"), 7, "y", None), (2, 9, float("inf"), 7, None, None), (2, 10, 1.5, None, "y", None), (None, 9, 0.5, 7, "x", None)]
+    df = spark.createDataFrame(rows, "i int, l long, d double, one int, t string, none double")
+    asked, real = [], P.column_facts
+    monkeypatch.setattr(P, "column_facts", lambda d, c: asked.append(list(c)) or real(d, c))
+    got = {r["variable"]: tuple(r)[2:] for r in P.column_stats(df).collect()}
+    assert asked == [["t"]]
+    assert got == {"i": (5, 1, 4, 2, 3, 2, "1", 2), "l": (5, 0, 5, 4, 4, 2, "9", 2), "d": (5, 2, 3, 2, 3, 2, "1.5", 2),
+                   "one": (5, 1, 4, 1, 2, 4, "7", 4), "t": (5, 1, 4, 2, 3, 2, "x", 2), "none": (5, 5, 0, 0, 1, 5, None, None)}
+    none = {r["variable"]: tuple(r)[2:] for r in P.column_stats(df.where("i > 5")).collect()}
+    assert none["i"] == none["t"] == (0, 0, 0, 0, 0, None, None, None)
+
+
+def test_residual_nulls_are_named(spark):
+    from riskframe.operators.profile import assert_no_nulls
+    df = spark.createDataFrame([(1.0, 2, "a", float("inf")), (2.0, None, None, 1.0)], "a double, b int, c string, d double")
+    assert_no_nulls(df, ["a"])
+    with pytest.raises(AssertionError, match=r"\{'b': 1, 'c': 1, 'd': 1\}"):
+        assert_no_nulls(df)

@@ -92,3 +92,29 @@ def test_exact_sample_multilevel_refinement(spark, monkeypatch):
     got = H.exact_sample(df, 777, ["id"], 11)
     ref = df.withColumn("_h", seeded_hash(["id"], 11)).orderBy("_h", "id").limit(777).drop("_h")
     assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_columns_side_by_side_need_no_long_form(spark, monkeypatch):
+    """Without groups no row is made of every value; ranks, ties, infinities and
+    empty columns as numpy has them."""
+    import numpy as np
+    from riskframe.operators import quantiles as Q
+
+    def never(*_, **__):
+        raise AssertionError("long form")
+    monkeypatch.setattr(Q, "long_numeric", never)
+    rnd = np.random.RandomState(3)
+    a, b, c = rnd.standard_cauchy(3000), rnd.randint(0, 3, 3000).astype(float), np.exp(rnd.normal(0, 20, 3000))
+    a[:5] = [np.nan, np.inf, -np.inf, 1.5e308, -1.5e308]
+    df = spark.createDataFrame([(float(x), int(y), float(z), None) for x, y, z in zip(a, b, c)], "a double, `b.b` int, c double, d double").repartition(5)
+    probs = [0.0, 0.013, 0.5, 0.99, 1.0]
+    for kw in ({}, {"bins": 4, "exact_below": 10}):
+        got = {(r["variable"], r["prob"]): r["value"] for r in Q.exact_quantiles(df, df.columns, probs, **kw).collect()}
+        for name, x in (("a", a[np.isfinite(a)]), ("b.b", b), ("c", c)):
+            x = np.sort(x)
+            for p in probs:
+                pos = p * (len(x) - 1)
+                lo, hi = x[int(pos)], x[min(int(pos) + 1, len(x) - 1)]
+                want = lo if pos == int(pos) or lo == hi else lo + (hi - lo) * (pos - int(pos))
+                assert got[name, p] == want
+        assert {got["d", p] for p in probs} == {None}
