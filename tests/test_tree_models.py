@@ -169,6 +169,20 @@ def test_contributions_equal_subset_enumeration(spark, data, kind):
     assert {r["feature"] for r in glob.collect()} == set(FEATS)
 
 
+def test_contributions_looked_up_equal_integrated_ones(spark, data, monkeypatch):
+    model, _ = J.fit("gbt", data, params={"maxIter": 3, "minInstancesPerNode": 5, "maxDepth": 5})
+    paths = A.leaf_paths(A.ensemble_nodes(model, spark))
+    looked_up = A._Paths(paths)
+    monkeypatch.setattr(A, "TABLE", 0)
+    integrated = A._Paths(paths)
+    assert all(g[-1] is not None for g in looked_up.groups) and all(g[-1] is None for g in integrated.groups)
+    x = local_rows(data)[2]
+    x = np.concatenate([x, np.full((1, x.shape[1]), np.nan)])
+    monkeypatch.setattr(A, "PAIRS", 3 * len(x))                          # several blocks of paths
+    assert np.allclose(looked_up.contributions(x), integrated.contributions(x), rtol=0, atol=1e-12)
+    assert np.allclose(looked_up.contributions(x[:1]), integrated.contributions(x[:1]), rtol=0, atol=1e-12)
+
+
 # --- extremely randomised trees -------------------------------------------------------
 def plain_extra_tree(x, y, w, rows, tree, node, seed, least, count, out):
     """Recursion over (node id, rows); ids are given level by level, so by a queue."""
