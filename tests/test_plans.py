@@ -65,3 +65,15 @@ def test_bucketed_blocks_join_without_a_shuffle(spark):
         assert sorted(map(str, df.collect())) == sorted(map(str, D.q_post_join_ratios(spark, SF).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_model_matrix_has_short_methods_and_leaves_the_session_as_it_was(spark, monkeypatch):
+    from riskframe.plans import modeling as ML
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name, None)
+    fit, write = E.MedianImputer.fit, ML.cut_lineage
+    monkeypatch.setattr(E.MedianImputer, "fit", lambda self, df: seen.append(spark.conf.get(name, None)) or fit(self, df))
+    monkeypatch.setattr(ML, "cut_lineage", lambda df: seen.append(spark.conf.get(name, None)) or write(df))
+    ML.model_matrix(spark, SF)
+    assert seen == [before, "8000", "8000", "8000"]                      # the mart, the medians, the filled table, the split
+    assert spark.conf.get(name, None) == before
