@@ -77,3 +77,22 @@ def test_model_matrix_has_short_methods_and_leaves_the_session_as_it_was(spark,
     ML.model_matrix(spark, SF)
     assert seen == [before, "8000", "8000", "8000"]                      # the mart, the medians, the filled table, the split
     assert spark.conf.get(name, None) == before
+
+
+def test_fold_loops_move_only_the_columns_they_read(spark, monkeypatch):
+    from riskframe.operators import models as J
+    rows = [(i, i % 2, float(i % 7), float(i % 2 + i % 5)) for i in range(120)]
+    data = J.assemble(spark.createDataFrame(rows, "id long, y int, a double, b double"), ["a", "b"])
+    moved, written = [], []
+    fold, split, write = J.kfold_column, J.stratified_holdout, J.cut_lineage
+    monkeypatch.setattr(J, "kfold_column", lambda d, *a, **k: moved.append(d.columns) or fold(d, *a, **k))
+    monkeypatch.setattr(J, "stratified_holdout", lambda d, *a, **k: moved.append(d.columns) or split(d, *a, **k))
+    monkeypatch.setattr(J, "cut_lineage", lambda d: written.append(d.columns) or write(d))
+    summary, hold, _ = J.cross_validate_split("logistic", data, ["id"], 2)
+    assert summary.count() and hold.count() == 1
+    assert moved == [["id", "y", "features"]] * 2
+    assert written[0] == ["id", "y", "features", "is_test"]              # the split is made once
+    J.tuned_threshold("logistic", data, ["id"])
+    J.grid_search("logistic", data, ["id"], grids={"logistic": {"regParam": [0.1]}}, k=2)
+    assert J.out_of_fold("logistic", data, ["id"], 2).columns == ["id", "y", "fold", "score"]
+    assert moved == [["id", "y", "features"]] * 5
