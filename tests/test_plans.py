@@ -96,3 +96,20 @@ def test_fold_loops_move_only_the_columns_they_read(spark, monkeypatch):
     J.grid_search("logistic", data, ["id"], grids={"logistic": {"regParam": [0.1]}}, k=2)
     assert J.out_of_fold("logistic", data, ["id"], 2).columns == ["id", "y", "fold", "score"]
     assert moved == [["id", "y", "features"]] * 5
+
+
+def test_permutation_scores_of_a_logistic_model_equal_the_row_by_row_ones(spark, monkeypatch):
+    from riskframe.operators import explain as L
+    from riskframe.operators import models as J
+    rows = [(i, None if i == 7 else int(i % 3 == 0 or i % 5 == 1), float(i % 7), float(i % 2 + i % 5), float(i % 3) / 3) for i in range(90)]
+    data = J.assemble(spark.createDataFrame(rows, "id long, y int, a double, b double, c double"), ["a", "b", "c"])
+    model, _ = J.fit("logistic", data.where("y IS NOT NULL"), "y")
+    made = []
+    replaced = L.replaced_entry
+    monkeypatch.setattr(L, "replaced_entry", lambda *a: made.append(a) or replaced(*a))
+    quick = L.permutation_importance(model, data, ["a", "b", "c"], "id", n_repeats=2, columns=["c", "a"]).collect()
+    assert not made                                                      # no row per column
+    monkeypatch.setattr(L, "LogisticRegressionModel", int)
+    slow = L.permutation_importance(model, data, ["a", "b", "c"], "id", n_repeats=2, columns=["c", "a"]).collect()
+    assert made and [r["feature"] for r in quick] == [r["feature"] for r in slow] and len(quick) == 2
+    assert all(abs(q[c] - s[c]) < 1e-12 for q, s in zip(quick, slow) for c in ("importance_mean", "importance_std"))
