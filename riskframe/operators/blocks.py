@@ -88,12 +88,15 @@ def _subsets(spec: Mapping[str, tuple[str, str]]):
     return {name: F.col(column) == value for name, (column, value) in spec.items()}
 
 
-def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary, balance_vocabulary: Vocabulary) -> DataFrame:
-    """E1 + E2 + E3: monthly history -> credit -> client."""
+def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary, balance_vocabulary: Vocabulary,
+                 buckets: int | None = None) -> DataFrame:
+    """E1 + E2 + E3: monthly history -> credit -> client.  With ``buckets`` the
+    credits move to that many partitions by client before they are aggregated."""
     months = balance.groupBy("SK_ID_BUREAU").agg(*agg_exprs(BUREAU_BALANCE_SPEC, None),
                                                  *dummy_mean_exprs(balance_vocabulary, None))
     frequencies = {c: ["mean"] for c in months.columns if c.endswith("_MEAN")}
-    return aggregate_block(bureau.join(months, "SK_ID_BUREAU", "left"), KEY, "BURO", {**BUREAU_SPEC, **frequencies},
+    credits = bureau.join(months, "SK_ID_BUREAU", "left")
+    return aggregate_block(credits.repartition(buckets, KEY) if buckets else credits, KEY, "BURO", {**BUREAU_SPEC, **frequencies},
                            _subsets(BUREAU_SUBSETS), BUREAU_SPEC, vocabulary, "BURO_COUNT")
 
 
@@ -134,15 +137,20 @@ def post_join_ratios(df: DataFrame) -> DataFrame:
 
 
 def five_blocks(application: DataFrame, tables: Mapping[str, DataFrame], vocabularies: Mapping[str, Vocabulary],
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, gathered: Sequence[str] = ()) -> DataFrame:
     """D3 + B13: application left-joined with all five blocks (every client keeps
     one row), then the nine ratios.  ``tables`` and ``vocabularies``: bureau,
     balance, previous, pos, instalments, card.  With ``buckets`` the application
     and each block are handed over as tables bucketed by client, for builds that
-    read the blocks again: the five joins then have no shuffle."""
+    read the blocks again: the five joins then have no shuffle.  The blocks' rows
+    are then moved by client before they are aggregated: a row is far narrower
+    than the partial sums of a block, and the aggregates and buckets move nothing
+    more.  ``gathered`` names the tables that are bucketed so already."""
     v = vocabularies
+    if buckets:
+        tables = {n: t if n in ("bureau", "balance", *gathered) else t.repartition(buckets, KEY) for n, t in tables.items()}
     blocks = {
-        "BURO": bureau_block(tables["bureau"], tables["balance"], v["bureau"], v["balance"]),
+        "BURO": bureau_block(tables["bureau"], tables["balance"], v["bureau"], v["balance"], buckets),
         "PREV": previous_block(tables["previous"], v["previous"]),
         "POS": pos_block(tables["pos"], v["pos"]),
         "INSTAL": instalments_block(tables["instalments"], v.get("instalments")),
@@ -150,5 +158,5 @@ def five_blocks(application: DataFrame, tables: Mapping[str, DataFrame], vocabul
     if buckets:
         folder = f"{ensure_checkpoint_dir(application.sparkSession).rstrip('/')}/blocks-{uuid.uuid4().hex}"
         application = hand_over_bucketed(application, KEY, buckets, f"{folder}/application")
-        blocks = {n: hand_over_bucketed(b, KEY, buckets, f"{folder}/{n.lower()}") for n, b in blocks.items()}
+        blocks = {n: hand_over_bucketed(b, KEY, buckets, f"{folder}/{n.lower()}", clustered=True) for n, b in blocks.items()}
     return post_join_ratios(join_blocks(application, blocks, KEY))

@@ -6,11 +6,15 @@ same numbers before the aggregates."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.rounding import sig_round_doubles
 from ..operators import blocks as B
 from ..operators.encode import fit_vocabularies
+from ..session import ensure_checkpoint_dir
+from ..sources.files import hand_over_bucketed
 from . import sqlgen as S
 from . import tables as T
 
@@ -64,11 +68,18 @@ VALUES = {("bureau", "CREDIT_ACTIVE"): ["Active", "Closed", "Sold"],
           ("previous", "NAME_CONTRACT_TYPE"): ["F", "O"]}
 
 
-def role_tables(spark: SparkSession, sf: str, names) -> dict[str, DataFrame]:
+ORDER_LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+def role_tables(spark: SparkSession, sf: str, names, order_lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``order_lines``: the lines joined with their orders, if they are at hand."""
     sources = ("customer", "orders", "lineitem", "events")
     out = {}
     for n in names:
         sql = _roles(_SPARK_DAYS)[n]
+        if order_lines is not None and ORDER_LINES in sql:
+            out[n] = spark.sql(sql.replace(ORDER_LINES, "{order_lines}"), order_lines=order_lines)
+            continue
         used = {t: T.table(spark, sf, t) for t in sources if f" {t}" in sql}
         for t in used:
             sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
@@ -105,10 +116,18 @@ def q_post_join_ratios(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_bucketed_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """D3: the same build with blocks handed over bucketed by client."""
-    t = role_tables(spark, sf, list(_roles(_SPARK_DAYS)))
+    """D3: the same build with blocks handed over bucketed by client.  The lines
+    with their orders, which two blocks and the vocabularies read, are joined and
+    moved to their client once."""
+    buckets = 16
+    lines, orders = T.table(spark, sf, "lineitem"), T.table(spark, sf, "orders")
+    lines = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+             .select("o_custkey", "o_orderdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                     "l_returnflag", "l_linestatus", "l_shipdate"))
+    lines = hand_over_bucketed(lines, "o_custkey", buckets, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}")
+    t = role_tables(spark, sf, list(_roles(_SPARK_DAYS)), lines)
     app = t.pop("application")
-    full = B.five_blocks(app, t, _vocabularies(t), buckets=16)
+    full = B.five_blocks(app, t, _vocabularies(t), buckets, ("previous", "instalments"))
     return sig_round_doubles(full.select(KEY, "AMT_CREDIT", "BURO_COUNT", "PREV_COUNT", "POS_COUNT", "INSTAL_COUNT", "CC_COUNT",
                                          *[n for n, _, _ in B.POST_JOIN_RATIOS]))
 

@@ -26,3 +26,13 @@ def test_unknown_agg_raises(spark):
     df = spark.createDataFrame([(1, 1.0)], "k int, x double")
     with pytest.raises(ValueError):
         aggregate_block(df, "k", "B", {"x": ["median_abs"]})
+
+
+def test_distinct_counts_of_subsets_copy_and_move_no_row_again(spark):
+    rows = [(1, "p", "x"), (1, "p", "y"), (1, "q", "y"), (1, None, "x"), (2, None, "y"), (3, "r", "x"), (3, "r", "x"), (None, "s", "x")]
+    d = spark.createDataFrame(rows, "k int, v string, s string").repartition(4, "k")
+    b = aggregate_block(d, "k", "B", {"v": ["nunique"]}, {"X": F.col("s") == "x", "Y": F.col("s") == "y"})
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "hashpartitioning(k" in plan and plan.count("ENSURE_REQUIREMENTS") == plan.count("SinglePartition")
+    found = {r["k"]: (r["B_v_NUNIQUE"], r["X_v_NUNIQUE"], r["Y_v_NUNIQUE"], r["B_COUNT"]) for r in b.collect()}
+    assert found == {1: (2, 1, 2, 4), 2: (0, None, 0, 1), 3: (1, 1, None, 2), None: (None, None, None, 1)}
