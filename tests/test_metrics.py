@@ -64,3 +64,24 @@ def test_overfit_gaps_pivot(spark):
     r = K.overfit_gaps(m, names=["roc_auc", "f1"]).first()
     assert r.train_roc_auc == 0.9 and r.test_roc_auc == 0.7 and r.gap_roc_auc == pytest.approx(0.2)
     assert r.train_f1 == 0.5 and r.test_f1 is None and r.gap_f1 is None
+
+
+def test_folds_of_a_stepwise_learner_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+    from riskframe.operators import models as J
+    meet = threading.Barrier(3, timeout=30)
+    monkeypatch.setattr(J, "fit", lambda name, train, *a, **k: meet.wait() and None or (("majority", 1), 0.5))
+    d = spark.createDataFrame([(i, i % 2, [1.0]) for i in range(24)], "id int, y int, features array<double>")
+    assert J.cross_validate("linear_svc", d, ["id"], 3).count() == 6
+
+
+def test_metrics_read_written_scores_of_a_model(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+    from riskframe.operators import models as J
+    d = (spark.createDataFrame([(i, i % 2, [float(i % 7), float(i % 2)]) for i in range(80)], "id int, y int, x array<double>")
+         .select("id", "y", array_to_vector("x").alias("features")))
+    seen, of = [], J.K.classification_metrics
+    monkeypatch.setattr(J.K, "classification_metrics", lambda s, *a, **k: seen.append(s._jdf.queryExecution().executedPlan().toString()) or of(s, *a, **k))
+    assert J.holdout_evaluation("forest", d, d, params={"numTrees": 3})[0].count() == 2
+    assert J.cross_validate("forest", d, ["id"], 2, params={"numTrees": 3}).count() == 4
+    assert len(seen) == 2 and not any("UDF" in p for p in seen)
