@@ -279,3 +279,37 @@ def test_prefixes_of_a_gbt_scored_apart(data):
     inner = data.withColumn("is_valid", F.col("id") % 4 == 0)
     found, trees = J.early_stopped("gbt", inner, "is_valid", params={"maxIter": 8, "minInstancesPerNode": 5}, patience=2)
     assert 1 <= trees <= 8 and found.getNumTrees == 8
+
+
+def test_trees_between_two_looks_at_the_auc_take_one_job(data, monkeypatch):
+    calls, one_task = [], W._one_task_pass
+
+    def seen(jobs, first, count, *rest):
+        calls.append((first, count))
+        return one_task(jobs, first, count, *rest)
+    monkeypatch.setattr(W, "_one_task_pass", seen)
+    settings = [{**PLAIN, "n_iter": 12}, {**PLAIN, "n_iter": 30, "min_child": 20}, {**PLAIN, "n_iter": 12, "max_leaves": 4}]
+    several = W.fit_leafwise(data, [F.lit(True)] * 3, settings)
+    assert calls == [(0, 12), (12, 13), (25, 5)]
+    assert [len(b.trees) for b in several] == [12, 30, 12] and max(len(t.feature) for t in several[2].trees) == 7
+    alone = W.fit_leafwise(data, [F.lit(True)], settings[1:2])[0]
+    x = local_rows(data)[2]
+    assert np.array_equal(alone.margins(x), several[1].margins(x))
+
+
+def test_joint_sums_equal_sums_feature_by_feature(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(W, "JOINT", 30)
+    rng, sizes = np.random.RandomState(1), [5, 2, 7, 2, 3, 64]
+    bins = np.array([[rng.randint(n) for n in sizes] for _ in range(200)], np.uint8)
+    batch = pa.RecordBatch.from_pydict({"bins": [r.tobytes() for r in bins], "y": rng.randint(0, 2, 200).astype(float), "rid": pa.array(range(200), pa.int64()),
+                                        "margin": [[0.0]] * 200, "inside": [[True]] * 200})
+    held = W._Held([W._Rows(batch, len(sizes))] * 2, sizes)
+    assert sorted(f for group, _ in held.joint for f in group) == list(range(6)) and len(held.joint) == 3
+    unit, rows = W.exact_unit(400, np.ones(2)), np.flatnonzero(rng.rand(400) < 0.7)
+    g, h = W._slopes(rng.normal(size=400), held.y, np.ones(2), unit)
+    sums = held.sums(rows, (g, h, None))
+    for f in range(6):
+        for b in range(64):
+            sel = rows[held.columns[f][rows] == b]
+            assert sums[:, f, b].tolist() == [g[sel].sum(), h[sel].sum(), len(sel)]           # exact in any order
