@@ -270,3 +270,17 @@ def test_a_cluster_must_name_a_shared_folder():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=sc))
+
+
+def test_optimise_and_score_benchmarks_every_model_of_the_benchmark(monkeypatch):
+    from riskframe.plans import modeling as MD
+    runs, matrix = [], ("train", "holdout", "test", ["a"])
+    monkeypatch.setattr(MD, "_work_dir", lambda *a: "work")
+    monkeypatch.setattr(MD, "model_matrix", lambda *a: matrix)
+
+    def benchmark(spark, sf, out_dir, models=MD.BENCHMARK_MODELS, k=3, params=None, matrix=None):
+        runs.append((out_dir, list(models), k, params, matrix))
+    monkeypatch.setattr(MD, "baseline_benchmark", benchmark)
+    monkeypatch.setattr(MD, "optimise_and_score", lambda spark, sf, work_dir, grids=None, matrix=None: (work_dir, grids, matrix))
+    assert MD.q_optimise_and_score(None, "sf") == ("work", None, matrix)
+    assert runs == [("work", ["majority", "logistic", "linear_svc", "forest"], 3, None, matrix)]
