@@ -313,3 +313,19 @@ def test_joint_sums_equal_sums_feature_by_feature(monkeypatch):
         for b in range(64):
             sel = rows[held.columns[f][rows] == b]
             assert sums[:, f, b].tolist() == [g[sel].sum(), h[sel].sum(), len(sel)]           # exact in any order
+
+
+def test_extra_trees_grown_apart_equal_those_grown_over_all_tasks(data, monkeypatch):
+    x = F.col("x")
+    odd = J.assemble(data.select("id", "y", vector_to_array("features").alias("x"))
+                     .select("id", "y", x[0].alias("a"), F.floor(x[1]).cast("double").alias("b"), F.lit(1.0).alias("c"), (x[3] * F.col("id")).alias("d")), FEATS)
+    params = {"n_trees": 9, "min_leaf": 4, "max_features": 0.75}
+    with monkeypatch.context() as m:
+        m.setattr(T, "_drawn_splits", lambda *a: pytest.fail("a level over all tasks"))
+        apart = [T.fit_extra_trees(d, p).trees for d, p in ((data, params), (odd, params), (odd, {**params, "max_depth": 3}))]
+    monkeypatch.setattr(T, "HELD", 0)
+    for ours, (d, p) in zip(apart, ((data, params), (odd, params), (odd, {**params, "max_depth": 3}))):
+        theirs = T.fit_extra_trees(d, p).trees
+        for a, b in zip(ours, theirs, strict=True):
+            assert len(a.feature) > 7 and all(getattr(a, c) == getattr(b, c) for c in ("feature", "threshold", "left", "right", "rows"))
+            assert np.allclose(a.value, b.value, rtol=0, atol=1e-15)
